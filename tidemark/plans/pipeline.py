@@ -1,0 +1,69 @@
+"""The medallion flow as one lazy object: records -> bronze -> silver -> gold.
+
+Nothing is computed until an action; each layer is a DataFrame plan over the
+input tables, so a query that needs one gold product scans only what that product
+needs.  Silver of a table reads only that table's records: the topic filter is a
+plain column predicate, pushed into the union branch that produces the topic.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from tidemark.model import TABLES
+from tidemark.operators.bronze import decode, quarantine, topic_filter
+from tidemark.operators.silver import state
+from tidemark.plans import gold as G
+from tidemark.plans import kpi as K
+from tidemark.sources.feed import retail_feeds, retail_records
+from tidemark.sources.tables import Tables, retail_views
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, sf_dir: str, run_ts: Column | None = None,
+                 delete_image: str = "before"):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.run_ts = run_ts
+        self.delete_image = delete_image
+        self.tables = Tables(spark, sf_dir)
+
+    @cached_property
+    def views(self) -> dict[str, DataFrame]:
+        return retail_views(self.tables)
+
+    @cached_property
+    def feeds(self) -> dict[str, DataFrame]:
+        return retail_feeds(self.views)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return retail_records(self.views)
+
+    def records_of(self, table: str) -> DataFrame:
+        return topic_filter(self.records, [table])
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return decode(self.records, self.run_ts)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return quarantine(self.records, self.run_ts)
+
+    def bronze_of(self, table: str) -> DataFrame:
+        return decode(self.records_of(table), self.run_ts)
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return {t: state(self.bronze_of(t), t, self.run_ts, self.delete_image) for t in TABLES}
+
+    @cached_property
+    def gold(self) -> dict[str, DataFrame]:
+        return G.build_gold(self.silver, self.bronze)
+
+    @cached_property
+    def kpis(self) -> dict[str, DataFrame]:
+        return K.build_kpis(self.gold)
