@@ -386,3 +386,283 @@ def _register_kpi(name: str):
 
 for _k in _KPI_ORACLE:
     _register_kpi(_k)
+
+
+# --------------------------------------------------------------------------- quarantine
+
+from tidemark.model import FOREIGN_KEYS, REQUIRED_COLUMNS  # noqa: E402
+from tidemark.operators import quality as Q  # noqa: E402
+from tidemark.sources.feed import (malformed_records, snapshot_diff,  # noqa: E402
+                                   snapshot_to_feed)
+
+
+@register("cdc_malformed_filtered", """
+    SELECT 'valid' AS reject_reason, COUNT(*) AS n_records FROM feed_orders
+    UNION ALL
+    SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'value_null' WHEN '2-HIGH' THEN 'not_json'
+                WHEN '3-MEDIUM' THEN 'payload_null' WHEN '4-NOT SPECIFIED' THEN 'op_null'
+                ELSE 'op_unknown' END, COUNT(*)
+    FROM orders GROUP BY 1
+    UNION ALL SELECT 'table_null', COUNT(*) FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'image_invalid', COUNT(*) FROM orders WHERE o_orderstatus = 'O'""")
+def _cdc_malformed_filtered(p: Pipeline) -> DataFrame:
+    """The orders log mixed with faulty deliveries: envelope faults are quarantined
+    at bronze, image faults at silver; only valid changes reach the state (P3, D3,
+    D4, D8)."""
+    records = p.records_of("orders").unionByName(malformed_records(p.tables.orders))
+    envelope_faults = (B.quarantine(records).groupBy("reject_reason")
+                       .agg(F.count(F.lit(1)).alias("n_records")))
+    bronze = B.decode(records)
+    image_faults = (S.image_rejects(bronze, "orders").groupBy("reject_reason")
+                    .agg(F.count(F.lit(1)).alias("n_records")))
+    valid = S.change_rows(bronze, "orders").agg(
+        F.lit("valid").alias("reject_reason"), F.count(F.lit(1)).alias("n_records"))
+    return envelope_faults.unionByName(image_faults).unionByName(valid)
+
+
+# --------------------------------------------------------------------------- feeds
+
+@register("snapshot_to_feed", """
+    SELECT product_id, name, category, brand, CAST(price AS DOUBLE) AS price, stock_qty,
+           is_active, 'READ' AS _cdc_op, FALSE AS _is_deleted
+    FROM retail_products""")
+def _snapshot_to_feed(p: Pipeline) -> DataFrame:
+    """A table snapshot as READ events, through envelopes, back to state (Q10)."""
+    s = p.silver["products"]
+    return s.select("product_id", "name", "category", "brand", "price", "stock_qty",
+                    "is_active", "_cdc_op", "_is_deleted")
+
+
+# Fixed edit rules that turn the products snapshot into the next one.
+_DIFF_TS = "1999-01-01 00:00:00"
+_NEW_ID_OFFSET = 1_000_000_000
+
+_NEW_PRODUCTS_SQL = f"""
+    SELECT product_id, name, category, brand,
+           CASE WHEN brand = 'Brand#1' THEN CAST(round(price * 1.10, 2) AS DECIMAL(12,2))
+                ELSE price END AS price,
+           stock_qty, is_active
+    FROM retail_products WHERE stock_qty <> 1
+    UNION ALL
+    SELECT product_id + {_NEW_ID_OFFSET}, name, category, brand, price, stock_qty, is_active
+    FROM retail_products WHERE stock_qty = 50"""
+
+
+def _next_products(products: DataFrame) -> DataFrame:
+    kept = products.filter(F.col("stock_qty") != 1).withColumn(
+        "price", F.when(F.col("brand") == "Brand#1",
+                        F.round(F.col("price") * F.lit(1.10).cast(T.DecimalType(3, 2)), 2)
+                        .cast(T.DecimalType(12, 2))).otherwise(F.col("price")))
+    added = products.filter(F.col("stock_qty") == 50).withColumn(
+        "product_id", F.col("product_id") + F.lit(_NEW_ID_OFFSET))
+    return kept.unionByName(added)
+
+
+def _products_diff(p: Pipeline) -> DataFrame:
+    old = p.views["products"]
+    return snapshot_diff(old, _next_products(old), "products",
+                         F.lit(_DIFF_TS).cast(T.TimestampNTZType()), lsn_base=_NEW_ID_OFFSET * 4)
+
+
+@register("snapshot_diff", f"""
+    WITH nxt AS ({_NEW_PRODUCTS_SQL})
+    SELECT COALESCE(n.product_id, o.product_id) AS product_id,
+           CASE WHEN o.product_id IS NULL THEN 'c' WHEN n.product_id IS NULL THEN 'd' ELSE 'u' END AS op,
+           COALESCE(n.name, o.name) AS name,
+           CAST(CASE WHEN n.product_id IS NULL THEN o.price ELSE n.price END AS DOUBLE) AS price
+    FROM retail_products o FULL OUTER JOIN nxt n ON o.product_id = n.product_id
+    WHERE o.product_id IS NULL OR n.product_id IS NULL
+       OR o.name IS DISTINCT FROM n.name OR o.category IS DISTINCT FROM n.category
+       OR o.brand IS DISTINCT FROM n.brand OR o.price IS DISTINCT FROM n.price
+       OR o.stock_qty IS DISTINCT FROM n.stock_qty OR o.is_active IS DISTINCT FROM n.is_active""")
+def _snapshot_diff(p: Pipeline) -> DataFrame:
+    """Two snapshots -> c/u/d events (Q11)."""
+    return _products_diff(p).select("product_id", "op", "name", "price")
+
+
+@register("snapshot_diff_apply", f"""
+    SELECT product_id, name, CAST(price AS DOUBLE) AS price, stock_qty
+    FROM ({_NEW_PRODUCTS_SQL})""")
+def _snapshot_diff_apply(p: Pipeline) -> DataFrame:
+    """Old state merged with the decoded diff events gives the new snapshot."""
+    keys = PRIMARY_KEYS["products"]
+    events = B.decode(to_records(_products_diff(p), "products"))
+    updates = S.latest_per_key(S.change_rows(events, "products"), keys)
+    merged = S.merge_upsert(p.silver["products"], updates, keys, guarded=True)
+    return S.live(merged).select("product_id", "name", "price", "stock_qty")
+
+
+# --------------------------------------------------------------------------- quality
+
+@register("dq_pk_duplicates", """
+    SELECT l_orderkey AS order_id, l_linenumber AS line_number, COUNT(*) AS n_rows
+    FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+def _dq_pk_duplicates(p: Pipeline) -> DataFrame:
+    """Natural key (order, line number) of the order lines: duplicated in the data,
+    which is why item ids are numbered instead (Q1)."""
+    li = p.tables.lineitem.select(F.col("l_orderkey").alias("order_id"),
+                                  F.col("l_linenumber").alias("line_number"))
+    return Q.pk_duplicates(li, ["order_id", "line_number"])
+
+
+@register("dq_pk_summary", """
+    SELECT 'customers' AS table_name, COUNT(*) AS n_rows, COUNT(DISTINCT customer_id) AS n_keys, 0 AS n_duplicate_keys FROM retail_customers
+    UNION ALL SELECT 'products', COUNT(*), COUNT(DISTINCT product_id), 0 FROM retail_products
+    UNION ALL SELECT 'orders', COUNT(*), COUNT(DISTINCT order_id), 0 FROM silver_orders
+    UNION ALL SELECT 'order_items', COUNT(*), COUNT(DISTINCT item_id), 0 FROM retail_order_items
+    UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id), 0 FROM retail_payments
+    UNION ALL SELECT 'returns', COUNT(*), COUNT(DISTINCT return_id), 0 FROM retail_returns""")
+def _dq_pk_summary(p: Pipeline) -> DataFrame:
+    """Key uniqueness of every silver table (Q1)."""
+    out = None
+    for t in TABLES:
+        s = Q.pk_summary(p.silver[t], PRIMARY_KEYS[t], t)
+        out = s if out is None else out.unionByName(s)
+    return out.withColumn("n_duplicate_keys", F.col("n_duplicate_keys").cast(T.IntegerType()))
+
+
+def _fk_oracle() -> str:
+    parts = []
+    src = {"customers": "retail_customers", "products": "retail_products",
+           "orders": "live_orders", "order_items": "retail_order_items",
+           "payments": "retail_payments", "returns": "retail_returns"}
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        parts.append(
+            f"SELECT '{child}' AS child_table, '{col}' AS fk_column, '{parent}' AS parent_table, "
+            f"COUNT(*) AS n_orphans FROM {src[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {src[parent]} p WHERE p.{pcol} = c.{col})")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("dq_fk_orphans", _fk_oracle())
+def _dq_fk_orphans(p: Pipeline) -> DataFrame:
+    """Live rows whose reference has no live parent, per foreign key (Q2)."""
+    out = None
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        o = Q.fk_orphans(S.live(p.silver[child]), col, S.live(p.silver[parent]), pcol)
+        r = o.agg(F.lit(child).alias("child_table"), F.lit(col).alias("fk_column"),
+                  F.lit(parent).alias("parent_table"), F.count(F.lit(1)).alias("n_orphans"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _null_oracle() -> str:
+    src = {"customers": "retail_customers", "products": "retail_products",
+           "orders": "live_orders", "order_items": "retail_order_items",
+           "payments": "retail_payments", "returns": "retail_returns"}
+    parts = []
+    for t, cols in REQUIRED_COLUMNS.items():
+        for c in cols:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                         f"COUNT(*) - COUNT({c}) AS n_nulls FROM {src[t]}")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("dq_null_counts", _null_oracle())
+def _dq_null_counts(p: Pipeline) -> DataFrame:
+    """NULLs in required columns of the live rows (Q3)."""
+    out = None
+    for t, cols in REQUIRED_COLUMNS.items():
+        r = Q.null_counts(S.live(p.silver[t]), t, cols)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("dq_subtotal_mismatch", """
+    SELECT COUNT(*) AS n_items,
+           COUNT(*) FILTER (WHERE subtotal IS DISTINCT FROM quantity * unit_price) AS n_mismatch,
+           CAST(SUM(subtotal) AS DOUBLE) AS subtotal_total,
+           CAST(SUM(quantity * unit_price) AS DOUBLE) AS recomputed_total
+    FROM retail_order_items""")
+def _dq_subtotal_mismatch(p: Pipeline) -> DataFrame:
+    """Stored line subtotal against quantity x unit price after the trip through the
+    change stream, where amounts travel as doubles (Q5, D13)."""
+    i = S.live(p.silver["order_items"])
+    recomputed = F.col("quantity") * F.col("unit_price")
+    return i.agg(F.count(F.lit(1)).alias("n_items"),
+                 F.count(F.when(~F.col("subtotal").eqNullSafe(recomputed), 1)).alias("n_mismatch"),
+                 F.sum("subtotal").alias("subtotal_total"),
+                 F.sum(recomputed).alias("recomputed_total"))
+
+
+@register("insert_ignore_conflicts", f"""
+    WITH target AS (SELECT customer_id, email FROM retail_customers WHERE NOT is_active),
+    incoming AS (
+        SELECT customer_id, email FROM retail_customers
+        UNION ALL SELECT customer_id + {_NEW_ID_OFFSET}, email FROM retail_customers),
+    fresh AS (SELECT * FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.email = i.email)),
+    firsts AS (SELECT customer_id, email FROM (
+        SELECT *, row_number() OVER (PARTITION BY email ORDER BY customer_id) AS rn FROM fresh) WHERE rn = 1)
+    SELECT * FROM target UNION ALL SELECT * FROM firsts""")
+def _insert_ignore_conflicts(p: Pipeline) -> DataFrame:
+    """Target = inactive customers; incoming = every customer plus a re-registration
+    of each under a new id with the same e-mail.  E-mail is unique: existing e-mails
+    are skipped, and the first registration of a new one wins (Q4)."""
+    c = S.live(p.silver["customers"])
+    target = c.filter(~F.col("is_active")).select("customer_id", "email")
+    incoming = c.select("customer_id", "email").unionByName(
+        c.select((F.col("customer_id") + F.lit(_NEW_ID_OFFSET)).alias("customer_id"), "email"))
+    return Q.insert_ignore(target, incoming, ["email"], ["customer_id"])
+
+
+_AS_OF = "1998-08-02 00:00:00"
+
+
+@register("expired_drafts", f"""
+    SELECT order_id, customer_id, order_date FROM live_orders
+    WHERE status = 'pending' AND order_date < TIMESTAMP '{_AS_OF}' - INTERVAL '5' MINUTE""")
+def _expired_drafts(p: Pipeline) -> DataFrame:
+    """Pending orders older than five minutes as of a fixed time (Q6)."""
+    cutoff = F.lit(_AS_OF).cast(T.TimestampType()) - F.expr("INTERVAL 5 MINUTES")
+    return (S.live(p.silver["orders"])
+            .filter((F.col("status") == "pending") & (F.col("order_date") < cutoff))
+            .select("order_id", "customer_id", "order_date"))
+
+
+@register("order_next_status", """
+    SELECT order_id, status,
+           CASE status WHEN 'pending' THEN 'confirmed' WHEN 'confirmed' THEN 'shipped'
+                       WHEN 'shipped' THEN 'delivered' END AS next_status
+    FROM live_orders WHERE status IN ('pending', 'confirmed', 'shipped')""")
+def _order_next_status(p: Pipeline) -> DataFrame:
+    """Next lifecycle status of every open order (Q7)."""
+    o = S.live(p.silver["orders"]).filter(F.col("status").isin("pending", "confirmed", "shipped"))
+    return o.select("order_id", "status", Q.next_status(F.col("status")).alias("next_status"))
+
+
+@register("status_transition_audit", """
+    WITH ev AS (SELECT order_id, status, event_ts, lsn FROM feed_orders WHERE op <> 'd'),
+    pairs AS (
+        SELECT lag(status) OVER (PARTITION BY order_id ORDER BY event_ts, lsn) AS from_status,
+               status AS to_status FROM ev)
+    SELECT from_status, to_status, COUNT(*) AS n_transitions,
+           (from_status = to_status
+            OR (from_status = 'pending' AND to_status IN ('confirmed', 'cancelled'))
+            OR (from_status = 'confirmed' AND to_status = 'shipped')
+            OR (from_status = 'shipped' AND to_status = 'delivered')) AS is_legal
+    FROM pairs WHERE from_status IS NOT NULL GROUP BY 1, 2""")
+def _status_transition_audit(p: Pipeline) -> DataFrame:
+    """Status pairs of consecutive row images per order in log order, flagged
+    against the lifecycle (Q8)."""
+    rows = _orders_rows(p).filter(F.col("_cdc_op") != "DELETE")
+    pairs = Q.status_transitions(rows, "order_id",
+                                 [F.col(c).asc() for c in S.ORDER_COLUMNS])
+    return (pairs.groupBy("from_status", "to_status")
+            .agg(F.count(F.lit(1)).alias("n_transitions"))
+            .withColumn("is_legal", Q.legal_transition(F.col("from_status"),
+                                                       F.col("to_status"))))
+
+
+@register("refund_expected", """
+    SELECT r.return_id, r.order_id, CAST(r.refund_amount AS DOUBLE) AS refund_amount,
+           CAST(round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS DOUBLE) AS expected_refund,
+           r.refund_amount = round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS matches
+    FROM retail_returns r LEFT JOIN silver_orders o ON r.order_id = o.order_id""")
+def _refund_expected(p: Pipeline) -> DataFrame:
+    """Each return's refund against 80 % of its order total (Q9)."""
+    r = S.live(p.silver["returns"]).select("return_id", "order_id", "refund_amount")
+    o = p.silver["orders"].select(F.col("order_id").alias("_o_id"), "total_amount")
+    exp = Q.expected_refund(F.col("total_amount"))
+    return (r.join(o, r.order_id == o._o_id, "left")
+            .select("return_id", "order_id", "refund_amount", exp.alias("expected_refund"),
+                    (F.col("refund_amount") == exp).alias("matches")))

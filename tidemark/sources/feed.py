@@ -152,3 +152,40 @@ def retail_records(views: dict[str, DataFrame], tables: list[str] | None = None)
         r = to_records(feeds[t], t)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def malformed_records(orders_raw: DataFrame) -> DataFrame:
+    """Faulty deliveries derived from every order, one fault kind per order priority,
+    plus a table-less envelope per finished order and an empty row image per open
+    order.  Offsets lie past the order's own log positions."""
+    oid = F.col("o_orderkey")
+    pr = F.col("o_orderpriority")
+    topic = F.lit(topic_for("orders"))
+
+    def env(op, table, after):
+        payload = F.struct(F.lit(None).cast(T.StringType()).alias("before"),
+                           after.alias("after"), op.alias("op"),
+                           ts_to_millis(F.col("o_orderdate")).alias("ts_ms"),
+                           F.struct(F.lit(SOURCE_DB).alias("db"), table.alias("table"),
+                                    (oid * 10 + 5).alias("lsn")).alias("source"))
+        return F.to_json(F.struct(payload.alias("payload")))
+
+    image = F.struct(oid.alias("order_id"))
+    orders_tbl = F.lit("orders")
+    by_priority = (
+        F.when(pr == "1-URGENT", F.lit(None).cast(T.StringType()))
+        .when(pr == "2-HIGH", F.concat(F.lit("{not json "), oid.cast("string")))
+        .when(pr == "3-MEDIUM", F.lit('{"payload":null}'))
+        .when(pr == "4-NOT SPECIFIED", env(F.lit(None).cast(T.StringType()), orders_tbl, image))
+        .otherwise(env(F.lit("t"), orders_tbl, image)))
+    ts = F.col("o_orderdate").cast(T.TimestampType())
+    base = [topic.alias("topic"), (oid % 3).cast(T.IntegerType()).alias("partition")]
+    one = orders_raw.select(*base, (oid * 10 + 5).alias("offset"), ts.alias("timestamp"),
+                            by_priority.alias("value"))
+    no_table = orders_raw.filter(F.col("o_orderstatus") == "F").select(
+        *base, (oid * 10 + 6).alias("offset"), ts.alias("timestamp"),
+        env(F.lit("c"), F.lit(None).cast(T.StringType()), image).alias("value"))
+    empty_image = orders_raw.filter(F.col("o_orderstatus") == "O").select(
+        *base, (oid * 10 + 7).alias("offset"), ts.alias("timestamp"),
+        env(F.lit("u"), orders_tbl, F.struct()).alias("value"))
+    return one.unionByName(no_table).unionByName(empty_image)
