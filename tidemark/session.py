@@ -29,9 +29,12 @@ def get_session(master: str | None = None, app: str = "tidemark",
     ``local[*]`` and a small shuffle partition count.
     """
     b = SparkSession.builder.appName(app)
+    conf = dict(BASE_CONF)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the whole cluster
+            conf["spark.driver.memory"] = os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
