@@ -107,6 +107,12 @@ class Store:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path(name)}/epoch={epoch_id:012d}")
 
-    def read_log(self, name: str) -> DataFrame:
-        """All committed epochs of an append-only log, with partition columns."""
-        return self.spark.read.parquet(self.path(name))
+    def read_log(self, name: str, schema=None) -> DataFrame:
+        """All committed epochs of an append-only log, with partition columns.
+
+        Pass ``schema`` for logs that may hold no rows yet (an empty epoch writes no
+        data file, so there is nothing to infer a schema from)."""
+        r = self.spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(self.path(name))
