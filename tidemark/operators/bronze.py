@@ -99,5 +99,15 @@ def route(bronze: DataFrame, table: str) -> DataFrame:
 
 
 def with_storage_columns(bronze: DataFrame) -> DataFrame:
-    """Partition column for the bronze store: event day (days(cdc_ts) of S8)."""
-    return bronze.withColumn("event_day", F.to_date("cdc_ts"))
+    """Partition columns for the bronze store: event day (days(cdc_ts) of S8) and
+    event month, for logs too thin to fill a file per table and day."""
+    return (bronze.withColumn("event_day", F.to_date("cdc_ts"))
+            .withColumn("event_month", F.trunc("cdc_ts", "month")))
+
+
+def clustered_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Range-partition on the layout columns, then the offset, before a partitioned
+    write: each task covers a contiguous run of partition values, so files are few
+    and large, and a partition value with a third of the rows spans several tasks
+    instead of one (the offset splits it)."""
+    return df.repartitionByRange(*partition_by, "kafka_topic", "kafka_partition", "kafka_offset")
