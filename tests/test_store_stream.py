@@ -46,3 +46,26 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
     want = sorted(tuple(r) for r in p.bronze.groupBy("cdc_table", "cdc_op").count().collect())
     assert got == want
     assert st.read_log("quarantine", BS.QUARANTINE_SCHEMA).count() == 0
+
+
+def test_merge_on_read_silver(spark, scratch):
+    from tidemark.operators import bronze as B
+    from tidemark.operators import silver as S
+    from tidemark.streaming import silver_stream as SS
+
+    p = Pipeline(spark, SF_SMALL)
+    st = Store(spark, f"{scratch}/lake")
+    recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
+    # epochs arrive out of time order; deltas then a compaction then one more delta
+    for epoch, b in enumerate([2, 0, 1]):
+        batch = B.decode(recs.filter(F.col("_b") == b).drop("_b"))
+        SS.silver_delta_writer(st, ["orders"])(batch, epoch)
+        if epoch == 1:
+            SS.compact_silver(st, "orders")
+    cols = ["order_id", "status", "_cdc_lsn", "_is_deleted"]
+    want = sorted(tuple(r) for r in S.state(B.decode(recs.drop("_b")), "orders")
+                  .select(*cols).collect())
+    got = sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect())
+    assert got == want
+    SS.compact_silver(st, "orders")
+    assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want

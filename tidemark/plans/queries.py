@@ -714,16 +714,29 @@ def _stream_bronze_available_now(p: Pipeline) -> DataFrame:
                  F.count_distinct("kafka_offset").alias("n_offsets")))
 
 
-@register("stream_silver_incremental", _SILVER_ORDER_ORACLE)
-def _stream_silver_incremental(p: Pipeline) -> DataFrame:
-    """Silver maintained by a stream over bronze, one guarded merge per micro-batch,
-    equals the batch rebuild (SURVEY 7.3 step 6)."""
+def _run_silver_stream(p: Pipeline, mode: str) -> Store:
     root = _scratch(p)
     store = _run_bronze_stream(p, root)
     q = SS.start_silver_stream(p.spark, store, f"{root}/_checkpoints/silver",
                                tables=["orders"], trigger={"availableNow": True},
-                               max_files_per_trigger=2)
+                               max_files_per_trigger=2, mode=mode)
     q.awaitTermination(_STREAM_TIMEOUT_S)
     if q.exception() is not None:
         raise q.exception()
+    return store
+
+
+@register("stream_silver_incremental", _SILVER_ORDER_ORACLE)
+def _stream_silver_incremental(p: Pipeline) -> DataFrame:
+    """Silver maintained by a stream over bronze, merge-on-read: per-batch deltas,
+    compacted once, equals the batch rebuild (SURVEY 7.3 step 6)."""
+    store = _run_silver_stream(p, "merge_on_read")
+    SS.compact_silver(store, "orders")
+    return SS.read_silver(store, "orders").select(*_STATE_COLS)
+
+
+@register("stream_silver_copy_on_write", _SILVER_ORDER_ORACLE)
+def _stream_silver_copy_on_write(p: Pipeline) -> DataFrame:
+    """The same stream with a guarded full-outer-join merge per micro-batch."""
+    store = _run_silver_stream(p, "copy_on_write")
     return store.read("silver/orders").select(*_STATE_COLS)

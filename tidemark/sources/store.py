@@ -64,19 +64,21 @@ class Store:
         return self.spark.read.parquet(cur)
 
     def write_snapshot(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-                       observe_rows: bool = True) -> tuple[str, int | None]:
+                       observe_rows: bool = True, tag: str | None = None) -> tuple[str, int | None]:
         """Create-or-replace as a new version (S10, S11); returns (path, rows).
 
         The row count is observed while writing (``DataFrame.observe``), not by a
         second evaluation of the plan (A11).
         """
         version = f"v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+        if tag:
+            version = f"{version}-{tag}"
         out = f"{self.path(name)}/{version}"
         rows = None
         if observe_rows:
             from pyspark.sql import Observation
             from pyspark.sql import functions as F
-            obs = Observation(f"rows_{name}_{version[-8:]}")
+            obs = Observation(f"rows_{uuid.uuid4().hex}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         w = df.write.mode("errorifexists").option("compression", "snappy")
         if partition_by:
@@ -98,6 +100,11 @@ class Store:
         path, _ = self.write_snapshot(df, name, partition_by, observe_rows=False)
         return path
 
+    def epochs(self, name: str) -> list[int]:
+        """Epoch ids written under an append-only log, ascending."""
+        return sorted(int(c.split("=", 1)[1]) for c in self._children(self.path(name))
+                      if c.startswith("epoch="))
+
     # -- epoch appends
     def write_epoch(self, df: DataFrame, name: str, epoch_id: int,
                     partition_by: list[str] | None = None) -> None:

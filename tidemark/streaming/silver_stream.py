@@ -1,9 +1,17 @@
-"""Incremental silver: a stream over the bronze log that merges each micro-batch.
+"""Incremental silver: a stream over the bronze log.
 
-For every table present in the batch: newest change per key inside the batch,
-then a guarded merge into the current silver version (an update older than the
-stored row is ignored, D16), written as a new version.  The write cuts the
-lineage, so state never accumulates a growing plan across batches.
+Two ways to fold a micro-batch into the state:
+
+* ``merge_on_read`` (default): the batch's newest change per key is appended as a
+  delta epoch, O(batch) work per trigger.  Reading silver takes the newest row per
+  key over the base snapshot and the deltas written after it; since "newest by
+  (ts, lsn, offset)" is idempotent and order-free, a late batch can never roll a
+  key back (D16) and a replayed epoch changes nothing.  ``compact_silver`` folds
+  the deltas into a new base version, tagged with the last epoch it holds.
+* ``copy_on_write``: a guarded full outer join of the batch with the current
+  version, written as a new version, O(table) per trigger.
+
+Writes cut the lineage, so no plan grows across batches.
 """
 
 from __future__ import annotations
@@ -62,11 +70,77 @@ def silver_batch_merger(store: Store, tables: list[str] | None = None,
     return merge_batch
 
 
+def delta_name(table: str) -> str:
+    return f"silver_delta/{table}"
+
+
+def silver_delta_writer(store: Store, tables: list[str] | None = None):
+    """foreachBatch function of the merge-on-read mode."""
+    wanted = tables or TABLES
+
+    def write_deltas(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            present = {r[0] for r in batch.select("cdc_table").distinct().collect()}
+            for t in wanted:
+                if t in present:
+                    rows = change_rows(batch.filter(F.col("cdc_table") == t), t)
+                    store.write_epoch(latest_per_key(rows, PRIMARY_KEYS[t]), delta_name(t),
+                                      epoch_id)
+        finally:
+            batch.unpersist()
+
+    return write_deltas
+
+
+def _folded_epoch(version_path: str | None) -> int:
+    if version_path and "-e" in version_path.rsplit("/", 1)[-1]:
+        return int(version_path.rsplit("-e", 1)[1])
+    return -1
+
+
+def read_silver(store: Store, table: str) -> DataFrame:
+    """Current silver state: newest row per key over the base and newer deltas."""
+    base_path = store.current(f"silver/{table}")
+    folded = _folded_epoch(base_path)
+    parts = []
+    if base_path:
+        parts.append(store.spark.read.parquet(base_path))
+    newer = [e for e in store.epochs(delta_name(table)) if e > folded]
+    if newer:
+        paths = [f"{store.path(delta_name(table))}/epoch={e:012d}" for e in newer]
+        parts.append(store.spark.read.parquet(*paths))
+    if not parts:
+        raise FileNotFoundError(f"no silver state for {table}")
+    if len(parts) == 1 and not newer:
+        return parts[0]
+    union = parts[0]
+    for d in parts[1:]:
+        union = union.unionByName(d, allowMissingColumns=True)
+    return latest_per_key(union, PRIMARY_KEYS[table])
+
+
+def compact_silver(store: Store, table: str) -> str:
+    """Fold the deltas into a new base version tagged with the last folded epoch."""
+    epochs = store.epochs(delta_name(table))
+    last = epochs[-1] if epochs else _folded_epoch(store.current(f"silver/{table}"))
+    path, _ = store.write_snapshot(read_silver(store, table), f"silver/{table}",
+                                   observe_rows=False, tag=f"e{last:012d}")
+    return path
+
+
 def start_silver_stream(spark: SparkSession, store: Store, checkpoint: str,
                         tables: list[str] | None = None, trigger: dict | None = None,
-                        max_files_per_trigger: int | None = None):
+                        max_files_per_trigger: int | None = None,
+                        mode: str = "merge_on_read"):
     src = bronze_log_stream(spark, store, max_files_per_trigger=max_files_per_trigger)
-    w = (src.writeStream.foreachBatch(silver_batch_merger(store, tables))
+    if mode == "merge_on_read":
+        fn = silver_delta_writer(store, tables)
+    elif mode == "copy_on_write":
+        fn = silver_batch_merger(store, tables)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    w = (src.writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"processingTime": "30 seconds"})))
     return w.start()
