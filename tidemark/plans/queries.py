@@ -645,8 +645,7 @@ def _status_transition_audit(p: Pipeline) -> DataFrame:
     """Status pairs of consecutive row images per order in log order, flagged
     against the lifecycle (Q8)."""
     rows = _orders_rows(p).filter(F.col("_cdc_op") != "DELETE")
-    pairs = Q.status_transitions(rows, "order_id",
-                                 [F.col(c).asc() for c in S.ORDER_COLUMNS])
+    pairs = Q.status_transitions(rows, "order_id", S.ORDER_COLUMNS)
     return (pairs.groupBy("from_status", "to_status")
             .agg(F.count(F.lit(1)).alias("n_transitions"))
             .withColumn("is_legal", Q.legal_transition(F.col("from_status"),
