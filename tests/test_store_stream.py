@@ -101,3 +101,19 @@ def test_incremental_silver_job_and_error_isolation(spark, scratch):
     assert {r["source_table"] for r in audit.select("source_table").distinct().collect()} \
         == {"orders"}
     assert S.live(SS.read_silver(st, "orders")).count() == S.live(p.silver["orders"]).count()
+
+
+def test_redelivery_across_batches_is_dropped(spark, scratch):
+    p = Pipeline(spark, SF_SMALL)
+    landing = f"{scratch}/landing"
+    recs = p.records_of("orders")
+    # the same records land twice, in different files and so in different batches
+    recs.repartition(3).write.parquet(landing)
+    recs.repartition(2).write.mode("append").parquet(landing)
+    st = Store(spark, f"{scratch}/lake")
+    q = BS.start_bronze_stream(BS.file_records(spark, landing, max_files_per_trigger=1), st,
+                               f"{scratch}/ckpt", trigger={"availableNow": True},
+                               partition_by=["cdc_table"], dedup_within="1 hour")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert st.read_log("bronze").count() == recs.count()

@@ -694,7 +694,8 @@ def _run_bronze_stream(p: Pipeline, root: str) -> Store:
     for _ in range(2):
         src = BS.file_records(p.spark, landing, max_files_per_trigger=2)
         q = BS.start_bronze_stream(src, store, f"{root}/_checkpoints/bronze",
-                                   trigger={"availableNow": True}, partition_by=["cdc_table"])
+                                   trigger={"availableNow": True}, partition_by=["cdc_table"],
+                                   dedup_within="1 hour")
         q.awaitTermination(_STREAM_TIMEOUT_S)
         if q.exception() is not None:
             raise q.exception()
