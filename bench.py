@@ -60,8 +60,8 @@ def main() -> None:
     # layout gives files of a useful size here (daily is the default for real logs).
     _timed(q, "bronze", lambda: jobs.run_bronze(store, records,
                                                 partition_by=["cdc_table", "event_month"]))
-    _timed(q, "silver", lambda: jobs.run_silver(store))
-    _timed(q, "gold", lambda: jobs.run_gold(store))
+    _timed(q, "silver", lambda: jobs.run_silver(store, parallel=3))
+    _timed(q, "gold", lambda: jobs.run_gold(store, parallel=3))
     gold = jobs.read_gold(store)
     for name, df in K.build_kpis(gold).items():
         _timed(q, name, lambda df=df: df.collect())

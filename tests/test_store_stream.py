@@ -19,6 +19,10 @@ def test_snapshot_versions(spark, scratch):
     assert len(st.versions("gold/x")) == 2
     st.compact("gold/x", ["y"])
     assert len(st.versions("gold/x")) == 3 and st.read("gold/x").count() == 3
+    assert st.vacuum("gold/x", keep=2) == []  # all versions are recent
+    removed = st.vacuum("gold/x", keep=2, min_age_s=0)
+    assert len(removed) == 1 and len(st.versions("gold/x")) == 2
+    assert st.read("gold/x").count() == 3
 
 
 def test_epoch_rewrite_is_idempotent(spark, scratch):

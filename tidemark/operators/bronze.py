@@ -62,7 +62,8 @@ def decode_all(records: DataFrame, run_ts: Column | None = None) -> DataFrame:
         F.col("timestamp").cast(T.TimestampType()).alias("kafka_ts"),
         processed.cast(T.TimestampType()).alias("processed_at"),
         _reject_reason().alias("reject_reason"),
-        F.col("_value").alias("raw_value"))
+        # the raw text is kept for rejects only; valid rows carry it in their images
+        F.when(_reject_reason().isNotNull(), F.col("_value")).alias("raw_value"))
 
 
 def decode(records: DataFrame, run_ts: Column | None = None) -> DataFrame:

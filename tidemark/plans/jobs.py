@@ -22,13 +22,27 @@ class LayerErrors(RuntimeError):
     pass
 
 
-def _collect_errors(items, fn) -> dict:
+def _collect_errors(items, fn, parallel: int = 1) -> dict:
+    """Run ``fn`` for every item; with ``parallel > 1`` the independent table jobs are
+    submitted from that many driver threads, so small tables share the executors
+    instead of running one after the other."""
     results, errors = {}, {}
-    for name in items:
-        try:
-            results[name] = fn(name)
-        except Exception as e:  # noqa: BLE001 - reported below
-            errors[name] = e
+    items = list(items)
+    if parallel > 1 and len(items) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            futures = {name: pool.submit(fn, name) for name in items}
+        for name, fut in futures.items():
+            try:
+                results[name] = fut.result()
+            except Exception as e:  # noqa: BLE001 - reported below
+                errors[name] = e
+    else:
+        for name in items:
+            try:
+                results[name] = fn(name)
+            except Exception as e:  # noqa: BLE001 - reported below
+                errors[name] = e
     if errors:
         raise LayerErrors("; ".join(f"{k}: {v}" for k, v in errors.items()))
     return results
@@ -46,7 +60,7 @@ def read_bronze(store: Store, dedup: bool = False) -> DataFrame:
 
 
 def run_silver(store: Store, tables: list[str] | None = None, run_ts: Column | None = None,
-               delete_image: str = "before") -> dict:
+               delete_image: str = "before", parallel: int = 1) -> dict:
     """Full rebuild of silver from the bronze log (C9); partition pruning on
     ``cdc_table`` makes each table read only its own events."""
     bronze = read_bronze(store)
@@ -55,7 +69,7 @@ def run_silver(store: Store, tables: list[str] | None = None, run_ts: Column | N
         s = state(bronze.filter(F.col("cdc_table") == t), t, run_ts, delete_image)
         return store.write_snapshot(s, f"silver/{t}")
 
-    return _collect_errors(tables or TABLES, one)
+    return _collect_errors(tables or TABLES, one, parallel)
 
 
 def run_silver_incremental(store: Store, tables: list[str] | None = None) -> dict:
@@ -104,8 +118,10 @@ class _SilverView(dict):
         return df
 
 
-def run_gold(store: Store, products: list[str] | None = None) -> dict:
+def run_gold(store: Store, products: list[str] | None = None, parallel: int = 1) -> dict:
     silver = _SilverView(store)
+    for t in TABLES:  # resolve versions once, before any thread starts
+        silver[t]
     bronze = read_bronze(store, dedup=True)
 
     def one(name):
@@ -113,7 +129,7 @@ def run_gold(store: Store, products: list[str] | None = None) -> dict:
         part = G.GOLD_PARTITIONS.get(name)
         return store.write_snapshot(df, f"gold/{name}", [part] if part else None)
 
-    return _collect_errors(products or list(GOLD_BUILDERS), one)
+    return _collect_errors(products or list(GOLD_BUILDERS), one, parallel)
 
 
 def read_gold(store: Store) -> dict[str, DataFrame]:

@@ -88,6 +88,25 @@ class Store:
             rows = obs.get.get("rows")
         return out, rows
 
+    def vacuum(self, name: str, keep: int = 2, min_age_s: float = 3600.0) -> list[str]:
+        """Delete committed versions older than the newest ``keep`` and abandoned
+        (uncommitted) ones, but only versions written more than ``min_age_s`` ago, so a
+        reader that resolved a version shortly before is not cut off."""
+        base = self.path(name)
+        now_ms = time.time() * 1000
+        committed = self.versions(name)
+        doomed = []
+        for v in sorted(c for c in self._children(base) if c.startswith("v=")):
+            written_ms = int(v[2:].split("-", 1)[0])
+            if now_ms - written_ms < min_age_s * 1000:
+                continue
+            if v not in committed or v in committed[:-keep]:
+                doomed.append(v)
+        for v in doomed:
+            p, fs = self._fs(f"{base}/{v}")
+            fs.delete(p, True)
+        return doomed
+
     def compact(self, name: str, partition_by: list[str] | None = None,
                 files_per_partition: int = 1) -> str:
         """Rewrite the current version as a new one with few files per partition
