@@ -79,6 +79,16 @@ def change_rows(bronze: DataFrame, table: str, run_ts: Column | None = None) ->
         now.cast(T.TimestampType()).alias("_silver_updated_at")))
 
 
+def triage(decoded: DataFrame, table: str) -> DataFrame:
+    """One pass over ``decode_all`` output: the envelope reject reason, else the
+    image verdict for ``table`` (valid rows get ``reject_reason`` NULL)."""
+    parsed = _parsed(decoded, table)
+    image_bad = F.col("reject_reason").isNull() & ~_image_valid(table)
+    return parsed.withColumn(
+        "reject_reason",
+        F.when(image_bad, F.lit(REJECT_IMAGE)).otherwise(F.col("reject_reason")))
+
+
 def image_rejects(bronze: DataFrame, table: str) -> DataFrame:
     """Events of ``table`` whose image cannot become a row (quarantine, D3)."""
     return (_parsed(bronze, table).filter(~_image_valid(table))

@@ -58,7 +58,7 @@ def register(name: str, oracle: str | None = None):
 # --------------------------------------------------------------------------- bronze
 
 _ORDER_STATE_COLS = ("order_id, customer_id, order_date, status, channel, "
-                     "total_amount")
+                     "CAST(total_amount AS DOUBLE) AS total_amount")
 
 
 @register("bronze_orders_decoded", f"""
@@ -145,9 +145,11 @@ def _cdc_replay_dedup(p: Pipeline) -> DataFrame:
     # The whole orders log delivered twice, as after a restart that replays everything.
     twice = p.records_of("orders").unionByName(p.records_of("orders"))
     b = B.decode(twice)
-    delivered = b.groupBy("cdc_op").agg(F.count(F.lit(1)).alias("n_delivered"))
-    unique = B.dedup_replays(b).groupBy("cdc_op").agg(F.count(F.lit(1)).alias("n_events"))
-    return unique.join(delivered, "cdc_op")
+    # dedup as an aggregate on the coordinates: one pass gives both counts
+    per_record = b.groupBy(*B.COORDINATES, "cdc_op").agg(F.count(F.lit(1)).alias("_copies"))
+    return per_record.groupBy("cdc_op").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum("_copies").cast(T.LongType()).alias("n_delivered"))
 
 
 # --------------------------------------------------------------------------- silver
@@ -303,22 +305,28 @@ def _gold_customers(p: Pipeline) -> DataFrame:
     return p.gold["customers"]
 
 
-@register("gold_orders", "SELECT * FROM gold_orders")
+@register("gold_orders",
+          "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM gold_orders")
 def _gold_orders(p: Pipeline) -> DataFrame:
     return p.gold["orders"]
 
 
-@register("gold_sales_facts", "SELECT * FROM gold_sales_facts")
+@register("gold_sales_facts", """
+    SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
+                      CAST(line_revenue AS DOUBLE) AS line_revenue)
+    FROM gold_sales_facts""")
 def _gold_sales_facts(p: Pipeline) -> DataFrame:
     return p.gold["sales_facts"]
 
 
-@register("gold_payments_summary", "SELECT * FROM gold_payments_summary")
+@register("gold_payments_summary", """
+    SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM gold_payments_summary""")
 def _gold_payments_summary(p: Pipeline) -> DataFrame:
     return p.gold["payments_summary"]
 
 
-@register("gold_returns_summary", "SELECT * FROM gold_returns_summary")
+@register("gold_returns_summary", """
+    SELECT * REPLACE (CAST(total_refund AS DOUBLE) AS total_refund) FROM gold_returns_summary""")
 def _gold_returns_summary(p: Pipeline) -> DataFrame:
     return p.gold["returns_summary"]
 
@@ -410,14 +418,10 @@ def _cdc_malformed_filtered(p: Pipeline) -> DataFrame:
     at bronze, image faults at silver; only valid changes reach the state (P3, D3,
     D4, D8)."""
     records = p.records_of("orders").unionByName(malformed_records(p.tables.orders))
-    envelope_faults = (B.quarantine(records).groupBy("reject_reason")
-                       .agg(F.count(F.lit(1)).alias("n_records")))
-    bronze = B.decode(records)
-    image_faults = (S.image_rejects(bronze, "orders").groupBy("reject_reason")
-                    .agg(F.count(F.lit(1)).alias("n_records")))
-    valid = S.change_rows(bronze, "orders").agg(
-        F.lit("valid").alias("reject_reason"), F.count(F.lit(1)).alias("n_records"))
-    return envelope_faults.unionByName(image_faults).unionByName(valid)
+    verdict = S.triage(B.decode_all(records), "orders")
+    return (verdict.groupBy(F.coalesce(F.col("reject_reason"), F.lit("valid"))
+                            .alias("reject_reason"))
+            .agg(F.count(F.lit(1)).alias("n_records")))
 
 
 # --------------------------------------------------------------------------- feeds
