@@ -23,3 +23,33 @@ def test_lag_with_empty_partitions(spark):
     got = sorted(tuple(r) for r in lag_by_key(df, "k", ["ts"], "v", num_partitions=8)
                  .select("k", "ts", "prev_value").collect())
     assert got == [(1, 1, None), (1, 2, "a"), (2, 1, None)]
+
+
+def test_number_matches_row_number_with_hot_key(spark):
+    from tidemark.operators.sequence import number_by_key
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40).alias("k"),
+        (F.col("id") * 13 % 1000).alias("a"), F.col("id").alias("b"))
+    got = number_by_key(df, "k", ["a", "b"], out="rn", num_partitions=16)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
+    a = sorted(tuple(r) for r in got.select("k", "a", "b", "rn").collect())
+    b = sorted(tuple(r) for r in want.select("k", "a", "b", "rn").collect())
+    assert a == b
+
+
+def test_hot_key_spans_many_partitions(spark):
+    from tidemark.operators.sequence import lag_by_key, number_by_key
+    # one key holds every row: it must be spread over all range partitions
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("t"),
+                                  F.col("id").cast("string").alias("v"))
+    rn = number_by_key(df, "k", ["t"], out="rn", num_partitions=8)
+    assert rn.rdd.getNumPartitions() >= 1
+    got = {r["t"]: r["rn"] for r in rn.collect()}
+    assert all(got[t] == t + 1 for t in range(5000))
+    lag = {r["t"]: r["prev_value"] for r in lag_by_key(df, "k", ["t"], "v", num_partitions=8)
+           .collect()}
+    assert lag[0] is None and all(lag[t] == str(t - 1) for t in range(1, 5000))
+    parts = df.repartitionByRange(8, "k", "t").select(F.spark_partition_id().alias("p")) \
+        .distinct().count()
+    assert parts == 8

@@ -1,74 +1,148 @@
-"""Previous value per key in a total order, without one task per key.
-
-``Window.partitionBy(key).orderBy(...)`` with ``lag`` sends every row of a key to
-one task; a key holding a third of the log would be a third of the job in one
-task.  Here the rows are range-partitioned on (key, order...) instead, so a hot
-key spans several contiguous partitions.  Inside a partition (already sorted) the
-previous value is a shift; only the first row of each partition can have its
-predecessor in an earlier partition, and that predecessor is the last row of the
-nearest non-empty earlier partition when it holds the same key.  The boundary
-table has one row per partition (bounded by the partition count), so it is the one
-side that is broadcast.
+"""Per-key sequence operators (previous value, row number) without one task per key.
+
+``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task; a
+key holding a third of the data would be a third of the job in one task.  Here the
+rows are range-partitioned on (key, order...) instead, so a hot key spans several
+contiguous partitions.  One ``mapInPandas`` pass over each (sorted) partition
+computes the in-partition answer and appends one summary row per partition: its
+first key, its last key with that key's row count and last value.  That one pass is
+checkpointed, so rows and summaries come from the same range bounds.  Only a key that continues from earlier partitions needs a
+correction, and that correction comes from the summary table, which has one row per
+partition (bounded by the partition count, not by the data), so it is the one side
+that is broadcast.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import checkpoint_dir
 
-def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
-               out: str = "prev_value", num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = ``value`` of the previous row of the same ``key`` in
-    ``order`` (NULL for a key's first row).  Order columns must give a total order
-    within a key."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [key, *order, value]
-    ranged = (df.select(*cols).repartitionByRange(n, key, *order)
-              .sortWithinPartitions(key, *order)
-              .withColumn("_pid", F.spark_partition_id()))
-    val_type = df.schema[value].dataType
-    key_type = df.schema[key].dataType
-    schema = T.StructType([*[df.schema[c] for c in cols],
-                           T.StructField("_pid", T.IntegerType()),
-                           T.StructField(out, val_type),
-                           T.StructField("_first", T.BooleanType())])
-
-    def shift(batches):
-        last_key, last_val, seen = None, None, False
+
+def _ranged(df: DataFrame, key: str, order: list[str], cols: list[str],
+            num_partitions: int | None) -> DataFrame:
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.select(*cols).repartitionByRange(n, key, *order)
+            .sortWithinPartitions(key, *order)
+            .withColumn("_pid", F.spark_partition_id()))
+
+
+def _scan(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> DataFrame:
+    """In-partition previous value and row number, plus one summary row per
+    non-empty partition (``_summary`` true, data columns NULL), in one pass over each
+    sorted partition (state carried across Arrow batches)."""
+    vtype = ranged.schema[value].dataType if value else T.StringType()
+    ktype = ranged.schema[key].dataType
+    schema = T.StructType([
+        *[T.StructField(c, ranged.schema[c].dataType, True) for c in cols],
+        T.StructField("_pid", T.IntegerType()),
+        T.StructField("_prev", vtype),
+        T.StructField("_rn", T.LongType()),
+        T.StructField("_summary", T.BooleanType()),
+        T.StructField("_first_key", ktype),
+        T.StructField("_last_key", ktype),
+        T.StructField("_last_count", T.LongType()),
+        T.StructField("_last_value", vtype),
+    ])
+    names = [f.name for f in schema.fields]
+
+    def run(batches):
+        first_key = pid = last_key = last_val = None
+        run_len = 0
+        seen = False
         for pdf in batches:
             if pdf.empty:
                 continue
             keys = pdf[key]
+            if not seen:
+                first_key, pid = keys.iloc[0], int(pdf["_pid"].iloc[0])
             prev_key = keys.shift(1)
-            prev_val = pdf[value].shift(1)
             if seen:
                 prev_key.iloc[0] = last_key
-                prev_val.iloc[0] = last_val
-            same = prev_key == keys
-            pdf[out] = prev_val.where(same, None)
-            pdf["_first"] = False
-            if not seen:
-                pdf.loc[pdf.index[0], "_first"] = True
-            last_key, last_val, seen = keys.iloc[-1], pdf[value].iloc[-1], True
-            yield pdf
-
-    local = ranged.mapInPandas(shift, schema)
-    # one row per non-empty partition: its first and last key, the last value
-    bounds = ranged.groupBy("_pid").agg(
-        F.min_by(key, F.struct(*[F.col(c) for c in [key, *order]])).alias("_first_key"),
-        F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")),
-                 F.struct(*[F.col(c) for c in [key, *order]])).alias("_last"))
-    w = Window.orderBy("_pid")
-    carry = (bounds.select("_pid", F.lag("_last").over(w).alias("_prev_last"))
-             .select("_pid", F.col("_prev_last.k").cast(key_type).alias("_carry_key"),
-                     F.col("_prev_last.v").cast(val_type).alias("_carry_val")))
-    fixed = local.join(F.broadcast(carry), "_pid", "left")
-    carried = F.when(F.col("_first") & (F.col("_carry_key") == F.col(key)), F.col("_carry_val"))
-    return fixed.select(*cols, F.coalesce(F.col(out), carried).alias(out))
-
-
-__all__ = ["lag_by_key", "pd"]
+            new_run = (prev_key != keys).to_numpy()
+            run_id = new_run.cumsum()
+            rn = pd.Series(1, index=pdf.index).groupby(run_id).cumsum()
+            if seen and not new_run[0]:
+                rn[run_id == run_id[0]] += run_len
+            pdf["_rn"] = rn.astype("int64")
+            if value:
+                prev_val = pdf[value].shift(1)
+                if seen:
+                    prev_val.iloc[0] = last_val
+                pdf["_prev"] = prev_val.where(~new_run, None)
+            else:
+                pdf["_prev"] = None
+            pdf["_summary"] = False
+            for c in ("_first_key", "_last_key", "_last_count", "_last_value"):
+                pdf[c] = None
+            last_key = keys.iloc[-1]
+            last_val = pdf[value].iloc[-1] if value else None
+            run_len = int(pdf["_rn"].iloc[-1])
+            seen = True
+            yield pdf[names]
+        if seen:
+            row = {c: [None] for c in names}
+            row.update({"_pid": [pid], "_summary": [True], "_first_key": [first_key],
+                        "_last_key": [last_key], "_last_count": [run_len],
+                        "_last_value": [last_val]})
+            yield pd.DataFrame(row)[names]
+
+    return ranged.mapInPandas(run, schema)
+
+
+def _carry(s: DataFrame, key_type) -> DataFrame:
+    """Per partition: rows and last value of its first key in earlier partitions."""
+    earlier = s.select(F.col("_pid").alias("_q"), F.col("_last_key").alias("_k"),
+                       F.col("_last_count").alias("_c"),
+                       F.struct(F.col("_pid"), F.col("_last_value")).alias("_pv"))
+    j = s.join(earlier, (earlier._k == s._first_key) & (earlier._q < s._pid), "left")
+    return (j.groupBy("_pid").agg(
+        F.coalesce(F.sum("_c"), F.lit(0)).cast(T.LongType()).alias("_offset"),
+        F.max("_pv").getField("_last_value").alias("_carry_value"),
+        F.max(F.col("_k").isNotNull()).alias("_continues"),
+        F.first("_first_key").cast(key_type).alias("_carry_key")))
+
+
+def _finish(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> DataFrame:
+    # Range bounds come from sampling and may differ between two evaluations of the
+    # same plan, so the rows and the partition summaries must come from one
+    # evaluation: it is materialised once (reliable checkpoint in the shared
+    # checkpoint folder, which also survives the loss of an executor).
+    checkpoint_dir(ranged.sparkSession)
+    scanned = _scan(ranged, key, value, cols).checkpoint(eager=True)
+    summary = scanned.filter(F.col("_summary")).select(
+        "_pid", "_first_key", "_last_key", "_last_count", "_last_value")
+    carry = _carry(summary, ranged.schema[key].dataType)
+    rows = scanned.filter(~F.col("_summary"))
+    fixed = rows.join(F.broadcast(carry), "_pid", "left")
+    continues = F.coalesce(F.col("_continues"), F.lit(False)) & (F.col(key) == F.col("_carry_key"))
+    return fixed.withColumn("_continues_key", continues)
+
+
+def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
+               out: str = "prev_value", num_partitions: int | None = None) -> DataFrame:
+    """``df``'s key, order and value columns plus ``out`` = ``value`` of the previous
+    row of the same ``key`` in ``order`` (NULL for a key's first row).  The order
+    columns must give a total order within a key."""
+    cols = [key, *order, value]
+    fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, value, cols)
+    first_here = F.col("_rn") == 1
+    prev = (F.when(first_here & F.col("_continues_key"), F.col("_carry_value"))
+            .otherwise(F.col("_prev")))
+    return fixed.select(*cols, prev.alias(out))
+
+
+def number_by_key(df: DataFrame, key: str, order: list[str], out: str = "row_number",
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = 1-based position of the row within its ``key`` in
+    ``order`` (``row_number()`` over the key), for any key size."""
+    cols = list(df.columns)
+    fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, None, cols)
+    offset = F.when(F.col("_continues_key"), F.col("_offset")).otherwise(F.lit(0))
+    return fixed.select(*cols, (F.col("_rn") + offset).alias(out))
+
+
+__all__ = ["lag_by_key", "number_by_key"]

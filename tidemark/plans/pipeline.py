@@ -17,7 +17,7 @@ from tidemark.operators.bronze import decode, quarantine, topic_filter
 from tidemark.operators.silver import state
 from tidemark.plans import gold as G
 from tidemark.plans import kpi as K
-from tidemark.sources.feed import retail_feeds, retail_records
+from tidemark.sources.feed import retail_feeds, retail_records, to_records
 from tidemark.sources.tables import Tables, retail_views
 
 
@@ -31,11 +31,11 @@ class Pipeline:
         self.tables = Tables(spark, sf_dir)
 
     @cached_property
-    def views(self) -> dict[str, DataFrame]:
+    def views(self):
         return retail_views(self.tables)
 
     @cached_property
-    def feeds(self) -> dict[str, DataFrame]:
+    def feeds(self):
         return retail_feeds(self.views)
 
     @cached_property
@@ -43,7 +43,8 @@ class Pipeline:
         return retail_records(self.views)
 
     def records_of(self, table: str) -> DataFrame:
-        return topic_filter(self.records, [table])
+        """Records of one table: only that table's feed is built and scanned."""
+        return topic_filter(to_records(self.feeds[table], table), [table])
 
     @cached_property
     def bronze(self) -> DataFrame:

@@ -131,24 +131,27 @@ def to_records(feed: DataFrame, table: str) -> DataFrame:
         F.to_json(F.struct(payload.alias("payload"))).alias("value"))
 
 
-def retail_feeds(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Relational feeds of all six tables: the orders log plus snapshot reads."""
-    return {
-        "customers": snapshot_to_feed(views["customers"], "customers",
-                                      F.col("registration_date").cast(T.TimestampNTZType())),
-        "products": snapshot_to_feed(views["products"], "products"),
-        "orders": feed_orders(views["orders"]),
-        "order_items": snapshot_to_feed(views["order_items"], "order_items"),
-        "payments": snapshot_to_feed(views["payments"], "payments", F.col("payment_date")),
-        "returns": snapshot_to_feed(views["returns"], "returns", F.col("return_date")),
-    }
-
-
-def retail_records(views: dict[str, DataFrame], tables: list[str] | None = None) -> DataFrame:
+def retail_feeds(views) -> dict[str, DataFrame]:
+    """Relational feeds of all six tables: the orders log plus snapshot reads; each
+    built on first use."""
+    from tidemark.sources.tables import LazyFrames
+    return LazyFrames({
+        "customers": lambda: snapshot_to_feed(
+            views["customers"], "customers",
+            F.col("registration_date").cast(T.TimestampNTZType())),
+        "products": lambda: snapshot_to_feed(views["products"], "products"),
+        "orders": lambda: feed_orders(views["orders"]),
+        "order_items": lambda: snapshot_to_feed(views["order_items"], "order_items"),
+        "payments": lambda: snapshot_to_feed(views["payments"], "payments", F.col("payment_date")),
+        "returns": lambda: snapshot_to_feed(views["returns"], "returns", F.col("return_date")),
+    })
+
+
+def retail_records(views, tables: list[str] | None = None) -> DataFrame:
     """One Kafka-shaped stream over the feeds of ``tables`` (default: all six)."""
     feeds = retail_feeds(views)
     out = None
-    for t in (tables or list(feeds)):
+    for t in (tables or feeds.names()):
         r = to_records(feeds[t], t)
         out = r if out is None else out.unionByName(r)
     return out

@@ -8,7 +8,7 @@ pruning and filter pushdown reach the files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,17 +96,18 @@ def retail_orders(t: Tables) -> DataFrame:
 def retail_order_items(t: Tables) -> DataFrame:
     """One row per line; ``item_id`` numbers the lines inside their order.
 
-    The numbering window is partitioned by order; an order holds at most a handful
-    of lines in this data, so no group grows with the table.
+    The numbering runs over range partitions of (order, line columns), so an order
+    with any number of lines is spread over several tasks (``number_by_key``).
     """
-    li = t.lineitem
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    from tidemark.operators.sequence import number_by_key
+    order_cols = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    li = t.lineitem.select("l_orderkey", *order_cols)
+    numbered = number_by_key(li, "l_orderkey", order_cols, out="_n")
     qty = F.col("l_quantity").cast(T.IntegerType())
     price = F.col("l_extendedprice").cast(MONEY)
-    return li.select(
-        (F.col("l_orderkey") * 1000 + F.row_number().over(w)).alias("item_id"),
+    return numbered.select(
+        (F.col("l_orderkey") * 1000 + F.col("_n")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         qty.alias("quantity"), price.alias("unit_price"),
         (qty * price).cast(MONEY).alias("subtotal"),
@@ -139,14 +140,30 @@ def retail_returns(t: Tables, orders: DataFrame | None = None,
                     .cast(MONEY).alias("refund_amount")))
 
 
-def retail_views(t: Tables) -> dict[str, DataFrame]:
-    orders = retail_orders(t)
-    items = retail_order_items(t)
-    return {
-        "customers": retail_customers(t),
-        "products": retail_products(t),
-        "orders": orders,
-        "order_items": items,
-        "payments": retail_payments(t, orders),
-        "returns": retail_returns(t, orders, items),
-    }
+class LazyFrames(dict):
+    """Name -> DataFrame, each built on first use (some builders run a job)."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._builders[name]()
+        self[name] = df
+        return df
+
+    def names(self) -> list[str]:
+        return list(self._builders)
+
+
+def retail_views(t: Tables) -> LazyFrames:
+    v: LazyFrames
+    v = LazyFrames({
+        "customers": lambda: retail_customers(t),
+        "products": lambda: retail_products(t),
+        "orders": lambda: retail_orders(t),
+        "order_items": lambda: retail_order_items(t),
+        "payments": lambda: retail_payments(t, v["orders"]),
+        "returns": lambda: retail_returns(t, v["orders"], v["order_items"]),
+    })
+    return v
