@@ -78,3 +78,36 @@ def bronze_rows(bronze: DataFrame) -> DataFrame:
 
 def silver_rows(silver: DataFrame) -> DataFrame:
     return silver.withColumn("event_month", F.trunc("_cdc_ts", "month"))
+
+
+def merge_sql(target: str, source_view: str, keys: list[str], columns: list[str],
+              guarded: bool = False, order: list[str] | None = None) -> str:
+    """``MERGE INTO`` text with column lists built from the schema.
+
+    Matched keys update every non-key column, unmatched source rows are inserted.
+    ``guarded`` adds the ordering condition of D16 to the matched branch: a source
+    row older than the target row (by ``order``) leaves it alone.
+    """
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in keys)
+    cols = ", ".join(columns)
+    vals = ", ".join(f"s.{c}" for c in columns)
+    cond = ""
+    if guarded:
+        o = order or ["_cdc_ts", "_cdc_lsn", "_cdc_offset"]
+        cond = (f" AND named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, s.{c}' for c in o)})"
+                f" >= named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, t.{c}' for c in o)})")
+    return (f"MERGE INTO {target} AS t USING {source_view} AS s ON {on} "
+            f"WHEN MATCHED{cond} THEN UPDATE SET {sets} "
+            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+
+
+def merge_into_table(updates: DataFrame, target: str, keys: list[str],
+                     guarded: bool = True, view: str = "_tidemark_updates") -> None:
+    """Run the keyed MERGE in the catalog (tables of a MERGE-capable V2 catalog).
+    Stores without MERGE (plain Parquet) use ``operators.silver.merge_upsert`` with
+    a versioned write instead; for them Spark rejects the statement."""
+    spark = updates.sparkSession
+    cols = spark.table(target).columns
+    updates.select(*cols).createOrReplaceTempView(view)
+    spark.sql(merge_sql(target, view, keys, cols, guarded))

@@ -126,12 +126,18 @@ class Store:
 
     # -- epoch appends
     def write_epoch(self, df: DataFrame, name: str, epoch_id: int,
-                    partition_by: list[str] | None = None) -> None:
-        """Idempotent append: the epoch's directory is replaced as a whole."""
+                    partition_by: list[str] | None = None) -> int:
+        """Idempotent append: the epoch's directory is replaced as a whole.
+        Returns the rows written, observed during the write (A11)."""
+        from pyspark.sql import Observation
+        from pyspark.sql import functions as F
+        obs = Observation(f"rows_{uuid.uuid4().hex}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         w = df.write.mode("overwrite").option("compression", "snappy")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path(name)}/epoch={epoch_id:012d}")
+        return int(obs.get.get("rows", 0))
 
     def read_log(self, name: str, schema=None) -> DataFrame:
         """All committed epochs of an append-only log, with partition columns.
