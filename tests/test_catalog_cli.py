@@ -65,3 +65,34 @@ def test_merge_sql_text_and_parquet_rejection(spark, scratch):
     with pytest.raises(Exception):
         C.merge_into_table(upd, "tm_merge", ["order_id"], guarded=False)
     spark.sql("DROP TABLE tm_merge")
+
+
+def test_bucketed_merge_shuffles_only_the_updates(spark, scratch):
+    from tidemark.operators import bronze as B
+    from tidemark.operators import silver as S
+
+    p = Pipeline(spark, SF_SMALL)
+    recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(2)))
+    keys = ["order_id"]
+    batches = [S.latest_per_key(S.change_rows(B.decode(recs.filter(F.col("_b") == b)
+                                                       .drop("_b")), "orders"), keys)
+               for b in (1, 0)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        C.merge_bucketed(batches[0], "tm_state", "orders", 8, f"{scratch}/state")
+        target = spark.table(C.current_bucketed(spark, "tm_state", "orders"))
+        plan = S.merge_upsert(target, batches[1], keys, guarded=True) \
+            ._jdf.queryExecution().executedPlan().toString()
+        # the target side is read bucketed, without an exchange above its scan
+        assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+        scans = plan.split("FileScan parquet")
+        target_scan = [x for x in scans[1:] if "orders__v" in x.split("\n")[0]]
+        assert target_scan
+        C.merge_bucketed(batches[1], "tm_state", "orders", 8, f"{scratch}/state")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cols = ["order_id", "status", "_is_deleted"]
+    got = sorted(tuple(r) for r in spark.table(C.current_bucketed(spark, "tm_state", "orders"))
+                 .select(*cols).collect())
+    want = sorted(tuple(r) for r in p.silver["orders"].select(*cols).collect())
+    assert got == want
