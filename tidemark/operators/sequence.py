@@ -24,10 +24,14 @@ from tidemark.session import checkpoint_dir
 
 def _ranged(df: DataFrame, key: str, order: list[str], cols: list[str],
             num_partitions: int | None) -> DataFrame:
+    """Range shuffle and sort on (key, order); afterwards only ``cols`` (plus the
+    partition id) are kept, so order columns that are not needed downstream never
+    cross into Python."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.select(*cols).repartitionByRange(n, key, *order)
+    needed = list(dict.fromkeys([*cols, *order]))
+    return (df.select(*needed).repartitionByRange(n, key, *order)
             .sortWithinPartitions(key, *order)
-            .withColumn("_pid", F.spark_partition_id()))
+            .select(*cols, F.spark_partition_id().alias("_pid")))
 
 
 def _scan(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> DataFrame:
@@ -136,10 +140,12 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
 
 
 def number_by_key(df: DataFrame, key: str, order: list[str], out: str = "row_number",
-                  num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = 1-based position of the row within its ``key`` in
-    ``order`` (``row_number()`` over the key), for any key size."""
-    cols = list(df.columns)
+                  num_partitions: int | None = None,
+                  keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (default: all of ``df``) plus ``out`` = 1-based position of
+    the row within its ``key`` in ``order`` (``row_number()`` over the key), for any
+    key size."""
+    cols = list(dict.fromkeys([key, *(keep if keep is not None else df.columns)]))
     fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, None, cols)
     offset = F.when(F.col("_continues_key"), F.col("_offset")).otherwise(F.lit(0))
     return fixed.select(*cols, (F.col("_rn") + offset).alias(out))

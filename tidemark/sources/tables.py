@@ -103,7 +103,9 @@ def retail_order_items(t: Tables) -> DataFrame:
     order_cols = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
     li = t.lineitem.select("l_orderkey", *order_cols)
-    numbered = number_by_key(li, "l_orderkey", order_cols, out="_n")
+    numbered = number_by_key(li, "l_orderkey", order_cols, out="_n",
+                             keep=["l_partkey", "l_quantity", "l_extendedprice",
+                                   "l_returnflag"])
     qty = F.col("l_quantity").cast(T.IntegerType())
     price = F.col("l_extendedprice").cast(MONEY)
     return numbered.select(
