@@ -111,4 +111,4 @@ def clustered_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
     write: each task covers a contiguous run of partition values, so files are few
     and large, and a partition value with a third of the rows spans several tasks
     instead of one (the offset splits it)."""
-    return df.repartitionByRange(*partition_by, "kafka_topic", "kafka_partition", "kafka_offset")
+    return df.repartitionByRange(*partition_by, *COORDINATES)
