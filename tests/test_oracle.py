@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB statement (the driver's check)."""
 
-import datetime
 import decimal
 import importlib.util
 import math

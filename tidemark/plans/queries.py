@@ -9,6 +9,7 @@ UTC), and wall-clock columns (``processed_at``, ``_silver_updated_at``,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import op_code, topic_table
-from tidemark.model import PRIMARY_KEYS, TABLES
+from tidemark.model import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, TABLES
 from tidemark.operators import bronze as B
+from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
 from tidemark.plans import gold as G
-from tidemark.plans import kpi as K
 from tidemark.plans.oracle_sql import VERB, with_base
 from tidemark.plans.pipeline import Pipeline
-from tidemark.sources.feed import to_records
+from tidemark.session import checkpoint_dir
+from tidemark.sources.feed import malformed_records, snapshot_diff, to_records
+from tidemark.sources.store import Store
+from tidemark.streaming import bronze_stream as BS
+from tidemark.streaming import silver_stream as SS
 
 WALL_CLOCK = {"processed_at", "_silver_updated_at", "_deleted_at"}
 
@@ -398,10 +403,6 @@ for _k in _KPI_ORACLE:
 
 # --------------------------------------------------------------------------- quarantine
 
-from tidemark.model import FOREIGN_KEYS, REQUIRED_COLUMNS  # noqa: E402
-from tidemark.operators import quality as Q  # noqa: E402
-from tidemark.sources.feed import (malformed_records, snapshot_diff,  # noqa: E402
-                                   snapshot_to_feed)
 
 
 @register("cdc_malformed_filtered", """
@@ -673,12 +674,6 @@ def _refund_expected(p: Pipeline) -> DataFrame:
 
 # --------------------------------------------------------------------------- streaming
 
-import uuid  # noqa: E402
-
-from tidemark.session import checkpoint_dir  # noqa: E402
-from tidemark.sources.store import Store  # noqa: E402
-from tidemark.streaming import bronze_stream as BS  # noqa: E402
-from tidemark.streaming import silver_stream as SS  # noqa: E402
 
 _STREAM_TIMEOUT_S = 1800
 
