@@ -64,8 +64,8 @@ def main() -> None:
     records = spark.read.parquet(landing)
     # The test tables spread a few events per table over ~2,400 days; a monthly
     # layout gives files of a useful size here (daily is the default for real logs).
-    _timed(q, "bronze", lambda: jobs.run_bronze(store, records,
-                                                partition_by=["cdc_table", "event_month"]))
+    n_events, _ = _timed(q, "bronze", lambda: jobs.run_bronze(
+        store, records, partition_by=["cdc_table", "event_month"]))
     _timed(q, "silver", lambda: jobs.run_silver(store, parallel=3))
     _timed(q, "gold", lambda: jobs.run_gold(store, parallel=3))
     gold = jobs.read_gold(store)
@@ -83,7 +83,8 @@ def main() -> None:
     sf = re.search(r"sf([0-9.]+)", SF_DIR)
     print(json.dumps({"metric": "medallion_total", "value": round(sum(q.values()), 3),
                       "unit": "sec", "queries": q, "sf": float(sf.group(1)) if sf else None,
-                      "cpus": CPUS}))
+                      "cpus": CPUS, "bronze_events": n_events,
+                      "bronze_events_per_sec": round(n_events / q["bronze"], 1)}))
 
 
 if __name__ == "__main__":

@@ -73,6 +73,9 @@ def test_merge_on_read_silver(spark, scratch):
     assert got == want
     SS.compact_silver(st, "orders")
     assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
+    assert SS.vacuum_deltas(st, "orders") == []  # too recent
+    assert SS.vacuum_deltas(st, "orders", min_age_s=0) == [0, 1, 2]
+    assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
 
 
 def test_incremental_silver_job_and_error_isolation(spark, scratch):

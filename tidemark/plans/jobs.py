@@ -49,9 +49,11 @@ def _collect_errors(items, fn, parallel: int = 1) -> dict:
 
 
 def run_bronze(store: Store, records: DataFrame, epoch_id: int = 0,
-               run_ts: Column | None = None, partition_by: list[str] | None = None) -> None:
-    """Batch ingest of records as one bronze epoch (valid events + quarantine)."""
-    write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
+               run_ts: Column | None = None,
+               partition_by: list[str] | None = None) -> tuple[int, int]:
+    """Batch ingest of records as one bronze epoch (valid events + quarantine);
+    returns (events written, records quarantined)."""
+    return write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
 
 
 def read_bronze(store: Store, dedup: bool = False) -> DataFrame:

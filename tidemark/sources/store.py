@@ -124,6 +124,22 @@ class Store:
         return sorted(int(c.split("=", 1)[1]) for c in self._children(self.path(name))
                       if c.startswith("epoch="))
 
+    def delete_epochs(self, name: str, upto: int, min_age_s: float = 3600.0) -> list[int]:
+        """Delete epochs ``<= upto`` of a log whose directories are older than
+        ``min_age_s`` (e.g. deltas already folded into a base version)."""
+        base = self.path(name)
+        now_ms = time.time() * 1000
+        gone = []
+        for e in self.epochs(name):
+            if e > upto:
+                continue
+            p, fs = self._fs(f"{base}/epoch={e:012d}")
+            if now_ms - fs.getFileStatus(p).getModificationTime() < min_age_s * 1000:
+                continue
+            fs.delete(p, True)
+            gone.append(e)
+        return gone
+
     # -- epoch appends
     def write_epoch(self, df: DataFrame, name: str, epoch_id: int,
                     partition_by: list[str] | None = None) -> int:

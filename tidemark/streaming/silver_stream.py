@@ -129,6 +129,12 @@ def compact_silver(store: Store, table: str) -> str:
     return path
 
 
+def vacuum_deltas(store: Store, table: str, min_age_s: float = 3600.0) -> list[int]:
+    """Delete delta epochs already folded into the current base version."""
+    folded = _folded_epoch(store.current(f"silver/{table}"))
+    return store.delete_epochs(delta_name(table), folded, min_age_s) if folded >= 0 else []
+
+
 def start_silver_stream(spark: SparkSession, store: Store, checkpoint: str,
                         tables: list[str] | None = None, trigger: dict | None = None,
                         max_files_per_trigger: int | None = None,
