@@ -48,6 +48,12 @@ def test_cli_layers(spark, scratch):
     out = cli.main(["kpi", "--root", root, "--name", "kpi_cancellation_rate"], spark=spark)
     want = p.kpis["kpi_cancellation_rate"].collect()
     assert out["kpi_cancellation_rate"] == want
+    done = cli.main(["compact", "--root", root, "--partition-by", "cdc_table",
+                     "--vacuum-after", "0"], spark=spark)
+    assert "bronze" in done and "silver/orders" in done
+    cli.main(["gold", "--root", root, "--table", "orders"], spark=spark)
+    out = cli.main(["kpi", "--root", root, "--name", "kpi_cancellation_rate"], spark=spark)
+    assert out["kpi_cancellation_rate"] == want
 
 
 def test_merge_sql_text_and_parquet_rejection(spark, scratch):

@@ -6,6 +6,8 @@
   silver  --root <lake> --table all|<name> [--incremental] [--compact]
   gold    --root <lake> --table all|<name>
   kpi     --root <lake> --name all|<kpi>
+  compact --root <lake> [--partition-by cdc_table,event_day] [--vacuum-after 3600]
+          (bronze log -> new compacted base; silver deltas -> new base versions)
 
 Silver and gold try every requested table and raise once at the end if any failed.
 """
@@ -46,6 +48,11 @@ def _parser() -> argparse.ArgumentParser:
     k = sub.add_parser("kpi")
     k.add_argument("--root", required=True)
     k.add_argument("--name", default="all")
+    c = sub.add_parser("compact")
+    c.add_argument("--root", required=True)
+    c.add_argument("--partition-by", default="cdc_table,event_day")
+    c.add_argument("--vacuum-after", type=float, default=None,
+                   help="also delete folded epochs older than this many seconds")
     return ap
 
 
@@ -97,6 +104,18 @@ def main(argv: list[str] | None = None, spark=None):
         kpis = K.build_kpis(jobs.read_gold(store))
         names = list(kpis) if args.name == "all" else [args.name]
         return {n: kpis[n].collect() for n in names}
+    if args.layer == "compact":
+        from tidemark.operators.bronze import COORDINATES
+        out = {"bronze": store.compact_log("bronze", args.partition_by.split(","),
+                                           list(COORDINATES))}
+        for t in TABLES:
+            if store.epochs(SS.delta_name(t)):
+                out[f"silver/{t}"] = SS.compact_silver(store, t)
+        if args.vacuum_after is not None:
+            store.vacuum_log("bronze", args.vacuum_after)
+            for t in TABLES:
+                SS.vacuum_deltas(store, t, args.vacuum_after)
+        return out
     raise SystemExit(f"unknown layer {args.layer}")
 
 

@@ -155,12 +155,53 @@ class Store:
         w.parquet(f"{self.path(name)}/epoch={epoch_id:012d}")
         return int(obs.get.get("rows", 0))
 
+    def _log_base(self, name: str) -> tuple[str | None, int]:
+        """Current compacted base of a log and the last epoch it holds."""
+        cur = self.current(f"{name}__base")
+        if cur is None:
+            return None, -1
+        return cur, int(cur.rsplit("-e", 1)[1])
+
     def read_log(self, name: str, schema=None) -> DataFrame:
-        """All committed epochs of an append-only log, with partition columns.
+        """An append-only log: its compacted base (if any) plus every committed
+        epoch after it, with the partition columns of the layout.
 
         Pass ``schema`` for logs that may hold no rows yet (an empty epoch writes no
         data file, so there is nothing to infer a schema from)."""
         r = self.spark.read
         if schema is not None:
             r = r.schema(schema)
-        return r.parquet(self.path(name))
+        base, folded = self._log_base(name)
+        if base is None:
+            return r.parquet(self.path(name))
+        newer = [f"{self.path(name)}/epoch={e:012d}" for e in self.epochs(name) if e > folded]
+        df = r.parquet(base)
+        if newer:
+            # the base's schema also reads epochs that wrote no data file
+            from pyspark.sql import types as T
+            tail_schema = T.StructType([*df.schema.fields, T.StructField("epoch", T.LongType())])
+            tail = (self.spark.read.schema(tail_schema).option("basePath", self.path(name))
+                    .parquet(*newer))
+            df = df.unionByName(tail, allowMissingColumns=True)
+        return df
+
+    def compact_log(self, name: str, partition_by: list[str],
+                    cluster_by: list[str] | None = None) -> str:
+        """Rewrite base + epochs into a new base version (few large files per layout
+        value), tagged with the last epoch it holds.  Readers switch to it once it is
+        committed; epochs it covers can then be removed with ``delete_epochs``."""
+        epochs = self.epochs(name)
+        _, folded = self._log_base(name)
+        last = epochs[-1] if epochs else folded
+        df = self.read_log(name)
+        if "epoch" in df.columns:
+            df = df.drop("epoch")
+        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
+        path, _ = self.write_snapshot(df, f"{name}__base", partition_by, observe_rows=False,
+                                      tag=f"e{last:012d}")
+        return path
+
+    def vacuum_log(self, name: str, min_age_s: float = 3600.0) -> list[int]:
+        """Delete epochs already held by the current compacted base."""
+        _, folded = self._log_base(name)
+        return self.delete_epochs(name, folded, min_age_s) if folded >= 0 else []
