@@ -149,3 +149,15 @@ def test_cancellation_rate_of_empty_orders_is_null(spark):
     cust = _customers(spark, [])
     r = K.kpi_cancellation_rate(G.gold_orders(empty, cust)).collect()
     assert len(r) == 1 and r[0][0] is None
+
+
+def test_fk_orphan_counts_match_anti_joins(spark):
+    from tidemark.operators import quality as Q
+    parent = spark.createDataFrame([(1,), (2,)], "id long")
+    a = spark.createDataFrame([(1, 1), (2, 3), (3, None)], "aid long, pid long")
+    b = spark.createDataFrame([(1, 2), (2, 2)], "bid long, pid long")
+    fks = [("a", "pid", "p", "id"), ("b", "pid", "p", "id")]
+    got = {(r["child_table"], r["n_orphans"]) for r in
+           Q.fk_orphan_counts({"a": a, "b": b, "p": parent}, fks).collect()}
+    assert got == {("a", 1), ("b", 0)}
+    assert Q.fk_orphans(a, "pid", parent, "id").count() == 1

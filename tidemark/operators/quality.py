@@ -37,6 +37,33 @@ def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column:
             .join(p, F.col(column) == F.col("_parent_key"), "left_anti"))
 
 
+def fk_orphan_counts(tables: dict[str, DataFrame],
+                     foreign_keys: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Orphan count for every foreign key (Q2), one join per *parent* table: the
+    references of all children pointing at a parent are unioned with a tag, joined
+    once to the parent's keys, and counted per tag (zero counts included)."""
+    out = None
+    parents = list(dict.fromkeys(fk[2] for fk in foreign_keys))
+    for parent in parents:
+        refs = None
+        pcol = None
+        for child, col, par, parent_column in foreign_keys:
+            if par != parent:
+                continue
+            pcol = parent_column
+            r = tables[child].filter(F.col(col).isNotNull()).select(
+                F.lit(child).alias("child_table"), F.lit(col).alias("fk_column"),
+                F.col(col).alias("_ref"))
+            refs = r if refs is None else refs.unionByName(r)
+        keys = tables[parent].select(F.col(pcol).alias("_key"), F.lit(True).alias("_found"))
+        counted = (refs.join(keys, refs._ref == keys._key, "left")
+                   .groupBy("child_table", "fk_column")
+                   .agg(F.count(F.when(F.col("_found").isNull(), 1)).alias("n_orphans"))
+                   .withColumn("parent_table", F.lit(parent)))
+        out = counted if out is None else out.unionByName(counted)
+    return out.select("child_table", "fk_column", "parent_table", "n_orphans")
+
+
 def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """NULLs per required column (Q3): one aggregation pass, then unpivoted."""
     wide = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])

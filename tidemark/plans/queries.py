@@ -542,13 +542,8 @@ def _fk_oracle() -> str:
 @register("dq_fk_orphans", _fk_oracle())
 def _dq_fk_orphans(p: Pipeline) -> DataFrame:
     """Live rows whose reference has no live parent, per foreign key (Q2)."""
-    out = None
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        o = Q.fk_orphans(S.live(p.silver[child]), col, S.live(p.silver[parent]), pcol)
-        r = o.agg(F.lit(child).alias("child_table"), F.lit(col).alias("fk_column"),
-                  F.lit(parent).alias("parent_table"), F.count(F.lit(1)).alias("n_orphans"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    live = {t: S.live(p.silver[t]) for t in TABLES}
+    return Q.fk_orphan_counts(live, FOREIGN_KEYS)
 
 
 def _null_oracle() -> str:
