@@ -27,7 +27,7 @@ sys.path.insert(0, ROOT)
 
 from tidemark.plans import jobs  # noqa: E402
 from tidemark.plans import kpi as K  # noqa: E402
-from tidemark.plans.pipeline import Pipeline  # noqa: E402
+from tidemark.plans.flow import Flow  # noqa: E402
 from tidemark.session import checkpoint_dir, get_session  # noqa: E402
 from tidemark.sources.store import Store  # noqa: E402
 
@@ -50,12 +50,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-bench-{uuid.uuid4().hex[:10]}"
     store = Store(spark, f"{root}/lake")
-    p = Pipeline(spark, SF_DIR)
+    p = Flow(spark, SF_DIR)
     q: dict[str, float] = {}
 
     # Untimed warm-up on the smallest tables: JVM/JIT and Python-worker start-up are
     # one-time costs of a long-running cluster, not of the queries measured here.
-    warm = Pipeline(spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001"))
+    warm = Flow(spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001"))
     warm.records.write.format("noop").mode("overwrite").save()
     warm.kpis["kpi_top_customers"].collect()
 

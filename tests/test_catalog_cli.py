@@ -4,14 +4,14 @@ from pyspark.sql import functions as F
 
 from tidemark import cli
 from tidemark.operators import silver as S
-from tidemark.plans.pipeline import Pipeline
+from tidemark.plans.flow import Flow
 from tidemark.sources import catalog as C
 
 from conftest import SF_SMALL
 
 
 def test_catalog_tables(spark, scratch):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     C.ensure_namespace(spark, "tm_bronze")
     C.ensure_namespace(spark, "tm_silver")
     # the test log is thin (a few events per day), so it is stored by table only
@@ -34,7 +34,7 @@ def test_catalog_tables(spark, scratch):
 
 
 def test_cli_layers(spark, scratch):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     landing = f"{scratch}/landing"
     p.records.write.parquet(landing)
     root = f"{scratch}/lake"
@@ -77,7 +77,7 @@ def test_bucketed_merge_shuffles_only_the_updates(spark, scratch):
     from tidemark.operators import bronze as B
     from tidemark.operators import silver as S
 
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(2)))
     keys = ["order_id"]
     batches = [S.latest_per_key(S.change_rows(B.decode(recs.filter(F.col("_b") == b)

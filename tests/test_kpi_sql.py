@@ -1,13 +1,13 @@
 """The SQL text of the KPIs and the DataFrame plans agree."""
 
 from tidemark.plans.kpi import KPI_SQL, run_kpi_sql
-from tidemark.plans.pipeline import Pipeline
+from tidemark.plans.flow import Flow
 
 from conftest import SF_SMALL
 
 
 def test_sql_and_dataframe_kpis_agree(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     for name in KPI_SQL:
         a = sorted(map(tuple, run_kpi_sql(spark, p.gold, name).collect()))
         b = sorted(map(tuple, p.kpis[name].collect()))

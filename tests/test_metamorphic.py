@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.model import PRIMARY_KEYS
 from tidemark.operators import bronze as B
 from tidemark.operators import silver as S
-from tidemark.plans.pipeline import Pipeline
+from tidemark.plans.flow import Flow
 
 from conftest import SF_SMALL
 
@@ -17,7 +17,7 @@ def _sorted(df):
 
 
 def test_shuffle_replay_and_split_batches(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     recs = p.records_of("orders")
     expected = _sorted(S.state(B.decode(recs), "orders"))
     shuffled = recs.orderBy(F.rand(7))

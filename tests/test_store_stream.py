@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.store import Store
 from tidemark.streaming import bronze_stream as BS
-from tidemark.plans.pipeline import Pipeline
+from tidemark.plans.flow import Flow
 
 from conftest import SF_SMALL
 
@@ -35,7 +35,7 @@ def test_epoch_rewrite_is_idempotent(spark, scratch):
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     landing = f"{scratch}/landing"
     p.records.repartition(6).write.parquet(landing)
     st = Store(spark, f"{scratch}/lake")
@@ -57,7 +57,7 @@ def test_merge_on_read_silver(spark, scratch):
     from tidemark.operators import silver as S
     from tidemark.streaming import silver_stream as SS
 
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     st = Store(spark, f"{scratch}/lake")
     recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
     # epochs arrive out of time order; deltas then a compaction then one more delta
@@ -86,7 +86,7 @@ def test_incremental_silver_job_and_error_isolation(spark, scratch):
     from tidemark.plans import gold as G
     from tidemark.streaming import silver_stream as SS
 
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     st = Store(spark, f"{scratch}/lake")
     recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(2)))
     jobs.run_bronze(st, recs.filter("_b = 1").drop("_b"), epoch_id=0,
@@ -111,7 +111,7 @@ def test_incremental_silver_job_and_error_isolation(spark, scratch):
 
 
 def test_redelivery_across_batches_is_dropped(spark, scratch):
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     landing = f"{scratch}/landing"
     recs = p.records_of("orders")
     # the same records land twice, in different files and so in different batches
@@ -130,7 +130,7 @@ def test_bronze_log_compaction(spark, scratch):
     from tidemark.operators.bronze import COORDINATES
     from tidemark.plans import jobs
 
-    p = Pipeline(spark, SF_SMALL)
+    p = Flow(spark, SF_SMALL)
     st = Store(spark, f"{scratch}/lake")
     recs = p.records.withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
     for e in range(3):

@@ -21,7 +21,7 @@ from tidemark.sources.feed import retail_feeds, retail_records, to_records
 from tidemark.sources.tables import Tables, retail_views
 
 
-class Pipeline:
+class Flow:
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts: Column | None = None,
                  delete_image: str = "before"):
         self.spark = spark

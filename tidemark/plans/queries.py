@@ -23,7 +23,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
 from tidemark.plans import gold as G
 from tidemark.plans.oracle_sql import VERB, with_base
-from tidemark.plans.pipeline import Pipeline
+from tidemark.plans.flow import Flow
 from tidemark.session import checkpoint_dir
 from tidemark.sources.feed import malformed_records, snapshot_diff, to_records
 from tidemark.sources.store import Store
@@ -53,7 +53,7 @@ def output(df: DataFrame) -> DataFrame:
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: output(fn(Pipeline(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: output(fn(Flow(spark, sf_dir)))
         if oracle is not None:
             ORACLE[name] = with_base(oracle)
         return fn
@@ -73,7 +73,7 @@ _ORDER_STATE_COLS = ("order_id, customer_id, order_date, status, channel, "
            lsn AS kafka_offset, event_ts + to_seconds(latency_s) AS kafka_ts,
            status AS image_status
     FROM feed_orders""")
-def _bronze_orders_decoded(p: Pipeline) -> DataFrame:
+def _bronze_orders_decoded(p: Flow) -> DataFrame:
     b = p.bronze_of("orders")
     return b.select(*[c for c in b.columns if c not in ("before_json", "after_json")],
                     F.get_json_object(S.row_image(b), "$.status").alias("image_status"))
@@ -81,7 +81,7 @@ def _bronze_orders_decoded(p: Pipeline) -> DataFrame:
 
 @register("cdc_op_decode", f"""
     SELECT op, {VERB} AS cdc_op, COUNT(*) AS n_events FROM all_events GROUP BY 1, 2""")
-def _cdc_op_decode(p: Pipeline) -> DataFrame:
+def _cdc_op_decode(p: Flow) -> DataFrame:
     return (p.bronze.groupBy(op_code(F.col("cdc_op")).alias("op"), "cdc_op")
             .agg(F.count(F.lit(1)).alias("n_events")))
 
@@ -91,7 +91,7 @@ def _cdc_op_decode(p: Pipeline) -> DataFrame:
            CASE WHEN op = 'd' THEN 'before' ELSE 'after' END AS image_side,
            order_id, status, CAST(total_amount AS DOUBLE) AS total_amount
     FROM feed_orders""")
-def _cdc_row_image(p: Pipeline) -> DataFrame:
+def _cdc_row_image(p: Flow) -> DataFrame:
     b = p.bronze_of("orders")
     rows = S.change_rows(b, "orders")
     return rows.select(
@@ -105,7 +105,7 @@ def _cdc_row_image(p: Pipeline) -> DataFrame:
     SELECT lsn AS kafka_offset, order_id, op = 'd' AS _is_deleted,
            op = 'd' AS has_deleted_at
     FROM feed_orders""")
-def _cdc_soft_delete_flags(p: Pipeline) -> DataFrame:
+def _cdc_soft_delete_flags(p: Flow) -> DataFrame:
     rows = S.change_rows(p.bronze_of("orders"), "orders")
     return rows.select(F.col("_cdc_offset").alias("kafka_offset"), "order_id", "_is_deleted",
                        F.col("_deleted_at").isNotNull().alias("has_deleted_at"))
@@ -114,7 +114,7 @@ def _cdc_soft_delete_flags(p: Pipeline) -> DataFrame:
 @register("cdc_topic_filter", """
     SELECT 'cdc.public.' || source_table AS kafka_topic, COUNT(*) AS n_records
     FROM all_events WHERE source_table IN ('orders', 'payments') GROUP BY 1""")
-def _cdc_topic_filter(p: Pipeline) -> DataFrame:
+def _cdc_topic_filter(p: Flow) -> DataFrame:
     r = B.topic_filter(p.records, ["orders", "payments"])
     return r.groupBy(F.col("topic").alias("kafka_topic")).agg(
         F.count(F.lit(1)).alias("n_records"))
@@ -124,7 +124,7 @@ def _cdc_topic_filter(p: Pipeline) -> DataFrame:
     SELECT 'cdc.public.' || source_table AS kafka_topic, source_table AS table_name,
            COUNT(*) AS n_records
     FROM all_events GROUP BY 1, 2""")
-def _topic_to_table(p: Pipeline) -> DataFrame:
+def _topic_to_table(p: Flow) -> DataFrame:
     return (p.records.groupBy(F.col("topic").alias("kafka_topic"))
             .agg(F.count(F.lit(1)).alias("n_records"))
             .select("kafka_topic", topic_table(F.col("kafka_topic")).alias("table_name"),
@@ -134,19 +134,19 @@ def _topic_to_table(p: Pipeline) -> DataFrame:
 @register("cdc_fanout_counts", f"""
     SELECT source_table AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events
     FROM all_events GROUP BY 1, 2""")
-def _cdc_fanout_counts(p: Pipeline) -> DataFrame:
+def _cdc_fanout_counts(p: Flow) -> DataFrame:
     return p.bronze.groupBy("cdc_table", "cdc_op").agg(F.count(F.lit(1)).alias("n_events"))
 
 
 @register("distinct_tables", "SELECT DISTINCT source_table AS cdc_table FROM all_events")
-def _distinct_tables(p: Pipeline) -> DataFrame:
+def _distinct_tables(p: Flow) -> DataFrame:
     return p.bronze.select("cdc_table").distinct()
 
 
 @register("cdc_replay_dedup", f"""
     SELECT {VERB} AS cdc_op, COUNT(*) AS n_events, 2 * COUNT(*) AS n_delivered
     FROM feed_orders GROUP BY 1""")
-def _cdc_replay_dedup(p: Pipeline) -> DataFrame:
+def _cdc_replay_dedup(p: Flow) -> DataFrame:
     # The whole orders log delivered twice, as after a restart that replays everything.
     twice = p.records_of("orders").unionByName(p.records_of("orders"))
     b = B.decode(twice)
@@ -169,14 +169,14 @@ _STATE_COLS = ["order_id", "customer_id", "order_date", "status", "channel", "to
 
 
 @register("cdc_latest_per_key", _SILVER_ORDER_ORACLE)
-def _cdc_latest_per_key(p: Pipeline) -> DataFrame:
+def _cdc_latest_per_key(p: Flow) -> DataFrame:
     return p.silver["orders"].select(*_STATE_COLS)
 
 
 @register("cdc_soft_delete_state", f"""
     SELECT {VERB} AS _cdc_op, op = 'd' AS _is_deleted, status, COUNT(*) AS n_keys
     FROM silver_orders GROUP BY 1, 2, 3""")
-def _cdc_soft_delete_state(p: Pipeline) -> DataFrame:
+def _cdc_soft_delete_state(p: Flow) -> DataFrame:
     return (p.silver["orders"].groupBy("_cdc_op", "_is_deleted", "status")
             .agg(F.count(F.lit(1)).alias("n_keys")))
 
@@ -184,7 +184,7 @@ def _cdc_soft_delete_state(p: Pipeline) -> DataFrame:
 _CUT = "1997-01-01 00:00:00"
 
 
-def _orders_rows(p: Pipeline) -> DataFrame:
+def _orders_rows(p: Flow) -> DataFrame:
     return S.change_rows(p.bronze_of("orders"), "orders")
 
 
@@ -194,7 +194,7 @@ def _before_cut(rows: DataFrame, before: bool) -> DataFrame:
 
 
 @register("cdc_merge_upsert", _SILVER_ORDER_ORACLE)
-def _cdc_merge_upsert(p: Pipeline) -> DataFrame:
+def _cdc_merge_upsert(p: Flow) -> DataFrame:
     """Target = state of the log before a cut date; updates = state of the rest."""
     keys = PRIMARY_KEYS["orders"]
     rows = _orders_rows(p)
@@ -204,7 +204,7 @@ def _cdc_merge_upsert(p: Pipeline) -> DataFrame:
 
 
 @register("cdc_guarded_merge", _SILVER_ORDER_ORACLE)
-def _cdc_guarded_merge(p: Pipeline) -> DataFrame:
+def _cdc_guarded_merge(p: Flow) -> DataFrame:
     """The same two batches applied newest first; the guard ignores the late one."""
     keys = PRIMARY_KEYS["orders"]
     rows = _orders_rows(p)
@@ -218,7 +218,7 @@ def _cdc_guarded_merge(p: Pipeline) -> DataFrame:
            EXISTS (SELECT 1 FROM feed_orders r WHERE r.op = 'r' AND r.order_id = d.order_id)
              AS was_known
     FROM feed_orders d WHERE d.op = 'd'""")
-def _cdc_delete_unseen_key(p: Pipeline) -> DataFrame:
+def _cdc_delete_unseen_key(p: Flow) -> DataFrame:
     """Target = snapshot reads only; updates = the deletes.  A delete of a key the
     target never saw is inserted as a deleted row (C6)."""
     keys = PRIMARY_KEYS["orders"]
@@ -239,7 +239,7 @@ def _cdc_delete_unseen_key(p: Pipeline) -> DataFrame:
     SELECT i.item_id, i.order_id, o.customer_id, o.status,
            CAST(i.quantity * i.unit_price AS DOUBLE) AS line_revenue
     FROM retail_order_items i JOIN live_orders o ON i.order_id = o.order_id""")
-def _join_items_orders(p: Pipeline) -> DataFrame:
+def _join_items_orders(p: Flow) -> DataFrame:
     i = S.live(p.silver["order_items"]).select("item_id", "order_id", "quantity", "unit_price")
     o = S.live(p.silver["orders"]).select(F.col("order_id").alias("_o_id"), "customer_id",
                                           "status")
@@ -251,7 +251,7 @@ def _join_items_orders(p: Pipeline) -> DataFrame:
 @register("join_orders_live_customers", """
     SELECT o.order_id, o.customer_id, c.name AS customer_name, c.segment AS customer_segment
     FROM live_orders o LEFT JOIN retail_customers c ON o.customer_id = c.customer_id""")
-def _join_orders_live_customers(p: Pipeline) -> DataFrame:
+def _join_orders_live_customers(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).select("order_id", "customer_id")
     c = G.live_customer_dim(p.silver["customers"], {"name": "customer_name",
                                                     "segment": "customer_segment"})
@@ -264,7 +264,7 @@ def _join_orders_live_customers(p: Pipeline) -> DataFrame:
            CAST(py.amount AS DOUBLE) AS amount, o.op = 'd' AS order_deleted
     FROM retail_payments py LEFT JOIN silver_orders o ON py.order_id = o.order_id
     LEFT JOIN retail_customers c ON o.customer_id = c.customer_id""")
-def _join_payments_chain(p: Pipeline) -> DataFrame:
+def _join_payments_chain(p: Flow) -> DataFrame:
     py = S.live(p.silver["payments"]).select("payment_id", "order_id", "amount")
     o = p.silver["orders"].select(F.col("order_id").alias("_o_id"), "customer_id",
                                   F.col("_is_deleted").alias("order_deleted"))
@@ -281,7 +281,7 @@ def _join_payments_chain(p: Pipeline) -> DataFrame:
     FROM live_orders o
     WHERE o.status IN ('confirmed', 'shipped', 'delivered')
       AND NOT EXISTS (SELECT 1 FROM retail_payments p WHERE p.order_id = o.order_id)""")
-def _unpaid_orders(p: Pipeline) -> DataFrame:
+def _unpaid_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status").isin("confirmed", "shipped",
                                                               "delivered"))
     paid = S.live(p.silver["payments"]).select("order_id")
@@ -293,7 +293,7 @@ def _unpaid_orders(p: Pipeline) -> DataFrame:
     FROM live_orders o
     WHERE o.status = 'delivered'
       AND NOT EXISTS (SELECT 1 FROM retail_returns r WHERE r.order_id = o.order_id)""")
-def _returnable_orders(p: Pipeline) -> DataFrame:
+def _returnable_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status") == "delivered")
     returned = S.live(p.silver["returns"]).select("order_id")
     return o.join(returned, "order_id", "left_anti").select("order_id", "total_amount")
@@ -306,13 +306,13 @@ def _returnable_orders(p: Pipeline) -> DataFrame:
     SELECT customer_id, name, email, city, country, segment, registration_date, is_active,
            CAST(registration_date AS TIMESTAMP) AS _cdc_ts
     FROM retail_customers""")
-def _gold_customers(p: Pipeline) -> DataFrame:
+def _gold_customers(p: Flow) -> DataFrame:
     return p.gold["customers"]
 
 
 @register("gold_orders",
           "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM gold_orders")
-def _gold_orders(p: Pipeline) -> DataFrame:
+def _gold_orders(p: Flow) -> DataFrame:
     return p.gold["orders"]
 
 
@@ -320,29 +320,29 @@ def _gold_orders(p: Pipeline) -> DataFrame:
     SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
                       CAST(line_revenue AS DOUBLE) AS line_revenue)
     FROM gold_sales_facts""")
-def _gold_sales_facts(p: Pipeline) -> DataFrame:
+def _gold_sales_facts(p: Flow) -> DataFrame:
     return p.gold["sales_facts"]
 
 
 @register("gold_payments_summary", """
     SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM gold_payments_summary""")
-def _gold_payments_summary(p: Pipeline) -> DataFrame:
+def _gold_payments_summary(p: Flow) -> DataFrame:
     return p.gold["payments_summary"]
 
 
 @register("gold_returns_summary", """
     SELECT * REPLACE (CAST(total_refund AS DOUBLE) AS total_refund) FROM gold_returns_summary""")
-def _gold_returns_summary(p: Pipeline) -> DataFrame:
+def _gold_returns_summary(p: Flow) -> DataFrame:
     return p.gold["returns_summary"]
 
 
 @register("gold_cdc_audit", "SELECT * FROM gold_cdc_audit")
-def _gold_cdc_audit(p: Pipeline) -> DataFrame:
+def _gold_cdc_audit(p: Flow) -> DataFrame:
     return p.gold["cdc_audit"]
 
 
 @register("union_audit_branches", "SELECT * FROM gold_cdc_audit")
-def _union_audit_branches(p: Pipeline) -> DataFrame:
+def _union_audit_branches(p: Flow) -> DataFrame:
     return G.union_audit_branches({t: p.bronze_of(t) for t in TABLES})
 
 
@@ -414,7 +414,7 @@ for _k in _KPI_ORACLE:
     FROM orders GROUP BY 1
     UNION ALL SELECT 'table_null', COUNT(*) FROM orders WHERE o_orderstatus = 'F'
     UNION ALL SELECT 'image_invalid', COUNT(*) FROM orders WHERE o_orderstatus = 'O'""")
-def _cdc_malformed_filtered(p: Pipeline) -> DataFrame:
+def _cdc_malformed_filtered(p: Flow) -> DataFrame:
     """The orders log mixed with faulty deliveries: envelope faults are quarantined
     at bronze, image faults at silver; only valid changes reach the state (P3, D3,
     D4, D8)."""
@@ -431,7 +431,7 @@ def _cdc_malformed_filtered(p: Pipeline) -> DataFrame:
     SELECT product_id, name, category, brand, CAST(price AS DOUBLE) AS price, stock_qty,
            is_active, 'READ' AS _cdc_op, FALSE AS _is_deleted
     FROM retail_products""")
-def _snapshot_to_feed(p: Pipeline) -> DataFrame:
+def _snapshot_to_feed(p: Flow) -> DataFrame:
     """A table snapshot as READ events, through envelopes, back to state (Q10)."""
     s = p.silver["products"]
     return s.select("product_id", "name", "category", "brand", "price", "stock_qty",
@@ -463,7 +463,7 @@ def _next_products(products: DataFrame) -> DataFrame:
     return kept.unionByName(added)
 
 
-def _products_diff(p: Pipeline) -> DataFrame:
+def _products_diff(p: Flow) -> DataFrame:
     old = p.views["products"]
     return snapshot_diff(old, _next_products(old), "products",
                          F.lit(_DIFF_TS).cast(T.TimestampNTZType()), lsn_base=_NEW_ID_OFFSET * 4)
@@ -480,7 +480,7 @@ def _products_diff(p: Pipeline) -> DataFrame:
        OR o.name IS DISTINCT FROM n.name OR o.category IS DISTINCT FROM n.category
        OR o.brand IS DISTINCT FROM n.brand OR o.price IS DISTINCT FROM n.price
        OR o.stock_qty IS DISTINCT FROM n.stock_qty OR o.is_active IS DISTINCT FROM n.is_active""")
-def _snapshot_diff(p: Pipeline) -> DataFrame:
+def _snapshot_diff(p: Flow) -> DataFrame:
     """Two snapshots -> c/u/d events (Q11)."""
     return _products_diff(p).select("product_id", "op", "name", "price")
 
@@ -488,7 +488,7 @@ def _snapshot_diff(p: Pipeline) -> DataFrame:
 @register("snapshot_diff_apply", f"""
     SELECT product_id, name, CAST(price AS DOUBLE) AS price, stock_qty
     FROM ({_NEW_PRODUCTS_SQL})""")
-def _snapshot_diff_apply(p: Pipeline) -> DataFrame:
+def _snapshot_diff_apply(p: Flow) -> DataFrame:
     """Old state merged with the decoded diff events gives the new snapshot."""
     keys = PRIMARY_KEYS["products"]
     events = B.decode(to_records(_products_diff(p), "products"))
@@ -502,7 +502,7 @@ def _snapshot_diff_apply(p: Pipeline) -> DataFrame:
 @register("dq_pk_duplicates", """
     SELECT l_orderkey AS order_id, l_linenumber AS line_number, COUNT(*) AS n_rows
     FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
-def _dq_pk_duplicates(p: Pipeline) -> DataFrame:
+def _dq_pk_duplicates(p: Flow) -> DataFrame:
     """Natural key (order, line number) of the order lines: duplicated in the data,
     which is why item ids are numbered instead (Q1)."""
     li = p.tables.lineitem.select(F.col("l_orderkey").alias("order_id"),
@@ -517,7 +517,7 @@ def _dq_pk_duplicates(p: Pipeline) -> DataFrame:
     UNION ALL SELECT 'order_items', COUNT(*), COUNT(DISTINCT item_id), 0 FROM retail_order_items
     UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id), 0 FROM retail_payments
     UNION ALL SELECT 'returns', COUNT(*), COUNT(DISTINCT return_id), 0 FROM retail_returns""")
-def _dq_pk_summary(p: Pipeline) -> DataFrame:
+def _dq_pk_summary(p: Flow) -> DataFrame:
     """Key uniqueness of every silver table (Q1)."""
     out = None
     for t in TABLES:
@@ -540,7 +540,7 @@ def _fk_oracle() -> str:
 
 
 @register("dq_fk_orphans", _fk_oracle())
-def _dq_fk_orphans(p: Pipeline) -> DataFrame:
+def _dq_fk_orphans(p: Flow) -> DataFrame:
     """Live rows whose reference has no live parent, per foreign key (Q2)."""
     live = {t: S.live(p.silver[t]) for t in TABLES}
     return Q.fk_orphan_counts(live, FOREIGN_KEYS)
@@ -559,7 +559,7 @@ def _null_oracle() -> str:
 
 
 @register("dq_null_counts", _null_oracle())
-def _dq_null_counts(p: Pipeline) -> DataFrame:
+def _dq_null_counts(p: Flow) -> DataFrame:
     """NULLs in required columns of the live rows (Q3)."""
     out = None
     for t, cols in REQUIRED_COLUMNS.items():
@@ -574,7 +574,7 @@ def _dq_null_counts(p: Pipeline) -> DataFrame:
            CAST(SUM(subtotal) AS DOUBLE) AS subtotal_total,
            CAST(SUM(quantity * unit_price) AS DOUBLE) AS recomputed_total
     FROM retail_order_items""")
-def _dq_subtotal_mismatch(p: Pipeline) -> DataFrame:
+def _dq_subtotal_mismatch(p: Flow) -> DataFrame:
     """Stored line subtotal against quantity x unit price after the trip through the
     change stream, where amounts travel as doubles (Q5, D13)."""
     i = S.live(p.silver["order_items"])
@@ -594,7 +594,7 @@ def _dq_subtotal_mismatch(p: Pipeline) -> DataFrame:
     firsts AS (SELECT customer_id, email FROM (
         SELECT *, row_number() OVER (PARTITION BY email ORDER BY customer_id) AS rn FROM fresh) WHERE rn = 1)
     SELECT * FROM target UNION ALL SELECT * FROM firsts""")
-def _insert_ignore_conflicts(p: Pipeline) -> DataFrame:
+def _insert_ignore_conflicts(p: Flow) -> DataFrame:
     """Target = inactive customers; incoming = every customer plus a re-registration
     of each under a new id with the same e-mail.  E-mail is unique: existing e-mails
     are skipped, and the first registration of a new one wins (Q4)."""
@@ -611,7 +611,7 @@ _AS_OF = "1998-08-02 00:00:00"
 @register("expired_drafts", f"""
     SELECT order_id, customer_id, order_date FROM live_orders
     WHERE status = 'pending' AND order_date < TIMESTAMP '{_AS_OF}' - INTERVAL '5' MINUTE""")
-def _expired_drafts(p: Pipeline) -> DataFrame:
+def _expired_drafts(p: Flow) -> DataFrame:
     """Pending orders older than five minutes as of a fixed time (Q6)."""
     cutoff = F.lit(_AS_OF).cast(T.TimestampType()) - F.expr("INTERVAL 5 MINUTES")
     return (S.live(p.silver["orders"])
@@ -624,7 +624,7 @@ def _expired_drafts(p: Pipeline) -> DataFrame:
            CASE status WHEN 'pending' THEN 'confirmed' WHEN 'confirmed' THEN 'shipped'
                        WHEN 'shipped' THEN 'delivered' END AS next_status
     FROM live_orders WHERE status IN ('pending', 'confirmed', 'shipped')""")
-def _order_next_status(p: Pipeline) -> DataFrame:
+def _order_next_status(p: Flow) -> DataFrame:
     """Next lifecycle status of every open order (Q7)."""
     o = S.live(p.silver["orders"]).filter(F.col("status").isin("pending", "confirmed", "shipped"))
     return o.select("order_id", "status", Q.next_status(F.col("status")).alias("next_status"))
@@ -641,7 +641,7 @@ def _order_next_status(p: Pipeline) -> DataFrame:
             OR (from_status = 'confirmed' AND to_status = 'shipped')
             OR (from_status = 'shipped' AND to_status = 'delivered')) AS is_legal
     FROM pairs WHERE from_status IS NOT NULL GROUP BY 1, 2""")
-def _status_transition_audit(p: Pipeline) -> DataFrame:
+def _status_transition_audit(p: Flow) -> DataFrame:
     """Status pairs of consecutive row images per order in log order, flagged
     against the lifecycle (Q8)."""
     rows = _orders_rows(p).filter(F.col("_cdc_op") != "DELETE")
@@ -657,7 +657,7 @@ def _status_transition_audit(p: Pipeline) -> DataFrame:
            CAST(round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS DOUBLE) AS expected_refund,
            r.refund_amount = round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS matches
     FROM retail_returns r LEFT JOIN silver_orders o ON r.order_id = o.order_id""")
-def _refund_expected(p: Pipeline) -> DataFrame:
+def _refund_expected(p: Flow) -> DataFrame:
     """Each return's refund against 80 % of its order total (Q9)."""
     r = S.live(p.silver["returns"]).select("return_id", "order_id", "refund_amount")
     o = p.silver["orders"].select(F.col("order_id").alias("_o_id"), "total_amount")
@@ -673,12 +673,12 @@ def _refund_expected(p: Pipeline) -> DataFrame:
 _STREAM_TIMEOUT_S = 1800
 
 
-def _scratch(p: Pipeline) -> str:
+def _scratch(p: Flow) -> str:
     """A fresh folder under the shared checkpoint directory of the session."""
     return f"{checkpoint_dir(p.spark).rstrip('/')}/tidemark-{uuid.uuid4().hex[:12]}"
 
 
-def _run_bronze_stream(p: Pipeline, root: str) -> Store:
+def _run_bronze_stream(p: Flow, root: str) -> Store:
     """Land all six feeds as record files, then run the bronze stream over them
     with ``availableNow`` in several micro-batches, twice: the second run starts
     from the checkpoint and must add nothing."""
@@ -700,7 +700,7 @@ def _run_bronze_stream(p: Pipeline, root: str) -> Store:
     SELECT source_table AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events,
            COUNT(DISTINCT kafka_offset) AS n_offsets
     FROM all_events GROUP BY 1, 2""")
-def _stream_bronze_available_now(p: Pipeline) -> DataFrame:
+def _stream_bronze_available_now(p: Flow) -> DataFrame:
     """Streaming bronze equals batch bronze; a restart adds nothing."""
     store = _run_bronze_stream(p, _scratch(p))
     return (store.read_log("bronze").groupBy("cdc_table", "cdc_op")
@@ -708,7 +708,7 @@ def _stream_bronze_available_now(p: Pipeline) -> DataFrame:
                  F.count_distinct("kafka_offset").alias("n_offsets")))
 
 
-def _run_silver_stream(p: Pipeline, mode: str) -> Store:
+def _run_silver_stream(p: Flow, mode: str) -> Store:
     root = _scratch(p)
     store = _run_bronze_stream(p, root)
     q = SS.start_silver_stream(p.spark, store, f"{root}/_checkpoints/silver",
@@ -721,7 +721,7 @@ def _run_silver_stream(p: Pipeline, mode: str) -> Store:
 
 
 @register("stream_silver_incremental", _SILVER_ORDER_ORACLE)
-def _stream_silver_incremental(p: Pipeline) -> DataFrame:
+def _stream_silver_incremental(p: Flow) -> DataFrame:
     """Silver maintained by a stream over bronze, merge-on-read: per-batch deltas,
     compacted once, equals the batch rebuild (SURVEY 7.3 step 6)."""
     store = _run_silver_stream(p, "merge_on_read")
@@ -730,7 +730,7 @@ def _stream_silver_incremental(p: Pipeline) -> DataFrame:
 
 
 @register("stream_silver_copy_on_write", _SILVER_ORDER_ORACLE)
-def _stream_silver_copy_on_write(p: Pipeline) -> DataFrame:
+def _stream_silver_copy_on_write(p: Flow) -> DataFrame:
     """The same stream with a guarded full-outer-join merge per micro-batch."""
     store = _run_silver_stream(p, "copy_on_write")
     return store.read("silver/orders").select(*_STATE_COLS)
