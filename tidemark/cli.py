@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None, spark=None):
     from tidemark.streaming import silver_stream as SS
 
     args = _parser().parse_args(argv)
-    spark = spark or get_session(app=f"tidemark-{args.layer}")
+    spark = spark or get_session(app=f"tidemark-{args.layer}", profile="cluster")
     apply_session_conf(spark)
     store = Store(spark, args.root)
     if args.layer == "bronze":

@@ -22,9 +22,22 @@ BASE_CONF = {
 }
 
 
+# Cluster profile (~100 TB inputs): let AQE size shuffle partitions by bytes instead
+# of spreading small stages over every core, start from many partitions so the
+# largest stages have room, and read files in large splits.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the tidemark defaults.
 
     On a cluster leave ``master`` unset so spark-submit decides; tests pass
@@ -32,6 +45,8 @@ def get_session(master: str | None = None, app: str = "tidemark",
     """
     b = SparkSession.builder.appName(app)
     conf = dict(BASE_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if master:
         b = b.master(master)
         if master.startswith("local"):
@@ -63,10 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) a scratch folder is created and
     registered; on a cluster the configured shared folder is always used.
     """
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
