@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, ship_package
 
 
 def _ranged(df: DataFrame, key: str, order: list[str], cols: list[str],
@@ -94,6 +94,7 @@ def _scan(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> Da
                         "_last_value": [last_val]})
             yield pd.DataFrame(row)[names]
 
+    ship_package(ranged.sparkSession)
     return ranged.mapInPandas(run, schema)
 
 

@@ -62,8 +62,29 @@ def get_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in the executors' Python workers (the
+    ``mapInPandas`` helpers are pickled by reference to their module): zip the
+    package once per application and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tidemark-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "tidemark"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="tidemark")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def apply_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of BASE_CONF to an existing session."""
+    """Apply the runtime-settable part of BASE_CONF to an existing session and ship
+    the package to the executors."""
+    ship_package(spark)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
         try:
