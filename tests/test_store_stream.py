@@ -99,6 +99,11 @@ def test_incremental_silver_job_and_error_isolation(spark, scratch):
     cols = ["order_id", "status", "_is_deleted"]
     want = sorted(tuple(r) for r in p.silver["orders"].select(*cols).collect())
     assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
+    # gold reads silver as base + deltas (no compaction has run yet)
+    jobs.run_bronze(st, p.records_of("customers"), epoch_id=2, partition_by=["cdc_table"])
+    jobs.run_silver_incremental(st, ["customers"])
+    jobs.run_gold(st, ["orders"])
+    assert st.read("gold/orders").count() == p.gold["orders"].count()
     # full rebuild: a table without events fails, the others are still written
     with pytest.raises(jobs.LayerErrors):
         jobs.run_silver(st, ["orders", "no_such_table"])

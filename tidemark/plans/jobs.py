@@ -108,14 +108,16 @@ GOLD_BUILDERS = {
 
 
 class _SilverView(dict):
-    """Silver tables resolved lazily, each at its current version."""
+    """Silver tables resolved lazily, each at its current state: the base version
+    plus any merge-on-read deltas written after it."""
 
     def __init__(self, store: Store):
         super().__init__()
         self.store = store
 
     def __missing__(self, key):
-        df = self.store.read(f"silver/{key}")
+        from tidemark.streaming.silver_stream import read_silver
+        df = read_silver(self.store, key)
         self[key] = df
         return df
 
@@ -123,7 +125,10 @@ class _SilverView(dict):
 def run_gold(store: Store, products: list[str] | None = None, parallel: int = 1) -> dict:
     silver = _SilverView(store)
     for t in TABLES:  # resolve versions once, before any thread starts
-        silver[t]
+        try:
+            silver[t]
+        except FileNotFoundError:  # a product that needs it fails on its own
+            pass
     bronze = read_bronze(store, dedup=True)
 
     def one(name):
