@@ -152,3 +152,14 @@ def test_bronze_log_compaction(spark, scratch):
     # gold over the compacted log equals gold over the epochs
     jobs.run_silver(st, ["orders", "customers"])
     assert st.read("silver/orders").count() == p.silver["orders"].count()
+
+
+def test_uncommitted_epoch_is_invisible(spark, scratch):
+    import os
+    st = Store(spark, scratch)
+    df = spark.range(4).withColumn("t", F.lit("a"))
+    st.write_epoch(df, "log", 1, ["t"])
+    st.write_epoch(df, "log", 2, ["t"])
+    os.remove(f"{scratch}/log/epoch={2:012d}/_SUCCESS")  # as if epoch 2 were mid-write
+    assert st.committed_epochs("log") == [1]
+    assert st.read_log("log").count() == 4

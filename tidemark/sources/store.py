@@ -124,6 +124,12 @@ class Store:
         return sorted(int(c.split("=", 1)[1]) for c in self._children(self.path(name))
                       if c.startswith("epoch="))
 
+    def committed_epochs(self, name: str) -> list[int]:
+        """Epochs whose write has committed (``_SUCCESS`` present): an epoch being
+        rewritten by a retried micro-batch is not visible until it is complete."""
+        base = self.path(name)
+        return [e for e in self.epochs(name) if self._exists(f"{base}/epoch={e:012d}/_SUCCESS")]
+
     def delete_epochs(self, name: str, upto: int, min_age_s: float = 3600.0) -> list[int]:
         """Delete epochs ``<= upto`` of a log whose directories are older than
         ``min_age_s`` (e.g. deltas already folded into a base version)."""
@@ -172,9 +178,14 @@ class Store:
         if schema is not None:
             r = r.schema(schema)
         base, folded = self._log_base(name)
+        newer = [f"{self.path(name)}/epoch={e:012d}" for e in self.committed_epochs(name)
+                 if e > folded]
         if base is None:
-            return r.parquet(self.path(name))
-        newer = [f"{self.path(name)}/epoch={e:012d}" for e in self.epochs(name) if e > folded]
+            if not newer:
+                if schema is None:
+                    raise FileNotFoundError(f"no committed epoch of {name} under {self.root}")
+                return self.spark.createDataFrame([], schema)
+            return r.option("basePath", self.path(name)).parquet(*newer)
         df = r.parquet(base)
         if newer:
             # the base's schema also reads epochs that wrote no data file
