@@ -7,6 +7,8 @@ nor lets the job exit as if it succeeded.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from tidemark.sources.store import Store
 from tidemark.streaming.bronze_stream import QUARANTINE_SCHEMA, write_bronze_epoch
 
 
+log = logging.getLogger("tidemark.jobs")
+
+
 class LayerErrors(RuntimeError):
     pass
 
@@ -69,7 +74,9 @@ def run_silver(store: Store, tables: list[str] | None = None, run_ts: Column | N
 
     def one(t):
         s = state(bronze.filter(F.col("cdc_table") == t), t, run_ts, delete_image)
-        return store.write_snapshot(s, f"silver/{t}")
+        path, rows = store.write_snapshot(s, f"silver/{t}")
+        log.info("silver %s: %s rows -> %s", t, rows, path)
+        return path, rows
 
     return _collect_errors(tables or TABLES, one, parallel)
 
@@ -134,7 +141,9 @@ def run_gold(store: Store, products: list[str] | None = None, parallel: int = 1)
     def one(name):
         df = GOLD_BUILDERS[name](silver, bronze)
         part = G.GOLD_PARTITIONS.get(name)
-        return store.write_snapshot(df, f"gold/{name}", [part] if part else None)
+        path, rows = store.write_snapshot(df, f"gold/{name}", [part] if part else None)
+        log.info("gold %s: %s rows -> %s", name, rows, path)
+        return path, rows
 
     return _collect_errors(products or list(GOLD_BUILDERS), one, parallel)
 
