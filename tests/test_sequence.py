@@ -11,7 +11,7 @@ def test_lag_matches_window_with_hot_key(spark):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
         F.col("id").alias("ts"), (F.col("id") * 7 % 11).cast("string").alias("v"))
-    got = lag_by_key(df, "k", ["ts"], "v", out="pv", num_partitions=16)
+    got = lag_by_key(df, "k", ["ts"], "v", out="pv", num_partitions=16, method="range")
     want = df.withColumn("pv", F.lag("v").over(Window.partitionBy("k").orderBy("ts")))
     a = sorted(tuple(r) for r in got.select("k", "ts", "v", "pv").collect())
     b = sorted(tuple(r) for r in want.select("k", "ts", "v", "pv").collect())
@@ -20,7 +20,8 @@ def test_lag_matches_window_with_hot_key(spark):
 
 def test_lag_with_empty_partitions(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k long, ts long, v string")
-    got = sorted(tuple(r) for r in lag_by_key(df, "k", ["ts"], "v", num_partitions=8)
+    got = sorted(tuple(r) for r in lag_by_key(df, "k", ["ts"], "v", num_partitions=8,
+                                              method="range")
                  .select("k", "ts", "prev_value").collect())
     assert got == [(1, 1, None), (1, 2, "a"), (2, 1, None)]
 
@@ -31,7 +32,7 @@ def test_number_matches_row_number_with_hot_key(spark):
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40).alias("k"),
         (F.col("id") * 13 % 1000).alias("a"), F.col("id").alias("b"))
-    got = number_by_key(df, "k", ["a", "b"], out="rn", num_partitions=16)
+    got = number_by_key(df, "k", ["a", "b"], out="rn", num_partitions=16, method="range")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
     a = sorted(tuple(r) for r in got.select("k", "a", "b", "rn").collect())
     b = sorted(tuple(r) for r in want.select("k", "a", "b", "rn").collect())
@@ -43,13 +44,29 @@ def test_hot_key_spans_many_partitions(spark):
     # one key holds every row: it must be spread over all range partitions
     df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("t"),
                                   F.col("id").cast("string").alias("v"))
-    rn = number_by_key(df, "k", ["t"], out="rn", num_partitions=8)
+    rn = number_by_key(df, "k", ["t"], out="rn", num_partitions=8, method="range")
     assert rn.rdd.getNumPartitions() >= 1
     got = {r["t"]: r["rn"] for r in rn.collect()}
     assert all(got[t] == t + 1 for t in range(5000))
-    lag = {r["t"]: r["prev_value"] for r in lag_by_key(df, "k", ["t"], "v", num_partitions=8)
-           .collect()}
+    lag = {r["t"]: r["prev_value"] for r in lag_by_key(df, "k", ["t"], "v", num_partitions=8,
+                                                       method="range").collect()}
     assert lag[0] is None and all(lag[t] == str(t - 1) for t in range(1, 5000))
     parts = df.repartitionByRange(8, "k", "t").select(F.spark_partition_id().alias("p")) \
         .distinct().count()
     assert parts == 8
+
+
+def test_auto_method_picks_range_only_for_hot_keys(spark):
+    from tidemark.operators import sequence as Q
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    assert Q.largest_group(df, "k") == 1000
+    spark.conf.set(Q.MAX_GROUP_ROWS_CONF, "500")
+    try:
+        assert Q._use_range(df, "k", "auto") is True
+        got = Q.number_by_key(df, "k", ["t"], out="rn", num_partitions=4)
+        assert got.agg(F.max("rn")).first()[0] == 1000
+    finally:
+        spark.conf.unset(Q.MAX_GROUP_ROWS_CONF)
+    assert Q._use_range(df, "k", "auto") is False
+    plan = Q.number_by_key(df, "k", ["t"], out="rn")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan

@@ -15,7 +15,7 @@ that is broadcast.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,12 +127,41 @@ def _finish(ranged: DataFrame, key: str, value: str | None, cols: list[str]) ->
     return fixed.withColumn("_continues_key", continues)
 
 
+# Largest key group one window task may hold; beyond it the range method is used.
+MAX_GROUP_ROWS_CONF = "spark.tidemark.sequence.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the largest ``key`` group: one aggregation with partial counts before
+    the shuffle; the driver receives a single number."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(r[0] or 0)
+
+
+def _use_range(df: DataFrame, key: str, method: str) -> bool:
+    if method not in ("auto", "range", "window"):
+        raise ValueError(f"method must be auto, range or window, not {method!r}")
+    if method != "auto":
+        return method == "range"
+    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    return largest_group(df, key) > limit
+
+
 def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
-               out: str = "prev_value", num_partitions: int | None = None) -> DataFrame:
+               out: str = "prev_value", num_partitions: int | None = None,
+               method: str = "auto") -> DataFrame:
     """``df``'s key, order and value columns plus ``out`` = ``value`` of the previous
     row of the same ``key`` in ``order`` (NULL for a key's first row).  The order
-    columns must give a total order within a key."""
+    columns must give a total order within a key.
+
+    ``method="auto"`` measures the largest key group and uses a plain window when it
+    fits one task (``spark.tidemark.sequence.maxGroupRows``), the range method when
+    it does not; ``"range"`` / ``"window"`` force one."""
     cols = [key, *order, value]
+    if not _use_range(df, key, method):
+        w = Window.partitionBy(key).orderBy(*order)
+        return df.select(*cols, F.lag(value).over(w).alias(out))
     fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, value, cols)
     first_here = F.col("_rn") == 1
     prev = (F.when(first_here & F.col("_continues_key"), F.col("_carry_value"))
@@ -142,14 +171,17 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
 
 def number_by_key(df: DataFrame, key: str, order: list[str], out: str = "row_number",
                   num_partitions: int | None = None,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, method: str = "auto") -> DataFrame:
     """``keep`` columns (default: all of ``df``) plus ``out`` = 1-based position of
     the row within its ``key`` in ``order`` (``row_number()`` over the key), for any
-    key size."""
+    key size; ``method`` as in :func:`lag_by_key`."""
     cols = list(dict.fromkeys([key, *(keep if keep is not None else df.columns)]))
+    if not _use_range(df, key, method):
+        w = Window.partitionBy(key).orderBy(*order)
+        return df.select(*cols, F.row_number().over(w).cast(T.LongType()).alias(out))
     fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, None, cols)
     offset = F.when(F.col("_continues_key"), F.col("_offset")).otherwise(F.lit(0))
     return fixed.select(*cols, (F.col("_rn") + offset).alias(out))
 
 
-__all__ = ["lag_by_key", "number_by_key"]
+__all__ = ["largest_group", "lag_by_key", "number_by_key"]
