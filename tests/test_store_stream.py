@@ -163,3 +163,11 @@ def test_uncommitted_epoch_is_invisible(spark, scratch):
     os.remove(f"{scratch}/log/epoch={2:012d}/_SUCCESS")  # as if epoch 2 were mid-write
     assert st.committed_epochs("log") == [1]
     assert st.read_log("log").count() == 4
+
+
+def test_version_tags_parse_strictly():
+    from tidemark.sources.store import epoch_tag, folded_epoch
+    assert folded_epoch("/x/silver/orders/v=001700000000000-eb0bc8e2") == -1
+    assert folded_epoch("/x/silver/orders/v=001700000000000-e1234567") == -1
+    assert folded_epoch(f"/x/v=001700000000000-ab12cd34-{epoch_tag(42)}") == 42
+    assert folded_epoch(None) == -1

@@ -12,12 +12,29 @@ Paths may be any Hadoop-compatible URI (a shared filesystem or object store).
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_EPOCH_TAG = re.compile(r"-e(\d{12})$")
+
+
+def epoch_tag(epoch: int) -> str:
+    """Version tag recording the last log epoch a version holds."""
+    return f"e{epoch:012d}"
+
+
+def folded_epoch(version_path: str | None) -> int:
+    """Last epoch held by a tagged version; -1 for none or an untagged version."""
+    if not version_path:
+        return -1
+    m = _EPOCH_TAG.search(version_path.rstrip("/").rsplit("/", 1)[-1])
+    return int(m.group(1)) if m else -1
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -164,9 +181,7 @@ class Store:
     def _log_base(self, name: str) -> tuple[str | None, int]:
         """Current compacted base of a log and the last epoch it holds."""
         cur = self.current(f"{name}__base")
-        if cur is None:
-            return None, -1
-        return cur, int(cur.rsplit("-e", 1)[1])
+        return (cur, folded_epoch(cur)) if cur is not None else (None, -1)
 
     def read_log(self, name: str, schema=None) -> DataFrame:
         """An append-only log: its compacted base (if any) plus every committed
@@ -209,7 +224,7 @@ class Store:
             df = df.drop("epoch")
         df = df.repartitionByRange(*partition_by, *(cluster_by or []))
         path, _ = self.write_snapshot(df, f"{name}__base", partition_by, observe_rows=False,
-                                      tag=f"e{last:012d}")
+                                      tag=epoch_tag(last))
         return path
 
     def vacuum_log(self, name: str, min_age_s: float = 3600.0) -> list[int]:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import PRIMARY_KEYS, TABLES
 from tidemark.operators.silver import change_rows, latest_per_key, merge_upsert
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, epoch_tag, folded_epoch
 
 BRONZE_STREAM_SCHEMA = T.StructType([
     T.StructField("cdc_ts_ms", T.LongType()), T.StructField("cdc_ts", T.TimestampType()),
@@ -93,10 +93,7 @@ def silver_delta_writer(store: Store, tables: list[str] | None = None):
     return write_deltas
 
 
-def _folded_epoch(version_path: str | None) -> int:
-    if version_path and "-e" in version_path.rsplit("/", 1)[-1]:
-        return int(version_path.rsplit("-e", 1)[1])
-    return -1
+_folded_epoch = folded_epoch
 
 
 def read_silver(store: Store, table: str) -> DataFrame:
@@ -125,7 +122,7 @@ def compact_silver(store: Store, table: str) -> str:
     epochs = store.epochs(delta_name(table))
     last = epochs[-1] if epochs else _folded_epoch(store.current(f"silver/{table}"))
     path, _ = store.write_snapshot(read_silver(store, table), f"silver/{table}",
-                                   observe_rows=False, tag=f"e{last:012d}")
+                                   observe_rows=False, tag=epoch_tag(last))
     return path
 
 
