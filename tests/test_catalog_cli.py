@@ -48,6 +48,10 @@ def test_cli_layers(spark, scratch):
     out = cli.main(["kpi", "--root", root, "--name", "kpi_cancellation_rate"], spark=spark)
     want = p.kpis["kpi_cancellation_rate"].collect()
     assert out["kpi_cancellation_rate"] == want
+    rows = cli.main(["sql", "--root", root,
+                     "SELECT ROUND(100.0 * SUM(is_cancelled) / COUNT(*), 2) FROM gold_orders"],
+                    spark=spark)
+    assert float(rows[0][0]) == want[0][0]
     done = cli.main(["compact", "--root", root, "--partition-by", "cdc_table",
                      "--vacuum-after", "0"], spark=spark)
     assert "bronze" in done and "silver/orders" in done

@@ -6,6 +6,8 @@
   silver  --root <lake> --table all|<name> [--incremental] [--compact]
   gold    --root <lake> --table all|<name>
   kpi     --root <lake> --name all|<kpi>
+  sql     --root <lake> "<SELECT ... FROM gold_orders ...>" [--limit 100]
+          (every gold product is a view named gold_<product>)
   compact --root <lake> [--partition-by cdc_table,event_day] [--vacuum-after 3600]
           (bronze log -> new compacted base; silver deltas -> new base versions)
 
@@ -48,6 +50,10 @@ def _parser() -> argparse.ArgumentParser:
     k = sub.add_parser("kpi")
     k.add_argument("--root", required=True)
     k.add_argument("--name", default="all")
+    q = sub.add_parser("sql")
+    q.add_argument("--root", required=True)
+    q.add_argument("statement")
+    q.add_argument("--limit", type=int, default=100)
     c = sub.add_parser("compact")
     c.add_argument("--root", required=True)
     c.add_argument("--partition-by", default="cdc_table,event_day")
@@ -104,6 +110,14 @@ def main(argv: list[str] | None = None, spark=None):
         kpis = K.build_kpis(jobs.read_gold(store))
         names = list(kpis) if args.name == "all" else [args.name]
         return {n: kpis[n].collect() for n in names}
+    if args.layer == "sql":
+        gold = jobs.read_gold(store)
+        for product, df in gold.items():
+            df.createOrReplaceTempView(f"gold_{product}")
+        rows = spark.sql(args.statement).limit(args.limit).collect()
+        for r in rows:
+            print("\t".join("" if v is None else str(v) for v in r))
+        return rows
     if args.layer == "compact":
         from tidemark.operators.bronze import COORDINATES
         out = {"bronze": store.compact_log("bronze", args.partition_by.split(","),
