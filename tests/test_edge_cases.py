@@ -161,3 +161,13 @@ def test_fk_orphan_counts_match_anti_joins(spark):
            Q.fk_orphan_counts({"a": a, "b": b, "p": parent}, fks).collect()}
     assert got == {("a", 1), ("b", 0)}
     assert Q.fk_orphans(a, "pid", parent, "id").count() == 1
+
+
+def test_all_null_amounts_average_to_null(spark):
+    pay = S.state(B.decode(records_df(spark, [record(envelope(
+        "c", after={"payment_id": 5, "order_id": 10, "method": "card", "status": "completed",
+                    "payment_date": "2023-12-10T00:00:00Z"},
+        table="payments", ts_ms=1, lsn=1), 1, table="payments")])), "payments")
+    empty = _state(spark, [])
+    r = G.gold_payments_summary(pay, empty, _customers(spark, [])).collect()
+    assert r[0]["avg_amount"] is None and r[0]["nb_payments"] == 1

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import is_live
+from tidemark.functions.columns import is_live, ratio
 
 # Partition column of each gold product in the store.
 GOLD_PARTITIONS = {"orders": "order_year", "sales_facts": "order_year",
@@ -101,7 +101,7 @@ def gold_payments_summary(payments: DataFrame, orders: DataFrame,
                       "customer_segment")
             .agg(F.count_distinct("payment_id").alias("nb_payments"),
                  F.sum("amount").alias("total_amount"),
-                 (F.sum("amount").cast(T.DoubleType()) / F.count("amount")).alias("avg_amount")))
+                 ratio(F.sum("amount"), F.count("amount")).alias("avg_amount")))
 
 
 def gold_returns_summary(returns: DataFrame, orders: DataFrame,
@@ -123,9 +123,8 @@ def _audit_aggs():
     ref_ms = F.unix_seconds(F.col("kafka_ts")) * 1000 - F.col("cdc_ts_ms")
     exact_ms = F.unix_millis(F.col("kafka_ts")) - F.col("cdc_ts_ms")
     return [F.count(F.lit(1)).alias("event_count"),
-            (F.sum(ref_ms).cast(T.DoubleType()) / F.count(ref_ms) / 1000.0)
-            .alias("avg_latency_seconds"),
-            (F.sum(exact_ms).cast(T.DoubleType()) / F.count(exact_ms)).alias("avg_latency_ms"),
+            (ratio(F.sum(ref_ms), F.count(ref_ms)) / 1000.0).alias("avg_latency_seconds"),
+            ratio(F.sum(exact_ms), F.count(exact_ms)).alias("avg_latency_ms"),
             F.sum(exact_ms).alias("latency_ms_total"),
             F.max("cdc_ts").alias("last_event_ts")]
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import money_out
+from tidemark.functions.columns import money_out, ratio
 
 
 def _money(c):
@@ -34,8 +34,8 @@ def kpi_latency_by_table(audit: DataFrame) -> DataFrame:
 def kpi_latency_weighted(audit: DataFrame) -> DataFrame:
     """K2, weighted by events: the true mean latency per event."""
     return (audit.groupBy("source_table")
-            .agg(F.round(F.sum("latency_ms_total").cast(T.DoubleType())
-                         / F.sum("event_count") / 1000.0, 2).alias("avg_latency_sec")))
+            .agg(F.round(ratio(F.sum("latency_ms_total"), F.sum("event_count")) / 1000.0, 2)
+                 .alias("avg_latency_sec")))
 
 
 def kpi_orders_by_day(orders: DataFrame, days: int = 30) -> DataFrame:
