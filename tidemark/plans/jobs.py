@@ -56,8 +56,9 @@ def _collect_errors(items, fn, parallel: int = 1) -> dict:
 def run_bronze(store: Store, records: DataFrame, epoch_id: int = 0,
                run_ts: Column | None = None,
                partition_by: list[str] | None = None) -> tuple[int, int]:
-    """Batch ingest of records as one bronze epoch (valid events + quarantine);
-    returns (events written, records quarantined)."""
+    """Batch ingest of one bounded chunk of records (a landed file set) as one bronze
+    epoch (valid events + quarantine); returns (events written, records quarantined).
+    Larger backlogs go through the stream, whose triggers bound each epoch."""
     return write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
 
 
