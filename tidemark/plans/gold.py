@@ -18,6 +18,11 @@ from tidemark.functions.columns import is_live, ratio
 # Partition column of each gold product in the store.
 GOLD_PARTITIONS = {"orders": "order_year", "sales_facts": "order_year",
                    "payments_summary": "payment_year"}
+# Row key used with the partition column to range-cluster a partitioned write: few
+# large files per partition value, and a partition value with a third of the rows
+# is spread over several tasks.
+GOLD_CLUSTER_KEYS = {"orders": "order_id", "sales_facts": "item_id",
+                     "payments_summary": "payment_day"}
 
 
 def _calendar(ts_col: str, prefix: str) -> list:

@@ -142,6 +142,8 @@ def run_gold(store: Store, products: list[str] | None = None, parallel: int = 1)
     def one(name):
         df = GOLD_BUILDERS[name](silver, bronze)
         part = G.GOLD_PARTITIONS.get(name)
+        if part:
+            df = df.repartitionByRange(part, G.GOLD_CLUSTER_KEYS[name])
         path, rows = store.write_snapshot(df, f"gold/{name}", [part] if part else None)
         log.info("gold %s: %s rows -> %s", name, rows, path)
         return path, rows
