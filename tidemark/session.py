@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +64,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -70,15 +72,16 @@ def ship_package(spark: SparkSession) -> None:
     ``mapInPandas`` helpers are pickled by reference to their module): zip the
     package once per application and register it with ``addPyFile``."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    import shutil
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = tempfile.mkdtemp(prefix="tidemark-pkg-")
-    archive = shutil.make_archive(os.path.join(out, "tidemark"), "zip",
-                                  root_dir=os.path.dirname(pkg), base_dir="tidemark")
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        import shutil
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = tempfile.mkdtemp(prefix="tidemark-pkg-")
+        archive = shutil.make_archive(os.path.join(out, "tidemark"), "zip",
+                                      root_dir=os.path.dirname(pkg), base_dir="tidemark")
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
 
 
 def apply_session_conf(spark: SparkSession) -> None:
