@@ -41,3 +41,45 @@ def test_cli_bronze_arguments():
     assert cli._tables("all") == cli.TABLES
     s = cli._parser().parse_args(["silver", "--root", "/r", "--incremental", "--compact"])
     assert s.incremental and s.compact and s.table == "all"
+
+
+def test_gold_star_join_splits_a_hot_order(spark):
+    """A third of all order lines on one order: AQE splits that key's partition on
+    the fact side of the (non-broadcast) join instead of giving it to one task."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import gold as G
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        live = [F.lit(False).alias("_is_deleted")]
+        n = 60000
+        items = spark.range(n).select(
+            F.col("id").alias("item_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2)
+            .alias("order_id"),
+            (F.col("id") % 100).alias("product_id"), F.lit(1).alias("quantity"),
+            F.lit(2.5).cast("decimal(12,2)").alias("unit_price"), *live)
+        orders = spark.range(1, 5002).select(
+            F.col("id").alias("order_id"), (F.col("id") % 50).alias("customer_id"),
+            F.current_timestamp().alias("order_date"), F.lit("web").alias("channel"),
+            F.lit("confirmed").alias("status"), *live)
+        products = spark.range(100).select(
+            F.col("id").alias("product_id"), F.lit("p").alias("name"),
+            F.lit("c").alias("category"), F.lit("b").alias("brand"), *live)
+        customers = spark.range(50).select(
+            F.col("id").alias("customer_id"), F.lit("n").alias("name"),
+            F.lit("s").alias("segment"), F.lit("c").alias("city"), *live)
+        df = G.gold_sales_facts(items, orders, products, customers)
+        assert len(df.collect()) == n
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
