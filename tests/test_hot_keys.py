@@ -83,3 +83,20 @@ def test_gold_star_join_splits_a_hot_order(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_insert_ignore_limits_a_hot_unique_key_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import quality as Q
+
+    target = spark.createDataFrame([(0, "a@x")], "customer_id long, email string")
+    incoming = spark.range(1, 30000).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot@x"))
+        .otherwise(F.concat(F.col("id").cast("string"), F.lit("@x"))).alias("email"))
+    out = Q.insert_ignore(target, incoming, ["email"], ["customer_id"])
+    got = {r["email"]: r["customer_id"] for r in out.collect()}
+    assert got["hot@x"] == 3 and got["a@x"] == 0 and len(got) == 1 + 1 + 20000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -78,10 +78,14 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, unique: list[str],
     Incoming rows whose unique key already exists in ``target`` are dropped; among
     incoming rows sharing a key the first by ``order`` wins.
     """
-    fresh = incoming.join(target.select(*unique), unique, "left_anti")
+    # First-wins runs before the anti join (the two commute: every row of a key that
+    # exists in the target is dropped either way).  Directly over the input, the
+    # rank-1 filter gets a partial limit before its shuffle, so a key repeated a
+    # billion times ships one row per map task, and the anti join sees unique keys.
     w = Window.partitionBy(*unique).orderBy(*order)
-    first = fresh.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return target.unionByName(first)
+    first = incoming.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    fresh = first.join(target.select(*unique), unique, "left_anti")
+    return target.unionByName(fresh)
 
 
 def next_status(status: Column) -> Column:
