@@ -100,3 +100,54 @@ def test_insert_ignore_limits_a_hot_unique_key_before_the_shuffle(spark):
     assert got["hot@x"] == 3 and got["a@x"] == 0 and len(got) == 1 + 1 + 20000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_replay_dedup_aggregates_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import bronze as B
+
+    # one record delivered 20,000 times plus 10,000 distinct records
+    hot = spark.range(20000).select(F.lit("t").alias("kafka_topic"),
+                                    F.lit(0).alias("kafka_partition"),
+                                    F.lit(7).cast("long").alias("kafka_offset"),
+                                    F.lit("x").alias("v"))
+    rest = spark.range(10000).select(F.lit("t").alias("kafka_topic"),
+                                     F.lit(1).alias("kafka_partition"),
+                                     F.col("id").alias("kafka_offset"), F.lit("y").alias("v"))
+    out = B.dedup_replays(hot.unionByName(rest).repartition(8))
+    assert out.count() == 10001
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan  # map-side combine before the exchange
+
+
+def test_fk_orphan_counts_pre_aggregate_a_hot_parent(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import quality as Q
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        child = spark.range(60000).select(
+            F.col("id").alias("item_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2)
+            .alias("order_id"))
+        parent = spark.range(1, 4000).select(F.col("id").alias("order_id"))
+        out = Q.fk_orphan_counts({"items": child, "orders": parent},
+                                 [("items", "order_id", "orders", "order_id")])
+        got = out.collect()
+        want = child.join(parent, "order_id", "left_anti").count()
+        assert got[0]["n_orphans"] == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # references are counted per value before the join: the hot parent is one row
+        join_at = plan.index("SortMergeJoin")
+        assert "partial_count" in plan[join_at:]
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

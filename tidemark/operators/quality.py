@@ -40,8 +40,9 @@ def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column:
 def fk_orphan_counts(tables: dict[str, DataFrame],
                      foreign_keys: list[tuple[str, str, str, str]]) -> DataFrame:
     """Orphan count for every foreign key (Q2), one join per *parent* table: the
-    references of all children pointing at a parent are unioned with a tag, joined
-    once to the parent's keys, and counted per tag (zero counts included)."""
+    references of all children pointing at a parent are unioned with a tag, counted
+    per distinct value, joined once to the parent's keys, and summed per tag (zero
+    counts included)."""
     out = None
     parents = list(dict.fromkeys(fk[2] for fk in foreign_keys))
     for parent in parents:
@@ -56,9 +57,15 @@ def fk_orphan_counts(tables: dict[str, DataFrame],
                 F.col(col).alias("_ref"))
             refs = r if refs is None else refs.unionByName(r)
         keys = tables[parent].select(F.col(pcol).alias("_key"), F.lit(True).alias("_found"))
-        counted = (refs.join(keys, refs._ref == keys._key, "left")
+        # references counted per distinct value first (partial aggregation map-side):
+        # a parent referenced by a third of all rows becomes one row with its count,
+        # and the join sees unique keys on both sides
+        per_value = refs.groupBy("child_table", "fk_column", "_ref").agg(
+            F.count(F.lit(1)).alias("_n"))
+        counted = (per_value.join(keys, per_value._ref == keys._key, "left")
                    .groupBy("child_table", "fk_column")
-                   .agg(F.count(F.when(F.col("_found").isNull(), 1)).alias("n_orphans"))
+                   .agg(F.coalesce(F.sum(F.when(F.col("_found").isNull(), F.col("_n"))),
+                                   F.lit(0)).cast("long").alias("n_orphans"))
                    .withColumn("parent_table", F.lit(parent)))
         out = counted if out is None else out.unionByName(counted)
     return out.select("child_table", "fk_column", "parent_table", "n_orphans")
