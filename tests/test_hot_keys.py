@@ -151,3 +151,22 @@ def test_fk_orphan_counts_pre_aggregate_a_hot_parent(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_bronze_write_clustering_spreads_a_hot_day(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.bronze import clustered_for_write
+
+    n = 30000
+    df = spark.range(n).select(
+        F.lit("orders").alias("cdc_table"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01"))
+        .otherwise(F.date_format(F.date_add(F.lit("2023-01-01"), (F.col("id") % 300).cast("int")),
+                                 "yyyy-MM-dd")).cast("date").alias("event_day"),
+        F.lit("cdc.public.orders").alias("kafka_topic"), F.lit(0).alias("kafka_partition"),
+        F.col("id").alias("kafka_offset"))
+    parts = (clustered_for_write(df, ["cdc_table", "event_day"])
+             .filter(F.col("event_day") == F.lit("2024-01-01").cast("date"))
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
