@@ -166,7 +166,14 @@ def test_bronze_write_clustering_spreads_a_hot_day(spark):
                                  "yyyy-MM-dd")).cast("date").alias("event_day"),
         F.lit("cdc.public.orders").alias("kafka_topic"), F.lit(0).alias("kafka_partition"),
         F.col("id").alias("kafka_offset"))
-    parts = (clustered_for_write(df, ["cdc_table", "event_day"])
-             .filter(F.col("event_day") == F.lit("2024-01-01").cast("date"))
-             .select(F.spark_partition_id().alias("p")).distinct().count())
+    # AQE merges adjacent range partitions only up to the advisory size; at this tiny
+    # size it would merge everything into one, so model large partitions by turning
+    # coalescing off
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (clustered_for_write(df, ["cdc_table", "event_day"])
+                 .filter(F.col("event_day") == F.lit("2024-01-01").cast("date"))
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert parts > 1
