@@ -249,16 +249,19 @@ def shared_keys(source: DataFrame, emit, shards: int) -> DataFrame:
         if held:
             key, id_, aux, more = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            keep = more[order] > 0
+            order = np.lexsort((id_, key))
+            key, id_, aux, more = key[order], id_[order], aux[order], more[order]
+            new = np.ones(len(key), dtype=bool)  # an id may come from several tasks
+            new[1:] = (key[1:] != key[:-1]) | (id_[1:] != id_[:-1])
+            more = np.maximum.reduceat(more, np.flatnonzero(new))
+            key, id_, aux = key[new], id_[new], aux[new]
+            keep = more > 0
             equal = key[1:] == key[:-1]
             keep[1:] |= equal
             keep[:-1] |= equal
-            order = order[keep]
-            for a in range(0, len(order), 100_000):
-                o = order[a:a + 100_000]
-                yield _rows(key[keep][a:a + 100_000], id_[o], aux[o])
+            key, id_, aux = key[keep], id_[keep], aux[keep]
+            for a in range(0, len(key), 100_000):
+                yield _rows(key[a:a + 100_000], id_[a:a + 100_000], aux[a:a + 100_000])
 
     dealt = source.mapInArrow(out, "shard int, kind int, blob binary").repartition(
         shards_to_tasks(source.sparkSession, shards), "shard")
@@ -274,43 +277,57 @@ def shards_to_tasks(spark: SparkSession, shards: int) -> int:
     return max(1, min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def link_groups(scratch: Scratch, shared: DataFrame, close, verify) -> DataFrame:
+def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda x: F.lit(0)) -> DataFrame:
     """Verified links (a, b) that connect the ids of every key group as all pairs would.
 
-    shared: written table (key, id, aux).  close(a, b): cheap condition on two aux
-    columns that every true link fulfils.  verify: pairs (a, b) -> links (a, b).
+    shared: written table (key, id, aux).  close(x, y): cheap condition on two aux
+    columns that every true link fulfils on some shared key.  verify: pairs (a, b) of
+    ids -> links (a, b).  rank(x): members of the lowest rank are hubs first.
 
-    Each member is first compared with the smallest id of its group, a star and not
-    all pairs.  Ids that this leaves in different components are then compared with
-    each other, so no link between components is lost; pairs already joined by the
-    star are not expanded.
+    Rounds of stars: each member is compared with its group's first member by (rank, id)
+    that has not been a hub there, unless links have joined the two already.  Once a group's
+    members are in one component it is done, so a group of many near copies takes a few
+    rounds and not all its pairs.  When the pairs left between components are few (or
+    the rounds no longer help), they are compared, so no link between components is lost.
     """
-    hubs = scratch.write(
-        shared.groupBy("key").agg(F.min(F.struct("id", "aux")).alias("hub")), "hubs")
-    star = (shared.join(hubs, "key").where(F.col("id") > F.col("hub.id"))
-            .where(close(F.col("aux"), F.col("hub.aux")))
-            .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
-    star = scratch.write(star, "star")
-    links = scratch.write(verify(star), "star-links")
-    label = components(scratch, links)
-    member = (shared.join(label, "id", "left")
-              .select("key", "id", "aux", F.coalesce("label", "id").alias("label")))
-    member = scratch.write(member, "members")
-    # the hub has met all members, so it is not compared again
-    open_ = (member.join(hubs, "key").where(F.col("id") > F.col("hub.id"))
-             .select("key", "id", "aux", "label"))
-    mixed = scratch.write(open_.groupBy("key").agg(F.min("label").alias("lo"),
-                                                    F.max("label").alias("hi"))
-                          .where("lo < hi").select("key"), "mixed")
-    rest = scratch.write(open_.join(mixed, "key", "left_semi"), "open")
-    x, y = (rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "aux", "label")))
+    open_ = shared.withColumn("label", F.col("id"))
+    first = F.struct(rank(F.col("aux")).alias("rank"), "id")
+    seen = links = None
+    left = None
+    while True:
+        hubs = scratch.write(
+            open_.groupBy("key").agg(F.min_by(F.struct("id", "aux", "label"), first).alias("hub")), "hubs")
+        member = open_.join(hubs, "key").where(F.col("id") != F.col("hub.id"))
+        star = (member.where(F.col("label") != F.col("hub.label"))
+                .where(close(F.col("aux"), F.col("hub.aux")))
+                .select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct())
+        star = scratch.write(star if seen is None else star.join(seen, ["a", "b"], "left_anti"), "star")
+        found = scratch.write(verify(star), "star-links")
+        seen = star if seen is None else seen.unionByName(star)
+        links = found if links is None else links.unionByName(found)
+        label = components(scratch, links)
+        now = scratch.write(member.select("key", "id", "aux").join(label, "id", "left")
+                            .select("key", "id", "aux", F.coalesce("label", "id").alias("label")), "labelled")
+        # pairs of a key between components: (all pairs) - (pairs within a component)
+        by = now.groupBy("key", "label").agg(F.count("*").alias("n"))
+        mixed = scratch.write(
+            by.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"),
+                                  F.count("*").alias("labels"))
+            .where("labels > 1").select("key", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"),
+                                        "n"), "mixed")
+        pairs, rows = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)),
+                                F.coalesce(F.sum("n"), F.lit(0))).first()
+        open_ = scratch.write(now.join(mixed.select("key"), "key", "left_semi"), "open")
+        if pairs <= 4 * rows or (left is not None and pairs > 0.9 * left):
+            break
+        left = pairs
+    x, y = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "aux", "label")))
             for s in "xy")
     pairs = (x.join(y, "key").where("id_x < id_y and label_x <> label_y")
              .where(close(F.col("aux_x"), F.col("aux_y")))
              .select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = scratch.write(verify(scratch.write(pairs, "pairs")), "more-links")
-    return links.unionByName(more)
+             .join(seen, ["a", "b"], "left_anti"))
+    return links.unionByName(scratch.write(verify(scratch.write(pairs, "pairs")), "more-links"))
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:

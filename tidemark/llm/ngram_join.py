@@ -16,7 +16,8 @@ Candidates are verified on the whole sets, compared in exact integers.
 
 Edge cases: null or wordless text has an empty set, its own component and no links;
 fewer than five words form one shingle; rows with equal sets are one class; a null
-doc_id keeps its row with a null component; rows that repeat a doc_id are one node;
+doc_id keeps its row with a null component; of rows that repeat a doc_id each keeps the
+component of its own set;
 further columns of the input are ignored; an empty table gives an empty result.
 """
 
@@ -37,7 +38,7 @@ WORDS = 5
 PERCENT = 80
 CELLS = 1 << 17  # of each of the sketch's rows
 ROWS = 3
-LEAST_FREQUENT = 256
+LEAST_FREQUENT = 32
 MOST_FREQUENT = 1 << 22  # bound on the number of frequent tokens, whatever the input
 TOKENS_PER_SHARD = 150_000
 
@@ -47,15 +48,16 @@ def _allowed(n):
     return n - -(-PERCENT * n // 100)
 
 
-def _digests(batches):
+def _sets(batches):
     for batch, i, j, data, off in text_rows(batches):
         sets = shingle_sets(data, off, WORDS)
-        d = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        two = np.frombuffer(b"".join(d), dtype=np.int64).reshape(-1, 2)
+        two = _class_ids(sets)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(i, j - i),
              pa.array(np.array([len(s) for s in sets], np.int64)),
-             pa.array(two[:, 0]), pa.array(two[:, 1])], ["doc_id", "n_shingles", "d1", "d2"])
+             pa.array(np.ascontiguousarray(two[:, 0])), pa.array(np.ascontiguousarray(two[:, 1])),
+             pa.array([histogram(s).tobytes() for s in sets], pa.binary())],
+            ["doc_id", "n_shingles", "id", "d2", "h"])
 
 
 def _cells(tokens: np.ndarray) -> list[np.ndarray]:
@@ -86,67 +88,105 @@ def frequent_cells(texts: DataFrame, total: int) -> np.ndarray:
     return out.reshape(ROWS, CELLS)
 
 
-def signature_keys(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Index keys of one set's prefix.  tokens: sorted distinct; frequent: a mask."""
+def signature_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of one set's prefix, and for each the number of tokens that the set is
+    known to miss if this is the first key that it shares with another set.
+    tokens: sorted distinct; frequent: a mask."""
     n = len(tokens)
     need = _allowed(n) + 1
     rare = tokens[~frequent]
-    if len(rare) >= need:
-        return mix(rare[:need])
-    if n < 2:
-        return mix(rare)
-    keys = [mix(rare)]
-    need -= len(rare)
+    if len(rare) >= need or n < 2:
+        return mix(rare[:need]), np.arange(min(need, len(rare)))
+    keys, missed = [mix(rare)], [np.arange(len(rare))]
     often = tokens[frequent]
     # The number of subclasses follows the set's size in powers of two.  A linked set
     # may be 1/0.8 times as large, so a set near the next power uses both numbers.
-    level = _level(n)
-    for lv in sorted({level, _level(100 * n // PERCENT)}):
+    for lv in sorted({_level(n), _level(100 * n // PERCENT)}):
         parts = 1 << lv
         sub = (mix(often ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((often, sub))
         heads = np.flatnonzero(np.diff(sub[order], prepend=-1))
         ends = np.append(heads[1:], len(often))
-        gained = np.cumsum(ends - heads - 1)
-        last = int(np.searchsorted(gained, need))
-        for a, b in zip(heads[:last + 1].tolist(), ends[:last + 1].tolist(), strict=True):
+        cost = len(rare) + np.cumsum(ends - heads - 1)  # without sharing a pair up to here
+        last = int(np.searchsorted(cost, need))
+        for a, b, c in zip(heads[:last + 1].tolist(), ends[:last + 1].tolist(), cost.tolist(), strict=False):
             t = often[order[a:b]]
             i, j = np.triu_indices(len(t), 1)
             keys.append(mix(t[i] * np.uint64(0x9FB21C651E98DF25) + mix(t[j] + np.uint64(lv + 1))))
-    return np.concatenate(keys)
+            missed.append(np.full(len(i), c - (b - a - 1)))
+    return np.concatenate(keys), np.concatenate(missed)
 
 
 def _level(n: int) -> int:
     return max(0, (n // 6).bit_length() - 1)
 
 
+def _class_ids(sets) -> np.ndarray:
+    """Two 64-bit halves of a digest of each set; the first names the class of equal sets."""
+    d = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+    return np.frombuffer(b"".join(d), dtype=np.int64).reshape(-1, 2)
+
+
 def _emit_keys(frequent):
     def emit(batches):
-        for batch, i, j, data, off in text_rows(batches):
-            ids = batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)
-            sets = shingle_sets(data, off, WORDS)
+        for _, _, _, data, off in text_rows(batches):
+            sets = [s for s in shingle_sets(data, off, WORDS) if len(s)]
             if not sets:
                 continue
+            ids = _class_ids(sets)[:, 0]
             sizes = [len(s) for s in sets]
             every = np.concatenate(sets)
-            mask = frequent.value[0][_cells(every)[0]]
+            cells = _cells(every)
+            mask = frequent.value[0][cells[0]]
             if mask.any():
-                for r, cell in enumerate(_cells(every)):
-                    mask &= frequent.value[r][cell]
+                for r in range(1, ROWS):
+                    mask &= frequent.value[r][cells[r]]
             at = np.cumsum([0, *sizes])
             keys = [signature_keys(s, mask[at[k]:at[k + 1]]) for k, s in enumerate(sets)]
-            lens = np.array([len(k) for k in keys])
-            yield (np.concatenate(keys).view(np.int64), np.repeat(ids.astype(np.int64), lens),
-                   np.repeat(np.array(sizes, np.int64), lens))
+            lens = np.array([len(k) for k, _ in keys])
+            place = np.minimum(np.concatenate([m for _, m in keys]), (1 << 21) - 1).astype(np.int64)
+            rare = np.add.reduceat((~mask).astype(np.int64), at[:-1]) * 1000 // np.array(sizes)
+            yield (np.concatenate([k for k, _ in keys]).view(np.int64), np.repeat(ids, lens),
+                   np.repeat(np.array(sizes, np.int64) | (rare << 53), lens) | (place << 32))
     return emit
 
 
+def histogram(tokens: np.ndarray) -> np.ndarray:
+    """Token counts by hash cell, about four tokens a cell; 255 stands for that or more."""
+    cells = 1 << max(0, (len(tokens) // 4).bit_length() - 1)
+    cell = ((tokens >> np.uint64(32)) & np.uint64(cells - 1)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=cells), 255).astype(np.uint8)
+
+
+def most_common_tokens(x: np.ndarray, y: np.ndarray) -> int:
+    """Upper bound on the intersection of two sets, from their histograms."""
+    if max(x.max(initial=0), y.max(initial=0)) == 255:
+        return 1 << 62
+    cells = min(len(x), len(y))
+    x, y = (v.reshape(-1, cells).sum(axis=0, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
+def _possible(batches):
+    for batch in batches:
+        keep = []
+        m, n = (batch.column(k).to_pylist() for k in (2, 3))
+        for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+            most = most_common_tokens(*(np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y)))
+            if 100 * most >= PERCENT * (m[k] + n[k] - most):
+                keep.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(keep, pa.int64()))
+
+
 def _token_blobs(batches):
+    """Token sets of the wanted classes; another text of a repeated doc_id is left out."""
     for batch, i, j, data, off in text_rows(batches):
         sets = shingle_sets(data, off, WORDS)
+        own = pa.array(np.flatnonzero(
+            _class_ids(sets)[:, 0] == batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())],
-            ["id", "tokens"])
+            ["id", "tokens"]).take(own)
 
 
 def _overlaps(batches):
@@ -163,22 +203,43 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
-def _verifier(scratch: Scratch, texts: DataFrame):
-    """pairs (a, b) -> those whose whole sets link."""
+def _verifier(scratch: Scratch, docs: DataFrame, classes: DataFrame):
+    """pairs (a, b) of classes -> those whose whole sets link.  Histograms, a hundredth of
+    the size, rule out most pairs first; the sets of the rest are compared token by token,
+    and are read from the texts once."""
+    size = classes.select("id", "n", "h")
+    tokens: list[DataFrame] = []
+
+    def both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(table.select(F.col("id").alias(side), *(
+                F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+        return pairs.select("a", "b", *(f"{c}_{s}" for c in columns for s in "ab"))
+
     def verify(pairs: DataFrame) -> DataFrame:
+        pairs = scratch.write(
+            both(pairs, size, ["n", "h"]).mapInArrow(_possible, "a long, b long"), "possible")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        token = scratch.write(
-            texts.join(ids, "id", "left_semi").select("id", "text")
-            .mapInArrow(_token_blobs, "id long, tokens binary"), "tokens")
-        x = token.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-        y = token.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-        return (pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                .mapInArrow(_overlaps, "a long, b long").distinct())
+        for known in tokens:
+            ids = ids.join(known.select("id"), "id", "left_anti")
+        want = scratch.write(classes.join(ids, "id", "left_semi").select("id", "doc_id"), "wanted")
+        tokens.append(scratch.write(
+            docs.join(want, "doc_id").select("id", "text").mapInArrow(_token_blobs, "id long, tokens binary"),
+            "tokens"))
+        every = tokens[0]
+        for more in tokens[1:]:
+            every = every.unionByName(more)
+        return both(pairs, every, ["tokens"]).mapInArrow(_overlaps, "a long, b long").distinct()
     return verify
 
 
-def _sizes_close(m, n):
-    return 100 * F.least(m, n) >= PERCENT * F.greatest(m, n)
+def _may_link(x, y):
+    """Size and position filter.  aux holds the set's size (32 bits), the tokens missed if
+    the key is the first shared one (21 bits) and the share of rare tokens.  The first key
+    that two sets share leaves at most min(size - missed) common tokens."""
+    m, n = (v.bitwiseAND(F.lit((1 << 32) - 1)) for v in (x, y))
+    left = F.least(*(k - F.shiftright(v, 32).bitwiseAND(F.lit((1 << 21) - 1)) for k, v in ((m, x), (n, y))))
+    return (100 + PERCENT) * left >= PERCENT * (m + n)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -188,25 +249,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = scratch.write(
-        docs.mapInArrow(_digests, "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
-    held = sets.where("n_shingles > 0 and doc_id is not null")
+        docs.mapInArrow(_sets, "doc_id long, n_shingles long, id long, d2 long, h binary"), "sets")
+    # the rows of one class have equal sets
     classes = scratch.write(
-        held.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "classes")
-    # one text a class from here on, so copies cost nothing
-    texts = scratch.write(
-        docs.join(classes.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi")
-        .select(F.col("doc_id").alias("id"), "text"), "texts")
-    total = int(classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    frequent = spark.sparkContext.broadcast(frequent_cells(texts, total))
+        sets.where("n_shingles > 0 and doc_id is not null").groupBy("id")
+        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("h").alias("h")), "classes")
+    total = int(sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0])
+    known = docs.where("doc_id is not null").select("text")
+    frequent = spark.sparkContext.broadcast(frequent_cells(known, total))
     shards = max(16, total // TOKENS_PER_SHARD)
-    shared = scratch.write(shared_keys(texts, _emit_keys(frequent), shards), "shared")
-    links = link_groups(scratch, shared, _sizes_close, _verifier(scratch, texts))
+    shared = scratch.write(shared_keys(known, _emit_keys(frequent), shards), "shared")
+    links = link_groups(scratch, shared, _may_link, _verifier(scratch, docs, classes),
+                        rank=lambda aux: F.shiftright(aux, 53))
     label = components(scratch, links)
-    named = scratch.write(
-        classes.join(label, "id", "left").select("d1", "d2", F.coalesce("label", "id").alias("component_id")), "named")
-    return (sets.join(named, ["d1", "d2"], "left")
+    member = scratch.write(classes.join(label, "id", "left")
+                           .select("id", "doc_id", F.coalesce("label", "id").alias("label")), "labelled")
+    least = scratch.write(member.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
+    named = scratch.write(member.join(least, "label").select("id", "component_id"), "named")
+    return (sets.select("doc_id", "n_shingles", "id").join(named, "id", "left")
             .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id"))
+                    F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, ngram_join
+from tidemark.llm import kneser_ney, line_dedup, ngram_join, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,10 +15,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op8_ngram_jaccard_join)}
+def op10_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_texts(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_best_fit_packing, op8_ngram_jaccard_join, op10_kneser_ney_scores)}
 
 ORACLE: dict[str, str] = {}
