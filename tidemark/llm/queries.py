@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import kneser_ney, line_dedup, ngram_join, packing
+from tidemark.llm import embed_dedup, kneser_ney, language_id, line_dedup, ngram_join, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +20,24 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score_texts(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_best_fit_packing, op8_ngram_jaccard_join, op10_kneser_ney_scores)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
+    op9_embedding_near_dedup, op10_kneser_ney_scores)}
 
 ORACLE: dict[str, str] = {}
