@@ -1,11 +1,12 @@
 """Operator 9: near duplicates of embeddings by iterative quantisation.
 
-A rotation for balanced 64-bit codes is learned on a bounded sample (ITQ: principal axes
-of the unit vectors, then alternating sign codes and orthogonal Procrustes).  Every vector
-is indexed: four tables of 16-bit blocks, each vector entered under its block value and
-all values one bit away, so two codes meet in a table if their blocks differ in at most
-two bits; codes within 11 bits always meet.  Pairs within ``HAMMING`` bits are reranked
-by the cosine of the original vectors in double precision.
+Rotations for balanced binary codes are learned on a bounded sample (ITQ: principal axes
+of the unit vectors, then alternating sign codes and orthogonal Procrustes), two of them
+from different starts, 64 bits each.  Every vector is indexed: eight tables of 16-bit
+blocks, each vector entered under its block value and all values one bit away, so two
+codes meet in a table if their blocks differ in at most two bits; codes within 23 of 128
+bits always meet.  Pairs within ``HAMMING`` bits are reranked by the cosine of the
+original vectors in double precision.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null or
 non-finite components link with nothing; equal vectors are one class and link with each
@@ -28,8 +29,9 @@ from tidemark.llm.common import Scratch, bounded_batches, components, mix, shard
 
 COSINE = 0.9
 SAMPLE = 20_000  # vectors that the rotation is learned on, at most
-BITS, BLOCK = 64, 16
-HAMMING = 20  # pairs further apart are not reranked
+ROTATIONS, BITS, BLOCK = 2, 64, 16
+TABLES = ROTATIONS * BITS // BLOCK
+HAMMING = 44  # of 128 bits; pairs further apart are not reranked
 KEYS_PER_SHARD = 300_000
 UNIT = 1024  # members of a cell that are compared at once
 
@@ -64,12 +66,12 @@ def _classes(dim: int):
     return run
 
 
-def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 50) -> np.ndarray:
+def learn_rotation(sample: np.ndarray, start: int = 0, bits: int = BITS, rounds: int = 50) -> np.ndarray:
     """(dim, bits) projection: principal axes, then the rotation that brings the projected
     vectors nearest to their sign codes."""
     dim = sample.shape[1]
     bits_here = min(bits, dim)
-    rng = np.random.default_rng(7)
+    rng = np.random.default_rng(7 + start)
     if not len(sample):
         return np.linalg.qr(rng.standard_normal((dim, dim)))[0][:, :bits_here]
     _, axes = np.linalg.eigh(sample.T @ sample)
@@ -83,11 +85,17 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 50) -> np
     return axes @ r
 
 
-def codes(v: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    signs = (_unit(v) @ projection) >= 0
-    out = np.zeros((len(v), BITS), dtype=bool)
-    out[:, :signs.shape[1]] = signs
-    return np.packbits(out, axis=1).view(np.uint64).ravel()
+def codes(v: np.ndarray, projections: list[np.ndarray]) -> np.ndarray:
+    """(rows, ROTATIONS) of 64-bit codes."""
+    out = np.zeros((len(v), len(projections), BITS), dtype=bool)
+    for k, p in enumerate(projections):
+        out[:, k, :p.shape[1]] = (_unit(v) @ p) >= 0
+    return np.packbits(out.reshape(len(v), -1), axis=1).view(np.uint64)
+
+
+def _block(code: np.ndarray, table: int) -> np.ndarray:
+    word, at = divmod(table * BLOCK, BITS)
+    return (code[:, word] >> np.uint64(at)) & np.uint64((1 << BLOCK) - 1)
 
 
 def _cells(projection, shards: int, dim: int):
@@ -101,10 +109,9 @@ def _cells(projection, shards: int, dim: int):
                 continue
             v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, dim)
             code = codes(v, projection.value)
-            keys = [((((code >> np.uint64(BLOCK * t)) & np.uint64((1 << BLOCK) - 1))[:, None] ^ flips[None, :])
-                     | np.uint64(t << BLOCK)).ravel() for t in range(BITS // BLOCK)]
-            key = np.concatenate(keys)
-            who = np.tile(np.repeat(np.arange(len(ids)), len(flips)), BITS // BLOCK)
+            key = np.concatenate([((_block(code, t)[:, None] ^ flips[None, :]) | np.uint64(t << BLOCK)).ravel()
+                                  for t in range(TABLES)])
+            who = np.tile(np.repeat(np.arange(len(ids)), len(flips)), TABLES)
             shard = (mix(key) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -124,6 +131,7 @@ def _units(batches):
         for row in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True):
             held.append([np.frombuffer(x.as_buffer(), t).copy()
                          for x, t in zip(row, (np.uint32, np.int64, np.uint64), strict=True)])
+            held[-1][2] = held[-1][2].reshape(-1, ROTATIONS)
     if not held:
         return
     key, id_, code = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -144,9 +152,10 @@ def _units(batches):
     none = np.zeros(0, np.int64)
     pick = np.flatnonzero(np.repeat(small, size))
     # whole small cells, about a unit's worth of comparisons a row
-    work = np.repeat(size.astype(float), size)[pick].cumsum()
+    work = np.where(small, size.astype(np.int64) ** 2, 0)
+    unit = np.repeat((np.cumsum(work) - work) // (UNIT * UNIT), size)[pick]
     rows = [(0, key[p], id_[p], code[p], none, none)
-            for p in np.split(pick, np.flatnonzero(np.diff((work // (UNIT * UNIT)).astype(np.int64))) + 1) if len(p)]
+            for p in np.split(pick, np.flatnonzero(np.diff(unit)) + 1) if len(p)]
     for a in range(0, len(rows), 64):
         yield batch_of(rows[a:a + 64])
     for h, e in zip(heads[size > UNIT].tolist(), ends[size > UNIT].tolist(), strict=True):
@@ -158,22 +167,22 @@ def _units(batches):
 
 def _near(key, ia, ca, ib, cb):
     """Pairs within HAMMING bits whose first meeting place is this cell."""
-    x = ca ^ cb
-    ok = (np.bitwise_count(x) <= HAMMING) & (ia != ib)
-    key, ia, ca, ib, cb, x = (v[ok] for v in (key, ia, ca, ib, cb, x))
+    ok = (np.bitwise_count(ca ^ cb).sum(axis=1) <= HAMMING) & (ia != ib)
+    key, ia, ca, ib, cb = (v[ok] for v in (key.astype(np.uint64), ia, ca, ib, cb))
     if not len(ia):
         return ia, ib
-    low = np.uint64((1 << BLOCK) - 1)
-    blocks = [(x >> np.uint64(BLOCK * t)) & low for t in range(BITS // BLOCK)]
-    near = np.stack([np.bitwise_count(b) <= 2 for b in blocks])
-    table = near.argmax(axis=0).astype(np.uint64)
-    own = table == (key.astype(np.uint64) >> np.uint64(BLOCK))
-    diff = np.choose(table.astype(np.int64), blocks)
-    va, vb = ((c >> (table * np.uint64(BLOCK))) & low for c in (ca, cb))
-    bit = diff & (~diff + np.uint64(1))  # lowest differing bit
-    # equal: the value; one bit apart: the smaller; two: the smaller of the two between
-    place = np.where(np.bitwise_count(diff) <= 1, np.minimum(va, vb), np.minimum(va ^ bit, vb ^ bit))
-    own &= place == (key.astype(np.uint64) & low)
+    table = np.full(len(ia), TABLES, np.uint64)
+    place = np.zeros(len(ia), np.uint64)
+    for t in reversed(range(TABLES)):
+        va, vb = _block(ca, t), _block(cb, t)
+        diff = va ^ vb
+        apart = np.bitwise_count(diff)
+        bit = diff & (~diff + np.uint64(1))  # lowest differing bit
+        # equal: the value; one bit apart: the smaller; two: the smaller of the two between
+        at = np.where(apart <= 1, np.minimum(va, vb), np.minimum(va ^ bit, vb ^ bit))
+        table = np.where(apart <= 2, np.uint64(t), table)
+        place = np.where(apart <= 2, at, place)
+    own = key == ((table << np.uint64(BLOCK)) | place)
     a, b = ia[own], ib[own]
     return np.minimum(a, b), np.maximum(a, b)
 
@@ -184,6 +193,7 @@ def _pairs(batches):
             key = np.frombuffer(key.as_buffer(), np.uint32)
             ia, ca, ib, cb = (np.frombuffer(x.as_buffer(), t) for x, t in zip(
                 rest, (np.int64, np.uint64) * 2, strict=True))
+            ca, cb = (c.reshape(-1, ROTATIONS) for c in (ca, cb))
             if kind.as_py() == 0:
                 heads = np.flatnonzero(np.diff(key.astype(np.int64), prepend=-1))
                 ends = np.repeat(np.append(heads[1:], len(key)), np.diff(np.append(heads, len(key))))
@@ -197,7 +207,7 @@ def _pairs(batches):
             for k in range(len(ia)):
                 s = slice(k + 1, None) if same else slice(None)
                 m = len(ib[s])
-                a, b = _near(np.repeat(key, m), np.full(m, ia[k]), np.full(m, ca[k]), ib[s], cb[s])
+                a, b = _near(np.repeat(key, m), np.full(m, ia[k]), np.repeat(ca[k:k + 1], m, axis=0), ib[s], cb[s])
                 if len(a):
                     yield _pair_rows(a, b)
 
@@ -228,8 +238,9 @@ def near_links(scratch: Scratch, classes: DataFrame, dim: int) -> DataFrame:
     sample = (classes.where(F.pmod(F.col("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
               .limit(SAMPLE).select("v").collect())
     v = np.frombuffer(b"".join(r["v"] for r in sample), np.float64).reshape(-1, dim) if sample else np.zeros((0, dim))
-    projection = spark.sparkContext.broadcast(learn_rotation(_unit(v) if len(v) else v))
-    keys = n * (BITS // BLOCK) * (BLOCK + 1)
+    unit = _unit(v) if len(v) else v
+    projection = spark.sparkContext.broadcast([learn_rotation(unit, k) for k in range(ROTATIONS)])
+    keys = n * TABLES * (BLOCK + 1)
     shards = max(12, keys // KEYS_PER_SHARD)
     tasks = shards_to_tasks(spark, shards)
     near = scratch.write(
