@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embed_dedup, kneser_ney, language_id, line_dedup, ngram_join, packing
+from tidemark.llm import (
+    embed_dedup, fingerprints, kneser_ney, language_id, line_dedup, mixing, ngram_join, packing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source", "text")
+
+
+def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -37,7 +47,10 @@ def op10_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
+    op1_line_dedup, op3_pfair_mixing, op5_merkle_fingerprints, op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
     op9_embedding_near_dedup, op10_kneser_ney_scores)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_pfair_mixing": mixing.ORACLE,
+    "op5_merkle_fingerprints": fingerprints.ORACLE,
+}
