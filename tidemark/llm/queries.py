@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    embed_dedup, fingerprints, kneser_ney, language_id, line_dedup, mixing, ngram_join, packing,
+    embed_dedup, fingerprints, kneser_ney, language_id, license_scan, line_dedup, mixing, ngram_join,
+    packing, quality,
 )
 
 
@@ -17,10 +19,20 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op3_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source", "text")
 
 
+def op4_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the tables have no URL of a document: its source is the host, its language the path
+    site = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    return quality.rate_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), site)
+
+
 def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -47,7 +59,8 @@ def op10_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op3_pfair_mixing, op5_merkle_fingerprints, op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
+    op1_line_dedup, op2_license_scan, op3_pfair_mixing, op4_quality_bayes, op5_merkle_fingerprints,
+    op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
     op9_embedding_near_dedup, op10_kneser_ney_scores)}
 
 ORACLE: dict[str, str] = {
