@@ -25,39 +25,54 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, bounded_batches, slices, utf8, words
+from tidemark.llm.common import Scratch, bounded_batches, mix, slices, utf8, words
 
 TRAIN = 12_000
-CELLS = 1 << 15
-SURFACE = 8
+CELLS = 1 << 18
+LEAST_Z = 4.5  # cells whose share differs less between the classes get no weight
+RIDGE = 1e-5
+SURFACE = 20
 SOFT = 0.25  # weight of an unlabelled document's estimate, against a label's 1
 SIGNALS = ("quality", "toxic")
 
 
 def features(texts: pa.Array):
-    """For each text its distinct word cells and surface figures."""
+    """For each text its distinct cells (words without punctuation, and their first four
+    and five bytes, which inflected forms share) and surface figures."""
     text = texts.fill_null("")
     data, off = utf8(text)
     for i, j in slices(off):
         part, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
         low, lo = utf8(pc.utf8_lower(text.slice(i, j - i)))
         h, start, end, w = words(low, lo)
-        upper = np.concatenate([[0], np.cumsum((part >= 0x41) & (part <= 0x5A))])
-        sign = np.concatenate([[0], np.cumsum((part < 0x80) & (part > 0x20) & ~(
-            ((part | 0x20) >= 0x61) & ((part | 0x20) <= 0x7A)) & ~((part >= 0x30) & (part <= 0x39)))])
-        digit = np.concatenate([[0], np.cumsum((part >= 0x30) & (part <= 0x39))])
-        line = np.concatenate([[0], np.cumsum(part == 0x0A)])
-        # a word without its punctuation, so that "x," and "x" are one
-        h2, _, _, w2 = words(low, lo, _APART_WORDS)
+        inner, at, stop, w2 = words(low, lo, _APART_WORDS)
+        code = np.zeros(len(at), np.uint64)
+        cells = [inner]
+        for k in range(5):
+            there = at + k < stop
+            code[there] |= low[at[there] + k].astype(np.uint64) << np.uint64(8 * k)
+            if k >= 3:
+                cells.append(mix(np.where(there, code + np.uint64(k << 48), inner)))
+        cells = [(c >> np.uint64(46)).astype(np.int64) for c in cells]
+        upper = (part >= 0x41) & (part <= 0x5A)
+        sign = (part < 0x80) & (part > 0x20) & ~upper & ~((part >= 0x61) & (part <= 0x7A)) & ~(
+            (part >= 0x30) & (part <= 0x39))
+        pair = lambda x: np.append(x[1:] & x[:-1], [False] * min(1, len(x)))
+        sums = [np.concatenate([[0], np.cumsum(x)]) for x in (
+            upper, pair(upper), sign, pair(sign), (part >= 0x30) & (part <= 0x39), part == 0x0A)]
+        alone = np.zeros(len(h), dtype=bool)
+        alone[end - start == 1] = _APART_WORDS[low[start[end - start == 1]]]
+        again = np.zeros(len(h), dtype=bool)
+        again[1:] = h[1:] == h[:-1]
         for k in range(j - i):
             a, b = w[k], w[k + 1]
             n, size = b - a, max(1, o[k + 1] - o[k])
-            cell = np.unique((h2[w2[k]:w2[k + 1]] >> np.uint64(49)).astype(np.int64))
-            own = h[a:b]
-            share = [(c[o[k + 1]] - c[o[k]]) / size for c in (upper, sign, digit, line)]
+            count = [float(c[o[k + 1]] - c[o[k]]) for c in sums]
+            odd = [float(alone[a:b].sum()), float(again[a:b].sum())]
+            cell = np.unique(np.concatenate([c[w2[k]:w2[k + 1]] for c in cells]))
             yield cell, np.array([
-                1.0, 4 * share[0], 10 * share[1], 10 * share[2], 20 * share[3],
-                len(np.unique(own)) / n if n else 0.0,
+                1.0, *(4 * c / size for c in count), *(np.log1p(c) / 4 for c in count + odd),
+                *(4 * c / max(1, n) for c in odd), len(np.unique(h[a:b])) / n if n else 0.0,
                 (end[a:b] - start[a:b]).mean() / 10 if n else 0.0, np.log1p(n) / 10])
 
 
@@ -74,20 +89,26 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = 300) -> np.ndarray
     rows = list(features(pa.array(texts, pa.string())))
     row = np.repeat(np.arange(len(rows)), [len(c) for c, _ in rows])
     cell = np.concatenate([c for c, _ in rows])
-    scale = 1 / np.sqrt(np.maximum(1, np.array([len(c) for c, _ in rows])))
-    value = scale[row]
+    # only cells that tell the classes apart: the many others would learn the sample by heart
+    n1, n0 = max(1.0, float(y.sum())), max(1.0, float((1 - y).sum()))
+    share1 = np.bincount(cell, weights=y[row], minlength=CELLS) / n1
+    share0 = np.bincount(cell, weights=1 - y[row], minlength=CELLS) / n0
+    both = (share1 * n1 + share0 * n0) / (n1 + n0)
+    z = (share1 - share0) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n1 + 1 / n0))
+    tells = (np.abs(z) >= LEAST_Z)[cell]
+    row, cell = row[tells], cell[tells]
     surface = np.stack([s for _, s in rows])
     weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, v = np.zeros(CELLS), np.zeros(SURFACE)
     sw, sv = np.full(CELLS, 1e-8), np.full(SURFACE, 1e-8)
     for _ in range(rounds):
-        z = np.bincount(row, weights=w[cell] * value, minlength=len(rows)) + surface @ v
+        z = np.bincount(row, weights=w[cell], minlength=len(rows)) + surface @ v
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        gw = np.bincount(cell, weights=g[row] * value, minlength=CELLS) + 1e-6 * w
+        gw = np.bincount(cell, weights=g[row], minlength=CELLS) + RIDGE * w
         gv = surface.T @ g + 1e-6 * v
         sw += gw * gw
         sv += gv * gv
-        w -= 0.5 * gw / np.sqrt(sw)
+        w -= 0.1 * gw / np.sqrt(sw)
         v -= 0.2 * gv / np.sqrt(sv)
     return np.concatenate([w, v])
 
@@ -98,7 +119,7 @@ def _evidence(models):
         for batch in batches:
             out = np.zeros((batch.num_rows, len(weights)))
             for k, (cell, surface) in enumerate(features(batch.column(2))):
-                out[k] = weights[:, cell].sum(axis=1) / np.sqrt(max(1, len(cell))) + weights[:, CELLS:] @ surface
+                out[k] = weights[:, cell].sum(axis=1) + weights[:, CELLS:] @ surface
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(out[:, k]) for k in range(out.shape[1]))],
                 ["doc_id", "site", *(f"llr_{s}" for s in SIGNALS)])
