@@ -147,3 +147,21 @@ def identify(docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(train(docs))
     return docs.select("doc_id", F.coalesce(_fold() == HELD_OUT, F.lit(False)).alias("held_out"), "text").mapInArrow(
         _predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, least_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language is told with ``least_score`` or more."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    model = spark.sparkContext.broadcast(train(docs))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        predict = _predict(model)
+        for batch in batches:
+            three = pa.RecordBatch.from_arrays([batch.column(at)] * 3, ["doc_id", "held_out", "text"])
+            told = next(predict([three]))
+            keep = pc.and_(pc.not_equal(told.column(2), UNDETERMINED), pc.greater_equal(told.column(3), least_score))
+            yield batch.filter(keep)
+
+    return docs.mapInArrow(run, docs.schema)
