@@ -6,6 +6,7 @@ of bytes outside ``[\\x20\\x09-\\x0D]``, A-Z lower-cased, hashed to 64 bits.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 import numpy as np
@@ -31,12 +32,31 @@ class Scratch:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        self._freed = time.monotonic()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        self._free()
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Deletes written tables that nothing will read again."""
+        for df in tables:
+            path = getattr(df, "_scratch_path", None)
+            if path:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    def _free(self) -> None:
+        """Shuffle files of finished steps go when the driver collects its garbage; many
+        steps on a small driver heap would otherwise hold them all on disk."""
+        if time.monotonic() - self._freed > 3:
+            self._freed = time.monotonic()
+            self.spark._jvm.System.gc()
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -174,15 +194,31 @@ def text_rows(batches, text: str = "text"):
 SHARED = "key long, id long, aux long"
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes by significance, so that the many zero bytes of small numbers lie together."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
 def _pack(key, id_, aux, more) -> bytes:
-    return b"".join((np.int64(len(key)).tobytes(), key.tobytes(), id_.tobytes(), aux.tobytes(),
-                     more.astype(np.uint8).tobytes()))
+    names, back = np.unique(id_, return_inverse=True)
+    return b"".join((np.array([len(key), len(names)], np.int64).tobytes(), key.tobytes(), names.tobytes(),
+                     _planes(back.astype(np.uint32)), _planes(aux), more.astype(np.uint8).tobytes()))
 
 
 def _unpack(blob: bytes):
-    n = int(np.frombuffer(blob, np.int64, 1)[0])
-    at = [np.frombuffer(blob, np.int64, n, 8 + 8 * n * j) for j in range(3)]
-    return (*at, np.frombuffer(blob, np.uint8, n, 8 + 24 * n))
+    n, m = (int(x) for x in np.frombuffer(blob, np.int64, 2))
+    at = [16]
+
+    def take(kind, count):
+        out = np.frombuffer(blob, kind, count, at[0])
+        at[0] += out.nbytes
+        return out
+
+    def planes(kind, width):
+        return np.ascontiguousarray(take(np.uint8, width * n).reshape(width, n).T).view(kind).ravel()
+
+    key, names = take(np.int64, n), take(np.int64, m)
+    return key, names[planes(np.uint32, 4)], planes(np.int64, 8), take(np.uint8, n)
 
 
 def shared_keys(source: DataFrame, emit, shards: int) -> DataFrame:
@@ -280,7 +316,7 @@ def shards_to_tasks(spark: SparkSession, shards: int) -> int:
 def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda x: F.lit(0)) -> DataFrame:
     """Verified links (a, b) that connect the ids of every key group as all pairs would.
 
-    shared: written table (key, id, aux).  close(x, y): cheap condition on two aux
+    shared: written table (key, id, aux), dropped once read.  close(x, y): cheap condition on two aux
     columns that every true link fulfils on some shared key.  verify: pairs (a, b) of
     ids -> links (a, b).  rank(x): members of the lowest rank are hubs first.
 
@@ -317,7 +353,8 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
                                         "n"), "mixed")
         pairs, rows = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)),
                                 F.coalesce(F.sum("n"), F.lit(0))).first()
-        open_ = scratch.write(now.join(mixed.select("key"), "key", "left_semi"), "open")
+        before, open_ = open_, scratch.write(now.join(mixed.select("key"), "key", "left_semi"), "open")
+        scratch.drop(hubs, now, mixed, label, shared, before)
         if pairs <= 4 * rows or (left is not None and pairs > 0.9 * left):
             break
         left = pairs
@@ -344,14 +381,16 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u"))
         least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large")
+        old, first = edges, least
         edges = scratch.write(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v").distinct(), "large-star")
         least = scratch.write(edges.groupBy("u").agg(F.min("v").alias("m")), "small")
-        near = edges.join(least, "u")
+        near, large = edges.join(least, "u"), edges
         edges = scratch.write(
             near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        scratch.drop(old, first, large, least)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
