@@ -6,7 +6,7 @@
   silver  --root <lake> --table all|<name> [--incremental] [--compact]
   gold    --root <lake> --table all|<name>
   kpi     --root <lake> --name all|<kpi>
-  sql     --root <lake> "<SELECT ... FROM gold_orders ...>" [--limit 100]
+  sql     --root <lake> "<SELECT ... FROM gold_orders ...>" [--limit N]
           (every gold product is a view named gold_<product>)
   compact --root <lake> [--partition-by cdc_table,event_day] [--vacuum-after 3600]
           (bronze log -> new compacted base; silver deltas -> new base versions)
@@ -53,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     q = sub.add_parser("sql")
     q.add_argument("--root", required=True)
     q.add_argument("statement")
-    q.add_argument("--limit", type=int, default=100)
+    q.add_argument("--limit", type=int, default=None)
     c = sub.add_parser("compact")
     c.add_argument("--root", required=True)
     c.add_argument("--partition-by", default="cdc_table,event_day")
@@ -114,9 +114,14 @@ def main(argv: list[str] | None = None, spark=None):
         gold = jobs.read_gold(store)
         for product, df in gold.items():
             df.createOrReplaceTempView(f"gold_{product}")
-        rows = spark.sql(args.statement).limit(args.limit).collect()
+        answer = spark.sql(args.statement)
+        rows = (answer if args.limit is None else answer.limit(args.limit + 1)).collect()
+        cut = args.limit is not None and len(rows) > args.limit
+        rows = rows[:args.limit] if cut else rows
         for r in rows:
             print("\t".join("" if v is None else str(v) for v in r))
+        if cut:
+            print(f"-- truncated after {args.limit} rows", file=sys.stderr)
         return rows
     if args.layer == "compact":
         from tidemark.operators.bronze import COORDINATES

@@ -18,7 +18,7 @@ from tidemark.operators.silver import state
 from tidemark.plans import gold as G
 from tidemark.plans import kpi as K
 from tidemark.sources.feed import retail_feeds, retail_records, to_records
-from tidemark.sources.tables import Tables, retail_views
+from tidemark.sources.tables import LazyFrames, Tables, retail_views
 
 
 class Flow:
@@ -59,12 +59,15 @@ class Flow:
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return {t: state(self.bronze_of(t), t, self.run_ts, self.delete_image) for t in TABLES}
+        return LazyFrames({t: lambda t=t: state(self.bronze_of(t), t, self.run_ts, self.delete_image)
+                           for t in TABLES})
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        return G.build_gold(self.silver, self.bronze)
+        return LazyFrames({n: lambda b=build: b(self.silver, lambda: self.bronze)
+                           for n, build in G.GOLD_BUILDERS.items()})
 
     @cached_property
     def kpis(self) -> dict[str, DataFrame]:
-        return K.build_kpis(self.gold)
+        return LazyFrames({n: lambda b=build, p=product: b(self.gold[p])
+                           for n, (build, product) in K.KPI_BUILDERS.items()})

@@ -160,14 +160,19 @@ def union_audit_branches(branches: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Builders by product: of the silver tables (by name) and a function that gives the events.
+GOLD_BUILDERS = {
+    "customers": lambda s, events: gold_customers(s["customers"]),
+    "orders": lambda s, events: gold_orders(s["orders"], s["customers"]),
+    "sales_facts": lambda s, events: gold_sales_facts(
+        s["order_items"], s["orders"], s["products"], s["customers"]),
+    "payments_summary": lambda s, events: gold_payments_summary(
+        s["payments"], s["orders"], s["customers"]),
+    "returns_summary": lambda s, events: gold_returns_summary(
+        s["returns"], s["orders"], s["customers"]),
+    "cdc_audit": lambda s, events: gold_cdc_audit(events()),
+}
+
+
 def build_gold(silver: dict[str, DataFrame], bronze: DataFrame) -> dict[str, DataFrame]:
-    s = silver
-    return {
-        "customers": gold_customers(s["customers"]),
-        "orders": gold_orders(s["orders"], s["customers"]),
-        "sales_facts": gold_sales_facts(s["order_items"], s["orders"], s["products"],
-                                        s["customers"]),
-        "payments_summary": gold_payments_summary(s["payments"], s["orders"], s["customers"]),
-        "returns_summary": gold_returns_summary(s["returns"], s["orders"], s["customers"]),
-        "cdc_audit": gold_cdc_audit(bronze),
-    }
+    return {n: build(silver, lambda: bronze) for n, build in GOLD_BUILDERS.items()}

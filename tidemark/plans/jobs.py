@@ -53,12 +53,15 @@ def _collect_errors(items, fn, parallel: int = 1) -> dict:
     return results
 
 
-def run_bronze(store: Store, records: DataFrame, epoch_id: int = 0,
+def run_bronze(store: Store, records: DataFrame, epoch_id: int | None = None,
                run_ts: Column | None = None,
                partition_by: list[str] | None = None) -> tuple[int, int]:
     """Batch ingest of one bounded chunk of records (a landed file set) as one bronze
     epoch (valid events + quarantine); returns (events written, records quarantined).
-    Larger backlogs go through the stream, whose triggers bound each epoch."""
+    Without ``epoch_id`` it is appended after the epochs that are there; a given one is
+    replaced.  Larger backlogs go through the stream, whose triggers bound each epoch."""
+    if epoch_id is None:
+        epoch_id = max([-1, *store.epochs("bronze"), *store.epochs("quarantine")]) + 1
     return write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
 
 

@@ -2,12 +2,12 @@
 
 Money stays decimal through the sums so totals do not depend on summation order;
 ``money_out`` turns the rounded decimal into a double at the edge (D13, D17).
-The same KPIs as SQL text for a SQL consumer are in ``KPI_SQL`` (S16).
+``publish_views`` offers them and the gold products to SQL consumers (S16).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,70 +96,28 @@ def kpi_returns_by_reason(returns_summary: DataFrame) -> DataFrame:
             .orderBy(F.desc("nb"), "reason", "status"))
 
 
-def build_kpis(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    g = gold
-    return {
-        "kpi_events_by_table_op": kpi_events_by_table_op(g["cdc_audit"]),
-        "kpi_latency_by_table": kpi_latency_by_table(g["cdc_audit"]),
-        "kpi_latency_weighted": kpi_latency_weighted(g["cdc_audit"]),
-        "kpi_orders_by_day": kpi_orders_by_day(g["orders"]),
-        "kpi_revenue_by_category": kpi_revenue_by_category(g["sales_facts"]),
-        "kpi_payments_by_method": kpi_payments_by_method(g["payments_summary"]),
-        "kpi_cancellation_rate": kpi_cancellation_rate(g["orders"]),
-        "kpi_sales_by_segment_channel": kpi_sales_by_segment_channel(g["sales_facts"]),
-        "kpi_top_customers": kpi_top_customers(g["sales_facts"]),
-        "kpi_returns_by_reason": kpi_returns_by_reason(g["returns_summary"]),
-    }
-
-
-# The KPIs as Spark SQL over gold views named gold_<product>.
-KPI_SQL = {
-    "kpi_events_by_table_op": """
-        SELECT source_table, operation, CAST(SUM(event_count) AS BIGINT) AS nb_events
-        FROM gold_cdc_audit GROUP BY source_table, operation
-        ORDER BY nb_events DESC, source_table, operation""",
-    "kpi_latency_by_table": """
-        SELECT source_table, ROUND(AVG(avg_latency_seconds), 2) AS avg_latency_sec
-        FROM gold_cdc_audit GROUP BY source_table""",
-    "kpi_orders_by_day": """
-        SELECT order_day, COUNT(*) AS nb_orders,
-               CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS revenue
-        FROM gold_orders GROUP BY order_day ORDER BY order_day DESC LIMIT 30""",
-    "kpi_revenue_by_category": """
-        SELECT product_category, CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS revenue,
-               COUNT(DISTINCT order_id) AS nb_orders
-        FROM gold_sales_facts WHERE is_cancelled = 0
-        GROUP BY product_category ORDER BY revenue DESC, product_category""",
-    "kpi_payments_by_method": """
-        SELECT payment_month, payment_year, method, CAST(SUM(nb_payments) AS BIGINT) AS nb,
-               CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS amount
-        FROM gold_payments_summary WHERE status = 'completed'
-        GROUP BY 1, 2, 3 ORDER BY payment_year DESC, payment_month DESC, method""",
-    "kpi_cancellation_rate": """
-        SELECT ROUND(CAST(SUM(is_cancelled) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2)
-               AS cancellation_rate_pct
-        FROM gold_orders""",
-    "kpi_sales_by_segment_channel": """
-        SELECT customer_segment, channel, COUNT(DISTINCT order_id) AS nb_orders,
-               CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS revenue
-        FROM gold_sales_facts WHERE is_cancelled = 0
-        GROUP BY customer_segment, channel ORDER BY revenue DESC, customer_segment, channel""",
-    "kpi_top_customers": """
-        SELECT customer_id, customer_name, customer_segment,
-               COUNT(DISTINCT order_id) AS nb_orders,
-               CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS total_revenue
-        FROM gold_sales_facts WHERE is_cancelled = 0
-        GROUP BY 1, 2, 3 ORDER BY ROUND(SUM(line_revenue), 2) DESC, customer_id LIMIT 10""",
-    "kpi_returns_by_reason": """
-        SELECT reason, status, CAST(SUM(nb_returns) AS BIGINT) AS nb,
-               CAST(ROUND(SUM(total_refund), 2) AS DOUBLE) AS refund
-        FROM gold_returns_summary GROUP BY reason, status ORDER BY nb DESC, reason, status""",
+# KPI -> (builder, the gold product that it reads)
+KPI_BUILDERS = {
+    "kpi_events_by_table_op": (kpi_events_by_table_op, "cdc_audit"),
+    "kpi_latency_by_table": (kpi_latency_by_table, "cdc_audit"),
+    "kpi_latency_weighted": (kpi_latency_weighted, "cdc_audit"),
+    "kpi_orders_by_day": (kpi_orders_by_day, "orders"),
+    "kpi_revenue_by_category": (kpi_revenue_by_category, "sales_facts"),
+    "kpi_payments_by_method": (kpi_payments_by_method, "payments_summary"),
+    "kpi_cancellation_rate": (kpi_cancellation_rate, "orders"),
+    "kpi_sales_by_segment_channel": (kpi_sales_by_segment_channel, "sales_facts"),
+    "kpi_top_customers": (kpi_top_customers, "sales_facts"),
+    "kpi_returns_by_reason": (kpi_returns_by_reason, "returns_summary"),
 }
 
 
-def run_kpi_sql(spark: SparkSession, gold: dict[str, DataFrame], name: str,
-                prefix: str = "gold_") -> DataFrame:
-    """Register the gold products as temp views and run one KPI as SQL text."""
-    for product, df in gold.items():
-        df.createOrReplaceTempView(f"{prefix}{product}")
-    return spark.sql(KPI_SQL[name])
+def build_kpis(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {n: build(gold[product]) for n, (build, product) in KPI_BUILDERS.items()}
+
+
+def publish_views(gold: dict[str, DataFrame], kpis: dict[str, DataFrame],
+                  names: list[str]) -> None:
+    """Temp views ``gold_<product>`` and ``kpi_<name>`` for SQL consumers."""
+    for n in names:
+        df = kpis[n] if n in KPI_BUILDERS else gold[n]
+        df.createOrReplaceTempView(n if n in KPI_BUILDERS else f"gold_{n}")

@@ -22,6 +22,7 @@ from tidemark.operators import bronze as B
 from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
 from tidemark.plans import gold as G
+from tidemark.plans import kpi as K
 from tidemark.plans.oracle_sql import VERB, with_base
 from tidemark.plans.flow import Flow
 from tidemark.session import checkpoint_dir
@@ -284,7 +285,8 @@ def _join_payments_chain(p: Flow) -> DataFrame:
 def _unpaid_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status").isin("confirmed", "shipped",
                                                               "delivered"))
-    paid = S.live(p.silver["payments"]).select("order_id")
+    # one row an order, so an order with very many payments is reduced map-side
+    paid = S.live(p.silver["payments"]).select("order_id").distinct()
     return o.join(paid, "order_id", "left_anti").select("order_id", "status", "total_amount")
 
 
@@ -295,7 +297,7 @@ def _unpaid_orders(p: Flow) -> DataFrame:
       AND NOT EXISTS (SELECT 1 FROM retail_returns r WHERE r.order_id = o.order_id)""")
 def _returnable_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status") == "delivered")
-    returned = S.live(p.silver["returns"]).select("order_id")
+    returned = S.live(p.silver["returns"]).select("order_id").distinct()
     return o.join(returned, "order_id", "left_anti").select("order_id", "total_amount")
 
 
@@ -401,6 +403,19 @@ for _k in _KPI_ORACLE:
     _register_kpi(_k)
 
 
+@register("sql_consumer", f"""
+    SELECT p.method, p.payment_year, p.n, r.cancellation_rate_pct
+    FROM (SELECT method, payment_year, CAST(SUM(nb) AS BIGINT) AS n
+          FROM ({_KPI_ORACLE["kpi_payments_by_method"]}) GROUP BY ALL) p,
+         ({_KPI_ORACLE["kpi_cancellation_rate"]}) r""")
+def _sql_consumer(p: Flow) -> DataFrame:
+    K.publish_views(p.gold, p.kpis, ["kpi_payments_by_method", "kpi_cancellation_rate"])
+    return p.spark.sql("""
+        SELECT method, payment_year, sum(nb) AS n,
+               (SELECT first(cancellation_rate_pct) FROM kpi_cancellation_rate) AS cancellation_rate_pct
+        FROM kpi_payments_by_method GROUP BY method, payment_year""")
+
+
 # --------------------------------------------------------------------------- quarantine
 
 
@@ -670,7 +685,6 @@ def _refund_expected(p: Flow) -> DataFrame:
 # --------------------------------------------------------------------------- streaming
 
 
-_STREAM_TIMEOUT_S = 1800
 
 
 def _scratch(p: Flow) -> str:
@@ -690,7 +704,7 @@ def _run_bronze_stream(p: Flow, root: str) -> Store:
         q = BS.start_bronze_stream(src, store, f"{root}/_checkpoints/bronze",
                                    trigger={"availableNow": True}, partition_by=["cdc_table"],
                                    dedup_within="1 hour")
-        q.awaitTermination(_STREAM_TIMEOUT_S)
+        q.awaitTermination()  # never read a half-written table
         if q.exception() is not None:
             raise q.exception()
     return store
@@ -714,7 +728,7 @@ def _run_silver_stream(p: Flow, mode: str) -> Store:
     q = SS.start_silver_stream(p.spark, store, f"{root}/_checkpoints/silver",
                                tables=["orders"], trigger={"availableNow": True},
                                max_files_per_trigger=2, mode=mode)
-    q.awaitTermination(_STREAM_TIMEOUT_S)
+    q.awaitTermination()  # never read a half-written table
     if q.exception() is not None:
         raise q.exception()
     return store

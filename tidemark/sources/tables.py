@@ -44,8 +44,8 @@ class Tables:
 
 
 def retail_customers(t: Tables) -> DataFrame:
-    nation = F.broadcast(t.nation)
-    region = F.broadcast(t.region)
+    nation = t.nation
+    region = t.region
     c = t.customer
     return (c.join(nation, c.c_nationkey == nation.n_nationkey)
             .join(region, nation.n_regionkey == region.r_regionkey)
@@ -109,13 +109,24 @@ def retail_order_items(t: Tables) -> DataFrame:
     qty = F.col("l_quantity").cast(T.IntegerType())
     price = F.col("l_extendedprice").cast(MONEY)
     return numbered.select(
-        (F.col("l_orderkey") * 1000 + F.col("_n")).alias("item_id"),
+        _item_id(F.col("l_orderkey"), F.col("_n")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         qty.alias("quantity"), price.alias("unit_price"),
         (qty * price).cast(MONEY).alias("subtotal"),
         F.col("l_returnflag").alias("return_flag"))
 
 
+LINES_PER_ORDER = 1 << 24
+
+
+def _item_id(order_id, line_no):
+    """Order and line number in one number; a line number that does not fit is an error,
+    never another order's id."""
+    too_many = F.raise_error(F.concat(F.lit("order with too many lines: "), order_id.cast("string")))
+    return F.when(line_no < LINES_PER_ORDER, order_id * LINES_PER_ORDER + line_no).otherwise(
+        too_many.cast("long"))
+
+
 def retail_payments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     o = orders if orders is not None else retail_orders(t)
     oid = F.col("order_id")
@@ -130,8 +141,9 @@ def retail_payments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
 def retail_returns(t: Tables, orders: DataFrame | None = None,
                    items: DataFrame | None = None) -> DataFrame:
     o = orders if orders is not None else retail_orders(t)
-    i = items if items is not None else retail_order_items(t)
-    returned = i.filter(F.col("return_flag") == "R").select("order_id").distinct()
+    # the lines' flags need no numbering of the lines
+    returned = (t.lineitem.filter(F.col("l_returnflag") == "R")
+                .select(F.col("l_orderkey").alias("order_id")).distinct())
     oid = F.col("order_id")
     return (o.filter(F.col("status") == "delivered").join(returned, "order_id", "left_semi")
             .select(oid.alias("return_id"), oid,
@@ -157,6 +169,24 @@ class LazyFrames(dict):
     def names(self) -> list[str]:
         return list(self._builders)
 
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def __contains__(self, name) -> bool:
+        return name in self._builders
+
+    def keys(self):
+        return self._builders.keys()
+
+    def values(self):
+        return [self[n] for n in self._builders]
+
+    def items(self):
+        return [(n, self[n]) for n in self._builders]
+
 
 def retail_views(t: Tables) -> LazyFrames:
     v: LazyFrames
