@@ -34,6 +34,7 @@ CLASSES = 48
 ROUNDS = 600
 STEP = 0.15
 CACHE_WORDS = 1 << 20  # a worker's cache of words; it starts afresh beyond
+SLICE = 4 << 20  # bytes tokenized at once; each time new words are sorted into the cache
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _cache: dict[str, WordTokens] = {}
@@ -107,7 +108,7 @@ def _pieces(path: str, sequence: int):
             data, off = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
             rows = []
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 flat, at = tokens(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 for k in range(i, j):
                     all_ids = np.append(flat[at[k - i]:at[k - i + 1]], np.uint32(END_TOKEN)).astype("<u4")
