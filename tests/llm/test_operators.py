@@ -120,6 +120,16 @@ def test_components_of_a_path_and_a_star(spark):
     assert {r.id: r.label for r in got} == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
 
 
+def test_components_of_later_links(spark):
+    rng = np.random.default_rng(8)
+    old, new = ([tuple(sorted(p)) for p in rng.integers(0, 90, (n, 2)).tolist() if p[0] != p[1]] for n in (40, 25))
+    scratch = common.Scratch(spark, "test")
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    got = common.components(scratch, frame(new), common.components(scratch, frame(old))).collect()
+    top = _reach(90, old + new)
+    assert sorted((r.id, r.label) for r in got) == [(k, top[k]) for k in sorted({x for p in old + new for x in p})]
+
+
 def test_line_dedup(spark, empty):
     line = "the quick brown fox jumps over the lazy dog while seventeen startled badgers watch from under a hedge"
     d = spark.createDataFrame([

@@ -314,7 +314,8 @@ def shards_to_tasks(spark: SparkSession, shards: int) -> int:
 
 
 def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda x: F.lit(0)) -> DataFrame:
-    """Verified links (a, b) that connect the ids of every key group as all pairs would.
+    """Labels (id, label) of the components that the verified links of all pairs of ids in
+    any key group make; ids without links have no row.
 
     shared: written table (key, id, aux), dropped once read.  close(x, y): cheap condition on two aux
     columns that every true link fulfils on some shared key.  verify: pairs (a, b) of
@@ -328,7 +329,7 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
     """
     open_ = shared.withColumn("label", F.col("id"))
     first = F.struct(rank(F.col("aux")).alias("rank"), "id")
-    seen = links = None
+    seen = label = None
     left = None
     while True:
         hubs = scratch.write(
@@ -340,8 +341,8 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
         star = scratch.write(star if seen is None else star.join(seen, ["a", "b"], "left_anti"), "star")
         found = scratch.write(verify(star), "star-links")
         seen = star if seen is None else seen.unionByName(star)
-        links = found if links is None else links.unionByName(found)
-        label = components(scratch, links)
+        earlier, label = label, components(scratch, found, label)
+        scratch.drop(earlier, found)
         now = scratch.write(member.select("key", "id", "aux").join(label, "id", "left")
                             .select("key", "id", "aux", F.coalesce("label", "id").alias("label")), "labelled")
         # pairs of a key between components: (all pairs) - (pairs within a component)
@@ -354,7 +355,7 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
         pairs, rows = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)),
                                 F.coalesce(F.sum("n"), F.lit(0))).first()
         before, open_ = open_, scratch.write(now.join(mixed.select("key"), "key", "left_semi"), "open")
-        scratch.drop(hubs, now, mixed, label, shared, before)
+        scratch.drop(hubs, now, mixed, shared, before)
         if pairs <= 4 * rows or (left is not None and pairs > 0.9 * left):
             break
         left = pairs
@@ -364,23 +365,33 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
              .where(close(F.col("aux_x"), F.col("aux_y")))
              .select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
              .join(seen, ["a", "b"], "left_anti"))
-    return links.unionByName(scratch.write(verify(scratch.write(pairs, "pairs")), "more-links"))
+    more = scratch.write(verify(scratch.write(pairs, "pairs")), "more-links")
+    return components(scratch, more, label)
 
 
-def components(scratch: Scratch, links: DataFrame) -> DataFrame:
+def components(scratch: Scratch, links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """(id, label): label is the smallest id reachable over links (a, b).
 
-    Alternating large-star and small-star rounds, each a grouped minimum and a join on
-    written tables; ids without links have no row.  Nothing reaches the driver but the
-    number of edges and a checksum for the stop test.
+    before: written labels of earlier links; ``links`` then need to hold the new ones only,
+    which are drawn between the earlier components.  Alternating large-star and small-star
+    rounds, each a grouped minimum and a join on written tables, until every id is the least
+    of its neighbourhood or has one neighbour; ids without links have no row.  Nothing
+    reaches the driver but the number of ids that are neither.
     """
+    ends = links.select("a", "b")
+    if before is not None:
+        x, y = (before.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label")) for c in "ab")
+        ends = (ends.join(x, "a", "left").join(y, "b", "left")
+                .select(*(F.coalesce(f"{c}_label", c).alias(c) for c in "ab")))
     edges = scratch.write(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        ends.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(), "edges")
-    before = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large")
+        least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                                    F.count("*").alias("n")), "large")
+        if least.where("m < u and n > 1").count() == 0:
+            break
         old, first = edges, least
         edges = scratch.write(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -391,10 +402,12 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
             near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         scratch.drop(old, first, large, least)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-    return scratch.write(
-        stars.union(stars.select("label", "label").distinct()), "labels")
+    labels = stars.union(stars.select("label", "label").distinct())
+    if before is not None:
+        moved = (before.join(stars.toDF("label", "to"), "label", "left")
+                 .select("id", F.coalesce("to", "label").alias("label")))
+        labels = moved.union(labels.join(before.select("id"), "id", "left_anti"))
+    labels = scratch.write(labels, "labels")
+    scratch.drop(edges, least)
+    return labels

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Scratch, bounded_batches, components, link_groups, mix, shared_keys, shingle_sets, text_rows,
+    Scratch, bounded_batches, link_groups, mix, shared_keys, shingle_sets, text_rows,
 )
 
 WORDS = 5
@@ -259,9 +259,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast(frequent_cells(known, total))
     shards = max(16, total // TOKENS_PER_SHARD)
     shared = scratch.write(shared_keys(known, _emit_keys(frequent), shards), "shared")
-    links = link_groups(scratch, shared, _may_link, _verifier(scratch, docs, classes),
+    label = link_groups(scratch, shared, _may_link, _verifier(scratch, docs, classes),
                         rank=lambda aux: F.shiftright(aux, 53))
-    label = components(scratch, links)
     member = scratch.write(classes.join(label, "id", "left")
                            .select("id", "doc_id", F.coalesce("label", "id").alias("label")), "labelled")
     least = scratch.write(member.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
