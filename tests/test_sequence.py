@@ -1,72 +1,59 @@
-"""lag_by_key against Window lag, including one key holding most of the rows."""
+"""lag_by_key and number_by_key against plain windows, including one key holding most of the rows."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import lag_by_key
+from tidemark.operators.sequence import lag_by_key, number_by_key
 
 
-def test_lag_matches_window_with_hot_key(spark):
-    n = 20000
-    df = spark.range(n).select(
+def _hot(spark, n=20000):
+    return spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
-        F.col("id").alias("ts"), (F.col("id") * 7 % 11).cast("string").alias("v"))
-    got = lag_by_key(df, "k", ["ts"], "v", out="pv", num_partitions=16, method="range")
-    want = df.withColumn("pv", F.lag("v").over(Window.partitionBy("k").orderBy("ts")))
-    a = sorted(tuple(r) for r in got.select("k", "ts", "v", "pv").collect())
-    b = sorted(tuple(r) for r in want.select("k", "ts", "v", "pv").collect())
-    assert a == b
-
-
-def test_lag_with_empty_partitions(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k long, ts long, v string")
-    got = sorted(tuple(r) for r in lag_by_key(df, "k", ["ts"], "v", num_partitions=8,
-                                              method="range")
-                 .select("k", "ts", "prev_value").collect())
-    assert got == [(1, 1, None), (1, 2, "a"), (2, 1, None)]
-
-
-def test_number_matches_row_number_with_hot_key(spark):
-    from tidemark.operators.sequence import number_by_key
-    n = 30000
-    df = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40).alias("k"),
-        (F.col("id") * 13 % 1000).alias("a"), F.col("id").alias("b"))
-    got = number_by_key(df, "k", ["a", "b"], out="rn", num_partitions=16, method="range")
+        (F.col("id") * 13 % 1000).alias("a"), F.col("id").alias("b"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 7 % 11).cast("string")).alias("v"))
+
+
+def _rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+@pytest.mark.parametrize("width", [1, 37, 1_000_000])
+def test_lag_matches_window_with_hot_key(spark, width):
+    df = _hot(spark)
+    got = lag_by_key(df, "k", ["a", "b"], "v", F.floor(F.col("a") / width), out="pv")
+    want = df.withColumn("pv", F.lag("v").over(Window.partitionBy("k").orderBy("a", "b")))
+    assert _rows(got, "k", "a", "b", "v", "pv") == _rows(want, "k", "a", "b", "v", "pv")
+
+
+@pytest.mark.parametrize("width", [1, 37, 1_000_000])
+def test_number_matches_row_number_with_hot_key(spark, width):
+    df = _hot(spark)
+    got = number_by_key(df, "k", ["a", "b"], F.floor(F.col("a") / width), out="rn", keep=["a", "b"])
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
-    a = sorted(tuple(r) for r in got.select("k", "a", "b", "rn").collect())
-    b = sorted(tuple(r) for r in want.select("k", "a", "b", "rn").collect())
-    assert a == b
-
-
-def test_hot_key_spans_many_partitions(spark):
-    from tidemark.operators.sequence import lag_by_key, number_by_key
-    # one key holds every row: it must be spread over all range partitions
-    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("t"),
-                                  F.col("id").cast("string").alias("v"))
-    rn = number_by_key(df, "k", ["t"], out="rn", num_partitions=8, method="range")
-    assert rn.rdd.getNumPartitions() >= 1
-    got = {r["t"]: r["rn"] for r in rn.collect()}
-    assert all(got[t] == t + 1 for t in range(5000))
-    lag = {r["t"]: r["prev_value"] for r in lag_by_key(df, "k", ["t"], "v", num_partitions=8,
-                                                       method="range").collect()}
-    assert lag[0] is None and all(lag[t] == str(t - 1) for t in range(1, 5000))
-    parts = df.repartitionByRange(8, "k", "t").select(F.spark_partition_id().alias("p")) \
-        .distinct().count()
-    assert parts == 8
-
-
-def test_auto_method_picks_range_only_for_hot_keys(spark):
-    from tidemark.operators import sequence as Q
-    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
-    assert Q.largest_group(df, "k") == 1000
-    spark.conf.set(Q.MAX_GROUP_ROWS_CONF, "500")
-    try:
-        assert Q._use_range(df, "k", "auto") is True
-        got = Q.number_by_key(df, "k", ["t"], out="rn", num_partitions=4)
-        assert got.agg(F.max("rn")).first()[0] == 1000
-    finally:
-        spark.conf.unset(Q.MAX_GROUP_ROWS_CONF)
-    assert Q._use_range(df, "k", "auto") is False
-    plan = Q.number_by_key(df, "k", ["t"], out="rn")._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" not in plan
+    assert _rows(got, "k", "a", "b", "rn") == _rows(want, "k", "a", "b", "rn")
+
+
+def test_null_keys_and_buckets(spark):
+    df = spark.createDataFrame([(None, None, "a"), (None, 1, "b"), (None, 9000, "c"), (2, None, "d"), (2, 5000, "e")],
+                               "k long, t long, v string")
+    cut = F.floor(F.col("t") / 4096)
+    assert _rows(number_by_key(df, "k", ["t"], cut, out="n"), "v", "n") == [
+        ("a", 1), ("b", 2), ("c", 3), ("d", 1), ("e", 2)]
+    assert _rows(lag_by_key(df, "k", ["t"], "v", cut), "v", "prev_value") == [
+        ("a", None), ("b", "a"), ("c", "b"), ("d", None), ("e", "d")]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k long, t long, v string")
+    assert number_by_key(df, "k", ["t"], F.col("t")).count() == 0
+    assert lag_by_key(df, "k", ["t"], "v", F.col("t")).count() == 0
+
+
+def test_lag_shuffles_its_input_once(spark):
+    df = spark.range(900).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    rows = lag_by_key(df, "k", ["t"], "v", F.floor(F.col("t") / 10))
+    assert rows.filter("prev_value is null").count() == 2
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and "InPandas" not in plan

@@ -113,10 +113,10 @@ def legal_transition(prev: Column, cur: Column) -> Column:
 
 
 def status_transitions(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Consecutive status pairs per key in log order (Q8), computed over range
-    partitions so that a key with a huge history is spread over many tasks."""
+    """Consecutive status pairs per key in log order (Q8), computed by day of the first
+    order column (a timestamp), so a key with a huge history is spread over many tasks."""
     from tidemark.operators.sequence import lag_by_key
-    pairs = lag_by_key(rows, key, order, "status", out="from_status")
+    pairs = lag_by_key(rows, key, order, "status", F.to_date(order[0]), out="from_status")
     return (pairs.filter(F.col("from_status").isNotNull())
             .select(key, "from_status", F.col("status").alias("to_status")))
 

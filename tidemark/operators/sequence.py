@@ -1,187 +1,64 @@
 """Per-key sequence operators (previous value, row number) without one task per key.
 
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task; a
-key holding a third of the data would be a third of the job in one task.  Here the
-rows are range-partitioned on (key, order...) instead, so a hot key spans several
-contiguous partitions.  One ``mapInPandas`` pass over each (sorted) partition
-computes the in-partition answer and appends one summary row per partition: its
-first key, its last key with that key's row count and last value.  That one pass is
-checkpointed, so rows and summaries come from the same range bounds.  Only a key that continues from earlier partitions needs a
-correction, and that correction comes from the summary table, which has one row per
-partition (bounded by the partition count, not by the data), so it is the one side
-that is broadcast.
+key holding a third of the data would be a third of the job in one task.  Here each
+key is cut into buckets of its order (``bucket``: a column that never falls as the
+order rises, such as the day of a timestamp), a window runs over (key, bucket), and
+only what crosses buckets is settled per key, on a few rows a bucket.  One method
+for all sizes: built-in windows, no probe of the data, nothing run while the plan is
+built.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import checkpoint_dir, ship_package
 
-
-def _ranged(df: DataFrame, key: str, order: list[str], cols: list[str],
-            num_partitions: int | None) -> DataFrame:
-    """Range shuffle and sort on (key, order); afterwards only ``cols`` (plus the
-    partition id) are kept, so order columns that are not needed downstream never
-    cross into Python."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = list(dict.fromkeys([*cols, *order]))
-    return (df.select(*needed).repartitionByRange(n, key, *order)
-            .sortWithinPartitions(key, *order)
-            .select(*cols, F.spark_partition_id().alias("_pid")))
-
-
-def _scan(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> DataFrame:
-    """In-partition previous value and row number, plus one summary row per
-    non-empty partition (``_summary`` true, data columns NULL), in one pass over each
-    sorted partition (state carried across Arrow batches)."""
-    vtype = ranged.schema[value].dataType if value else T.StringType()
-    ktype = ranged.schema[key].dataType
-    schema = T.StructType([
-        *[T.StructField(c, ranged.schema[c].dataType, True) for c in cols],
-        T.StructField("_pid", T.IntegerType()),
-        T.StructField("_prev", vtype),
-        T.StructField("_rn", T.LongType()),
-        T.StructField("_summary", T.BooleanType()),
-        T.StructField("_first_key", ktype),
-        T.StructField("_last_key", ktype),
-        T.StructField("_last_count", T.LongType()),
-        T.StructField("_last_value", vtype),
-    ])
-    names = [f.name for f in schema.fields]
-
-    def run(batches):
-        first_key = pid = last_key = last_val = None
-        run_len = 0
-        seen = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key]
-            if not seen:
-                first_key, pid = keys.iloc[0], int(pdf["_pid"].iloc[0])
-            prev_key = keys.shift(1)
-            if seen:
-                prev_key.iloc[0] = last_key
-            new_run = (prev_key != keys).to_numpy()
-            run_id = new_run.cumsum()
-            rn = pd.Series(1, index=pdf.index).groupby(run_id).cumsum()
-            if seen and not new_run[0]:
-                rn[run_id == run_id[0]] += run_len
-            pdf["_rn"] = rn.astype("int64")
-            if value:
-                prev_val = pdf[value].shift(1)
-                if seen:
-                    prev_val.iloc[0] = last_val
-                pdf["_prev"] = prev_val.where(~new_run, None)
-            else:
-                pdf["_prev"] = None
-            pdf["_summary"] = False
-            for c in ("_first_key", "_last_key", "_last_count", "_last_value"):
-                pdf[c] = None
-            last_key = keys.iloc[-1]
-            last_val = pdf[value].iloc[-1] if value else None
-            run_len = int(pdf["_rn"].iloc[-1])
-            seen = True
-            yield pdf[names]
-        if seen:
-            row = {c: [None] for c in names}
-            row.update({"_pid": [pid], "_summary": [True], "_first_key": [first_key],
-                        "_last_key": [last_key], "_last_count": [run_len],
-                        "_last_value": [last_val]})
-            yield pd.DataFrame(row)[names]
-
-    ship_package(ranged.sparkSession)
-    return ranged.mapInPandas(run, schema)
-
-
-def _carry(s: DataFrame, key_type) -> DataFrame:
-    """Per partition: rows and last value of its first key in earlier partitions."""
-    earlier = s.select(F.col("_pid").alias("_q"), F.col("_last_key").alias("_k"),
-                       F.col("_last_count").alias("_c"),
-                       F.struct(F.col("_pid"), F.col("_last_value")).alias("_pv"))
-    j = s.join(earlier, (earlier._k == s._first_key) & (earlier._q < s._pid), "left")
-    return (j.groupBy("_pid").agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).cast(T.LongType()).alias("_offset"),
-        F.max("_pv").getField("_last_value").alias("_carry_value"),
-        F.max(F.col("_k").isNotNull()).alias("_continues"),
-        F.first("_first_key").cast(key_type).alias("_carry_key")))
-
-
-def _finish(ranged: DataFrame, key: str, value: str | None, cols: list[str]) -> DataFrame:
-    # Range bounds come from sampling and may differ between two evaluations of the
-    # same plan, so the rows and the partition summaries must come from one
-    # evaluation: it is materialised once (reliable checkpoint in the shared
-    # checkpoint folder, which also survives the loss of an executor).
-    checkpoint_dir(ranged.sparkSession)
-    scanned = _scan(ranged, key, value, cols).checkpoint(eager=True)
-    summary = scanned.filter(F.col("_summary")).select(
-        "_pid", "_first_key", "_last_key", "_last_count", "_last_value")
-    carry = _carry(summary, ranged.schema[key].dataType)
-    rows = scanned.filter(~F.col("_summary"))
-    fixed = rows.join(F.broadcast(carry), "_pid", "left")
-    continues = F.coalesce(F.col("_continues"), F.lit(False)) & (F.col(key) == F.col("_carry_key"))
-    return fixed.withColumn("_continues_key", continues)
-
-
-# Largest key group one window task may hold; beyond it the range method is used.
-MAX_GROUP_ROWS_CONF = "spark.tidemark.sequence.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the largest ``key`` group: one aggregation with partial counts before
-    the shuffle; the driver receives a single number."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(r[0] or 0)
-
-
-def _use_range(df: DataFrame, key: str, method: str) -> bool:
-    if method not in ("auto", "range", "window"):
-        raise ValueError(f"method must be auto, range or window, not {method!r}")
-    if method != "auto":
-        return method == "range"
-    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    return largest_group(df, key) > limit
-
-
-def lag_by_key(df: DataFrame, key: str, order: list[str], value: str,
-               out: str = "prev_value", num_partitions: int | None = None,
-               method: str = "auto") -> DataFrame:
+def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, bucket: Column,
+               out: str = "prev_value") -> DataFrame:
     """``df``'s key, order and value columns plus ``out`` = ``value`` of the previous
     row of the same ``key`` in ``order`` (NULL for a key's first row).  The order
-    columns must give a total order within a key.
-
-    ``method="auto"`` measures the largest key group and uses a plain window when it
-    fits one task (``spark.tidemark.sequence.maxGroupRows``), the range method when
-    it does not; ``"range"`` / ``"window"`` force one."""
-    cols = [key, *order, value]
-    if not _use_range(df, key, method):
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.select(*cols, F.lag(value).over(w).alias(out))
-    fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, value, cols)
-    first_here = F.col("_rn") == 1
-    prev = (F.when(first_here & F.col("_continues_key"), F.col("_carry_value"))
-            .otherwise(F.col("_prev")))
-    return fixed.select(*cols, prev.alias(out))
-
-
-def number_by_key(df: DataFrame, key: str, order: list[str], out: str = "row_number",
-                  num_partitions: int | None = None,
-                  keep: list[str] | None = None, method: str = "auto") -> DataFrame:
+    columns must give a total order within a key, and ``bucket`` must not fall along it.
+
+    A row's predecessor is in its bucket, or it is the last row of the key's previous
+    bucket: the first and last rows of the buckets, at most two a bucket, go through
+    a second window over the key."""
+    cols = list(dict.fromkeys([key, *order, value]))
+    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
+    rows = (df.select(*cols, bucket.alias("_bucket"))
+            .select("*", F.row_number().over(inside).alias("_n"),
+                    F.lag(value).over(inside).alias("_prev"),
+                    F.lead(F.lit(1)).over(inside).alias("_next")))
+    later = rows.filter(F.col("_n") > 1).select(*cols, F.col("_prev").alias(out))
+    across = Window.partitionBy(key).orderBy("_bucket", *order)
+    first = (rows.filter((F.col("_n") == 1) | F.col("_next").isNull())
+             .withColumn("_prev", F.lag(value).over(across))
+             .filter(F.col("_n") == 1).select(*cols, F.col("_prev").alias(out)))
+    return later.unionByName(first)
+
+
+def number_by_key(df: DataFrame, key: str, order: list[str], bucket: Column,
+                  out: str = "row_number", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all of ``df``) plus ``out`` = 1-based position of
     the row within its ``key`` in ``order`` (``row_number()`` over the key), for any
-    key size; ``method`` as in :func:`lag_by_key`."""
-    cols = list(dict.fromkeys([key, *(keep if keep is not None else df.columns)]))
-    if not _use_range(df, key, method):
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.select(*cols, F.row_number().over(w).cast(T.LongType()).alias(out))
-    fixed = _finish(_ranged(df, key, order, cols, num_partitions), key, None, cols)
-    offset = F.when(F.col("_continues_key"), F.col("_offset")).otherwise(F.lit(0))
-    return fixed.select(*cols, (F.col("_rn") + offset).alias(out))
+    key size; ``bucket`` as in :func:`lag_by_key`.
 
-
-__all__ = ["largest_group", "lag_by_key", "number_by_key"]
+    A row's number is its number in its bucket plus the rows of the key's earlier
+    buckets; those are counted with partial aggregation, and keys of one bucket have
+    none, so the joined side holds only keys that span several buckets."""
+    cols = list(dict.fromkeys([key, *(keep if keep is not None else df.columns)]))
+    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
+    rows = (df.select(*dict.fromkeys([*cols, *order]), bucket.alias("_bucket"))
+            .select(*cols, "_bucket", F.row_number().over(inside).cast(T.LongType()).alias("_n")))
+    earlier = Window.partitionBy("_key").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (df.groupBy(F.col(key).alias("_key"), bucket.alias("_cut")).agg(F.count(F.lit(1)).alias("_rows"))
+               .select("_key", "_cut", F.sum("_rows").over(earlier).alias("_offset"))
+               .filter(F.col("_offset") > 0))
+    here = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_cut"))
+    return (rows.join(offsets, here, "left")
+            .select(*cols, (F.col("_n") + F.coalesce("_offset", F.lit(0))).alias(out)))
+
+
+__all__ = ["lag_by_key", "number_by_key"]

@@ -96,14 +96,14 @@ def retail_orders(t: Tables) -> DataFrame:
 def retail_order_items(t: Tables) -> DataFrame:
     """One row per line; ``item_id`` numbers the lines inside their order.
 
-    The numbering runs over range partitions of (order, line columns), so an order
-    with any number of lines is spread over several tasks (``number_by_key``).
+    The numbering runs over buckets of 4,096 line numbers, so an order with very many
+    lines is spread over several tasks (``number_by_key``).
     """
     from tidemark.operators.sequence import number_by_key
     order_cols = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
     li = t.lineitem.select("l_orderkey", *order_cols)
-    numbered = number_by_key(li, "l_orderkey", order_cols, out="_n",
+    numbered = number_by_key(li, "l_orderkey", order_cols, F.floor(F.col("l_linenumber") / 4096), out="_n",
                              keep=["l_partkey", "l_quantity", "l_extendedprice",
                                    "l_returnflag"])
     qty = F.col("l_quantity").cast(T.IntegerType())
