@@ -8,6 +8,7 @@ nor lets the job exit as if it succeeded.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tidemark.model import TABLES
 from tidemark.operators.bronze import dedup_replays
 from tidemark.operators.silver import state
 from tidemark.plans import gold as G
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, folded_epoch
 from tidemark.streaming.bronze_stream import QUARANTINE_SCHEMA, write_bronze_epoch
 
 
@@ -61,7 +62,7 @@ def run_bronze(store: Store, records: DataFrame, epoch_id: int | None = None,
     Without ``epoch_id`` it is appended after the epochs that are there; a given one is
     replaced.  Larger backlogs go through the stream, whose triggers bound each epoch."""
     if epoch_id is None:
-        epoch_id = max([-1, *store.epochs("bronze"), *store.epochs("quarantine")]) + 1
+        epoch_id = store.epoch_of("bronze", f"run-{uuid.uuid4().hex}")
     return write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
 
 
@@ -88,14 +89,20 @@ def run_silver(store: Store, tables: list[str] | None = None, run_ts: Column | N
 def run_silver_incremental(store: Store, tables: list[str] | None = None) -> dict:
     """Fold only the bronze epochs not seen yet into silver deltas (merge-on-read),
     instead of replaying the whole log (C9, D15).  An epoch is read through
-    partition pruning on ``epoch``; a rerun skips epochs that already have a delta."""
+    partition pruning on ``epoch``; a rerun skips epochs that already have a delta.
+    A table that has not seen all epochs held by the log's compacted base (where they
+    are no longer apart) is rebuilt from the whole log first."""
     from tidemark.streaming.silver_stream import delta_name, silver_delta_writer
 
     wanted = tables or TABLES
+    folded = folded_epoch(store.current("bronze__base"))
+    committed = [e for e in store.committed_epochs("bronze") if e > folded]
 
     def one(t):
-        done = set(store.epochs(delta_name(t)))
-        new = [e for e in store.epochs("bronze") if e not in done]
+        done = store.committed_epochs(delta_name(t))
+        if folded > max(done, default=-1):
+            run_silver(store, [t])
+        new = [e for e in committed if e not in done]
         if new:
             bronze = read_bronze(store)
         for e in new:

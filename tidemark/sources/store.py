@@ -147,6 +147,24 @@ class Store:
         base = self.path(name)
         return [e for e in self.epochs(name) if self._exists(f"{base}/epoch={e:012d}/_SUCCESS")]
 
+    def epoch_of(self, name: str, owner: str) -> int:
+        """The epoch number of one append to a log: the number that ``owner`` (a stream and
+        its batch, or a run) already holds, so that a retry replaces its own epoch, else the
+        next free one.  Numbers are taken by creating a marker file that must not exist,
+        so two writers never share one."""
+        marks = f"{self.path(name)}__epochs"
+        _, fs = self._fs(marks)
+        to_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        held = to_path(f"{marks}/{owner}")
+        if fs.exists(held):
+            return int(fs.listStatus(held)[0].getPath().getName())
+        n = max([self._log_base(name)[1], *self.epochs(name)]) + 1
+        fs.mkdirs(to_path(f"{marks}/taken"))
+        while not fs.createNewFile(to_path(f"{marks}/taken/{n}")):
+            n += 1
+        fs.createNewFile(to_path(f"{marks}/{owner}/{n}"))
+        return n
+
     def delete_epochs(self, name: str, upto: int, min_age_s: float = 3600.0) -> list[int]:
         """Delete epochs ``<= upto`` of a log whose directories are older than
         ``min_age_s`` (e.g. deltas already folded into a base version)."""
@@ -183,9 +201,9 @@ class Store:
         cur = self.current(f"{name}__base")
         return (cur, folded_epoch(cur)) if cur is not None else (None, -1)
 
-    def read_log(self, name: str, schema=None) -> DataFrame:
+    def read_log(self, name: str, schema=None, upto: int | None = None) -> DataFrame:
         """An append-only log: its compacted base (if any) plus every committed
-        epoch after it, with the partition columns of the layout.
+        epoch after it (to ``upto``), with the partition columns of the layout.
 
         Pass ``schema`` for logs that may hold no rows yet (an empty epoch writes no
         data file, so there is nothing to infer a schema from)."""
@@ -194,7 +212,7 @@ class Store:
             r = r.schema(schema)
         base, folded = self._log_base(name)
         newer = [f"{self.path(name)}/epoch={e:012d}" for e in self.committed_epochs(name)
-                 if e > folded]
+                 if e > folded and (upto is None or e <= upto)]
         if base is None:
             if not newer:
                 if schema is None:
@@ -214,12 +232,18 @@ class Store:
     def compact_log(self, name: str, partition_by: list[str],
                     cluster_by: list[str] | None = None) -> str:
         """Rewrite base + epochs into a new base version (few large files per layout
-        value), tagged with the last epoch it holds.  Readers switch to it once it is
-        committed; epochs it covers can then be removed with ``delete_epochs``."""
-        epochs = self.epochs(name)
-        _, folded = self._log_base(name)
-        last = epochs[-1] if epochs else folded
-        df = self.read_log(name)
+        value), tagged with the last epoch it holds.  Only epochs before the first one still
+        being written are folded, so the tag never covers an epoch that was not read.
+        Readers switch to the base once it is committed; epochs it covers can then be
+        removed with ``delete_epochs``."""
+        _, last = self._log_base(name)
+        committed = set(self.committed_epochs(name))
+        for e in self.epochs(name):
+            if e > last:
+                if e not in committed:
+                    break
+                last = e
+        df = self.read_log(name, upto=last)
         if "epoch" in df.columns:
             df = df.drop("epoch")
         df = df.repartitionByRange(*partition_by, *(cluster_by or []))

@@ -96,14 +96,15 @@ def silver_delta_writer(store: Store, tables: list[str] | None = None):
 _folded_epoch = folded_epoch
 
 
-def read_silver(store: Store, table: str) -> DataFrame:
-    """Current silver state: newest row per key over the base and newer deltas."""
+def read_silver(store: Store, table: str, upto: int | None = None) -> DataFrame:
+    """Current silver state: newest row per key over the base and newer deltas (to ``upto``)."""
     base_path = store.current(f"silver/{table}")
     folded = _folded_epoch(base_path)
     parts = []
     if base_path:
         parts.append(store.spark.read.parquet(base_path))
-    newer = [e for e in store.epochs(delta_name(table)) if e > folded]
+    newer = [e for e in store.committed_epochs(delta_name(table))
+             if e > folded and (upto is None or e <= upto)]
     if newer:
         paths = [f"{store.path(delta_name(table))}/epoch={e:012d}" for e in newer]
         parts.append(store.spark.read.parquet(*paths))
@@ -119,9 +120,9 @@ def read_silver(store: Store, table: str) -> DataFrame:
 
 def compact_silver(store: Store, table: str) -> str:
     """Fold the deltas into a new base version tagged with the last folded epoch."""
-    epochs = store.epochs(delta_name(table))
-    last = epochs[-1] if epochs else _folded_epoch(store.current(f"silver/{table}"))
-    path, _ = store.write_snapshot(read_silver(store, table), f"silver/{table}",
+    last = _folded_epoch(store.current(f"silver/{table}"))
+    last = max([last, *store.committed_epochs(delta_name(table))])
+    path, _ = store.write_snapshot(read_silver(store, table, last), f"silver/{table}",
                                    observe_rows=False, tag=epoch_tag(last))
     return path
 
