@@ -11,8 +11,11 @@ a path.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import ENTITY_SCHEMAS
 
@@ -22,9 +25,9 @@ BRONZE_DDL_COLUMNS = """
     kafka_offset BIGINT, kafka_ts TIMESTAMP, processed_at TIMESTAMP,
     cdc_table STRING, event_day DATE"""
 
-SILVER_META_DDL = ("_cdc_op STRING, _cdc_ts TIMESTAMP, _cdc_lsn BIGINT, _cdc_offset BIGINT, "
-                   "_is_deleted BOOLEAN, _deleted_at TIMESTAMP, _silver_updated_at TIMESTAMP, "
-                   "event_month DATE")
+SILVER_META_DDL = """
+    _cdc_op STRING, _cdc_ts TIMESTAMP, _cdc_lsn BIGINT, _cdc_offset BIGINT, _is_deleted BOOLEAN,
+    _deleted_at TIMESTAMP, _silver_updated_at TIMESTAMP, event_month DATE"""
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -49,12 +52,10 @@ def bronze_ddl(table: str, location: str | None = None,
 
 
 def silver_ddl(entity: str, table: str, location: str | None = None) -> str:
-    """DDL generated from the entity schema plus lineage and soft-delete columns."""
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}"
-                     for f in ENTITY_SCHEMAS[entity].fields)
-    return (f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {SILVER_META_DDL}) USING parquet "
-            f"PARTITIONED BY (event_month) {_location(location)} "
-            f"OPTIONS ('compression' = 'snappy')")
+    """Parquet table of an entity's fields and the silver columns, by month of the change."""
+    own = T.StructType([T.StructField(f.name, f.dataType) for f in ENTITY_SCHEMAS[entity]]).toDDL()
+    return " ".join(["CREATE TABLE IF NOT EXISTS", table, f"({own}, {SILVER_META_DDL})", "USING parquet", _location(location),
+                     "PARTITIONED BY (event_month)", "OPTIONS ('compression' = 'snappy')"])
 
 
 def ensure_table(spark: SparkSession, ddl: str) -> None:
@@ -80,37 +81,18 @@ def silver_rows(silver: DataFrame) -> DataFrame:
     return silver.withColumn("event_month", F.trunc("_cdc_ts", "month"))
 
 
-def merge_sql(target: str, source_view: str, keys: list[str], columns: list[str],
-              guarded: bool = False, order: list[str] | None = None) -> str:
-    """``MERGE INTO`` text with column lists built from the schema.
-
-    Matched keys update every non-key column, unmatched source rows are inserted.
-    ``guarded`` adds the ordering condition of D16 to the matched branch: a source
-    row older than the target row (by ``order``) leaves it alone.
-    """
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in keys)
-    cols = ", ".join(columns)
-    vals = ", ".join(f"s.{c}" for c in columns)
-    cond = ""
-    if guarded:
-        o = order or ["_cdc_ts", "_cdc_lsn", "_cdc_offset"]
-        cond = (f" AND named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, s.{c}' for c in o)})"
-                f" >= named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, t.{c}' for c in o)})")
-    return (f"MERGE INTO {target} AS t USING {source_view} AS s ON {on} "
-            f"WHEN MATCHED{cond} THEN UPDATE SET {sets} "
-            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
-
-
-def merge_into_table(updates: DataFrame, target: str, keys: list[str],
-                     guarded: bool = True, view: str = "_tidemark_updates") -> None:
-    """Run the keyed MERGE in the catalog (tables of a MERGE-capable V2 catalog).
-    Stores without MERGE (plain Parquet) use ``operators.silver.merge_upsert`` with
-    a versioned write instead; for them Spark rejects the statement."""
-    spark = updates.sparkSession
-    cols = spark.table(target).columns
-    updates.select(*cols).createOrReplaceTempView(view)
-    spark.sql(merge_sql(target, view, keys, cols, guarded))
+def merge_into_table(updates: DataFrame, target: str, keys: list[str], guarded: bool = True,
+                     order: tuple[str, ...] = ("_cdc_ts", "_cdc_lsn", "_cdc_offset")) -> None:
+    """Keyed merge (C3, C4) into a table of a MERGE-capable V2 catalog: rows of known keys
+    are updated, the others inserted.  ``guarded``: an update older than the stored row
+    (by ``order``) leaves it alone (D16).  Stores without MERGE (plain Parquet) use
+    ``operators.silver.merge_upsert`` with a versioned write; Spark rejects them here."""
+    held = target.rsplit(".", 1)[-1]
+    same_key = functools.reduce(lambda x, y: x & y, (F.col(f"{held}.{k}") == F.col(f"news.{k}") for k in keys))
+    newer = F.struct(*(F.col(f"news.{c}") for c in order)) >= F.struct(*(F.col(f"{held}.{c}") for c in order))
+    merge = updates.select(*updates.sparkSession.table(target).columns).alias("news").mergeInto(target, same_key)
+    merge = (merge.whenMatched(newer) if guarded else merge.whenMatched()).updateAll()
+    merge.whenNotMatched().insertAll().merge()
 
 
 # --------------------------------------------------------------------------- bucketed state
