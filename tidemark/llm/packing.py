@@ -35,6 +35,9 @@ ROUNDS = 600
 STEP = 0.15
 CACHE_WORDS = 1 << 20  # a worker's cache of words; it starts afresh beyond
 SLICE = 4 << 20  # bytes tokenized at once; each time new words are sorted into the cache
+SLOTS = 128  # slots of a mix that are packed together, some 500 sequences
+RANKS = 64
+CHUNK_PLAN = "chunk long, length long, lo long, hi long, base long, each long, at long"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _cache: dict[str, WordTokens] = {}
@@ -107,6 +110,8 @@ def _pieces(path: str, sequence: int):
         for batch in batches:
             data, off = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
+            further = batch.columns[2:]  # whole numbers that each piece takes along
+            more = list(zip(*(c.to_pylist() for c in further), strict=True)) or [()] * batch.num_rows
             rows = []
             for i, j in slices(off, SLICE):
                 flat, at = tokens(data[off[i]:off[j]], off[i:j + 1] - off[i])
@@ -114,12 +119,12 @@ def _pieces(path: str, sequence: int):
                     all_ids = np.append(flat[at[k - i]:at[k - i + 1]], np.uint32(END_TOKEN)).astype("<u4")
                     for p, s in enumerate(range(0, len(all_ids), sequence)):
                         part = all_ids[s:s + sequence]
-                        rows.append((ids[k], p, s, len(part), zlib.crc32(part.tobytes())))
+                        rows.append((ids[k], p, s, len(part), zlib.crc32(part.tobytes()), *more[k]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(
-                    zip(*rows, strict=True) if rows else [[]] * 5,
-                    (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    zip(*rows, strict=True) if rows else [[]] * (5 + len(further)),
+                    (pa.int64(), pa.int32(), *[pa.int64()] * (3 + len(further))), strict=True)],
+                ["doc_id", "piece", "start", "length", "ids_crc32", *batch.schema.names[2:]])
     return run
 
 
@@ -309,5 +314,61 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame
             .mapInArrow(_place(plan), PIECES + ", sequence_id long, offset long"))
 
 
+def pack_mixed(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, slots: int = SLOTS) -> DataFrame:
+    """As ``pack``, for documents with the slot and place of a mix (see mixing.py).
+
+    Each ``slots`` slots have a plan and sequences of their own, so whatever the number of
+    sequences read, the mix holds up to the slots that are being read.  Sequences are
+    numbered by the first (slot, place) that they hold, slots' range after slots' range.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    scratch = Scratch(spark, "packing")
+    pieces = scratch.write(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "slot", "place")
+        .mapInArrow(_pieces(tokenizer, sequence), PIECES + ", slot long, place long"), "pieces")
+    pieces = pieces.withColumn("chunk", F.floor(F.col("slot") / slots))
+    cells = scratch.write(pieces.groupBy("chunk", "length", "slot").agg(F.count("*").alias("n")), "cells")
+    plan = scratch.write(
+        cells.groupBy("chunk", "length").agg(F.sum("n").alias("n")).groupBy("chunk")
+        .applyInPandas(_chunk_plan(sequence), CHUNK_PLAN), "plan")
+    before = Window.partitionBy("chunk", "length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    order = Window.partitionBy("chunk", "length", "slot").orderBy("place", "piece")
+    ranked = pieces.join(scratch.write(cells, "before"), ["chunk", "length", "slot"]).withColumn(
+        "rank", F.col("before") + F.row_number().over(order) - 1)
+    # ranges of ranks, so that a length that many pieces share is many keys
+    parts = F.sequence(F.floor(F.col("lo") / RANKS), F.floor((F.col("hi") - 1) / RANKS))
+    placed = ranked.withColumn("part", F.floor(F.col("rank") / RANKS)).join(
+        plan.withColumn("part", F.explode(parts)), ["chunk", "length", "part"])
+    inside = F.col("rank") - F.col("lo")
+    placed = placed.where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select(
+        "chunk", "slot", "place", "doc_id", "piece", "start", "length", "ids_crc32",
+        (F.col("base") + F.floor(inside / F.col("each"))).alias("own"),
+        (F.col("at") + inside % F.col("each") * F.col("length")).alias("offset"))
+    placed = scratch.write(placed, "placed")
+    first = placed.groupBy("chunk", "own").agg(F.min(F.struct("slot", "place")).alias("first"))
+    first = scratch.write(first.withColumn("number", F.row_number().over(
+        Window.partitionBy("chunk").orderBy("first", "own"))), "first")
+    # one row a chunk
+    chunks = first.groupBy("chunk").agg(F.count("*").alias("n")).withColumn("earlier", F.coalesce(F.sum("n").over(
+        Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    number = first.join(F.broadcast(chunks.drop("n")), "chunk").select(
+        "chunk", "own", (F.col("earlier") + F.col("number") - 1).cast("long").alias("sequence_id"))
+    return placed.join(number, ["chunk", "own"]).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset").cast("long"))
+
+
+def _chunk_plan(sequence: int):
+    def run(cells):
+        import pandas as pd
+
+        rows = _plan_rows(pack_lengths(dict(zip(cells["length"].tolist(), cells["n"].tolist(), strict=True)), sequence))
+        out = pd.DataFrame(rows, columns=["length", "lo", "hi", "base", "each", "at"], dtype="int64")
+        out.insert(0, "chunk", int(cells["chunk"].iloc[0]))
+        return out
+    return run
+
+
 def _buckets(pieces: DataFrame) -> int:
     return max(1, pieces.count() // 2000)
