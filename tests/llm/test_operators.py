@@ -367,3 +367,47 @@ def test_kneser_ney_against_plain_python(docs, rows, empty):
         assert r.base_score == pytest.approx(sum(np.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
         assert r.score == pytest.approx(sum(np.log10(p(a, b)) for a, b in zip([0, *ws], ws, strict=False)))
     assert kneser_ney.score_texts(empty).count() == 0
+
+
+def _edf(weights, blocks):
+    """{(source, block): (release, deadline, slot)} slot by slot, in exact fractions."""
+    from fractions import Fraction
+    total = sum(Fraction(w) for w in weights.values())
+    w = {s: Fraction(x) / total for s, x in weights.items() if x > 0}
+    done, out, t = dict.fromkeys(w, 0), {}, 0
+    while any(done[s] < blocks[s] for s in w):
+        free = [(-(-(done[s] + 1) / w[s] // 1), s) for s in w if done[s] < blocks[s] and done[s] / w[s] // 1 <= t]
+        if free:
+            d, s = min(free)
+            out[(s, done[s])] = (done[s] / w[s] // 1, d, t)
+            done[s] += 1
+        t += 1
+    return out
+
+
+@pytest.mark.parametrize("count", [5, 60])
+def test_schedule_keeps_the_unrounded_weights(spark, monkeypatch, count):
+    """Also over many ranges of deadlines, and after sources have ended."""
+    monkeypatch.setattr(mixing, "RANGE", 1)
+    rng = np.random.default_rng(count)
+    weights = {f"s{k:02}": float(x) for k, x in enumerate(rng.uniform(0.03, 1.0, count) ** 1.5 + 0.01)}
+    blocks = {s: int(x) for s, x in zip(weights, rng.integers(1, 1500 // count, count), strict=True)}
+    quota = spark.createDataFrame([(s, w, blocks[s]) for s, w in weights.items()], "source string, quota double, blocks long")
+    got = {(r.source, r.block): (r.release, r.deadline, r.slot) for r in mixing.schedule(quota).collect()}
+    assert got == _edf(weights, blocks)
+    assert all(r <= t < d for r, d, t in got.values()) and len({t for *_, t in got.values()}) == len(got)
+
+
+def test_mix_stays_within_a_block_of_the_target_weights(spark):
+    """With 0.9 % of one source and none of another, where rounding to a slot would show."""
+    weights = {"a": 0.99063, "b": 0.00937}
+    d = spark.createDataFrame([(k, "x" * 9, "a" if k % 16 else "b" if k % 32 else "c") for k in range(8000)],
+                              "doc_id long, text string, source string")
+    got = sorted(mixing.mix(d, weights, block=10).collect(), key=lambda r: r.slot)
+    assert len(got) == 8000 and all(r.source == "c" for r in got[-250:])
+    assert all(r.release is None and not r.in_mix for r in got[-250:])
+    done = Counter()
+    for r in got[:-250]:
+        done[r.source] += 1
+        if r.in_mix:
+            assert all(abs(done[s] - w * (r.slot + 1)) < 1 for s, w in weights.items())

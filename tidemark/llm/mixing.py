@@ -1,16 +1,21 @@
 """Operator 3 (DataFrame functions only): mixing sources to target weights, Pfair.
 
 Each source's documents, in the order of a hash, fill blocks of about ``BLOCK`` characters.
-Block i of a source of weight w is released at floor((i - 1) / w) and due at ceil(i / w);
-earliest-deadline-first over the released blocks takes one block a slot.  With weights
-q / W for whole q and W their sum this schedule is feasible, repeats after W slots, and at
-any time each source has had its share to within one block.  So only one period is
-scheduled, an ``aggregate`` over W slots whose size follows the number of sources and
-``RESOLUTION``, and every block finds its slot by its number.
+Block i (from 0) of a source of weight w, the weights summing to one, is released at
+floor(i / w) and due at ceil((i + 1) / w); earliest-deadline-first over the released blocks
+takes one block a slot.  No weight is rounded, and each block keeps its window, so at any
+time each source has had its share to within one block.
+
+No window is longer than a range of slots, and the order is settled range by range of the
+deadlines.  What waits a range earlier is all due before the range's deadlines, so there
+only its number counts, and that follows from the releases; so ranges are separate rows.
+A range is as long as the longest window, that is as one block of the rarest source takes.
 
 A source that ends leaves its later slots out, so the others go on in their proportions;
 no document is dropped.  ``in_mix`` tells the slots before the first source ends, where the
 mix is exact.  Default weights are the square roots of the sources' sizes (temperature 2).
+A source of no weight has no part in the mix: its blocks follow after all others, without
+release and deadline.
 
 Edge cases: null source is a source of its own; null text has one character's weight, as
 an empty one; rows that repeat a doc_id are ordered by their text's hash; null doc_id rows
@@ -25,7 +30,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch
 
 BLOCK = 65_536  # characters
-RESOLUTION = 1000  # slots a period, about; weights are rounded to this
+RESOLUTION = 1000  # slots a period of ORACLE, which rounds weights to this
+RANGE = 2048  # slots settled in a row, at least
+NEAR = 1e-12  # a quotient this near a whole number is that number
 ROWS_A_BUCKET = 2000
 NO_SOURCE = "(none)"
 
@@ -34,44 +41,79 @@ def _order() -> Column:
     return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
 
-def quotas(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
-    """(source, size, quota): slots of each source a period, one at least."""
+def shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
+    """(source, size, quota): target weight of each source, not rounded; 0 if it has none."""
     if weights is None:
         w = F.sqrt(F.col("size").cast("double"))
-    else:
+    elif weights:
         given = F.create_map(*(x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))))
         w = F.coalesce(given[F.col("source")], F.lit(0.0))
-    one = sizes.withColumn("w", w)
-    total = one.agg(F.sum("w").alias("total"))
-    return one.crossJoin(total).select(
-        "source", "size", F.greatest(F.lit(1), F.floor(F.col("w") / F.col("total") * RESOLUTION + 0.5))
-        .cast("long").alias("quota"))
+    else:
+        w = F.lit(0.0)
+    return sizes.select("source", "size", F.greatest(w, F.lit(0.0)).alias("quota"))
 
 
 def schedule(quota: DataFrame) -> DataFrame:
-    """One period: (source, number, slot, quota, period) with number from 1 in each source."""
-    packed = quota.agg(F.array_sort(F.collect_list(F.struct("source", "quota"))).alias("s"),
-                       F.sum("quota").alias("period")).where("period > 0")
-    packed = packed.withColumn("q", F.transform("s", lambda x: x["quota"]))
-    slots = F.sequence(F.lit(0).cast("long"), F.col("period") - 1)
-
-    def step(state, t):
-        # of each source its next block: (deadline, number of the source) if released
-        due = F.transform(F.col("q"), lambda q, k: F.when(
-            F.floor(F.get(state["done"], k) * F.col("period") / q) <= t,
-            F.struct(F.ceil((F.get(state["done"], k) + 1) * F.col("period") / q).alias("due"), k.alias("k"))))
-        pick = F.array_min(F.filter(due, lambda x: x.isNotNull()))["k"]
-        done = F.transform(state["done"], lambda n, k: n + F.when(k == pick, 1).otherwise(0))
-        return F.struct(done.alias("done"), F.concat(state["picks"], F.array(pick)).alias("picks"))
-
-    start = F.struct(F.transform("q", lambda q: F.lit(0).cast("long")).alias("done"),
-                     F.expr("cast(array() as array<int>)").alias("picks"))
-    picks = packed.select("s", "period", F.aggregate(slots, start, step)["picks"].alias("picks"))
-    rows = picks.select("s", "period", F.posexplode("picks").alias("slot", "k"))
-    rows = rows.select(F.get("s", "k").alias("x"), F.col("slot").cast("long"), "period").select(
-        "x.source", "x.quota", "slot", "period")
-    by_slot = Window.partitionBy("source").orderBy("slot")
-    return rows.withColumn("number", F.row_number().over(by_slot).cast("long"))
+    """(source, block, release, deadline, slot) of all blocks of the sources of some weight.
+
+    quota: (source, quota, blocks), ``quota`` being the weight in any unit; without
+    ``blocks`` each has as many as its quota, which for whole quotas is one period.
+    """
+    if "blocks" not in quota.columns:
+        quota = quota.withColumn("blocks", F.col("quota"))
+    quota = quota.where("quota > 0")
+    one = quota.agg(F.sum("quota").cast("double").alias("total"), F.min("quota").cast("double").alias("least")).first()
+    total, least = one["total"] or 1.0, one["least"] or 1.0
+    span = max(RANGE, int(total / least) + 3)
+    blocks = quota.select("source", (F.lit(total) / F.col("quota")).alias("each"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"))
+    blocks = blocks.select(
+        "source", "block", F.floor(F.col("block") * F.col("each") * (1 + NEAR)).alias("release"),
+        F.ceil((F.col("block") + 1) * F.col("each") * (1 - NEAR)).alias("deadline"))
+    # how many wait at a range's end: releases so far less slots so far, over its least so far
+    at = blocks.groupBy("release").agg(F.count("*").alias("n")).withColumn("range", F.floor(F.col("release") / span))
+    inside = Window.partitionBy("range").orderBy("release").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = at.withColumn("earlier", F.coalesce(F.sum("n").over(inside), F.lit(0))).groupBy("range").agg(
+        F.sum("n").alias("n"), F.min(F.col("earlier") - F.col("release")).alias("low"))
+    so_far = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)  # one row a range
+    ranges = ranges.withColumn("all", F.sum("n").over(so_far))
+    ranges = ranges.withColumn("low", F.min(F.col("low") + F.col("all") - F.col("n")).over(so_far))
+    waiting = ranges.select(
+        (F.col("range") + 2).alias("range"),
+        F.greatest(F.lit(0), F.col("all") - (F.col("range") + 1) * span - F.col("low")).cast("int").alias("waiting"))
+    # each block is in the range of its release and the next; its deadline is in one of them
+    own = F.floor(F.col("release") / span)
+    events = blocks.withColumn("range", F.explode(F.array(own, own + 1))).groupBy("range", "release").agg(
+        F.collect_list(F.struct("deadline", "source", "block")).alias("new"))
+    events = events.groupBy("range").agg(F.array_sort(F.collect_list(F.struct("release", "new"))).alias("events"))
+    events = events.join(waiting, "range", "left")
+
+    def step(state, k):
+        now = F.get(F.col("events"), k)
+        until = F.get(F.col("events"), k + 1)["release"]
+        queue = F.array_sort(F.concat(state["queue"], now["new"]))
+
+        def serve(q):
+            n = F.least(F.size(q).cast("long"), F.coalesce(until - now["release"], F.size(q).cast("long"))).cast("int")
+            taken = F.transform(F.slice(q, 1, n), lambda x, i: F.struct(
+                x["source"].alias("source"), x["block"].alias("block"), x["deadline"].alias("deadline"),
+                (now["release"] + i).alias("slot")))
+            return F.struct(F.slice(q, n + 1, F.size(q)).alias("queue"),
+                            F.concat(state["out"], F.filter(taken, lambda x: x["block"] >= 0)).alias("out"))
+        return F.get(F.transform(F.array(queue), serve), 0)
+
+    someone = F.struct(F.lit(-1).cast("long").alias("deadline"), F.lit("").alias("source"),
+                       F.lit(-1).cast("long").alias("block"))
+    gone = F.get(F.col("events"), 0)["release"] - (F.col("range") - 1) * span
+    left = F.greatest(F.lit(0), F.coalesce("waiting", F.lit(0)) - gone).cast("int")
+    start = F.struct(
+        F.array_repeat(someone, left).cast("array<struct<deadline:bigint,source:string,block:bigint>>").alias("queue"),
+        F.expr("cast(array() as array<struct<source:string,block:bigint,deadline:bigint,slot:bigint>>)").alias("out"))
+    out = F.aggregate(F.sequence(F.lit(0), F.size("events") - 1), start, step)["out"]
+    rows = events.select("range", F.explode(out).alias("x")).select("range", "x.*")
+    rows = rows.where(F.floor((F.col("deadline") - 1) / span) == F.col("range"))
+    return rows.drop("range", "deadline").join(blocks, ["source", "block"]).select(
+        "source", "block", "release", "deadline", "slot")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK) -> DataFrame:
@@ -90,9 +132,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
         digits += 1
     docs = docs.withColumn("_bucket", F.substring("_order", 1, digits))
     cells = scratch.write(docs.groupBy("_source", "_bucket").agg(F.sum("_size").alias("size")), "cells")
-    quota = scratch.write(quotas(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("size")),
-                                 weights), "quotas")
-    period = scratch.write(schedule(quota), "period")
+    quota = shares(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("size")), weights)
+    quota = scratch.write(quota.withColumn("blocks", F.floor((F.col("size") - 1) / block) + 1), "quotas")
+    slots = scratch.write(schedule(quota), "slots")
     running = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = scratch.write(
         cells.withColumn("before", F.coalesce(F.sum("size").over(running), F.lit(0))).drop("size"), "offsets")
@@ -101,23 +143,23 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     rows = docs.join(offsets, ["_source", "_bucket"]).withColumn(
         "_start", F.col("before") + F.coalesce(F.sum("_size").over(inside), F.lit(0)))
     rows = rows.withColumn("block", F.floor(F.col("_start") / block).cast("long"))
-    slots = period.select(F.col("source").alias("_source"), F.col("number").alias("_number"), "slot", "quota", "period")
-    quota_of = slots.select("_source", "quota", "period").distinct()
     # the first source to end: no slot after its last block is an exact mix
-    last = F.ceil((F.floor((F.col("size") - 1) / block) + 1) * F.col("period") / F.col("quota"))
-    end = (quota.join(quota_of.select(F.col("_source").alias("source"), "period"), "source")
-           .agg(F.min(last).alias("_end")))
-    rows = rows.join(quota_of, "_source").withColumn("_number", F.col("block") % F.col("quota") + 1).drop("period")
-    rows = rows.join(slots.drop("quota"), ["_source", "_number"])
-    slot = F.floor(F.col("block") / F.col("quota")) * F.col("period") + F.col("slot")
-    rows = rows.withColumn("slot", slot.cast("long")).crossJoin(end)
-    place = Window.partitionBy("slot").orderBy("_start")
+    total = quota.agg(F.sum("quota").alias("total"))
+    end = quota.where("quota > 0").crossJoin(total).agg(
+        F.min(F.ceil(F.col("blocks") * (F.col("total") / F.col("quota")) * (1 - NEAR))).alias("_end"))
+    # sources of no weight, one row each, after the last slot
+    last = slots.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).alias("_last"))
+    others = quota.where("quota <= 0").withColumn("_before", F.coalesce(F.sum("blocks").over(
+        Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    others = others.crossJoin(last).select(F.col("source").alias("_source"), (F.col("_before") + F.col("_last")).alias("_first"))
+    rows = rows.join(slots.withColumnRenamed("source", "_source"), ["_source", "block"], "left")
+    rows = rows.join(others, "_source", "left").crossJoin(end)
+    rows = rows.withColumn("slot", F.coalesce("slot", F.col("_first") + F.col("block")).cast("long"))
+    place = Window.partitionBy("_source", "block").orderBy("_start")
     return rows.select(
         *columns, F.col("_source").alias("source_name"), "block", "slot",
-        F.row_number().over(place).cast("long").alias("place"),
-        F.floor(F.col("block") * F.col("period") / F.col("quota")).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * F.col("period") / F.col("quota")).cast("long").alias("deadline"),
-        (F.col("slot") < F.col("_end")).alias("in_mix"))
+        F.row_number().over(place).cast("long").alias("place"), "release", "deadline",
+        F.coalesce((F.col("slot") < F.col("_end")) & F.col("release").isNotNull(), F.lit(False)).alias("in_mix"))
 
 
 ORACLE = f"""
