@@ -411,3 +411,32 @@ def test_mix_stays_within_a_block_of_the_target_weights(spark):
         done[r.source] += 1
         if r.in_mix:
             assert all(abs(done[s] - w * (r.slot + 1)) < 1 for s, w in weights.items())
+
+
+@pytest.mark.parametrize("length", [10, 27, 60])
+def test_line_dedup_recall_of_edited_words(spark, length):
+    """Lines with up to a fifth of their words replaced, against edit similarity alone."""
+    rng = np.random.default_rng(length)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(5000)]
+
+    def edits(a, b):
+        row = np.arange(len(b) + 1)
+        at, b = np.arange(len(b) + 1), np.frombuffer(b.encode(), np.uint8)
+        for i, x in enumerate(a.encode(), 1):
+            new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (b != x))])
+            row = np.minimum.accumulate(new - at) + at
+        return row[-1]
+    texts = []
+    for k in range(120):
+        w = list(rng.choice(vocabulary, length))
+        v = list(w)
+        for at in rng.choice(length, max(1, round(length * (0.05, 0.1, 0.15, 0.2)[k % 4])), replace=False):
+            v[at] = str(rng.choice(vocabulary))
+        texts.append((" ".join(w), " ".join(v)))
+    true = [k for k, (w, v) in enumerate(texts) if edits(w, v) <= 0.2 * max(len(w), len(v))]
+    d = spark.createDataFrame([(2 * k + j, t) for k, pair in enumerate(texts) for j, t in enumerate(pair)],
+                              "doc_id long, text string")
+    kept = {r.doc_id for r in line_dedup.line_report(d).where("n_kept > 0").collect()}
+    assert len(true) > 80 and all(2 * k in kept for k in range(120))
+    assert all(2 * k + 1 in kept for k in set(range(120)) - set(true))
+    assert sum(2 * k + 1 not in kept for k in true) >= 0.93 * len(true)
