@@ -440,3 +440,17 @@ def test_line_dedup_recall_of_edited_words(spark, length):
     assert len(true) > 80 and all(2 * k in kept for k in range(120))
     assert all(2 * k + 1 in kept for k in set(range(120)) - set(true))
     assert sum(2 * k + 1 not in kept for k in true) >= 0.93 * len(true)
+
+
+def test_licence_notices_beside_other_signs(spark):
+    """Breaks beyond ASCII, digits and underscores beside words, notices without a unique word."""
+    apache, mit, gpl = (license_scan.TEMPLATES[f"{n} notice"] for n in ("Apache-2.0", "MIT", "GPL"))
+    texts = {
+        1: (apache.replace(" ", "\u00a0"), 1), 2: (f"“{mit[:-1]}”", 1), 3: (f"so—{mit[:-1]}。", 1),
+        4: (f"2024{mit[:-1]}2", 1), 5: (f"_{mit[:-1]}_", 1), 6: (f"{mit} {mit} {mit}", 3), 7: (f"{gpl}\n{gpl}\n{gpl}", 3),
+        8: (f"Released released under under the the {mit} MIT MIT License license", 1), 9: ("café " + mit.upper(), 1),
+        10: ("“under the License”", 0)}
+    d = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(d).collect()}
+    assert {k: r.n_hits for k, r in got.items()} == {k: n for k, (_, n) in texts.items()}
+    assert all(got[k].best_coverage == 1.0 for k in texts if k != 10)

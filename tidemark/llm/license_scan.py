@@ -9,7 +9,11 @@ words that are aligned; 0.8 or more is a hit, and of overlapping hits the one th
 most words stays.
 
 Before that, whole texts are screened by hashed words: a text that lacks more of a
-template's distinctive words than 0.8 coverage allows is not aligned.
+template's distinctive words than 0.8 coverage allows is not aligned.  The screen parts
+words as the alignment does: whatever is no letter, in any script, is a break.
+
+A window that reaches beyond the template may hold a word of it twice, which then is no
+anchor, so the template's very span is aligned as well, at every place.
 
 Edge cases: null or empty text has no hits; a licence that occurs twice is two hits; ties
 go to the longer template, then to the earlier place; repeated rows are each scanned; a
@@ -29,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, slices, utf8, words
-from tidemark.llm.line_dedup import _APART
 
 COVERAGE = 0.8
 
@@ -60,6 +63,11 @@ COMMON = frozenset(
     "it list may no not of on or out that the this to under use version whom with without work you your #".split())
 
 _WORD = re.compile(r"[^\W\d_]+|\d+")
+_BREAK = re.compile(r"[\W\d_]+")
+# of ASCII, only small letters are in words (the texts are in lower case)
+_APART = np.ones(256, dtype=bool)
+_APART[0x61:0x7B] = False
+_APART[0x80:] = False
 HIT = "array<struct<license:string,coverage:double,start:int,end:int>>"
 
 
@@ -68,6 +76,16 @@ def text_words(text: str) -> list[tuple[str, int, int]]:
     return [("#" if m[0].isdigit() else m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
+def screened(text: pa.Array) -> pa.Array:
+    """Texts in lower case with a blank for whatever beyond ASCII is no letter."""
+    low = pc.utf8_lower(text)
+    odd = pc.fill_null(pc.invert(pc.string_is_ascii(low)), False)
+    if not pc.any(odd).as_py():
+        return low
+    return pa.array([_BREAK.sub(" ", x) if o else x for x, o in zip(low.to_pylist(), odd.to_pylist(), strict=True)],
+                    low.type)
+
+
 def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Aligned places (i, j) of two word lists: unique common words, their longest
     increasing subsequence, and the same again in the gaps."""
@@ -158,13 +176,15 @@ class Templates:
             starts = sorted({p - k for w, k in self.marks[name].items() for p in places.get(w, ())})
             last = None
             for s in starts:
-                if last is not None and s - last < max(1, slack // 2):
-                    continue  # the window at ``last`` holds this one's template as well
-                last = s
-                lo = max(0, s - slack)
-                pairs = patience(plain[lo:s + len(template) + slack], template)
-                if len(pairs) >= COVERAGE * len(template):
-                    found.append((len(pairs), len(template), name, lo + pairs[0][0], lo + pairs[-1][0]))
+                spans = [(max(0, s), s + len(template))] if s + len(template) > 0 else []
+                # the window at ``last`` holds the template of places close after it as well
+                if last is None or s - last >= max(1, slack // 2):
+                    last = s
+                    spans.append((max(0, s - slack), s + len(template) + slack))
+                for lo, hi in spans:
+                    pairs = patience(plain[lo:hi], template)
+                    if len(pairs) >= COVERAGE * len(template):
+                        found.append((len(pairs), len(template), name, lo + pairs[0][0], lo + pairs[-1][0]))
         found.sort(key=lambda x: (-x[0], -x[1], x[3], x[2]))
         kept: list[tuple] = []
         for hit in found:
@@ -180,7 +200,7 @@ def _scan(texts: dict[str, str]):
         kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()),
                                    ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            data, off = utf8(pc.utf8_lower(batch.column(1)))
+            data, off = utf8(screened(batch.column(1)))
             hits = [[] for _ in range(batch.num_rows)]
             for i, j in slices(off):
                 h, _, _, w = words(data[off[i]:off[j]], off[i:j + 1] - off[i], _APART)
