@@ -454,3 +454,17 @@ def test_licence_notices_beside_other_signs(spark):
     got = {r.doc_id: r for r in license_scan.scan_licenses(d).collect()}
     assert {k: r.n_hits for k, r in got.items()} == {k: n for k, (_, n) in texts.items()}
     assert all(got[k].best_coverage == 1.0 for k in texts if k != 10)
+
+
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    """A labelled doc_id in a third of the rows, with one text and with many."""
+    monkeypatch.setattr(quality, "TRAIN", 60)
+    d = spark.createDataFrame(
+        [(k, f"text {k}") for k in range(40)] + [(7, "text 7")] * 500 + [(8, f"other {k}") for k in range(500)],
+        "doc_id long, text string").repartition(6)
+    lab = spark.createDataFrame([(k, float(k % 2), 0.0) for k in range(40)], "doc_id long, quality double, toxic double")
+    got = quality.sample(common.Scratch(spark, "test"), d, lab, 40).collect()
+    assert 30 <= len(got) <= 60 and len({(r.doc_id, r.hash) for r in got}) == len(got)
+    assert sum(r.doc_id == 7 for r in got) <= 1 and "text" not in got[0].asDict()
+    few = quality.sample(common.Scratch(spark, "test"), d.where("doc_id != 8"), lab, 40).collect()
+    assert sorted(r.doc_id for r in few) == [k for k in range(40) if k != 8]

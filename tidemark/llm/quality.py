@@ -1,7 +1,7 @@
 """Operator 4: quality by hierarchical empirical Bayes.
 
 A logistic classifier on hashed word presence and surface figures, fitted on a bounded
-sample of labelled documents (``TRAIN`` at most), gives each whole text its evidence.
+sample of labelled documents (``TRAIN`` rows at most, repeated ones once), gives each whole text its evidence.
 Then labels, and with less weight the classifier's estimates where there is none, are
 summed by path, host and over all rows.  A host's rate is shrunk toward the global rate
 and a path's toward its host's, each by a prior strength estimated from the spread of the
@@ -81,12 +81,11 @@ _APART_WORDS[0x80:] = False
 _APART_WORDS[0x61:0x7B] = False
 
 
-def fit(texts: list[str | None], y: np.ndarray, rounds: int = 300) -> np.ndarray:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 300) -> np.ndarray:
     """Weights of the cells and of the surface figures (logistic loss, ridge, adaptive
-    gradient steps), the classes weighing the same."""
-    if not len(texts) or len(set(y.tolist())) < 2:
+    gradient steps), the classes weighing the same.  rows: as ``features`` gives them."""
+    if not len(rows) or len(set(y.tolist())) < 2:
         return np.zeros(CELLS + SURFACE)
-    rows = list(features(pa.array(texts, pa.string())))
     row = np.repeat(np.arange(len(rows)), [len(c) for c, _ in rows])
     cell = np.concatenate([c for c, _ in rows])
     # only cells that tell the classes apart: the many others would learn the sample by heart
@@ -113,6 +112,40 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = 300) -> np.ndarray
     return np.concatenate([w, v])
 
 
+def _feature_rows(batches):
+    """doc_id, hash, cells and surface figures, once a task for repeated rows."""
+    seen = set()
+    for batch in batches:
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True))
+        new = [k for k, key in enumerate(keys) if not (key in seen or seen.add(key))]
+        batch = batch.take(pa.array(new, pa.int64()))
+        rows = list(features(batch.column(2)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([c.astype("<i4").tobytes() for c, _ in rows], pa.binary()),
+             pa.array([s.astype("<f8").tobytes() for _, s in rows], pa.binary())],
+            ["doc_id", "hash", "cells", "surface"])
+
+
+def sample(scratch: Scratch, docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
+    """doc_id, hash, cells, surface and labels of ``TRAIN`` rows at most: one a (doc_id, text),
+    however many rows repeat it, and no text.  labels: one row a doc_id, ``n`` in all."""
+
+    def some(df: DataFrame, count: int, *by: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*by, F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
+        return df.where(place < min(1.0, 0.9 * TRAIN / max(1, count))).limit(TRAIN)  # bounded, so broadcast
+
+    chosen = scratch.write(some(labels, n, "doc_id"), "chosen")
+    rows = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash"), "text").join(
+        F.broadcast(chosen.select("doc_id")), "doc_id")
+    # a doc_id may have many texts, so the rows are bounded as well
+    keys = scratch.write(rows.select("doc_id", "hash").distinct(), "keys")
+    keys = scratch.write(some(keys, keys.count(), "hash", "doc_id"), "sample")
+    told = rows.join(F.broadcast(keys), ["doc_id", "hash"]).select("doc_id", "hash", "text").mapInArrow(
+        _feature_rows, "doc_id long, hash string, cells binary, surface binary")
+    told = told.groupBy("doc_id", "hash").agg(F.min("cells").alias("cells"), F.min("surface").alias("surface"))
+    return told.join(F.broadcast(chosen), "doc_id")
+
+
 def _evidence(models):
     def run(batches):
         weights = np.stack(models.value)
@@ -179,14 +212,12 @@ def rate_documents(docs: DataFrame, labels: DataFrame, site: Column) -> DataFram
     labels = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         *(F.max(s).cast("double").alias(s) for s in SIGNALS))
     n = labels.count()
-    place = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labels.where(place < min(1.0, 0.9 * TRAIN / max(1, n))).limit(TRAIN)  # bounded, so broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
+    rows = sorted(sample(scratch, docs, labels, n).collect(), key=lambda r: (r["doc_id"], r["hash"]))
     models = []
     for s in SIGNALS:
         own = [r for r in rows if r[s] is not None]
-        models.append(fit([r["text"] for r in own], np.array([float(r[s]) for r in own])))
+        models.append(fit([(np.frombuffer(r["cells"], "<i4"), np.frombuffer(r["surface"], "<f8")) for r in own],
+                          np.array([float(r[s]) for r in own])))
     rated = scratch.write(docs.mapInArrow(
         _evidence(spark.sparkContext.broadcast(models)),
         "doc_id long, site string, " + ", ".join(f"llr_{s} double" for s in SIGNALS)), "evidence")
