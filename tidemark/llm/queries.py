@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    embed_dedup, fingerprints, kneser_ney, language_id, license_scan, line_dedup, mixing, ngram_join,
-    packing, quality,
+    adaptive_rules, conversations, embed_dedup, fingerprints, kneser_ney, language_id, license_scan,
+    line_dedup, mixing, ngram_join, packing, periodic, quality,
 )
 
 
@@ -58,10 +58,26 @@ def op10_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"), damage=True, spans=False)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = conversations.damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, copies)
+
+
+def op13_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = adaptive_rules.rate(_table(spark, sf_dir, "documents"))
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_license_scan, op3_pfair_mixing, op4_quality_bayes, op5_merkle_fingerprints,
     op6_best_fit_packing, op7_language_id, op8_ngram_jaccard_join,
-    op9_embedding_near_dedup, op10_kneser_ney_scores)}
+    op9_embedding_near_dedup, op10_kneser_ney_scores,
+    op11_periodic_runs, op12_conversation_repair, op13_adaptive_rules)}
 
 ORACLE: dict[str, str] = {
     "op3_pfair_mixing": mixing.ORACLE,
