@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
 
-# Entity (business) schemas of the six source tables.  Keys are int64 because the
-# driver's tables use int64 identifiers.
+# Fixed values (wire contract): entity schemas of the six source tables.  Keys are int64
+# because the driver's tables use int64 identifiers; a line's key is its order and its number
+# in the order.
 ENTITY_SCHEMAS: dict[str, T.StructType] = {
     "customers": T.StructType([
         T.StructField("customer_id", T.LongType(), False),
@@ -43,8 +44,8 @@ ENTITY_SCHEMAS: dict[str, T.StructType] = {
         T.StructField("updated_at", T.TimestampType()),
     ]),
     "order_items": T.StructType([
-        T.StructField("item_id", T.LongType(), False),
-        T.StructField("order_id", T.LongType()),
+        T.StructField("order_id", T.LongType(), False),
+        T.StructField("line_no", T.LongType(), False),
         T.StructField("product_id", T.LongType()),
         T.StructField("quantity", T.IntegerType()),
         T.StructField("unit_price", MONEY),
@@ -75,12 +76,12 @@ ENTITY_SCHEMAS: dict[str, T.StructType] = {
 
 TABLES = list(ENTITY_SCHEMAS)
 
-# Primary keys; lists so composite keys are possible.
+# Fixed values (wire contract): primary keys.
 PRIMARY_KEYS: dict[str, list[str]] = {
     "customers": ["customer_id"],
     "products": ["product_id"],
     "orders": ["order_id"],
-    "order_items": ["item_id"],
+    "order_items": ["order_id", "line_no"],
     "payments": ["payment_id"],
     "returns": ["return_id"],
 }
@@ -99,7 +100,7 @@ REQUIRED_COLUMNS: dict[str, list[str]] = {
     "customers": ["name"],
     "products": ["name", "price"],
     "orders": ["customer_id"],
-    "order_items": ["order_id", "product_id", "quantity", "unit_price"],
+    "order_items": ["product_id", "quantity", "unit_price"],
     "payments": ["order_id", "amount"],
     "returns": ["order_id"],
 }
@@ -130,7 +131,7 @@ KAFKA_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
-# Change envelope inside ``value``; row images stay raw JSON text so one schema
+# Fixed values (wire contract): change envelope inside ``value``; row images stay raw JSON text so one schema
 # serves every table.  ``_corrupt`` catches text that is not JSON at all.
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("payload", T.StructType([
@@ -147,15 +148,13 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
+# Fixed values (wire contract): bronze columns.
 BRONZE_COLUMNS = [
     "cdc_op", "cdc_ts_ms", "cdc_ts", "cdc_db", "cdc_table", "cdc_lsn",
     "before_json", "after_json", "kafka_topic", "kafka_partition", "kafka_offset",
     "kafka_ts", "processed_at",
 ]
 
-# Change ordering, newest first (D5): time, then log position, then offset.
-CHANGE_ORDER = ["cdc_ts_ms", "cdc_lsn", "kafka_offset", "kafka_partition"]
-
 SILVER_META = ["_cdc_op", "_cdc_ts", "_cdc_lsn", "_cdc_offset", "_is_deleted",
                "_deleted_at", "_silver_updated_at"]
 

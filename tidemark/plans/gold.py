@@ -18,11 +18,6 @@ from tidemark.functions.columns import is_live, ratio
 # Partition column of each gold product in the store.
 GOLD_PARTITIONS = {"orders": "order_year", "sales_facts": "order_year",
                    "payments_summary": "payment_year"}
-# Row key used with the partition column to range-cluster a partitioned write: few
-# large files per partition value, and a partition value with a third of the rows
-# is spread over several tasks.
-GOLD_CLUSTER_KEYS = {"orders": "order_id", "sales_facts": "item_id",
-                     "payments_summary": "payment_day"}
 
 
 def _calendar(ts_col: str, prefix: str) -> list:
@@ -66,7 +61,7 @@ def gold_sales_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
                      customers: DataFrame) -> DataFrame:
     """One row per live order line of a live order."""
     i = items.filter(is_live(F.col("_is_deleted"))).select(
-        "item_id", "order_id", "product_id", "quantity", "unit_price")
+        "order_id", "line_no", "product_id", "quantity", "unit_price")
     o = orders.filter(is_live(F.col("_is_deleted"))).select(
         F.col("order_id").alias("_o_id"), "customer_id", "order_date", "channel", "status")
     p = products.filter(is_live(F.col("_is_deleted"))).select(
@@ -78,7 +73,7 @@ def gold_sales_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
          .join(p, i.product_id == p._p_id, "left")
          .join(c, o.customer_id == c._c_id, "left"))
     return j.select(
-        "item_id", "order_id", "product_id", "customer_id", "product_name",
+        "order_id", "line_no", "product_id", "customer_id", "product_name",
         "product_category", "product_brand", "customer_name", "customer_segment",
         "customer_city", "order_date", *_calendar("order_date", "order"), "channel", "status",
         "quantity", "unit_price",

@@ -9,7 +9,6 @@ UTC), and wall-clock columns (``processed_at``, ``_silver_updated_at``,
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +22,11 @@ from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
 from tidemark.plans import gold as G
 from tidemark.plans import kpi as K
-from tidemark.plans.oracle_sql import VERB, with_base
+from tidemark.plans.oracle_sql import CHANGES, KEYS, LABELS, VERB, rows_of, with_base
+from tidemark.plans.oracle_sql import key_text as key_sql
 from tidemark.plans.flow import Flow
-from tidemark.session import checkpoint_dir
-from tidemark.sources.feed import malformed_records, snapshot_diff, to_records
-from tidemark.sources.store import Store
-from tidemark.streaming import bronze_stream as BS
-from tidemark.streaming import silver_stream as SS
+from tidemark.sources.feed import (FAULTS, malformed_records, snapshot_diff, snapshot_diff_digests,
+                                   snapshot_to_feed, to_records)
 
 WALL_CLOCK = {"processed_at", "_silver_updated_at", "_deleted_at"}
 
@@ -61,17 +58,48 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-# --------------------------------------------------------------------------- bronze
+# ----------------------------------------------------- rows of all six tables in one form
+
+# a text and an amount that stand for a row in outputs over all tables
+_LABELS = {"customers": ("segment", None), "products": ("brand", "price"), "orders": ("status", "total_amount"),
+           "order_items": ("quantity", "subtotal"), "payments": ("status", "amount"),
+           "returns": ("status", "refund_amount")}
+
+
+def key_text(table: str):
+    return F.concat_ws(":", *[F.col(k).cast("string") for k in PRIMARY_KEYS[table]])
+
+
+def labelled(df: DataFrame, table: str, *more) -> DataFrame:
+    """table_name, key, label, amount and ``more`` of a table's rows."""
+    label, amount = _LABELS[table]
+    return df.select(F.lit(table).alias("table_name"), key_text(table).alias("key"), F.col(label).cast("string").alias("label"),
+                     (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount"), *more)
+
+
+def over_tables(build) -> DataFrame:
+    """Union of ``build(table)`` over the six tables."""
+    out = None
+    for t in TABLES:
+        df = build(t)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+_STATE = ["_cdc_op", "_cdc_ts", "_cdc_lsn", "_is_deleted"]
+_STATE_ORACLE = f"""
+    SELECT table_name, key, label, amount, {VERB} AS _cdc_op, event_ts AS _cdc_ts, lsn AS _cdc_lsn,
+           op = 'd' AS _is_deleted
+    FROM all_states"""
 
-_ORDER_STATE_COLS = ("order_id, customer_id, order_date, status, channel, "
-                     "CAST(total_amount AS DOUBLE) AS total_amount")
 
+# --------------------------------------------------------------------------- bronze
 
 @register("bronze_orders_decoded", f"""
     SELECT {VERB} AS cdc_op, epoch_ms(event_ts) AS cdc_ts_ms, event_ts AS cdc_ts,
            'retail' AS cdc_db, 'orders' AS cdc_table, lsn AS cdc_lsn,
            'cdc.public.orders' AS kafka_topic, CAST(kafka_partition AS INTEGER) AS kafka_partition,
-           lsn AS kafka_offset, event_ts + to_seconds(latency_s) AS kafka_ts,
+           kafka_offset, event_ts + to_seconds(latency_s) AS kafka_ts,
            status AS image_status
     FROM feed_orders""")
 def _bronze_orders_decoded(p: Flow) -> DataFrame:
@@ -81,40 +109,34 @@ def _bronze_orders_decoded(p: Flow) -> DataFrame:
 
 
 @register("cdc_op_decode", f"""
-    SELECT op, {VERB} AS cdc_op, COUNT(*) AS n_events FROM all_events GROUP BY 1, 2""")
+    SELECT op, {VERB} AS cdc_op, COUNT(*) AS n_events FROM all_changes GROUP BY 1, 2""")
 def _cdc_op_decode(p: Flow) -> DataFrame:
     return (p.bronze.groupBy(op_code(F.col("cdc_op")).alias("op"), "cdc_op")
             .agg(F.count(F.lit(1)).alias("n_events")))
 
 
 @register("cdc_row_image", f"""
-    SELECT lsn AS kafka_offset, {VERB} AS cdc_op,
-           CASE WHEN op = 'd' THEN 'before' ELSE 'after' END AS image_side,
-           order_id, status, CAST(total_amount AS DOUBLE) AS total_amount
-    FROM feed_orders""")
+    SELECT table_name, key, label, amount, lsn AS _cdc_lsn, {VERB} AS cdc_op,
+           CASE WHEN op = 'd' THEN 'before' ELSE 'after' END AS image_side
+    FROM all_changes""")
 def _cdc_row_image(p: Flow) -> DataFrame:
-    b = p.bronze_of("orders")
-    rows = S.change_rows(b, "orders")
-    return rows.select(
-        F.col("_cdc_offset").alias("kafka_offset"), F.col("_cdc_op").alias("cdc_op"),
-        F.when(F.col("_cdc_op").isin("INSERT", "UPDATE", "READ"), "after")
-        .otherwise("before").alias("image_side"),
-        "order_id", "status", "total_amount")
+    side = F.when(F.col("_cdc_op").isin("INSERT", "UPDATE", "READ"), "after").otherwise("before")
+    return over_tables(lambda t: labelled(S.change_rows(p.bronze_of(t), t), t, "_cdc_lsn",
+                                          F.col("_cdc_op").alias("cdc_op"), side.alias("image_side")))
 
 
 @register("cdc_soft_delete_flags", """
-    SELECT lsn AS kafka_offset, order_id, op = 'd' AS _is_deleted,
-           op = 'd' AS has_deleted_at
-    FROM feed_orders""")
+    SELECT table_name, key, lsn AS _cdc_lsn, op = 'd' AS _is_deleted, op = 'd' AS has_deleted_at
+    FROM all_changes""")
 def _cdc_soft_delete_flags(p: Flow) -> DataFrame:
-    rows = S.change_rows(p.bronze_of("orders"), "orders")
-    return rows.select(F.col("_cdc_offset").alias("kafka_offset"), "order_id", "_is_deleted",
-                       F.col("_deleted_at").isNotNull().alias("has_deleted_at"))
+    return over_tables(lambda t: S.change_rows(p.bronze_of(t), t).select(
+        F.lit(t).alias("table_name"), key_text(t).alias("key"), "_cdc_lsn", "_is_deleted",
+        F.col("_deleted_at").isNotNull().alias("has_deleted_at")))
 
 
 @register("cdc_topic_filter", """
-    SELECT 'cdc.public.' || source_table AS kafka_topic, COUNT(*) AS n_records
-    FROM all_events WHERE source_table IN ('orders', 'payments') GROUP BY 1""")
+    SELECT 'cdc.public.' || table_name AS kafka_topic, COUNT(*) AS n_records
+    FROM all_changes WHERE table_name IN ('orders', 'payments') GROUP BY 1""")
 def _cdc_topic_filter(p: Flow) -> DataFrame:
     r = B.topic_filter(p.records, ["orders", "payments"])
     return r.groupBy(F.col("topic").alias("kafka_topic")).agg(
@@ -122,9 +144,8 @@ def _cdc_topic_filter(p: Flow) -> DataFrame:
 
 
 @register("topic_to_table", """
-    SELECT 'cdc.public.' || source_table AS kafka_topic, source_table AS table_name,
-           COUNT(*) AS n_records
-    FROM all_events GROUP BY 1, 2""")
+    SELECT 'cdc.public.' || table_name AS kafka_topic, table_name, COUNT(*) AS n_records
+    FROM all_changes GROUP BY 1, 2""")
 def _topic_to_table(p: Flow) -> DataFrame:
     return (p.records.groupBy(F.col("topic").alias("kafka_topic"))
             .agg(F.count(F.lit(1)).alias("n_records"))
@@ -133,125 +154,117 @@ def _topic_to_table(p: Flow) -> DataFrame:
 
 
 @register("cdc_fanout_counts", f"""
-    SELECT source_table AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events
-    FROM all_events GROUP BY 1, 2""")
+    SELECT table_name AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events
+    FROM all_changes GROUP BY 1, 2""")
 def _cdc_fanout_counts(p: Flow) -> DataFrame:
     return p.bronze.groupBy("cdc_table", "cdc_op").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-@register("distinct_tables", "SELECT DISTINCT source_table AS cdc_table FROM all_events")
+@register("distinct_tables", "SELECT DISTINCT table_name AS cdc_table FROM all_changes")
 def _distinct_tables(p: Flow) -> DataFrame:
     return p.bronze.select("cdc_table").distinct()
 
 
 @register("cdc_replay_dedup", f"""
-    SELECT {VERB} AS cdc_op, COUNT(*) AS n_events, 2 * COUNT(*) AS n_delivered
-    FROM feed_orders GROUP BY 1""")
+    SELECT table_name AS cdc_table, {VERB} AS cdc_op, lsn AS cdc_lsn, event_ts AS cdc_ts,
+           CAST(kafka_partition AS INTEGER) AS kafka_partition, kafka_offset
+    FROM all_changes""")
 def _cdc_replay_dedup(p: Flow) -> DataFrame:
-    # The whole orders log delivered twice, as after a restart that replays everything.
-    twice = p.records_of("orders").unionByName(p.records_of("orders"))
-    b = B.decode(twice)
-    # dedup as an aggregate on the coordinates: one pass gives both counts
-    per_record = b.groupBy(*B.COORDINATES, "cdc_op").agg(F.count(F.lit(1)).alias("_copies"))
-    return per_record.groupBy("cdc_op").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum("_copies").cast(T.LongType()).alias("n_delivered"))
+    """All six logs delivered twice, as after a restart that replays everything: the events
+    that stay are those of one delivery (D7)."""
+    twice = B.decode(p.records.unionByName(p.records))
+    return B.dedup_replays(twice).select("cdc_table", "cdc_op", "cdc_lsn", "cdc_ts", "kafka_partition", "kafka_offset")
 
 
 # --------------------------------------------------------------------------- silver
 
-_SILVER_ORDER_ORACLE = f"""
-    SELECT {_ORDER_STATE_COLS}, {VERB} AS _cdc_op, event_ts AS _cdc_ts, lsn AS _cdc_lsn,
-           lsn AS _cdc_offset, op = 'd' AS _is_deleted
-    FROM silver_orders"""
-
-_STATE_COLS = ["order_id", "customer_id", "order_date", "status", "channel", "total_amount",
-               "_cdc_op", "_cdc_ts", "_cdc_lsn", "_cdc_offset", "_is_deleted"]
-
-
-@register("cdc_latest_per_key", _SILVER_ORDER_ORACLE)
+@register("cdc_latest_per_key", _STATE_ORACLE)
 def _cdc_latest_per_key(p: Flow) -> DataFrame:
-    return p.silver["orders"].select(*_STATE_COLS)
+    return over_tables(lambda t: labelled(p.silver[t], t, *_STATE))
 
 
 @register("cdc_soft_delete_state", f"""
-    SELECT {VERB} AS _cdc_op, op = 'd' AS _is_deleted, status, COUNT(*) AS n_keys
-    FROM silver_orders GROUP BY 1, 2, 3""")
+    SELECT table_name, {VERB} AS _cdc_op, op = 'd' AS _is_deleted, COUNT(*) AS n_keys
+    FROM all_states GROUP BY 1, 2, 3""")
 def _cdc_soft_delete_state(p: Flow) -> DataFrame:
-    return (p.silver["orders"].groupBy("_cdc_op", "_is_deleted", "status")
-            .agg(F.count(F.lit(1)).alias("n_keys")))
+    return over_tables(lambda t: p.silver[t].groupBy(F.lit(t).alias("table_name"), "_cdc_op", "_is_deleted")
+                       .agg(F.count(F.lit(1)).alias("n_keys")))
 
 
 _CUT = "1997-01-01 00:00:00"
 
 
-def _orders_rows(p: Flow) -> DataFrame:
-    return S.change_rows(p.bronze_of("orders"), "orders")
+def _change_rows(p: Flow, table: str) -> DataFrame:
+    return S.change_rows(p.bronze_of(table), table)
 
 
 def _before_cut(rows: DataFrame, before: bool) -> DataFrame:
+    """Log before and after a time; where a table's log has but one day, that is by the key."""
     cut = F.lit(_CUT).cast(T.TimestampType())
-    return rows.filter(F.col("_cdc_ts") < cut if before else F.col("_cdc_ts") >= cut)
+    early = (F.col("_cdc_ts") < cut) & (F.col("_cdc_op") != "DELETE")
+    return rows.filter(early if before else ~early)
 
 
-@register("cdc_merge_upsert", _SILVER_ORDER_ORACLE)
+@register("cdc_merge_upsert", _STATE_ORACLE)
 def _cdc_merge_upsert(p: Flow) -> DataFrame:
-    """Target = state of the log before a cut date; updates = state of the rest."""
-    keys = PRIMARY_KEYS["orders"]
-    rows = _orders_rows(p)
-    target = S.latest_per_key(_before_cut(rows, True), keys)
-    updates = S.latest_per_key(_before_cut(rows, False), keys)
-    return S.merge_upsert(target, updates, keys).select(*_STATE_COLS)
+    """Target = state of the log before a cut date without its deletes; updates = the rest."""
+    def merged(t):
+        rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
+        target = S.latest_per_key(_before_cut(rows, True), keys)
+        updates = S.latest_per_key(_before_cut(rows, False), keys)
+        return labelled(S.merge_upsert(target, updates, keys), t, *_STATE)
+    return over_tables(merged)
 
 
-@register("cdc_guarded_merge", _SILVER_ORDER_ORACLE)
+@register("cdc_guarded_merge", _STATE_ORACLE)
 def _cdc_guarded_merge(p: Flow) -> DataFrame:
     """The same two batches applied newest first; the guard ignores the late one."""
-    keys = PRIMARY_KEYS["orders"]
-    rows = _orders_rows(p)
-    target = S.latest_per_key(_before_cut(rows, False), keys)
-    late = S.latest_per_key(_before_cut(rows, True), keys)
-    return S.merge_upsert(target, late, keys, guarded=True).select(*_STATE_COLS)
-
-
-@register("cdc_delete_unseen_key", f"""
-    SELECT d.order_id, d.status, 'DELETE' AS _cdc_op, TRUE AS _is_deleted,
-           EXISTS (SELECT 1 FROM feed_orders r WHERE r.op = 'r' AND r.order_id = d.order_id)
-             AS was_known
-    FROM feed_orders d WHERE d.op = 'd'""")
+    def merged(t):
+        rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
+        target = S.latest_per_key(_before_cut(rows, False), keys)
+        late = S.latest_per_key(_before_cut(rows, True), keys)
+        return labelled(S.merge_upsert(target, late, keys, guarded=True), t, *_STATE)
+    return over_tables(merged)
+
+
+@register("cdc_delete_unseen_key", """
+    SELECT d.table_name, d.key, d.label, d.amount, TRUE AS _is_deleted,
+           r.key IS NOT NULL AS was_known
+    FROM all_changes d LEFT JOIN (SELECT * FROM all_changes WHERE op = 'r') r
+      ON d.table_name = r.table_name AND d.key = r.key
+    WHERE d.op = 'd'""")
 def _cdc_delete_unseen_key(p: Flow) -> DataFrame:
     """Target = snapshot reads only; updates = the deletes.  A delete of a key the
     target never saw is inserted as a deleted row (C6)."""
-    keys = PRIMARY_KEYS["orders"]
-    rows = _orders_rows(p)
-    target = S.latest_per_key(rows.filter(F.col("_cdc_op") == "READ"), keys)
-    deletes = S.latest_per_key(rows.filter(F.col("_cdc_op") == "DELETE"), keys)
-    known = target.select("order_id", F.lit(True).alias("was_known"))
-    merged = S.merge_upsert(target, deletes, keys)
-    return (merged.filter(F.col("_is_deleted")).join(known, "order_id", "left")
-            .select("order_id", "status", "_cdc_op", "_is_deleted",
-                    F.coalesce(F.col("was_known"), F.lit(False)).alias("was_known")))
+    def merged(t):
+        rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
+        target = S.latest_per_key(rows.filter(F.col("_cdc_op") == "READ"), keys)
+        deletes = S.latest_per_key(rows.filter(F.col("_cdc_op") == "DELETE"), keys)
+        known = target.select(*keys, F.lit(True).alias("was_known"))
+        gone = S.merge_upsert(target, deletes, keys).filter(F.col("_is_deleted")).join(known, keys, "left")
+        return labelled(gone, t, "_is_deleted", F.coalesce("was_known", F.lit(False)).alias("was_known"))
+    return over_tables(merged)
 
 
 # --------------------------------------------------------------------------- joins
 
 
 @register("join_items_orders", """
-    SELECT i.item_id, i.order_id, o.customer_id, o.status,
+    SELECT i.order_id, i.line_no, o.customer_id, o.status,
            CAST(i.quantity * i.unit_price AS DOUBLE) AS line_revenue
-    FROM retail_order_items i JOIN live_orders o ON i.order_id = o.order_id""")
+    FROM live_order_items i JOIN live_orders o ON i.order_id = o.order_id""")
 def _join_items_orders(p: Flow) -> DataFrame:
-    i = S.live(p.silver["order_items"]).select("item_id", "order_id", "quantity", "unit_price")
+    i = S.live(p.silver["order_items"]).select("order_id", "line_no", "quantity", "unit_price")
     o = S.live(p.silver["orders"]).select(F.col("order_id").alias("_o_id"), "customer_id",
                                           "status")
     return (i.join(o, i.order_id == o._o_id, "inner")
-            .select("item_id", "order_id", "customer_id", "status",
+            .select("order_id", "line_no", "customer_id", "status",
                     (F.col("quantity") * F.col("unit_price")).alias("line_revenue")))
 
 
 @register("join_orders_live_customers", """
     SELECT o.order_id, o.customer_id, c.name AS customer_name, c.segment AS customer_segment
-    FROM live_orders o LEFT JOIN retail_customers c ON o.customer_id = c.customer_id""")
+    FROM live_orders o LEFT JOIN live_customers c ON o.customer_id = c.customer_id""")
 def _join_orders_live_customers(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).select("order_id", "customer_id")
     c = G.live_customer_dim(p.silver["customers"], {"name": "customer_name",
@@ -262,26 +275,27 @@ def _join_orders_live_customers(p: Flow) -> DataFrame:
 
 @register("join_payments_chain", """
     SELECT py.payment_id, py.order_id, o.customer_id, c.segment AS customer_segment,
-           CAST(py.amount AS DOUBLE) AS amount, o.op = 'd' AS order_deleted
-    FROM retail_payments py LEFT JOIN silver_orders o ON py.order_id = o.order_id
-    LEFT JOIN retail_customers c ON o.customer_id = c.customer_id""")
+           CAST(py.amount AS DOUBLE) AS amount, o.op = 'd' AS order_deleted, c.op = 'd' AS customer_deleted
+    FROM live_payments py LEFT JOIN silver_orders o ON py.order_id = o.order_id
+    LEFT JOIN silver_customers c ON o.customer_id = c.customer_id""")
 def _join_payments_chain(p: Flow) -> DataFrame:
     py = S.live(p.silver["payments"]).select("payment_id", "order_id", "amount")
     o = p.silver["orders"].select(F.col("order_id").alias("_o_id"), "customer_id",
                                   F.col("_is_deleted").alias("order_deleted"))
     c = p.silver["customers"].select(F.col("customer_id").alias("_c_id"),
-                                     F.col("segment").alias("customer_segment"))
+                                     F.col("segment").alias("customer_segment"),
+                                     F.col("_is_deleted").alias("customer_deleted"))
     return (py.join(o, py.order_id == o._o_id, "left")
             .join(c, F.col("customer_id") == c._c_id, "left")
             .select("payment_id", "order_id", "customer_id", "customer_segment", "amount",
-                    "order_deleted"))
+                    "order_deleted", "customer_deleted"))
 
 
 @register("unpaid_orders", """
     SELECT o.order_id, o.status, CAST(o.total_amount AS DOUBLE) AS total_amount
     FROM live_orders o
     WHERE o.status IN ('confirmed', 'shipped', 'delivered')
-      AND NOT EXISTS (SELECT 1 FROM retail_payments p WHERE p.order_id = o.order_id)""")
+      AND NOT EXISTS (SELECT 1 FROM live_payments p WHERE p.order_id = o.order_id)""")
 def _unpaid_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status").isin("confirmed", "shipped",
                                                               "delivered"))
@@ -294,7 +308,7 @@ def _unpaid_orders(p: Flow) -> DataFrame:
     SELECT o.order_id, CAST(o.total_amount AS DOUBLE) AS total_amount
     FROM live_orders o
     WHERE o.status = 'delivered'
-      AND NOT EXISTS (SELECT 1 FROM retail_returns r WHERE r.order_id = o.order_id)""")
+      AND NOT EXISTS (SELECT 1 FROM live_returns r WHERE r.order_id = o.order_id)""")
 def _returnable_orders(p: Flow) -> DataFrame:
     o = S.live(p.silver["orders"]).filter(F.col("status") == "delivered")
     returned = S.live(p.silver["returns"]).select("order_id").distinct()
@@ -306,8 +320,8 @@ def _returnable_orders(p: Flow) -> DataFrame:
 
 @register("gold_customers", """
     SELECT customer_id, name, email, city, country, segment, registration_date, is_active,
-           CAST(registration_date AS TIMESTAMP) AS _cdc_ts
-    FROM retail_customers""")
+           event_ts AS _cdc_ts
+    FROM live_customers""")
 def _gold_customers(p: Flow) -> DataFrame:
     return p.gold["customers"]
 
@@ -350,48 +364,51 @@ def _union_audit_branches(p: Flow) -> DataFrame:
 
 # --------------------------------------------------------------------------- KPIs
 
+# The KPIs stated on the change logs and live rows, not on the gold products: an order's lines
+# are summed per order first, so that distinct orders are a plain count.
+_SOLD = """
+    SELECT {what}, l.order_id, SUM(l.quantity * l.unit_price) AS money
+    FROM live_order_items l JOIN live_orders o ON o.order_id = l.order_id AND o.status <> 'cancelled'
+    LEFT JOIN live_{side} d ON d.{key} = {ref}.{key} GROUP BY ALL"""
+_MONEY = "CAST(ROUND(SUM(money), 2) AS DOUBLE)"
+
 _KPI_ORACLE = {
-    "kpi_events_by_table_op": """
-        SELECT source_table, operation, CAST(SUM(event_count) AS BIGINT) AS nb_events
-        FROM gold_cdc_audit GROUP BY source_table, operation""",
+    "kpi_events_by_table_op": f"""
+        SELECT table_name AS source_table, {VERB} AS operation, COUNT(*) AS nb_events
+        FROM all_changes GROUP BY ALL""",
     "kpi_latency_by_table": """
-        SELECT source_table, ROUND(AVG(avg_latency_seconds), 2) AS avg_latency_sec
-        FROM gold_cdc_audit GROUP BY source_table""",
+        SELECT table_name AS source_table, ROUND(AVG(per_cell), 2) AS avg_latency_sec
+        FROM (SELECT table_name, op, event_ts::DATE AS d, SUM(latency_s)::DOUBLE / COUNT(*) AS per_cell
+              FROM all_changes GROUP BY ALL) GROUP BY ALL""",
     "kpi_latency_weighted": """
-        SELECT source_table,
-               ROUND(CAST(SUM(latency_ms_total) AS DOUBLE) / SUM(event_count) / 1000.0, 2)
-                 AS avg_latency_sec
-        FROM gold_cdc_audit GROUP BY source_table""",
+        SELECT table_name AS source_table, ROUND(SUM(latency_s)::DOUBLE / COUNT(*), 2) AS avg_latency_sec
+        FROM all_changes GROUP BY ALL""",
     "kpi_orders_by_day": """
-        SELECT order_day, COUNT(*) AS nb_orders,
-               CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS revenue
-        FROM gold_orders GROUP BY order_day ORDER BY order_day DESC LIMIT 30""",
-    "kpi_revenue_by_category": """
-        SELECT product_category, CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS revenue,
-               COUNT(DISTINCT order_id) AS nb_orders
-        FROM gold_sales_facts WHERE is_cancelled = 0 GROUP BY product_category""",
+        SELECT order_date::DATE AS order_day, COUNT(*) AS nb_orders, CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS revenue
+        FROM live_orders GROUP BY 1 QUALIFY row_number() OVER (ORDER BY order_day DESC) <= 30""",
+    "kpi_revenue_by_category": f"""
+        SELECT product_category, {_MONEY} AS revenue, COUNT(*) AS nb_orders
+        FROM ({_SOLD.format(what="d.category AS product_category", side="products", key="product_id", ref="l")}) GROUP BY ALL""",
     "kpi_payments_by_method": """
-        SELECT payment_month, payment_year, method, CAST(SUM(nb_payments) AS BIGINT) AS nb,
-               CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS amount
-        FROM gold_payments_summary WHERE status = 'completed' GROUP BY 1, 2, 3""",
+        SELECT month(payment_date)::INTEGER AS payment_month, year(payment_date)::INTEGER AS payment_year, method,
+               COUNT(*) AS nb, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS amount
+        FROM live_payments WHERE status = 'completed' GROUP BY ALL""",
     "kpi_cancellation_rate": """
-        SELECT ROUND(CAST(SUM(is_cancelled) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2)
+        SELECT ROUND(CAST(COUNT(*) FILTER (WHERE status = 'cancelled') AS DOUBLE) * 100.0 / COUNT(*), 2)
                  AS cancellation_rate_pct
-        FROM gold_orders""",
-    "kpi_sales_by_segment_channel": """
-        SELECT customer_segment, channel, COUNT(DISTINCT order_id) AS nb_orders,
-               CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS revenue
-        FROM gold_sales_facts WHERE is_cancelled = 0 GROUP BY customer_segment, channel""",
-    "kpi_top_customers": """
-        SELECT customer_id, customer_name, customer_segment,
-               COUNT(DISTINCT order_id) AS nb_orders,
-               CAST(ROUND(SUM(line_revenue), 2) AS DOUBLE) AS total_revenue
-        FROM gold_sales_facts WHERE is_cancelled = 0
-        GROUP BY 1, 2, 3 ORDER BY ROUND(SUM(line_revenue), 2) DESC, customer_id LIMIT 10""",
+        FROM live_orders""",
+    "kpi_sales_by_segment_channel": f"""
+        SELECT customer_segment, channel, COUNT(*) AS nb_orders, {_MONEY} AS revenue
+        FROM ({_SOLD.format(what="d.segment AS customer_segment, o.channel", side="customers", key="customer_id", ref="o")})
+        GROUP BY ALL""",
+    "kpi_top_customers": f"""
+        SELECT customer_id, customer_name, customer_segment, COUNT(*) AS nb_orders, {_MONEY} AS total_revenue
+        FROM ({_SOLD.format(what="o.customer_id, d.name AS customer_name, d.segment AS customer_segment",
+                            side="customers", key="customer_id", ref="o")})
+        GROUP BY 1, 2, 3 QUALIFY row_number() OVER (ORDER BY SUM(money) DESC, customer_id) <= 10""",
     "kpi_returns_by_reason": """
-        SELECT reason, status, CAST(SUM(nb_returns) AS BIGINT) AS nb,
-               CAST(ROUND(SUM(total_refund), 2) AS DOUBLE) AS refund
-        FROM gold_returns_summary GROUP BY reason, status""",
+        SELECT reason, status, COUNT(*) AS nb, CAST(ROUND(SUM(refund_amount), 2) AS DOUBLE) AS refund
+        FROM live_returns GROUP BY ALL""",
 }
 
 
@@ -420,96 +437,106 @@ def _sql_consumer(p: Flow) -> DataFrame:
 
 
 
-@register("cdc_malformed_filtered", """
-    SELECT 'valid' AS reject_reason, COUNT(*) AS n_records FROM feed_orders
-    UNION ALL
-    SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'value_null' WHEN '2-HIGH' THEN 'not_json'
-                WHEN '3-MEDIUM' THEN 'payload_null' WHEN '4-NOT SPECIFIED' THEN 'op_null'
-                ELSE 'op_unknown' END, COUNT(*)
-    FROM orders GROUP BY 1
-    UNION ALL SELECT 'table_null', COUNT(*) FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 'image_invalid', COUNT(*) FROM orders WHERE o_orderstatus = 'O'""")
+def _faults_oracle() -> str:
+    kinds = "[" + ", ".join(f"'{x}'" for x in FAULTS) + "]"
+    parts = ["SELECT table_name, 'valid' AS reject_reason, COUNT(*) AS n_records FROM all_changes GROUP BY 1, 2"]
+    parts += [f"SELECT '{t}', ({kinds})[1 + {CHANGES[t]['number']} % {len(FAULTS)}], COUNT(*) FROM retail_{t} GROUP BY 1, 2"
+              for t in TABLES]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("cdc_malformed_filtered", _faults_oracle())
 def _cdc_malformed_filtered(p: Flow) -> DataFrame:
-    """The orders log mixed with faulty deliveries: envelope faults are quarantined
-    at bronze, image faults at silver; only valid changes reach the state (P3, D3,
-    D4, D8)."""
-    records = p.records_of("orders").unionByName(malformed_records(p.tables.orders))
-    verdict = S.triage(B.decode_all(records), "orders")
-    return (verdict.groupBy(F.coalesce(F.col("reject_reason"), F.lit("valid"))
-                            .alias("reject_reason"))
-            .agg(F.count(F.lit(1)).alias("n_records")))
+    """Each table's log mixed with a faulty delivery for every row: envelope faults are
+    quarantined at bronze, image faults at silver; only valid changes reach the state (P3,
+    D3, D4, D8)."""
+    def counted(t):
+        records = p.records_of(t).unionByName(malformed_records(p.views[t], t))
+        verdict = S.triage(B.decode_all(records), t)
+        return verdict.groupBy(F.lit(t).alias("table_name"),
+                               F.coalesce("reject_reason", F.lit("valid")).alias("reject_reason")) \
+            .agg(F.count(F.lit(1)).alias("n_records"))
+    return over_tables(counted)
 
 
 # --------------------------------------------------------------------------- feeds
 
-@register("snapshot_to_feed", """
-    SELECT product_id, name, category, brand, CAST(price AS DOUBLE) AS price, stock_qty,
-           is_active, 'READ' AS _cdc_op, FALSE AS _is_deleted
-    FROM retail_products""")
+@register("snapshot_to_feed", f"""
+    SELECT *, 'READ' AS _cdc_op, FALSE AS _is_deleted FROM ({rows_of("retail")})""")
 def _snapshot_to_feed(p: Flow) -> DataFrame:
-    """A table snapshot as READ events, through envelopes, back to state (Q10)."""
-    s = p.silver["products"]
-    return s.select("product_id", "name", "category", "brand", "price", "stock_qty",
-                    "is_active", "_cdc_op", "_is_deleted")
+    """Table snapshots as READ events, through envelopes, back to state (Q10)."""
+    return over_tables(lambda t: labelled(_snapshot_state(p, t), t, "_cdc_op", "_is_deleted"))
+
 
+def _snapshot_state(p: Flow, table: str) -> DataFrame:
+    return S.state(B.decode(to_records(snapshot_to_feed(p.views[table], table), table)), table)
 
-# Fixed edit rules that turn the products snapshot into the next one.
+
+# Fixed edit rules that turn a table's snapshot into the next one: of each ten rows one goes, one
+# is changed in the named column, one comes again under a negative key.
 _DIFF_TS = "1999-01-01 00:00:00"
-_NEW_ID_OFFSET = 1_000_000_000
-
-_NEW_PRODUCTS_SQL = f"""
-    SELECT product_id, name, category, brand,
-           CASE WHEN brand = 'Brand#1' THEN CAST(round(price * 1.10, 2) AS DECIMAL(12,2))
-                ELSE price END AS price,
-           stock_qty, is_active
-    FROM retail_products WHERE stock_qty <> 1
-    UNION ALL
-    SELECT product_id + {_NEW_ID_OFFSET}, name, category, brand, price, stock_qty, is_active
-    FROM retail_products WHERE stock_qty = 50"""
-
-
-def _next_products(products: DataFrame) -> DataFrame:
-    kept = products.filter(F.col("stock_qty") != 1).withColumn(
-        "price", F.when(F.col("brand") == "Brand#1",
-                        F.round(F.col("price") * F.lit(1.10).cast(T.DecimalType(3, 2)), 2)
-                        .cast(T.DecimalType(12, 2))).otherwise(F.col("price")))
-    added = products.filter(F.col("stock_qty") == 50).withColumn(
-        "product_id", F.col("product_id") + F.lit(_NEW_ID_OFFSET))
-    return kept.unionByName(added)
-
-
-def _products_diff(p: Flow) -> DataFrame:
-    old = p.views["products"]
-    return snapshot_diff(old, _next_products(old), "products",
-                         F.lit(_DIFF_TS).cast(T.TimestampNTZType()), lsn_base=_NEW_ID_OFFSET * 4)
-
-
-@register("snapshot_diff", f"""
-    WITH nxt AS ({_NEW_PRODUCTS_SQL})
-    SELECT COALESCE(n.product_id, o.product_id) AS product_id,
-           CASE WHEN o.product_id IS NULL THEN 'c' WHEN n.product_id IS NULL THEN 'd' ELSE 'u' END AS op,
-           COALESCE(n.name, o.name) AS name,
-           CAST(CASE WHEN n.product_id IS NULL THEN o.price ELSE n.price END AS DOUBLE) AS price
-    FROM retail_products o FULL OUTER JOIN nxt n ON o.product_id = n.product_id
-    WHERE o.product_id IS NULL OR n.product_id IS NULL
-       OR o.name IS DISTINCT FROM n.name OR o.category IS DISTINCT FROM n.category
-       OR o.brand IS DISTINCT FROM n.brand OR o.price IS DISTINCT FROM n.price
-       OR o.stock_qty IS DISTINCT FROM n.stock_qty OR o.is_active IS DISTINCT FROM n.is_active""")
+_EDITS = {"customers": ("segment", "'MOVED'"), "products": ("price", "CAST(price + 1 AS DECIMAL(12,2))"),
+          "orders": ("status", "'cancelled'"), "order_items": ("quantity", "quantity + 1"),
+          "payments": ("status", "'refunded'"), "returns": ("status", "'closed'")}
+
+
+def _next_snapshot(rows: DataFrame, table: str) -> DataFrame:
+    column, value = _EDITS[table]
+    key, number = PRIMARY_KEYS[table][0], F.expr(CHANGES[table]["number"])
+    kept = rows.filter(number % 10 != 3).withColumn(
+        column, F.when(number % 10 == 5, F.expr(value)).otherwise(F.col(column)).cast(rows.schema[column].dataType))
+    return kept.unionByName(rows.filter(number % 10 == 7).withColumn(key, -F.col(key)))
+
+
+def _next_sql(table: str) -> str:
+    column, value = _EDITS[table]
+    key, number = KEYS[table][0], CHANGES[table]["number"]
+    return (f"SELECT * REPLACE (CASE WHEN {number} % 10 = 5 THEN {value} ELSE {column} END AS {column}) FROM retail_{table} "
+            f"WHERE {number} % 10 <> 3 UNION ALL SELECT * REPLACE (-{key} AS {key}) FROM retail_{table} WHERE {number} % 10 = 7")
+
+
+def _diff_oracle() -> str:
+    ctes = ", ".join(f"next_{t} AS ({_next_sql(t)})" for t in TABLES)
+    parts = []
+    for t, (label, amount) in LABELS.items():
+        same = " AND ".join(f"o.{k} = n.{k}" for k in KEYS[t])
+        gone = f"n.{KEYS[t][0]} IS NULL"
+        parts.append(f"""
+            SELECT '{t}' AS table_name, {key_sql(t)} AS key, op, {label} AS label, CAST({amount} AS DOUBLE) AS amount FROM (
+              SELECT CASE WHEN {gone} THEN 'd' WHEN o.{KEYS[t][0]} IS NULL THEN 'c' ELSE 'u' END AS op,
+                     unnest(CASE WHEN {gone} THEN o ELSE n END)
+              FROM retail_{t} o FULL OUTER JOIN next_{t} n ON {same} WHERE o IS DISTINCT FROM n)""")
+    return f"WITH {ctes} " + "\nUNION ALL ".join(parts)
+
+
+def _applied_oracle() -> str:
+    return f"WITH {', '.join(f'next_{t} AS ({_next_sql(t)})' for t in TABLES)} {rows_of('next')}"
+
+
+def _diff(p: Flow, table: str, find=snapshot_diff) -> DataFrame:
+    return find(p.views[table], _next_snapshot(p.views[table], table), table, F.lit(_DIFF_TS).cast(T.TimestampNTZType()))
+
+
+@register("snapshot_diff", _diff_oracle())
 def _snapshot_diff(p: Flow) -> DataFrame:
     """Two snapshots -> c/u/d events (Q11)."""
-    return _products_diff(p).select("product_id", "op", "name", "price")
+    return over_tables(lambda t: labelled(_diff(p, t), t, "op"))
+
 
+@register("snapshot_diff_digests", _diff_oracle())
+def _snapshot_diff_digests(p: Flow) -> DataFrame:
+    """The same events from the key buckets whose order-free digests differ."""
+    return over_tables(lambda t: labelled(_diff(p, t, snapshot_diff_digests), t, "op"))
 
-@register("snapshot_diff_apply", f"""
-    SELECT product_id, name, CAST(price AS DOUBLE) AS price, stock_qty
-    FROM ({_NEW_PRODUCTS_SQL})""")
+
+@register("snapshot_diff_apply", _applied_oracle())
 def _snapshot_diff_apply(p: Flow) -> DataFrame:
     """Old state merged with the decoded diff events gives the new snapshot."""
-    keys = PRIMARY_KEYS["products"]
-    events = B.decode(to_records(_products_diff(p), "products"))
-    updates = S.latest_per_key(S.change_rows(events, "products"), keys)
-    merged = S.merge_upsert(p.silver["products"], updates, keys, guarded=True)
-    return S.live(merged).select("product_id", "name", "price", "stock_qty")
+    def applied(t):
+        keys = PRIMARY_KEYS[t]
+        updates = S.latest_per_key(S.change_rows(B.decode(to_records(_diff(p, t), t)), t), keys)
+        return labelled(S.live(S.merge_upsert(_snapshot_state(p, t), updates, keys, guarded=True)), t)
+    return over_tables(applied)
 
 
 # --------------------------------------------------------------------------- quality
@@ -525,33 +552,28 @@ def _dq_pk_duplicates(p: Flow) -> DataFrame:
     return Q.pk_duplicates(li, ["order_id", "line_number"])
 
 
-@register("dq_pk_summary", """
-    SELECT 'customers' AS table_name, COUNT(*) AS n_rows, COUNT(DISTINCT customer_id) AS n_keys, 0 AS n_duplicate_keys FROM retail_customers
-    UNION ALL SELECT 'products', COUNT(*), COUNT(DISTINCT product_id), 0 FROM retail_products
-    UNION ALL SELECT 'orders', COUNT(*), COUNT(DISTINCT order_id), 0 FROM silver_orders
-    UNION ALL SELECT 'order_items', COUNT(*), COUNT(DISTINCT item_id), 0 FROM retail_order_items
-    UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id), 0 FROM retail_payments
-    UNION ALL SELECT 'returns', COUNT(*), COUNT(DISTINCT return_id), 0 FROM retail_returns""")
+def _pk_oracle() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, table_name, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_keys, "
+        f"COUNT(*) FILTER (WHERE n > 1) AS n_duplicate_keys "
+        f"FROM (SELECT table_name, key, COUNT(*) AS n FROM {rows} GROUP BY ALL) GROUP BY ALL"
+        for layer, rows in (("log", "all_changes"), ("state", "all_states")))
+
+
+@register("dq_pk_summary", _pk_oracle())
 def _dq_pk_summary(p: Flow) -> DataFrame:
-    """Key uniqueness of every silver table (Q1)."""
-    out = None
-    for t in TABLES:
-        s = Q.pk_summary(p.silver[t], PRIMARY_KEYS[t], t)
-        out = s if out is None else out.unionByName(s)
-    return out.withColumn("n_duplicate_keys", F.col("n_duplicate_keys").cast(T.IntegerType()))
+    """Key uniqueness of every table's change log (keys with several events) and state (Q1)."""
+    log = over_tables(lambda t: Q.pk_summary(_change_rows(p, t), PRIMARY_KEYS[t], t))
+    state = over_tables(lambda t: Q.pk_summary(p.silver[t], PRIMARY_KEYS[t], t))
+    return log.withColumn("layer", F.lit("log")).unionByName(state.withColumn("layer", F.lit("state")))
 
 
 def _fk_oracle() -> str:
-    parts = []
-    src = {"customers": "retail_customers", "products": "retail_products",
-           "orders": "live_orders", "order_items": "retail_order_items",
-           "payments": "retail_payments", "returns": "retail_returns"}
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        parts.append(
-            f"SELECT '{child}' AS child_table, '{col}' AS fk_column, '{parent}' AS parent_table, "
-            f"COUNT(*) AS n_orphans FROM {src[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {src[parent]} p WHERE p.{pcol} = c.{col})")
-    return "\nUNION ALL ".join(parts)
+    return "\nUNION ALL ".join(
+        f"SELECT '{child}' AS child_table, '{col}' AS fk_column, '{parent}' AS parent_table, "
+        f"COUNT(*) AS n_orphans FROM live_{child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM live_{parent} p WHERE p.{pcol} = c.{col})"
+        for child, col, parent, pcol in FOREIGN_KEYS)
 
 
 @register("dq_fk_orphans", _fk_oracle())
@@ -562,25 +584,15 @@ def _dq_fk_orphans(p: Flow) -> DataFrame:
 
 
 def _null_oracle() -> str:
-    src = {"customers": "retail_customers", "products": "retail_products",
-           "orders": "live_orders", "order_items": "retail_order_items",
-           "payments": "retail_payments", "returns": "retail_returns"}
-    parts = []
-    for t, cols in REQUIRED_COLUMNS.items():
-        for c in cols:
-            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
-                         f"COUNT(*) - COUNT({c}) AS n_nulls FROM {src[t]}")
-    return "\nUNION ALL ".join(parts)
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n_nulls FROM live_{t}"
+        for t, cols in REQUIRED_COLUMNS.items() for c in cols)
 
 
 @register("dq_null_counts", _null_oracle())
 def _dq_null_counts(p: Flow) -> DataFrame:
     """NULLs in required columns of the live rows (Q3)."""
-    out = None
-    for t, cols in REQUIRED_COLUMNS.items():
-        r = Q.null_counts(S.live(p.silver[t]), t, cols)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return over_tables(lambda t: Q.null_counts(S.live(p.silver[t]), t, REQUIRED_COLUMNS[t]))
 
 
 @register("dq_subtotal_mismatch", """
@@ -588,7 +600,7 @@ def _dq_null_counts(p: Flow) -> DataFrame:
            COUNT(*) FILTER (WHERE subtotal IS DISTINCT FROM quantity * unit_price) AS n_mismatch,
            CAST(SUM(subtotal) AS DOUBLE) AS subtotal_total,
            CAST(SUM(quantity * unit_price) AS DOUBLE) AS recomputed_total
-    FROM retail_order_items""")
+    FROM live_order_items""")
 def _dq_subtotal_mismatch(p: Flow) -> DataFrame:
     """Stored line subtotal against quantity x unit price after the trip through the
     change stream, where amounts travel as doubles (Q5, D13)."""
@@ -600,24 +612,24 @@ def _dq_subtotal_mismatch(p: Flow) -> DataFrame:
                  F.sum(recomputed).alias("recomputed_total"))
 
 
-@register("insert_ignore_conflicts", f"""
-    WITH target AS (SELECT customer_id, email FROM retail_customers WHERE NOT is_active),
+@register("insert_ignore_conflicts", """
+    WITH target AS (SELECT customer_id, email FROM live_customers WHERE NOT is_active),
     incoming AS (
-        SELECT customer_id, email FROM retail_customers
-        UNION ALL SELECT customer_id + {_NEW_ID_OFFSET}, email FROM retail_customers),
-    fresh AS (SELECT * FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.email = i.email)),
-    firsts AS (SELECT customer_id, email FROM (
-        SELECT *, row_number() OVER (PARTITION BY email ORDER BY customer_id) AS rn FROM fresh) WHERE rn = 1)
+        SELECT 0 AS attempt, customer_id, email FROM live_customers
+        UNION ALL SELECT 1, -customer_id, email FROM live_customers),
+    firsts AS (SELECT customer_id, email FROM incoming i
+        WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.email = i.email)
+        QUALIFY row_number() OVER (PARTITION BY email ORDER BY attempt, customer_id) = 1)
     SELECT * FROM target UNION ALL SELECT * FROM firsts""")
 def _insert_ignore_conflicts(p: Flow) -> DataFrame:
-    """Target = inactive customers; incoming = every customer plus a re-registration
-    of each under a new id with the same e-mail.  E-mail is unique: existing e-mails
-    are skipped, and the first registration of a new one wins (Q4)."""
-    c = S.live(p.silver["customers"])
-    target = c.filter(~F.col("is_active")).select("customer_id", "email")
-    incoming = c.select("customer_id", "email").unionByName(
-        c.select((F.col("customer_id") + F.lit(_NEW_ID_OFFSET)).alias("customer_id"), "email"))
-    return Q.insert_ignore(target, incoming, ["email"], ["customer_id"])
+    """Target = inactive customers; incoming = every customer and then a re-registration
+    of each under a new (negative) id with the same e-mail.  E-mail is unique: existing
+    e-mails are skipped, and the first registration of a new one wins (Q4)."""
+    c = S.live(p.silver["customers"]).withColumn("attempt", F.lit(0))
+    cols = ["attempt", "customer_id", "email"]
+    target = c.filter(~F.col("is_active")).select(*cols)
+    again = c.select(F.lit(1).alias("attempt"), (-F.col("customer_id")).alias("customer_id"), "email")
+    return Q.insert_ignore(target, c.select(*cols).unionByName(again), ["email"], ["attempt", "customer_id"]).drop("attempt")
 
 
 _AS_OF = "1998-08-02 00:00:00"
@@ -659,7 +671,7 @@ def _order_next_status(p: Flow) -> DataFrame:
 def _status_transition_audit(p: Flow) -> DataFrame:
     """Status pairs of consecutive row images per order in log order, flagged
     against the lifecycle (Q8)."""
-    rows = _orders_rows(p).filter(F.col("_cdc_op") != "DELETE")
+    rows = _change_rows(p, "orders").filter(F.col("_cdc_op") != "DELETE")
     pairs = Q.status_transitions(rows, "order_id", S.ORDER_COLUMNS)
     return (pairs.groupBy("from_status", "to_status")
             .agg(F.count(F.lit(1)).alias("n_transitions"))
@@ -671,7 +683,7 @@ def _status_transition_audit(p: Flow) -> DataFrame:
     SELECT r.return_id, r.order_id, CAST(r.refund_amount AS DOUBLE) AS refund_amount,
            CAST(round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS DOUBLE) AS expected_refund,
            r.refund_amount = round(COALESCE(NULLIF(o.total_amount, 0), 30) * 0.8, 2) AS matches
-    FROM retail_returns r LEFT JOIN silver_orders o ON r.order_id = o.order_id""")
+    FROM live_returns r LEFT JOIN silver_orders o ON r.order_id = o.order_id""")
 def _refund_expected(p: Flow) -> DataFrame:
     """Each return's refund against 80 % of its order total (Q9)."""
     r = S.live(p.silver["returns"]).select("return_id", "order_id", "refund_amount")
@@ -682,69 +694,3 @@ def _refund_expected(p: Flow) -> DataFrame:
                     (F.col("refund_amount") == exp).alias("matches")))
 
 
-# --------------------------------------------------------------------------- streaming
-
-
-
-
-def _scratch(p: Flow) -> str:
-    """A fresh folder under the shared checkpoint directory of the session."""
-    return f"{checkpoint_dir(p.spark).rstrip('/')}/tidemark-{uuid.uuid4().hex[:12]}"
-
-
-def _run_bronze_stream(p: Flow, root: str) -> Store:
-    """Land all six feeds as record files, then run the bronze stream over them
-    with ``availableNow`` in several micro-batches, twice: the second run starts
-    from the checkpoint and must add nothing."""
-    landing = f"{root}/landing"
-    p.records.write.parquet(landing)
-    store = Store(p.spark, f"{root}/lake")
-    for _ in range(2):
-        src = BS.file_records(p.spark, landing, max_files_per_trigger=2)
-        q = BS.start_bronze_stream(src, store, f"{root}/_checkpoints/bronze",
-                                   trigger={"availableNow": True}, partition_by=["cdc_table"],
-                                   dedup_within="1 hour")
-        q.awaitTermination()  # never read a half-written table
-        if q.exception() is not None:
-            raise q.exception()
-    return store
-
-
-@register("stream_bronze_available_now", f"""
-    SELECT source_table AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events,
-           COUNT(DISTINCT kafka_offset) AS n_offsets
-    FROM all_events GROUP BY 1, 2""")
-def _stream_bronze_available_now(p: Flow) -> DataFrame:
-    """Streaming bronze equals batch bronze; a restart adds nothing."""
-    store = _run_bronze_stream(p, _scratch(p))
-    return (store.read_log("bronze").groupBy("cdc_table", "cdc_op")
-            .agg(F.count(F.lit(1)).alias("n_events"),
-                 F.count_distinct("kafka_offset").alias("n_offsets")))
-
-
-def _run_silver_stream(p: Flow, mode: str) -> Store:
-    root = _scratch(p)
-    store = _run_bronze_stream(p, root)
-    q = SS.start_silver_stream(p.spark, store, f"{root}/_checkpoints/silver",
-                               tables=["orders"], trigger={"availableNow": True},
-                               max_files_per_trigger=2, mode=mode)
-    q.awaitTermination()  # never read a half-written table
-    if q.exception() is not None:
-        raise q.exception()
-    return store
-
-
-@register("stream_silver_incremental", _SILVER_ORDER_ORACLE)
-def _stream_silver_incremental(p: Flow) -> DataFrame:
-    """Silver maintained by a stream over bronze, merge-on-read: per-batch deltas,
-    compacted once, equals the batch rebuild (SURVEY 7.3 step 6)."""
-    store = _run_silver_stream(p, "merge_on_read")
-    SS.compact_silver(store, "orders")
-    return SS.read_silver(store, "orders").select(*_STATE_COLS)
-
-
-@register("stream_silver_copy_on_write", _SILVER_ORDER_ORACLE)
-def _stream_silver_copy_on_write(p: Flow) -> DataFrame:
-    """The same stream with a guarded full-outer-join merge per micro-batch."""
-    store = _run_silver_stream(p, "copy_on_write")
-    return store.read("silver/orders").select(*_STATE_COLS)

@@ -94,7 +94,7 @@ def retail_orders(t: Tables) -> DataFrame:
 
 
 def retail_order_items(t: Tables) -> DataFrame:
-    """One row per line; ``item_id`` numbers the lines inside their order.
+    """One row per line; ``line_no`` numbers the lines inside their order.
 
     The numbering runs over buckets of 4,096 line numbers, so an order with very many
     lines is spread over several tasks (``number_by_key``).
@@ -109,24 +109,12 @@ def retail_order_items(t: Tables) -> DataFrame:
     qty = F.col("l_quantity").cast(T.IntegerType())
     price = F.col("l_extendedprice").cast(MONEY)
     return numbered.select(
-        _item_id(F.col("l_orderkey"), F.col("_n")).alias("item_id"),
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_orderkey").alias("order_id"), F.col("_n").alias("line_no"), F.col("l_partkey").alias("product_id"),
         qty.alias("quantity"), price.alias("unit_price"),
         (qty * price).cast(MONEY).alias("subtotal"),
         F.col("l_returnflag").alias("return_flag"))
 
 
-LINES_PER_ORDER = 1 << 24
-
-
-def _item_id(order_id, line_no):
-    """Order and line number in one number; a line number that does not fit is an error,
-    never another order's id."""
-    too_many = F.raise_error(F.concat(F.lit("order with too many lines: "), order_id.cast("string")))
-    return F.when(line_no < LINES_PER_ORDER, order_id * LINES_PER_ORDER + line_no).otherwise(
-        too_many.cast("long"))
-
-
 def retail_payments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     o = orders if orders is not None else retail_orders(t)
     oid = F.col("order_id")
