@@ -33,7 +33,7 @@ def test_catalog_tables(spark, scratch):
     spark.sql("DROP TABLE tm_silver.orders")
 
 
-def test_cli_layers(spark, scratch):
+def test_cli_layers(spark, scratch, capsys):
     p = Flow(spark, SF_SMALL)
     landing = f"{scratch}/landing"
     p.records.write.parquet(landing)
@@ -41,20 +41,18 @@ def test_cli_layers(spark, scratch):
     cli.main(["bronze", "--source", landing, "--checkpoint", f"{scratch}/ckpt", "--root", root,
               "--available-now", "--partition-by", "cdc_table", "--topics", "cdc.public.orders,customers,order_items,products,"
               "payments,returns"], spark=spark)
-    cli.main(["silver", "--root", root, "--table", "all", "--incremental", "--compact"],
-             spark=spark)
-    cli.main(["silver", "--root", root], spark=spark)
+    cli.main(["silver", "--root", root, "--incremental", "--checkpoint", f"{scratch}/silver"], spark=spark)
     cli.main(["gold", "--root", root], spark=spark)
     out = cli.main(["kpi", "--root", root, "--name", "kpi_cancellation_rate"], spark=spark)
     want = p.kpis["kpi_cancellation_rate"].collect()
     assert out["kpi_cancellation_rate"] == want
-    rows = cli.main(["sql", "--root", root,
-                     "SELECT ROUND(100.0 * SUM(is_cancelled) / COUNT(*), 2) FROM gold_orders"],
-                    spark=spark)
-    assert float(rows[0][0]) == want[0][0]
-    done = cli.main(["compact", "--root", root, "--partition-by", "cdc_table",
-                     "--vacuum-after", "0"], spark=spark)
-    assert "bronze" in done and "silver/orders" in done
+    cli.main(["sql", "--root", root, "--out", f"{scratch}/answer",
+              "SELECT CAST(ROUND(100.0 * SUM(is_cancelled) / COUNT(*), 2) AS DOUBLE) AS rate FROM gold_orders"], spark=spark)
+    assert spark.read.parquet(f"{scratch}/answer").first()[0] == want[0][0]
+    cli.main(["sql", "--root", root, "--limit", "2", "SELECT order_id, status FROM gold_orders"], spark=spark)
+    assert len(capsys.readouterr().out.strip().splitlines()) == 2
+    # a full rebuild, by month of the change
+    cli.main(["silver", "--root", root, "--by-month"], spark=spark)
     cli.main(["gold", "--root", root, "--table", "orders"], spark=spark)
     out = cli.main(["kpi", "--root", root, "--name", "kpi_cancellation_rate"], spark=spark)
     assert out["kpi_cancellation_rate"] == want
@@ -71,34 +69,3 @@ def test_merge_is_refused_by_parquet_tables(spark, scratch):
         with pytest.raises((UnsupportedOperationException, AnalysisException), match="(?i)merge"):
             C.merge_into_table(upd, "tm_merge", ["order_id"], guarded=guarded, order=("_cdc_ts",))
     spark.sql("DROP TABLE tm_merge")
-
-
-def test_bucketed_merge_shuffles_only_the_updates(spark, scratch):
-    from tidemark.operators import bronze as B
-    from tidemark.operators import silver as S
-
-    p = Flow(spark, SF_SMALL)
-    recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(2)))
-    keys = ["order_id"]
-    batches = [S.latest_per_key(S.change_rows(B.decode(recs.filter(F.col("_b") == b)
-                                                       .drop("_b")), "orders"), keys)
-               for b in (1, 0)]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        C.merge_bucketed(batches[0], "tm_state", "orders", 8, f"{scratch}/state")
-        target = spark.table(C.current_bucketed(spark, "tm_state", "orders"))
-        plan = S.merge_upsert(target, batches[1], keys, guarded=True) \
-            ._jdf.queryExecution().executedPlan().toString()
-        # the target side is read bucketed, without an exchange above its scan
-        assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
-        scans = plan.split("FileScan parquet")
-        target_scan = [x for x in scans[1:] if "orders__v" in x.split("\n")[0]]
-        assert target_scan
-        C.merge_bucketed(batches[1], "tm_state", "orders", 8, f"{scratch}/state")
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    cols = ["order_id", "status", "_is_deleted"]
-    got = sorted(tuple(r) for r in spark.table(C.current_bucketed(spark, "tm_state", "orders"))
-                 .select(*cols).collect())
-    want = sorted(tuple(r) for r in p.silver["orders"].select(*cols).collect())
-    assert got == want

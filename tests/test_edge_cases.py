@@ -133,15 +133,15 @@ def test_deleted_customer_and_deleted_order(spark):
     ps = G.gold_payments_summary(pay, orders, cust).collect()
     assert ps[0]["customer_segment"] == "VIP"  # D9: no delete filter in the chain
     items = S.state(B.decode(records_df(spark, [
-        record(envelope("c", after={"item_id": 1, "order_id": 10, "product_id": 1, "quantity": 1,
+        record(envelope("c", after={"order_id": 10, "line_no": 1, "product_id": 1, "quantity": 1,
                                     "unit_price": 2.0}, table="order_items", ts_ms=1, lsn=1),
                1, table="order_items"),
-        record(envelope("c", after={"item_id": 2, "order_id": 11, "product_id": 1, "quantity": 1,
+        record(envelope("c", after={"order_id": 11, "line_no": 1, "product_id": 1, "quantity": 1,
                                     "unit_price": 2.0}, table="order_items", ts_ms=1, lsn=2),
                2, table="order_items")])), "order_items")
     products = S.state(B.decode(records_df(spark, [])), "products")
     facts = G.gold_sales_facts(items, orders, products, cust).collect()
-    assert [r["item_id"] for r in facts] == [1]
+    assert [(r["order_id"], r["line_no"]) for r in facts] == [(10, 1)]
 
 
 def test_cancellation_rate_of_empty_orders_is_null(spark):

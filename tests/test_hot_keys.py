@@ -61,7 +61,7 @@ def test_gold_star_join_splits_a_hot_order(spark):
         live = [F.lit(False).alias("_is_deleted")]
         n = 60000
         items = spark.range(n).select(
-            F.col("id").alias("item_id"),
+            F.col("id").alias("line_no"),
             F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2)
             .alias("order_id"),
             (F.col("id") % 100).alias("product_id"), F.lit(1).alias("quantity"),
@@ -135,7 +135,7 @@ def test_fk_orphan_counts_pre_aggregate_a_hot_parent(spark):
         spark.conf.set(k, v)
     try:
         child = spark.range(60000).select(
-            F.col("id").alias("item_id"),
+            F.col("id").alias("line_no"),
             F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2)
             .alias("order_id"))
         parent = spark.range(1, 4000).select(F.col("id").alias("order_id"))

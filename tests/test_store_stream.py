@@ -1,118 +1,91 @@
-"""Store versions and the streaming jobs."""
+"""Plain writes, bucket merges, the streams and their sources."""
 
+import json
+import os
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.model import PRIMARY_KEYS
+from tidemark.operators import bronze as B
+from tidemark.operators import silver as S
+from tidemark.plans import gold as G
+from tidemark.plans import jobs
+from tidemark.plans.flow import Flow
+from tidemark.sources import offsets
 from tidemark.sources.store import Store
 from tidemark.streaming import bronze_stream as BS
-from tidemark.plans.flow import Flow
+from tidemark.streaming import silver_stream as SS
 
 from conftest import SF_SMALL
 
+COLS = ["order_id", "status", "_cdc_lsn", "_is_deleted"]
+
+
+def _rows(df, *cols):
+    return sorted(map(tuple, df.select(*(cols or df.columns)).collect()), key=str)
+
+
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
-def test_snapshot_versions(spark, scratch):
+
+def test_snapshot_is_replaced_and_counted(spark, scratch):
     st = Store(spark, scratch)
     assert not st.exists("gold/x")
-    p1, n1 = st.write_snapshot(spark.range(5), "gold/x")
-    assert n1 == 5 and st.read("gold/x").count() == 5
-    p2, n2 = st.write_snapshot(spark.range(3).withColumn("y", F.col("id") % 2), "gold/x", ["y"])
-    assert n2 == 3 and st.current("gold/x") == p2 and st.read("gold/x").count() == 3
-    assert len(st.versions("gold/x")) == 2
-    st.compact("gold/x", ["y"])
-    assert len(st.versions("gold/x")) == 3 and st.read("gold/x").count() == 3
-    assert st.vacuum("gold/x", keep=2) == []  # all versions are recent
-    removed = st.vacuum("gold/x", keep=2, min_age_s=0)
-    assert len(removed) == 1 and len(st.versions("gold/x")) == 2
-    assert st.read("gold/x").count() == 3
-
-
-def test_epoch_rewrite_is_idempotent(spark, scratch):
+    with pytest.raises(FileNotFoundError):
+        st.read("gold/x")
+    assert st.write(spark.range(5), "gold/x") == 5
+    assert st.write(spark.range(3), "gold/x") == 3
+    assert st.exists("gold/x") and st.read("gold/x").count() == 3
+
+
+def test_batches_of_a_log_are_replaced_by_name(spark, scratch):
     st = Store(spark, scratch)
     df = spark.range(4).withColumn("t", F.lit("a"))
-    st.write_epoch(df, "log", 1, ["t"])
-    st.write_epoch(df, "log", 1, ["t"])
-    st.write_epoch(df, "log", 2, ["t"])
-    assert st.read_log("log").count() == 8
+    st.append(df, "log", "s-0", ["t"])
+    st.append(df, "log", "s-1", ["t"])
+    st.append(df.limit(2), "log", "s-1", ["t"])  # a retry of the second
+    assert _rows(st.read("log").groupBy("batch").count()) == [("s-0", 4), ("s-1", 2)]
+
+
+def test_merge_rewrites_only_touched_buckets(spark, scratch):
+    p = Flow(spark, SF_SMALL)
+    st = Store(spark, scratch)
+    keys = ["order_id"]
+    rows = S.change_rows(p.bronze_of("orders"), "orders")
+    first = rows.where(F.col("_cdc_op") != "UPDATE")
+    st.merge(S.latest_per_key(first, keys), "silver/orders", keys, buckets=16)
+    before = _files(st.path("silver/orders"))
+    some = rows.where((F.col("_cdc_op") == "UPDATE") & (F.pmod(F.xxhash64("order_id"), F.lit(16)) < 3))
+    touched = st.merge(S.latest_per_key(some, keys), "silver/orders", keys, buckets=16)
+    after = _files(st.path("silver/orders"))
+    assert touched == [0, 1, 2]
+    same = [f for f in before if int(f.split("bucket=")[1].split("/")[0]) > 2]
+    assert len(same) == 13 and all(after[f] == before[f] for f in same)
+    want = S.merge_upsert(S.latest_per_key(first, keys), S.latest_per_key(some, keys), keys, guarded=True)
+    assert _rows(st.read("silver/orders"), *COLS) == _rows(want, *COLS)
+    # merging older changes again, or nothing, changes nothing
+    st.merge(S.latest_per_key(first, keys), "silver/orders", keys, buckets=16)
+    assert st.merge(S.latest_per_key(first.limit(0), keys), "silver/orders", keys, buckets=16) == []
+    assert _rows(st.read("silver/orders"), *COLS) == _rows(want, *COLS)
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
     p = Flow(spark, SF_SMALL)
     landing = f"{scratch}/landing"
-    p.records.repartition(6).write.parquet(landing)
+    p.records.coalesce(4).write.parquet(landing)
     st = Store(spark, f"{scratch}/lake")
     for _ in range(2):
         q = BS.start_bronze_stream(BS.file_records(spark, landing, max_files_per_trigger=2), st,
                                    f"{scratch}/ckpt", trigger={"availableNow": True},
                                    partition_by=["cdc_table"])
-        q.awaitTermination(600)
+        q.awaitTermination()
         assert q.exception() is None
-    got = sorted(tuple(r) for r in st.read_log("bronze").groupBy("cdc_table", "cdc_op").count()
-                 .collect())
-    want = sorted(tuple(r) for r in p.bronze.groupBy("cdc_table", "cdc_op").count().collect())
-    assert got == want
-    assert st.read_log("quarantine", BS.QUARANTINE_SCHEMA).count() == 0
-
-
-def test_merge_on_read_silver(spark, scratch):
-    from tidemark.operators import bronze as B
-    from tidemark.operators import silver as S
-    from tidemark.streaming import silver_stream as SS
-
-    p = Flow(spark, SF_SMALL)
-    st = Store(spark, f"{scratch}/lake")
-    recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
-    # epochs arrive out of time order; deltas then a compaction then one more delta
-    for epoch, b in enumerate([2, 0, 1]):
-        batch = B.decode(recs.filter(F.col("_b") == b).drop("_b"))
-        SS.silver_delta_writer(st, ["orders"])(batch, epoch)
-        if epoch == 1:
-            SS.compact_silver(st, "orders")
-    cols = ["order_id", "status", "_cdc_lsn", "_is_deleted"]
-    want = sorted(tuple(r) for r in S.state(B.decode(recs.drop("_b")), "orders")
-                  .select(*cols).collect())
-    got = sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect())
-    assert got == want
-    SS.compact_silver(st, "orders")
-    assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
-    assert SS.vacuum_deltas(st, "orders") == []  # too recent
-    assert SS.vacuum_deltas(st, "orders", min_age_s=0) == [0, 1, 2]
-    assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
-
-
-def test_incremental_silver_job_and_error_isolation(spark, scratch):
-    import pytest
-
-    from tidemark.operators import silver as S
-    from tidemark.plans import jobs
-    from tidemark.plans import gold as G
-    from tidemark.streaming import silver_stream as SS
-
-    p = Flow(spark, SF_SMALL)
-    st = Store(spark, f"{scratch}/lake")
-    recs = p.records_of("orders").withColumn("_b", F.pmod(F.hash("offset"), F.lit(2)))
-    jobs.run_bronze(st, recs.filter("_b = 1").drop("_b"), epoch_id=0,
-                    partition_by=["cdc_table"])
-    assert jobs.run_silver_incremental(st, ["orders"]) == {"orders": [0]}
-    jobs.run_bronze(st, recs.filter("_b = 0").drop("_b"), epoch_id=1,
-                    partition_by=["cdc_table"])
-    assert jobs.run_silver_incremental(st, ["orders"]) == {"orders": [1]}
-    assert jobs.run_silver_incremental(st, ["orders"]) == {"orders": []}
-    cols = ["order_id", "status", "_is_deleted"]
-    want = sorted(tuple(r) for r in p.silver["orders"].select(*cols).collect())
-    assert sorted(tuple(r) for r in SS.read_silver(st, "orders").select(*cols).collect()) == want
-    # gold reads silver as base + deltas (no compaction has run yet)
-    jobs.run_bronze(st, p.records_of("customers"), epoch_id=2, partition_by=["cdc_table"])
-    jobs.run_silver_incremental(st, ["customers"])
-    jobs.run_gold(st, ["orders"])
-    assert st.read("gold/orders").count() == p.gold["orders"].count()
-    # full rebuild: a table without events fails, the others are still written
-    with pytest.raises(jobs.LayerErrors):
-        jobs.run_silver(st, ["orders", "no_such_table"])
-    assert st.exists("silver/orders")
-    # union of audit branches skips a missing table's branch
-    audit = G.union_audit_branches({"orders": p.bronze_of("orders"), "returns": None})
-    assert {r["source_table"] for r in audit.select("source_table").distinct().collect()} \
-        == {"orders"}
-    assert S.live(SS.read_silver(st, "orders")).count() == S.live(p.silver["orders"]).count()
+        assert _rows(st.read("bronze"), *B.COORDINATES) == _rows(p.bronze, *B.COORDINATES)
+    assert st.read("bronze").select("batch").distinct().count() > 1
 
 
 def test_redelivery_across_batches_is_dropped(spark, scratch):
@@ -128,96 +101,118 @@ def test_redelivery_across_batches_is_dropped(spark, scratch):
                                partition_by=["cdc_table"], dedup_within="1 hour")
     q.awaitTermination(600)
     assert q.exception() is None
-    assert st.read_log("bronze").count() == recs.count()
-
+    assert st.read("bronze").count() == recs.count()
 
-def test_bronze_log_compaction(spark, scratch):
-    from tidemark.operators.bronze import COORDINATES
-    from tidemark.plans import jobs
 
+def test_incremental_silver_job_and_error_isolation(spark, scratch):
     p = Flow(spark, SF_SMALL)
     st = Store(spark, f"{scratch}/lake")
-    recs = p.records.withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
-    for e in range(3):
-        jobs.run_bronze(st, recs.filter(F.col("_b") == e).drop("_b"), epoch_id=e,
-                        partition_by=["cdc_table"])
-    before = sorted(tuple(r) for r in st.read_log("bronze").select(*COORDINATES).collect())
-    st.compact_log("bronze", ["cdc_table"], list(COORDINATES))
-    jobs.run_bronze(st, recs.filter(F.col("_b") == 0).drop("_b").limit(0), epoch_id=3,
-                    partition_by=["cdc_table"])
-    after = sorted(tuple(r) for r in st.read_log("bronze").select(*COORDINATES).collect())
-    assert after == before
-    assert st.vacuum_log("bronze", min_age_s=0) == [0, 1, 2]
-    assert sorted(tuple(r) for r in st.read_log("bronze").select(*COORDINATES).collect()) == before
-    # gold over the compacted log equals gold over the epochs
-    jobs.run_silver(st, ["orders", "customers"])
-    assert st.read("silver/orders").count() == p.silver["orders"].count()
-
-
-def test_uncommitted_epoch_is_invisible(spark, scratch):
-    import os
-    st = Store(spark, scratch)
-    df = spark.range(4).withColumn("t", F.lit("a"))
-    st.write_epoch(df, "log", 1, ["t"])
-    st.write_epoch(df, "log", 2, ["t"])
-    os.remove(f"{scratch}/log/epoch={2:012d}/_SUCCESS")  # as if epoch 2 were mid-write
-    assert st.committed_epochs("log") == [1]
-    assert st.read_log("log").count() == 4
+    recs = p.records_of("orders").unionByName(p.records_of("customers"))
+    part = F.pmod(F.hash("offset"), F.lit(2))
+    for k in (1, 0):  # later changes of a key may come first
+        jobs.run_bronze(st, recs.where(part == k), partition_by=["cdc_table"])
+        jobs.run_silver_incremental(st, f"{scratch}/ckpt")
+    jobs.run_silver_incremental(st, f"{scratch}/ckpt")  # nothing new
+    assert _rows(st.read("silver/orders"), *COLS) == _rows(p.silver["orders"], *COLS)
+    jobs.run_gold(st, ["orders"])
+    assert st.read("gold/orders").count() == p.gold["orders"].count()
+    # full rebuild: a table that cannot be built fails, the others are still written
+    with pytest.raises(jobs.LayerErrors):
+        jobs.run_silver(st, ["orders", "no_such_table"], by_month=True)
+    assert "event_month" in st.read("silver/orders").columns
+    assert _rows(st.read("silver/orders"), *COLS) == _rows(p.silver["orders"], *COLS)
+    # union of audit branches skips a missing table's branch
+    audit = G.union_audit_branches({"orders": p.bronze_of("orders"), "returns": None})
+    assert {r["source_table"] for r in audit.select("source_table").distinct().collect()} == {"orders"}
 
 
-def test_epoch_numbers_of_owners(spark, scratch):
-    st = Store(spark, scratch)
-    df = spark.range(2).withColumn("t", F.lit("a"))
-    assert [st.epoch_of("log", o) for o in ("s-0", "r", "s-0", "s-1")] == [0, 1, 0, 2]
-    st.write_epoch(df, "log", 7, ["t"])
-    assert st.epoch_of("log", "q") == 8
-    st.compact_log("log", ["t"])
-    st.vacuum_log("log", min_age_s=0)
-    assert st.epochs("log") == [] and st.epoch_of("log", "p") == 9
+def test_state_stream_ignores_what_is_no_row(spark, scratch):
+    from records import envelope, order, record, records_df
+    bad = [record(envelope("u", after=order(1, "shipped", total="lots"), ts_ms=9, lsn=9), 9),
+           record(envelope("u", after={"status": "x"}, ts_ms=8, lsn=8), 8),
+           record(envelope("c", after=order(1, "confirmed"), ts_ms=1, lsn=1), 1),
+           record(envelope("c", after={"order_id": 1, "line_no": 2}, table="order_items", ts_ms=1, lsn=2), 2, table="order_items")]
+    st = Store(spark, f"{scratch}/lake")
+    jobs.run_bronze(st, records_df(spark, bad), partition_by=["cdc_table"])
+    jobs.run_silver_incremental(st, f"{scratch}/ckpt")
+    got = st.read("silver/orders").collect()
+    assert [(r["order_id"], r["status"]) for r in got] == [(1, "confirmed")]
+    assert _rows(st.read("silver/order_items"), *PRIMARY_KEYS["order_items"]) == [(1, 2)]
 
 
-def test_compaction_leaves_an_epoch_being_written(spark, scratch):
-    import os
-    st = Store(spark, scratch)
-    df = spark.range(4).withColumn("t", F.lit("a"))
-    for e in range(3):
-        st.write_epoch(df, "log", e, ["t"])
-    mark = f"{scratch}/log/epoch={1:012d}/_SUCCESS"
-    os.remove(mark)
-    st.compact_log("log", ["t"])
-    assert st.vacuum_log("log", min_age_s=0) == [0] and st.read_log("log").count() == 8
-    open(mark, "w").close()  # the write of epoch 1 commits
-    assert st.read_log("log").count() == 12
+# ------------------------------------------------------------------------ offset source
 
+def _run(spark, scratch, name, **kw):
+    root = f"{scratch}/land"
+    src = offsets.stream(spark, root, f"{scratch}/{name}-progress", **kw)
+    q = src.writeStream.format("parquet").option("path", f"{scratch}/{name}-out").option(
+        "checkpointLocation", f"{scratch}/{name}-ckpt").trigger(processingTime="0 seconds").start()
+    offsets.run_to_end(q, root, f"{scratch}/{name}-progress")
+    if q.exception() is not None:
+        raise q.exception()
+    sizes = [x["numInputRows"] for x in q.recentProgress if x["numInputRows"]]
+    return spark.read.schema(offsets.SCHEMA).parquet(f"{scratch}/{name}-out"), sizes
 
-def test_two_checkpoints_and_a_run_append(spark, scratch):
-    from tidemark.plans import jobs
-    from tidemark.streaming import silver_stream as SS
 
+@pytest.fixture
+def landed(spark, scratch):
     p = Flow(spark, SF_SMALL)
-    st = Store(spark, f"{scratch}/lake")
-    part = p.records.withColumn("_b", F.pmod(F.hash("offset"), F.lit(3)))
-    for k in range(2):
-        part.filter(F.col("_b") == k).drop("_b").coalesce(2).write.parquet(f"{scratch}/landing{k}")
-        q = BS.start_bronze_stream(BS.file_records(spark, f"{scratch}/landing{k}"), st, f"{scratch}/ckpt{k}",
-                                   trigger={"availableNow": True}, partition_by=["cdc_table"])
-        q.awaitTermination()
-        assert q.exception() is None
-    # folded and vacuumed before silver has seen it: nothing may be lost
-    st.compact_log("bronze", ["cdc_table"])
-    st.vacuum_log("bronze", min_age_s=0)
-    jobs.run_bronze(st, part.filter(F.col("_b") == 2).drop("_b"), partition_by=["cdc_table"])
-    assert st.read_log("bronze").count() == p.bronze.count()
-    for _ in range(2):
-        jobs.run_silver_incremental(st, ["orders"])
-        cols = ["order_id", "status"]
-        got = sorted(map(tuple, SS.read_silver(st, "orders").select(cols).collect()))
-        assert got == sorted(map(tuple, p.silver["orders"].select(cols).collect()))
-
-
-def test_version_tags_parse_strictly():
-    from tidemark.sources.store import epoch_tag, folded_epoch
-    assert folded_epoch("/x/silver/orders/v=001700000000000-eb0bc8e2") == -1
-    assert folded_epoch("/x/silver/orders/v=001700000000000-e1234567") == -1
-    assert folded_epoch(f"/x/v=001700000000000-ab12cd34-{epoch_tag(42)}") == 42
-    assert folded_epoch(None) == -1
+    recs = p.records_of("orders").unionByName(p.records_of("products"))
+    offsets.land(recs, f"{scratch}/land")
+    return recs
+
+
+def test_offset_source_admits_offsets_and_restarts(spark, scratch, landed):
+    n = landed.count()
+    out, sizes = _run(spark, scratch, "a", max_offsets_per_trigger=700)
+    assert max(sizes) <= 700 and out.count() == n
+    offsets.land(landed.limit(50), f"{scratch}/land")
+    out, sizes = _run(spark, scratch, "a", max_offsets_per_trigger=700)
+    assert sum(sizes) == 50
+    # offsets are positions: dense, each once, and values are what was landed
+    per = out.groupBy("topic", "partition").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("d"),
+                                                F.min("offset").alias("a"), F.max("offset").alias("b")).collect()
+    assert all(r["n"] == r["d"] == r["b"] + 1 and r["a"] == 0 for r in per)
+    assert _rows(out.select("value").distinct()) == _rows(landed.select("value").distinct())
+
+
+def test_offset_source_starts_where_it_is_told(spark, scratch, landed):
+    everything, _ = _run(spark, scratch, "all")
+    topic = "cdc.public.products"
+    out, _ = _run(spark, scratch, "some", topics=[topic],
+                  starting_offsets=json.dumps({f"{topic}/0": 5, f"{topic}/1": 10_000}))
+    want = everything.where((F.col("topic") == topic) & ((F.col("partition") == 2) | (F.col("partition") == 0) & (F.col("offset") >= 5)))
+    assert _rows(out) == _rows(want)
+    out, _ = _run(spark, scratch, "late", starting_offsets="latest")
+    assert out.count() == 0
+    offsets.land(landed.limit(7), f"{scratch}/land")
+    out, _ = _run(spark, scratch, "late", starting_offsets="latest")
+    assert out.count() == 7
+
+
+def test_offset_source_fails_on_lost_records_unless_told_otherwise(spark, scratch, landed):
+    offsets.land(landed.limit(30), f"{scratch}/land")
+    index = spark.read.option("recursiveFileLookup", "true").parquet(f"{scratch}/land/index")
+    lost = index.where((F.col("start") > 0) & (F.col("topic") == "cdc.public.orders")).first()
+    folder = (f"{scratch}/land/records/{lost['run']}/topic={lost['topic']}/partition={lost['partition']}/chunk={lost['chunk']}")
+    os.rename(folder, f"{scratch}/elsewhere")
+    with pytest.raises(Exception, match="records lost"):
+        _run(spark, scratch, "strict")
+    out, _ = _run(spark, scratch, "lax", fail_on_data_loss=False)
+    assert out.count() == landed.count() + 30 - lost["n"]
+
+
+def test_offset_source_refuses_a_foreign_progress_folder(spark, scratch, landed):
+    _run(spark, scratch, "a")
+    os.rename(f"{scratch}/a-progress", f"{scratch}/gone")
+    offsets.land(landed.limit(5), f"{scratch}/land")
+    src = offsets.stream(spark, f"{scratch}/land", f"{scratch}/a-progress", max_offsets_per_trigger=10)
+    q = src.writeStream.format("parquet").option("path", f"{scratch}/a-out").option(
+        "checkpointLocation", f"{scratch}/a-ckpt").trigger(processingTime="0 seconds").start()
+    with pytest.raises(Exception, match="does not belong|lies before"):
+        for _ in range(200):
+            q.processAllAvailable()
+            if q.exception() is not None:
+                raise q.exception()
+            time.sleep(0.05)
+    q.stop()

@@ -3,13 +3,13 @@
   bronze  --source kafka|<dir> --topics t1,t2 --checkpoint <dir> --trigger "30 seconds"
           --starting-offsets earliest|latest [--available-now] --root <lake>
           [--partition-by cdc_table,event_day] [--dedup-within "1 hour"]
-  silver  --root <lake> --table all|<name> [--incremental] [--compact]
+  silver  --root <lake> --table all|<name> [--by-month]
+          | --root <lake> --incremental --checkpoint <dir>   (what is new in the bronze log)
   gold    --root <lake> --table all|<name>
   kpi     --root <lake> --name all|<kpi>
-  sql     --root <lake> "<SELECT ... FROM gold_orders ...>" [--limit N]
-          (every gold product is a view named gold_<product>)
-  compact --root <lake> [--partition-by cdc_table,event_day] [--vacuum-after 3600]
-          (bronze log -> new compacted base; silver deltas -> new base versions)
+  sql     --root <lake> "<SELECT ... FROM gold_orders ...>" [--limit N] [--out <dir>]
+          (every gold product is a view named gold_<product>; rows are printed as they
+          come, or written as Parquet)
 
 Silver and gold try every requested table and raise once at the end if any failed.
 """
@@ -43,7 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--table", default="all")
     s.add_argument("--incremental", action="store_true")
-    s.add_argument("--compact", action="store_true")
+    s.add_argument("--checkpoint", default=None)
+    s.add_argument("--by-month", action="store_true")
     g = sub.add_parser("gold")
     g.add_argument("--root", required=True)
     g.add_argument("--table", default="all")
@@ -54,11 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--root", required=True)
     q.add_argument("statement")
     q.add_argument("--limit", type=int, default=None)
-    c = sub.add_parser("compact")
-    c.add_argument("--root", required=True)
-    c.add_argument("--partition-by", default="cdc_table,event_day")
-    c.add_argument("--vacuum-after", type=float, default=None,
-                   help="also delete folded epochs older than this many seconds")
+    q.add_argument("--out", default=None)
     return ap
 
 
@@ -73,7 +70,6 @@ def main(argv: list[str] | None = None, spark=None):
     from tidemark.session import apply_session_conf, get_session
     from tidemark.sources.store import Store
     from tidemark.streaming import bronze_stream as BS
-    from tidemark.streaming import silver_stream as SS
 
     args = _parser().parse_args(argv)
     spark = spark or get_session(app=f"tidemark-{args.layer}", profile="cluster")
@@ -96,14 +92,11 @@ def main(argv: list[str] | None = None, spark=None):
             raise q.exception()
         return q
     if args.layer == "silver":
-        tables = _tables(args.table)
         if args.incremental:
-            out = jobs.run_silver_incremental(store, tables)
-            if args.compact:
-                for t in tables:
-                    SS.compact_silver(store, t)
-            return out
-        return jobs.run_silver(store, tables)
+            if not args.checkpoint:
+                raise SystemExit("--incremental needs --checkpoint")
+            return jobs.run_silver_incremental(store, args.checkpoint)
+        return jobs.run_silver(store, _tables(args.table), by_month=args.by_month)
     if args.layer == "gold":
         return jobs.run_gold(store, None if args.table == "all" else _tables(args.table))
     if args.layer == "kpi":
@@ -115,26 +108,14 @@ def main(argv: list[str] | None = None, spark=None):
         for product, df in gold.items():
             df.createOrReplaceTempView(f"gold_{product}")
         answer = spark.sql(args.statement)
-        rows = (answer if args.limit is None else answer.limit(args.limit + 1)).collect()
-        cut = args.limit is not None and len(rows) > args.limit
-        rows = rows[:args.limit] if cut else rows
-        for r in rows:
+        if args.limit is not None:
+            answer = answer.limit(args.limit)
+        if args.out:
+            answer.write.parquet(args.out)
+            return args.out
+        for r in answer.toLocalIterator():  # a partition at a time on the driver
             print("\t".join("" if v is None else str(v) for v in r))
-        if cut:
-            print(f"-- truncated after {args.limit} rows", file=sys.stderr)
-        return rows
-    if args.layer == "compact":
-        from tidemark.operators.bronze import COORDINATES
-        out = {"bronze": store.compact_log("bronze", args.partition_by.split(","),
-                                           list(COORDINATES))}
-        for t in TABLES:
-            if store.epochs(SS.delta_name(t)):
-                out[f"silver/{t}"] = SS.compact_silver(store, t)
-        if args.vacuum_after is not None:
-            store.vacuum_log("bronze", args.vacuum_after)
-            for t in TABLES:
-                SS.vacuum_deltas(store, t, args.vacuum_after)
-        return out
+        return None
     raise SystemExit(f"unknown layer {args.layer}")
 
 

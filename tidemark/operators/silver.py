@@ -35,7 +35,7 @@ def _wire_schema(table: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def row_image(bronze: DataFrame) -> Column:
+def row_image() -> Column:
     """INSERT/UPDATE/READ read ``after``; anything else ``before``."""
     return (F.when(F.col("cdc_op").isin(IMAGE_AFTER_OPS), F.col("after_json"))
             .otherwise(F.col("before_json")))
@@ -43,7 +43,7 @@ def row_image(bronze: DataFrame) -> Column:
 
 def _parsed(bronze: DataFrame, table: str) -> DataFrame:
     schema = _wire_schema(table)
-    img = F.from_json(row_image(bronze), schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    img = F.from_json(row_image(), schema, {"columnNameOfCorruptRecord": "_corrupt"})
     return evaluate_once(bronze, img, "_img", bronze.columns)
 
 
@@ -55,6 +55,16 @@ def _image_valid(table: str) -> Column:
     return F.col("_img").isNotNull() & F.col("_img._corrupt").isNull() & pk_ok
 
 
+def image_key(image: Column, table: str) -> Column:
+    """The key of a row image as text; null unless the image is a valid row of ``table``."""
+    parsed = F.from_json(image, _wire_schema(table), {"columnNameOfCorruptRecord": "_corrupt"})
+
+    def key(row):
+        parts = [row[k].cast("string") for k in PRIMARY_KEYS[table]]
+        return F.when(row["_corrupt"].isNull(), F.concat(*[x for k in parts for x in (k, F.lit(":"))]))
+    return F.element_at(F.transform(F.array(parsed), key), 1)  # parsed once
+
+
 def change_rows(bronze: DataFrame, table: str, run_ts: Column | None = None) -> DataFrame:
     """Valid change rows of ``table``: entity columns, lineage and soft-delete flags.
 

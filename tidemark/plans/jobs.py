@@ -17,8 +17,9 @@ from tidemark.model import TABLES
 from tidemark.operators.bronze import dedup_replays
 from tidemark.operators.silver import state
 from tidemark.plans import gold as G
-from tidemark.sources.store import Store, folded_epoch
-from tidemark.streaming.bronze_stream import QUARANTINE_SCHEMA, write_bronze_epoch
+from tidemark.sources.catalog import silver_rows
+from tidemark.sources.store import Store
+from tidemark.streaming.bronze_stream import QUARANTINE_SCHEMA, write_bronze_batch
 
 
 log = logging.getLogger("tidemark.jobs")
@@ -54,115 +55,68 @@ def _collect_errors(items, fn, parallel: int = 1) -> dict:
     return results
 
 
-def run_bronze(store: Store, records: DataFrame, epoch_id: int | None = None,
+def run_bronze(store: Store, records: DataFrame, batch: str | None = None,
                run_ts: Column | None = None,
                partition_by: list[str] | None = None) -> tuple[int, int]:
-    """Batch ingest of one bounded chunk of records (a landed file set) as one bronze
-    epoch (valid events + quarantine); returns (events written, records quarantined).
-    Without ``epoch_id`` it is appended after the epochs that are there; a given one is
-    replaced.  Larger backlogs go through the stream, whose triggers bound each epoch."""
-    if epoch_id is None:
-        epoch_id = store.epoch_of("bronze", f"run-{uuid.uuid4().hex}")
-    return write_bronze_epoch(store, records, epoch_id, partition_by, run_ts)
+    """Batch ingest of one bounded chunk of records (a landed file set) as one batch of the
+    log (valid events + quarantine); returns (events written, records quarantined).  Without
+    ``batch`` it is appended under a new name; a given one is replaced.  Larger backlogs go
+    through the stream, whose triggers bound each batch."""
+    return write_bronze_batch(store, records, batch or f"run-{uuid.uuid4().hex}", partition_by, run_ts)
 
 
 def read_bronze(store: Store, dedup: bool = False) -> DataFrame:
-    b = store.read_log("bronze")
+    b = store.read("bronze")
     return dedup_replays(b) if dedup else b
 
 
 def run_silver(store: Store, tables: list[str] | None = None, run_ts: Column | None = None,
-               delete_image: str = "before", parallel: int = 1) -> dict:
+               delete_image: str = "before", parallel: int = 1, by_month: bool = False) -> dict:
     """Full rebuild of silver from the bronze log (C9); partition pruning on
     ``cdc_table`` makes each table read only its own events."""
     bronze = read_bronze(store)
 
     def one(t):
         s = state(bronze.filter(F.col("cdc_table") == t), t, run_ts, delete_image)
-        path, rows = store.write_snapshot(s, f"silver/{t}")
-        log.info("silver %s: %s rows -> %s", t, rows, path)
-        return path, rows
+        layout = None
+        if by_month:  # the layout of months(_cdc_ts) (S9)
+            s, layout = silver_rows(s), ["event_month"]
+        rows = store.write(s, f"silver/{t}", layout)
+        log.info("silver %s: %s rows", t, rows)
+        return rows
 
     return _collect_errors(tables or TABLES, one, parallel)
 
 
-def run_silver_incremental(store: Store, tables: list[str] | None = None) -> dict:
-    """Fold only the bronze epochs not seen yet into silver deltas (merge-on-read),
-    instead of replaying the whole log (C9, D15).  An epoch is read through
-    partition pruning on ``epoch``; a rerun skips epochs that already have a delta.
-    A table that has not seen all epochs held by the log's compacted base (where they
-    are no longer apart) is rebuilt from the whole log first."""
-    from tidemark.streaming.silver_stream import delta_name, silver_delta_writer
-
-    wanted = tables or TABLES
-    folded = folded_epoch(store.current("bronze__base"))
-    committed = [e for e in store.committed_epochs("bronze") if e > folded]
-
-    def one(t):
-        done = store.committed_epochs(delta_name(t))
-        if folded > max(done, default=-1):
-            run_silver(store, [t])
-        new = [e for e in committed if e not in done]
-        if new:
-            bronze = read_bronze(store)
-        for e in new:
-            silver_delta_writer(store, [t])(bronze.filter(F.col("epoch") == e), e)
-        return new
-
-    return _collect_errors(wanted, one)
-
-
-GOLD_BUILDERS = {
-    "customers": lambda s, b: G.gold_customers(s["customers"]),
-    "orders": lambda s, b: G.gold_orders(s["orders"], s["customers"]),
-    "sales_facts": lambda s, b: G.gold_sales_facts(s["order_items"], s["orders"],
-                                                   s["products"], s["customers"]),
-    "payments_summary": lambda s, b: G.gold_payments_summary(s["payments"], s["orders"],
-                                                             s["customers"]),
-    "returns_summary": lambda s, b: G.gold_returns_summary(s["returns"], s["orders"],
-                                                           s["customers"]),
-    "cdc_audit": lambda s, b: G.gold_cdc_audit(b),
-}
-
-
-class _SilverView(dict):
-    """Silver tables resolved lazily, each at its current state: the base version
-    plus any merge-on-read deltas written after it."""
-
-    def __init__(self, store: Store):
-        super().__init__()
-        self.store = store
-
-    def __missing__(self, key):
-        from tidemark.streaming.silver_stream import read_silver
-        df = read_silver(self.store, key)
-        self[key] = df
-        return df
+def run_silver_incremental(store: Store, checkpoint: str) -> None:
+    """Fold what is new in the bronze log into the silver state tables (C9, D15): the state
+    stream over the log, run until it has seen everything that was there."""
+    from tidemark.streaming.silver_stream import bronze_log_stream, start_state_stream
+    q = start_state_stream(bronze_log_stream(store.spark, store), store, checkpoint, {"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
 
 
 def run_gold(store: Store, products: list[str] | None = None, parallel: int = 1) -> dict:
-    silver = _SilverView(store)
-    for t in TABLES:  # resolve versions once, before any thread starts
-        try:
-            silver[t]
-        except FileNotFoundError:  # a product that needs it fails on its own
-            pass
+    silver = {t: store.read(f"silver/{t}") for t in TABLES if store.exists(f"silver/{t}")}
     bronze = read_bronze(store, dedup=True)
 
     def one(name):
-        df = GOLD_BUILDERS[name](silver, bronze)
+        df = G.GOLD_BUILDERS[name](silver, lambda: bronze)
         part = G.GOLD_PARTITIONS.get(name)
         if part:
-            df = df.repartitionByRange(part, G.GOLD_CLUSTER_KEYS[name])
-        path, rows = store.write_snapshot(df, f"gold/{name}", [part] if part else None)
-        log.info("gold %s: %s rows -> %s", name, rows, path)
-        return path, rows
+            # dealt by the partition column; AQE splits a hot year and joins thin ones
+            df = df.hint("rebalance", F.col(part))
+        rows = store.write(df, f"gold/{name}", [part] if part else None)
+        log.info("gold %s: %s rows", name, rows)
+        return rows
 
-    return _collect_errors(products or list(GOLD_BUILDERS), one, parallel)
+    return _collect_errors(products or list(G.GOLD_BUILDERS), one, parallel)
 
 
 def read_gold(store: Store) -> dict[str, DataFrame]:
-    return {name: store.read(f"gold/{name}") for name in GOLD_BUILDERS}
+    return {name: store.read(f"gold/{name}") for name in G.GOLD_BUILDERS}
 
 
 def run(spark: SparkSession, store: Store, layer: str, tables: list[str] | None = None,

@@ -121,3 +121,32 @@ def publish_views(gold: dict[str, DataFrame], kpis: dict[str, DataFrame],
     for n in names:
         df = kpis[n] if n in KPI_BUILDERS else gold[n]
         df.createOrReplaceTempView(n if n in KPI_BUILDERS else f"gold_{n}")
+
+
+# Table functions over the views that ``publish_views`` makes; reports with parameters.
+FUNCTIONS = {
+    "gold_top_customers": ("""
+        CREATE OR REPLACE TEMPORARY FUNCTION gold_top_customers(k INT)
+        RETURNS TABLE (place INT, customer_id BIGINT, customer_name STRING, total_revenue DECIMAL(38,2), nb_orders BIGINT)
+        RETURN SELECT place, customer_id, customer_name, total_revenue, nb_orders FROM (
+          SELECT row_number() OVER (ORDER BY sum(line_revenue) DESC, customer_id) AS place, customer_id,
+                 max(customer_name) AS customer_name, sum(line_revenue) AS total_revenue,
+                 count(DISTINCT order_id) AS nb_orders
+          FROM gold_sales_facts WHERE is_cancelled = 0 GROUP BY customer_id) WHERE place <= k"""),
+    "gold_sales_between": ("""
+        CREATE OR REPLACE TEMPORARY FUNCTION gold_sales_between(first_day DATE, last_day DATE)
+        RETURNS TABLE (product_category STRING, revenue DECIMAL(38,2), nb_orders BIGINT)
+        RETURN SELECT product_category, sum(line_revenue), count(DISTINCT order_id) FROM gold_sales_facts
+        WHERE is_cancelled = 0 AND order_day BETWEEN first_day AND last_day GROUP BY product_category"""),
+    "gold_segment_orders": ("""
+        CREATE OR REPLACE TEMPORARY FUNCTION gold_segment_orders(wanted STRING)
+        RETURNS TABLE (order_year INT, channel STRING, nb_orders BIGINT, revenue DECIMAL(38,2))
+        RETURN SELECT order_year, channel, count(*), sum(total_amount) FROM gold_orders
+        WHERE customer_segment <=> wanted AND is_cancelled = 0 GROUP BY order_year, channel"""),
+}
+
+
+def publish_functions(spark, names: list[str] | None = None) -> None:
+    """SQL table functions over the published gold views (S16): top k, period, segment."""
+    for n in names or FUNCTIONS:
+        spark.sql(FUNCTIONS[n])

@@ -9,6 +9,7 @@ UTC), and wall-clock columns (``processed_at``, ``_silver_updated_at``,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +21,22 @@ from tidemark.model import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, TABLES
 from tidemark.operators import bronze as B
 from tidemark.operators import quality as Q
 from tidemark.operators import silver as S
+from tidemark.operators import variant as V
 from tidemark.plans import gold as G
+from tidemark.plans import jobs
+from tidemark.plans import incremental as I
 from tidemark.plans import kpi as K
+from tidemark.plans import rollup as R
 from tidemark.plans.oracle_sql import CHANGES, KEYS, LABELS, VERB, rows_of, with_base
 from tidemark.plans.oracle_sql import key_text as key_sql
 from tidemark.plans.flow import Flow
+from tidemark.session import checkpoint_dir
+from tidemark.sources import offsets
 from tidemark.sources.feed import (FAULTS, malformed_records, snapshot_diff, snapshot_diff_digests,
                                    snapshot_to_feed, to_records)
+from tidemark.sources.store import Store
+from tidemark.streaming import bronze_stream as BS
+from tidemark.streaming import silver_stream as SS
 
 WALL_CLOCK = {"processed_at", "_silver_updated_at", "_deleted_at"}
 
@@ -105,7 +115,7 @@ _STATE_ORACLE = f"""
 def _bronze_orders_decoded(p: Flow) -> DataFrame:
     b = p.bronze_of("orders")
     return b.select(*[c for c in b.columns if c not in ("before_json", "after_json")],
-                    F.get_json_object(S.row_image(b), "$.status").alias("image_status"))
+                    F.get_json_object(S.row_image(), "$.status").alias("image_status"))
 
 
 @register("cdc_op_decode", f"""
@@ -125,6 +135,15 @@ def _cdc_row_image(p: Flow) -> DataFrame:
                                           F.col("_cdc_op").alias("cdc_op"), side.alias("image_side")))
 
 
+@register("variant_row_image", f"""
+    SELECT table_name, key, label, amount, lsn AS _cdc_lsn, {VERB} AS cdc_op, 0 AS n_extra
+    FROM all_changes""")
+def _variant_row_image(p: Flow) -> DataFrame:
+    """The same images through VARIANT: one parse a record, typed extraction per entity."""
+    return over_tables(lambda t: labelled(V.rows(V.decode(p.records_of(t)), t), t, "_cdc_lsn", F.col("_cdc_op").alias("cdc_op"),
+                                          F.size("extra").alias("n_extra")))
+
+
 @register("cdc_soft_delete_flags", """
     SELECT table_name, key, lsn AS _cdc_lsn, op = 'd' AS _is_deleted, op = 'd' AS has_deleted_at
     FROM all_changes""")
@@ -433,6 +452,54 @@ def _sql_consumer(p: Flow) -> DataFrame:
         FROM kpi_payments_by_method GROUP BY method, payment_year""")
 
 
+@register("sql_table_functions", """
+    WITH sold AS (
+      SELECT o.*, c.name, l.quantity * l.unit_price AS money, p.category
+      FROM live_order_items l JOIN live_orders o USING (order_id) LEFT JOIN live_customers c USING (customer_id)
+      LEFT JOIN live_products p ON p.product_id = l.product_id WHERE o.status <> 'cancelled'),
+    ranked AS (SELECT customer_id, SUM(money) AS total, COUNT(DISTINCT order_id) AS n,
+                      row_number() OVER (ORDER BY SUM(money) DESC, customer_id) AS place
+               FROM sold GROUP BY customer_id)
+    SELECT 'top_' || k AS report, CAST(customer_id AS VARCHAR) AS item, CAST(total AS DOUBLE) AS revenue, n AS nb_orders
+    FROM ranked, (VALUES (10), (25)) v(k) WHERE place <= k
+    UNION ALL
+    SELECT '1997', category, CAST(SUM(money) AS DOUBLE), COUNT(DISTINCT order_id) FROM sold
+    WHERE year(order_date) = 1997 GROUP BY category
+    UNION ALL
+    SELECT 'BUILDING', year(o.order_date) || ' ' || channel, CAST(SUM(total_amount) AS DOUBLE), COUNT(*)
+    FROM live_orders o JOIN live_customers c USING (customer_id)
+    WHERE c.segment = 'BUILDING' AND o.status <> 'cancelled' GROUP BY year(o.order_date), channel""")
+def _sql_table_functions(p: Flow) -> DataFrame:
+    """Parameterised reports as SQL table functions over the gold views."""
+    K.publish_views(p.gold, p.kpis, ["sales_facts", "orders"])
+    K.publish_functions(p.spark)
+    return p.spark.sql("""
+        SELECT 'top_10' AS report, CAST(customer_id AS STRING) AS item, CAST(total_revenue AS DOUBLE) AS revenue, nb_orders
+        FROM gold_top_customers(10)
+        UNION ALL SELECT 'top_25', CAST(customer_id AS STRING), CAST(total_revenue AS DOUBLE), nb_orders FROM gold_top_customers(25)
+        UNION ALL SELECT '1997', product_category, CAST(revenue AS DOUBLE), nb_orders
+        FROM gold_sales_between(DATE '1997-01-01', DATE '1997-12-31')
+        UNION ALL SELECT 'BUILDING', concat_ws(' ', order_year, channel), CAST(revenue AS DOUBLE), nb_orders
+        FROM gold_segment_orders('BUILDING')""")
+
+
+@register("distinct_rollup", """
+    WITH sold AS (SELECT DISTINCT d.category AS product_category, o.order_date::DATE AS day, l.order_id
+                  FROM live_order_items l JOIN live_orders o ON o.order_id = l.order_id AND o.status <> 'cancelled'
+                  LEFT JOIN live_products d ON d.product_id = l.product_id)
+    SELECT level, product_category, CASE level WHEN 'day' THEN day ELSE date_trunc(level, day)::DATE END AS period,
+           COUNT(DISTINCT order_id) AS n_distinct
+    FROM sold, (VALUES ('day'), ('month'), ('year')) v(level) GROUP BY ALL""")
+def _distinct_rollup(p: Flow) -> DataFrame:
+    """Distinct orders per category and day, month and year from stored daily bitmaps (A2, K4)."""
+    store = Store(p.spark, _scratch(p))
+    facts = p.gold["sales_facts"].where("is_cancelled = 0")
+    store.write(R.daily_bitmaps(facts, ["product_category"], "order_day", "order_id"), "orders_by_day")
+    days = store.read("orders_by_day")
+    out = [R.distinct_counts(days, ["product_category"], level) for level in R.LEVELS]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # --------------------------------------------------------------------------- quarantine
 
 
@@ -694,3 +761,119 @@ def _refund_expected(p: Flow) -> DataFrame:
                     (F.col("refund_amount") == exp).alias("matches")))
 
 
+
+# --------------------------------------------------------------------------- merges and streams
+
+def _scratch(p: Flow) -> str:
+    """A fresh folder under the shared checkpoint directory of the session."""
+    return f"{checkpoint_dir(p.spark).rstrip('/')}/tidemark-{uuid.uuid4().hex[:12]}"
+
+
+def _stored_states(store: Store) -> DataFrame:
+    return over_tables(lambda t: labelled(store.read(f"silver/{t}"), t, *_STATE))
+
+
+@register("merge_touched_partitions", _STATE_ORACLE)
+def _merge_touched_partitions(p: Flow) -> DataFrame:
+    """Stored states of the log before the cut, merged with the rest of the log in place:
+    only the key buckets that hold touched keys are read and rewritten (C3, J5)."""
+    store = Store(p.spark, _scratch(p))
+    for t in TABLES:
+        rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
+        store.merge(S.latest_per_key(_before_cut(rows, True), keys), f"silver/{t}", keys, buckets=8)
+        store.merge(S.latest_per_key(_before_cut(rows, False), keys), f"silver/{t}", keys, buckets=8)
+    return _stored_states(store)
+
+
+@register("gold_facts_incremental", """
+    SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
+                      CAST(line_revenue AS DOUBLE) AS line_revenue)
+    FROM gold_sales_facts""")
+def _gold_facts_incremental(p: Flow) -> DataFrame:
+    """Facts stored from the states before the cut, then brought up to date from the keys of
+    customers, products, orders and lines that changed (G2, G3, S10)."""
+    store = Store(p.spark, _scratch(p))
+    tables = ["customers", "products", "orders", "order_items"]
+    old, changed = {}, {}
+    for t in tables:
+        rows = _change_rows(p, t)
+        old[t] = S.latest_per_key(_before_cut(rows, True), PRIMARY_KEYS[t])
+        changed[t] = _before_cut(rows, False).select(*PRIMARY_KEYS[t]).distinct()
+    I.build_facts(store, "facts", old, buckets=8)
+    I.refresh_facts(store, "facts", p.silver, changed, buckets=8)
+    return store.read("facts").drop("bucket")
+
+
+def _landed(p: Flow, root: str, parts: int):
+    """The six logs landed in parts, by a hash of the coordinates: each part's changes come in
+    any order relative to the other parts'."""
+    part = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(parts))
+    for k in range(parts):
+        offsets.land(p.records.where(part == k), f"{root}/landing")
+        yield k
+
+
+@register("stream_offsets", """
+    SELECT 'cdc.public.' || table_name AS topic, kafka_partition::INTEGER AS partition, COUNT(*) AS n_records,
+           COUNT(*) AS n_offsets, CAST(0 AS BIGINT) AS first_offset, COUNT(*) - 1 AS last_offset
+    FROM all_changes GROUP BY ALL""")
+def _stream_offsets(p: Flow) -> DataFrame:
+    """Records through the offset source, a bounded number of offsets a trigger, with a
+    restart after each landing: each offset exactly once (S1, T5, T6)."""
+    root = _scratch(p)
+    for _ in _landed(p, root, 2):
+        src = offsets.stream(p.spark, f"{root}/landing", f"{root}/progress", max_offsets_per_trigger=50_000)
+        q = src.writeStream.format("parquet").option("path", f"{root}/out").option(
+            "checkpointLocation", f"{root}/checkpoint").trigger(processingTime="0 seconds").start()
+        offsets.run_to_end(q, f"{root}/landing", f"{root}/progress")
+    return p.spark.read.parquet(f"{root}/out").groupBy("topic", "partition").agg(
+        F.count("value").alias("n_records"), F.count_distinct("offset").alias("n_offsets"),
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
+@register("stream_bronze_available_now", f"""
+    SELECT table_name AS cdc_table, {VERB} AS cdc_op, COUNT(*) AS n_events,
+           COUNT(DISTINCT (kafka_partition, kafka_offset)) AS n_offsets
+    FROM all_changes GROUP BY 1, 2""")
+def _stream_bronze_available_now(p: Flow) -> DataFrame:
+    """Streaming bronze equals batch bronze; a restart adds nothing."""
+    root = _scratch(p)
+    p.records.write.parquet(f"{root}/landing")
+    store = Store(p.spark, f"{root}/lake")
+    for _ in range(2):
+        src = BS.file_records(p.spark, f"{root}/landing", max_files_per_trigger=8)
+        q = BS.start_bronze_stream(src, store, f"{root}/_checkpoints/bronze",
+                                   trigger={"availableNow": True}, partition_by=["cdc_table"],
+                                   dedup_within="1 hour")
+        q.awaitTermination()  # never read a half-written table
+        if q.exception() is not None:
+            raise q.exception()
+    return (store.read("bronze").groupBy("cdc_table", "cdc_op")
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 F.count_distinct("kafka_partition", "kafka_offset").alias("n_offsets")))
+
+
+@register("stream_state_all_tables", _STATE_ORACLE)
+def _stream_state_all_tables(p: Flow) -> DataFrame:
+    """Silver of all six tables kept by the state stream over the offset source, restarted
+    after each of three landings whose changes overlap in time (C2, C9)."""
+    root = _scratch(p)
+    store = Store(p.spark, f"{root}/lake")
+    for _ in _landed(p, root, 3):
+        src = offsets.stream(p.spark, f"{root}/landing", f"{root}/progress")
+        q = SS.start_state_stream(B.decode(src), store, f"{root}/checkpoint", {"processingTime": "0 seconds"}, buckets=8)
+        offsets.run_to_end(q, f"{root}/landing", f"{root}/progress")
+    return _stored_states(store)
+
+
+@register("stream_silver_incremental", _STATE_ORACLE)
+def _stream_silver_incremental(p: Flow) -> DataFrame:
+    """Batch runs append to the bronze log; the incremental job folds what is new after each
+    into the stored states (C9, D15)."""
+    root = _scratch(p)
+    store = Store(p.spark, f"{root}/lake")
+    late = F.pmod(F.col("offset"), F.lit(2))
+    for k in (1, 0):
+        jobs.run_bronze(store, p.records.where(late == k), partition_by=["cdc_table"])
+        jobs.run_silver_incremental(store, f"{root}/checkpoint")
+    return _stored_states(store)

@@ -54,8 +54,8 @@ def bronze_ddl(table: str, location: str | None = None,
 def silver_ddl(entity: str, table: str, location: str | None = None) -> str:
     """Parquet table of an entity's fields and the silver columns, by month of the change."""
     own = T.StructType([T.StructField(f.name, f.dataType) for f in ENTITY_SCHEMAS[entity]]).toDDL()
-    return " ".join(["CREATE TABLE IF NOT EXISTS", table, f"({own}, {SILVER_META_DDL})", "USING parquet", _location(location),
-                     "PARTITIONED BY (event_month)", "OPTIONS ('compression' = 'snappy')"])
+    return (f"CREATE TABLE IF NOT EXISTS {table} ({own}, {SILVER_META_DDL}) USING parquet {_location(location)} "
+            f"PARTITIONED BY (event_month) OPTIONS ('compression' = 'snappy')")
 
 
 def ensure_table(spark: SparkSession, ddl: str) -> None:
@@ -86,59 +86,10 @@ def merge_into_table(updates: DataFrame, target: str, keys: list[str], guarded:
     """Keyed merge (C3, C4) into a table of a MERGE-capable V2 catalog: rows of known keys
     are updated, the others inserted.  ``guarded``: an update older than the stored row
     (by ``order``) leaves it alone (D16).  Stores without MERGE (plain Parquet) use
-    ``operators.silver.merge_upsert`` with a versioned write; Spark rejects them here."""
+    ``Store.merge``; Spark rejects them here."""
     held = target.rsplit(".", 1)[-1]
     same_key = functools.reduce(lambda x, y: x & y, (F.col(f"{held}.{k}") == F.col(f"news.{k}") for k in keys))
     newer = F.struct(*(F.col(f"news.{c}") for c in order)) >= F.struct(*(F.col(f"{held}.{c}") for c in order))
     merge = updates.select(*updates.sparkSession.table(target).columns).alias("news").mergeInto(target, same_key)
     merge = (merge.whenMatched(newer) if guarded else merge.whenMatched()).updateAll()
     merge.whenNotMatched().insertAll().merge()
-
-
-# --------------------------------------------------------------------------- bucketed state
-#
-# Silver kept as a catalog table bucketed (and sorted) by its key: a keyed MERGE
-# of a batch into it shuffles only the batch - the target side already has the
-# hash partitioning on the key that the join needs - and the merged result is
-# written bucket by bucket as the next version.  Versions are separate tables
-# ``<db>.<entity>__v<ms>``; the newest one is current.
-
-
-def _versions(spark: SparkSession, db: str, entity: str) -> list[str]:
-    if not spark.catalog.databaseExists(db):
-        return []
-    prefix = f"{entity}__v"
-    return sorted(t.name for t in spark.catalog.listTables(db) if t.name.startswith(prefix))
-
-
-def current_bucketed(spark: SparkSession, db: str, entity: str) -> str | None:
-    vs = _versions(spark, db, entity)
-    return f"{db}.{vs[-1]}" if vs else None
-
-
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
-    (df.write.bucketBy(buckets, key).sortBy(key).option("path", path)
-     .option("compression", "snappy").mode("errorifexists").saveAsTable(table))
-
-
-def merge_bucketed(updates: DataFrame, db: str, entity: str, buckets: int, root: str,
-                   guarded: bool = True) -> str:
-    """Merge ``updates`` (one row per key) into the current bucketed version and
-    write the result as the next version; returns its table name."""
-    import time
-
-    from tidemark.model import PRIMARY_KEYS
-    from tidemark.operators.silver import merge_upsert
-
-    spark = updates.sparkSession
-    keys = PRIMARY_KEYS[entity]
-    ensure_namespace(spark, db)
-    cur = current_bucketed(spark, db, entity)
-    if cur is None:
-        merged = updates
-    else:
-        target = spark.table(cur)
-        merged = merge_upsert(target, updates.select(*target.columns), keys, guarded=guarded)
-    version = f"{entity}__v{int(time.time() * 1000):015d}"
-    write_bucketed(merged, f"{db}.{version}", keys[0], buckets, f"{root.rstrip('/')}/{version}")
-    return f"{db}.{version}"

@@ -88,6 +88,24 @@ def stream(spark: SparkSession, root: str, progress: str, topics: list[str] | No
     return r.load()
 
 
+def run_to_end(query, root: str, progress: str, topics: list[str] | None = None) -> None:
+    """Waits until a query over :func:`stream` has worked off all that is landed, and stops it."""
+    low = {"path": root, "progress": progress} | ({"subscribe": ",".join(topics)} if topics else {})
+    reader = OffsetReader(low)
+    ends = {k: rows[-1]["start"] + rows[-1]["n"] for k, rows in reader._index().items()}
+    try:
+        while True:
+            query.processAllAvailable()
+            noted = reader._noted() or {}
+            if all(noted.get(k, 0) >= v for k, v in ends.items()):
+                break
+        # the last admitted batch has been planned; the next idle trigger comes after it
+        query.processAllAvailable()
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 class OffsetRecords(DataSource):
     @classmethod
     def name(cls) -> str:

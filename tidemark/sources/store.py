@@ -1,38 +1,27 @@
-"""Table store on plain Parquet paths (sinks S7-S15).
-
-Snapshots (silver, gold) are written to a fresh version directory and become
-visible only when Spark's committer has written ``_SUCCESS``; readers resolve the
-newest committed version once per job, so a reader never sees a half-written
-table and a writer never deletes files a running plan is reading.  Appends
-(bronze) go to one directory per streaming epoch, overwritten when an epoch is
-replayed, so at-least-once delivery of a micro-batch leaves one copy.
-
-Paths may be any Hadoop-compatible URI (a shared filesystem or object store).
+"""Tables on plain Parquet paths (sinks S7-S15): Spark's own writes, no table format.
+
+* a snapshot (gold, rebuilt silver) is one ``overwrite`` of its folder (S10, S11);
+* a log (bronze, quarantine) gets one sub-folder ``batch=<name>`` per run or micro-batch; a
+  retried batch overwrites its own, so at-least-once delivery leaves one copy (S7, D7);
+* a state (incremental silver) is partitioned by a hash bucket of its key, and a merge
+  rewrites the buckets that hold touched keys by dynamic partition overwrite (C3, C9).
+
+An overwrite replaces files: readers of the same folder should run before or after it.  A
+merge that dies while Spark moves its finished buckets into place is repeated by the stream
+or job that ran it, from the same changes; merging them again changes nothing.  Paths may be
+any Hadoop-compatible URI.
 """
 
 from __future__ import annotations
 
-import re
-import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-_EPOCH_TAG = re.compile(r"-e(\d{12})$")
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-
-def epoch_tag(epoch: int) -> str:
-    """Version tag recording the last log epoch a version holds."""
-    return f"e{epoch:012d}"
-
-
-def folded_epoch(version_path: str | None) -> int:
-    """Last epoch held by a tagged version; -1 for none or an untagged version."""
-    if not version_path:
-        return -1
-    m = _EPOCH_TAG.search(version_path.rstrip("/").rsplit("/", 1)[-1])
-    return int(m.group(1)) if m else -1
+# Buckets of a state table, fixed when it is first written: a merge rewrites at most the
+# touched ones, so choose them for about a file of useful size each.
+BUCKETS = 64
 
 
 class Store:
@@ -40,218 +29,59 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- filesystem helpers (Hadoop FileSystem through the session's JVM gateway)
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        p, fs = self._fs(path)
-        return fs.exists(p)
-
-    def _children(self, path: str) -> list[str]:
-        p, fs = self._fs(path)
-        if not fs.exists(p):
-            return []
-        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # -- snapshots
-    def versions(self, name: str) -> list[str]:
-        """Committed versions of ``name``, oldest first."""
-        base = self.path(name)
-        vs = sorted(c for c in self._children(base) if c.startswith("v="))
-        return [v for v in vs if self._exists(f"{base}/{v}/_SUCCESS")]
-
-    def current(self, name: str) -> str | None:
-        vs = self.versions(name)
-        return f"{self.path(name)}/{vs[-1]}" if vs else None
-
     def exists(self, name: str) -> bool:
         """Metadata-only availability probe (S5): no data is read."""
-        return self.current(name) is not None
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        # a finished write, or partitions (a dynamic overwrite leaves no marker)
+        return fs.exists(at) and any(n == "_SUCCESS" or "=" in n for n in (s.getPath().getName() for s in fs.listStatus(at)))
 
     def read(self, name: str) -> DataFrame:
-        cur = self.current(name)
-        if cur is None:
-            raise FileNotFoundError(f"no committed version of {name} under {self.root}")
-        return self.spark.read.parquet(cur)
-
-    def write_snapshot(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-                       observe_rows: bool = True, tag: str | None = None) -> tuple[str, int | None]:
-        """Create-or-replace as a new version (S10, S11); returns (path, rows).
-
-        The row count is observed while writing (``DataFrame.observe``), not by a
-        second evaluation of the plan (A11).
-        """
-        version = f"v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-        if tag:
-            version = f"{version}-{tag}"
-        out = f"{self.path(name)}/{version}"
-        rows = None
-        if observe_rows:
-            from pyspark.sql import Observation
-            from pyspark.sql import functions as F
-            obs = Observation(f"rows_{uuid.uuid4().hex}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = df.write.mode("errorifexists").option("compression", "snappy")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out)
-        if observe_rows:
-            rows = obs.get.get("rows")
-        return out, rows
-
-    def vacuum(self, name: str, keep: int = 2, min_age_s: float = 3600.0) -> list[str]:
-        """Delete committed versions older than the newest ``keep`` and abandoned
-        (uncommitted) ones, but only versions written more than ``min_age_s`` ago, so a
-        reader that resolved a version shortly before is not cut off."""
-        base = self.path(name)
-        now_ms = time.time() * 1000
-        committed = self.versions(name)
-        doomed = []
-        for v in sorted(c for c in self._children(base) if c.startswith("v=")):
-            written_ms = int(v[2:].split("-", 1)[0])
-            if now_ms - written_ms < min_age_s * 1000:
-                continue
-            if v not in committed or v in committed[:-keep]:
-                doomed.append(v)
-        for v in doomed:
-            p, fs = self._fs(f"{base}/{v}")
-            fs.delete(p, True)
-        return doomed
-
-    def compact(self, name: str, partition_by: list[str] | None = None,
-                files_per_partition: int = 1) -> str:
-        """Rewrite the current version as a new one with few files per partition
-        value: a shuffle on the partition columns (small-files job)."""
-        df = self.read(name)
-        if partition_by:
-            df = df.repartition(*partition_by)
-        elif files_per_partition:
-            df = df.repartition(max(1, self.spark.sparkContext.defaultParallelism))
-        path, _ = self.write_snapshot(df, name, partition_by, observe_rows=False)
-        return path
-
-    def epochs(self, name: str) -> list[int]:
-        """Epoch ids written under an append-only log, ascending."""
-        return sorted(int(c.split("=", 1)[1]) for c in self._children(self.path(name))
-                      if c.startswith("epoch="))
-
-    def committed_epochs(self, name: str) -> list[int]:
-        """Epochs whose write has committed (``_SUCCESS`` present): an epoch being
-        rewritten by a retried micro-batch is not visible until it is complete."""
-        base = self.path(name)
-        return [e for e in self.epochs(name) if self._exists(f"{base}/epoch={e:012d}/_SUCCESS")]
-
-    def epoch_of(self, name: str, owner: str) -> int:
-        """The epoch number of one append to a log: the number that ``owner`` (a stream and
-        its batch, or a run) already holds, so that a retry replaces its own epoch, else the
-        next free one.  Numbers are taken by creating a marker file that must not exist,
-        so two writers never share one."""
-        marks = f"{self.path(name)}__epochs"
-        _, fs = self._fs(marks)
-        to_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        held = to_path(f"{marks}/{owner}")
-        if fs.exists(held):
-            return int(fs.listStatus(held)[0].getPath().getName())
-        n = max([self._log_base(name)[1], *self.epochs(name)]) + 1
-        fs.mkdirs(to_path(f"{marks}/taken"))
-        while not fs.createNewFile(to_path(f"{marks}/taken/{n}")):
-            n += 1
-        fs.createNewFile(to_path(f"{marks}/{owner}/{n}"))
-        return n
-
-    def delete_epochs(self, name: str, upto: int, min_age_s: float = 3600.0) -> list[int]:
-        """Delete epochs ``<= upto`` of a log whose directories are older than
-        ``min_age_s`` (e.g. deltas already folded into a base version)."""
-        base = self.path(name)
-        now_ms = time.time() * 1000
-        gone = []
-        for e in self.epochs(name):
-            if e > upto:
-                continue
-            p, fs = self._fs(f"{base}/epoch={e:012d}")
-            if now_ms - fs.getFileStatus(p).getModificationTime() < min_age_s * 1000:
-                continue
-            fs.delete(p, True)
-            gone.append(e)
-        return gone
-
-    # -- epoch appends
-    def write_epoch(self, df: DataFrame, name: str, epoch_id: int,
-                    partition_by: list[str] | None = None) -> int:
-        """Idempotent append: the epoch's directory is replaced as a whole.
-        Returns the rows written, observed during the write (A11)."""
-        from pyspark.sql import Observation
-        from pyspark.sql import functions as F
-        obs = Observation(f"rows_{uuid.uuid4().hex}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        """A snapshot, a state, or a log with all its batches."""
+        if not self.exists(name):
+            raise FileNotFoundError(f"no table {name} under {self.root}")
+        return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
+
+    def drop(self, name: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    @staticmethod
+    def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+        """Rows counted by the write itself, not by a second evaluation of the plan."""
+        seen = Observation(f"rows_{uuid.uuid4().hex}")
+        return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+    def _write(self, df: DataFrame, path: str, partition_by: list[str] | None) -> int:
+        df, seen = self._counted(df)
         w = df.write.mode("overwrite").option("compression", "snappy")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path(name)}/epoch={epoch_id:012d}")
-        return int(obs.get.get("rows", 0))
-
-    def _log_base(self, name: str) -> tuple[str | None, int]:
-        """Current compacted base of a log and the last epoch it holds."""
-        cur = self.current(f"{name}__base")
-        return (cur, folded_epoch(cur)) if cur is not None else (None, -1)
-
-    def read_log(self, name: str, schema=None, upto: int | None = None) -> DataFrame:
-        """An append-only log: its compacted base (if any) plus every committed
-        epoch after it (to ``upto``), with the partition columns of the layout.
-
-        Pass ``schema`` for logs that may hold no rows yet (an empty epoch writes no
-        data file, so there is nothing to infer a schema from)."""
-        r = self.spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        base, folded = self._log_base(name)
-        newer = [f"{self.path(name)}/epoch={e:012d}" for e in self.committed_epochs(name)
-                 if e > folded and (upto is None or e <= upto)]
-        if base is None:
-            if not newer:
-                if schema is None:
-                    raise FileNotFoundError(f"no committed epoch of {name} under {self.root}")
-                return self.spark.createDataFrame([], schema)
-            return r.option("basePath", self.path(name)).parquet(*newer)
-        df = r.parquet(base)
-        if newer:
-            # the base's schema also reads epochs that wrote no data file
-            from pyspark.sql import types as T
-            tail_schema = T.StructType([*df.schema.fields, T.StructField("epoch", T.LongType())])
-            tail = (self.spark.read.schema(tail_schema).option("basePath", self.path(name))
-                    .parquet(*newer))
-            df = df.unionByName(tail, allowMissingColumns=True)
-        return df
-
-    def compact_log(self, name: str, partition_by: list[str],
-                    cluster_by: list[str] | None = None) -> str:
-        """Rewrite base + epochs into a new base version (few large files per layout
-        value), tagged with the last epoch it holds.  Only epochs before the first one still
-        being written are folded, so the tag never covers an epoch that was not read.
-        Readers switch to the base once it is committed; epochs it covers can then be
-        removed with ``delete_epochs``."""
-        _, last = self._log_base(name)
-        committed = set(self.committed_epochs(name))
-        for e in self.epochs(name):
-            if e > last:
-                if e not in committed:
-                    break
-                last = e
-        df = self.read_log(name, upto=last)
-        if "epoch" in df.columns:
-            df = df.drop("epoch")
-        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
-        path, _ = self.write_snapshot(df, f"{name}__base", partition_by, observe_rows=False,
-                                      tag=epoch_tag(last))
-        return path
-
-    def vacuum_log(self, name: str, min_age_s: float = 3600.0) -> list[int]:
-        """Delete epochs already held by the current compacted base."""
-        _, folded = self._log_base(name)
-        return self.delete_epochs(name, folded, min_age_s) if folded >= 0 else []
+        w.parquet(path)
+        return int(seen.get.get("rows", 0))
+
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
+        """Create or replace; returns the rows written."""
+        return self._write(df, self.path(name), partition_by)
+
+    def append(self, df: DataFrame, name: str, batch: str, partition_by: list[str] | None = None) -> int:
+        """One batch of a log, replacing what an earlier try of it wrote; returns the rows."""
+        return self._write(df, f"{self.path(name)}/batch={batch}", partition_by)
+
+    def merge(self, updates: DataFrame, name: str, keys: list[str], buckets: int = BUCKETS) -> list[int]:
+        """Keyed merge of ``updates`` (one row a key) into a state table; an update older than
+        the stored row is ignored (D16).  Only buckets with touched keys are read and
+        rewritten; returns them (at most ``buckets`` numbers)."""
+        from tidemark.operators.silver import merge_upsert
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        updates = updates.withColumn("bucket", bucket)
+        touched = sorted(r[0] for r in updates.select("bucket").distinct().collect())
+        if self.exists(name):
+            held = self.read(name).where(F.col("bucket").isin(touched))
+            updates = merge_upsert(held, updates, keys, guarded=True)
+        updates.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .option("compression", "snappy").partitionBy("bucket").parquet(self.path(name))
+        return touched

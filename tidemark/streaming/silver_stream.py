@@ -1,30 +1,30 @@
-"""Incremental silver: a stream over the bronze log.
+"""Incremental silver: a stateful stream that keeps every key's newest change.
 
-Two ways to fold a micro-batch into the state:
+The state of all tables is one streaming aggregate: ``max_by`` the change over its order (ts,
+lsn, offset), grouped by table and key, in update mode.  Each micro-batch hands on only keys
+whose newest change may have moved, whatever the order in which changes arrive, and a change
+seen again moves nothing.  State lives in the RocksDB state store under the checkpoint, so it
+is bounded by the executors' disks, not their memory, and a restart goes on from it.
 
-* ``merge_on_read`` (default): the batch's newest change per key is appended as a
-  delta epoch, O(batch) work per trigger.  Reading silver takes the newest row per
-  key over the base snapshot and the deltas written after it; since "newest by
-  (ts, lsn, offset)" is idempotent and order-free, a late batch can never roll a
-  key back (D16) and a replayed epoch changes nothing.  ``compact_silver`` folds
-  the deltas into a new base version, tagged with the last epoch it holds.
-* ``copy_on_write``: a guarded full outer join of the batch with the current
-  version, written as a new version, O(table) per trigger.
-
-Writes cut the lineage, so no plan grows across batches.
+The newest rows are merged into Parquet state tables (``Store.merge``): the buckets that hold
+them are rewritten by dynamic partition overwrite, all others stay as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import PRIMARY_KEYS, TABLES
-from tidemark.operators.silver import change_rows, latest_per_key, merge_upsert
-from tidemark.sources.store import Store, epoch_tag, folded_epoch
+from tidemark.model import BRONZE_COLUMNS, PRIMARY_KEYS
+from tidemark.operators.silver import change_rows, image_key, row_image
+from tidemark.sources.store import BUCKETS, Store
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-BRONZE_STREAM_SCHEMA = T.StructType([
+BRONZE_LOG_SCHEMA = T.StructType([
     T.StructField("cdc_ts_ms", T.LongType()), T.StructField("cdc_ts", T.TimestampType()),
     T.StructField("cdc_db", T.StringType()), T.StructField("cdc_lsn", T.LongType()),
     T.StructField("before_json", T.StringType()), T.StructField("after_json", T.StringType()),
@@ -32,121 +32,55 @@ BRONZE_STREAM_SCHEMA = T.StructType([
     T.StructField("kafka_offset", T.LongType()), T.StructField("kafka_ts", T.TimestampType()),
     T.StructField("processed_at", T.TimestampType()), T.StructField("cdc_op", T.StringType()),
     # partition columns of the bronze layout
-    T.StructField("epoch", T.LongType()), T.StructField("cdc_table", T.StringType()),
+    T.StructField("batch", T.StringType()), T.StructField("cdc_table", T.StringType()),
 ])
 
 
 def bronze_log_stream(spark: SparkSession, store: Store, name: str = "bronze",
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(BRONZE_STREAM_SCHEMA).option("basePath", store.path(name))
+    """The bronze log as a stream, batch folder by batch folder."""
+    r = spark.readStream.schema(BRONZE_LOG_SCHEMA).option("basePath", store.path(name))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(store.path(name))
 
 
-def silver_batch_merger(store: Store, tables: list[str] | None = None,
-                        prefix: str = "silver/"):
-    wanted = tables or TABLES
-
-    def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            present = {r[0] for r in batch.select("cdc_table").distinct().collect()}
-            for t in wanted:
-                if t not in present:
-                    continue
-                keys = PRIMARY_KEYS[t]
-                updates = latest_per_key(change_rows(batch.filter(F.col("cdc_table") == t), t),
-                                         keys)
-                name = f"{prefix}{t}"
-                if store.exists(name):
-                    merged = merge_upsert(store.read(name), updates, keys, guarded=True)
-                else:
-                    merged = updates
-                store.write_snapshot(merged, name, observe_rows=False)
-        finally:
-            batch.unpersist()
-
-    return merge_batch
-
-
-def delta_name(table: str) -> str:
-    return f"silver_delta/{table}"
-
-
-def silver_delta_writer(store: Store, tables: list[str] | None = None):
-    """foreachBatch function of the merge-on-read mode."""
-    wanted = tables or TABLES
-
-    def write_deltas(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            present = {r[0] for r in batch.select("cdc_table").distinct().collect()}
-            for t in wanted:
-                if t in present:
-                    rows = change_rows(batch.filter(F.col("cdc_table") == t), t)
-                    store.write_epoch(latest_per_key(rows, PRIMARY_KEYS[t]), delta_name(t),
-                                      epoch_id)
-        finally:
-            batch.unpersist()
-
-    return write_deltas
-
-
-_folded_epoch = folded_epoch
-
-
-def read_silver(store: Store, table: str, upto: int | None = None) -> DataFrame:
-    """Current silver state: newest row per key over the base and newer deltas (to ``upto``)."""
-    base_path = store.current(f"silver/{table}")
-    folded = _folded_epoch(base_path)
-    parts = []
-    if base_path:
-        parts.append(store.spark.read.parquet(base_path))
-    newer = [e for e in store.committed_epochs(delta_name(table))
-             if e > folded and (upto is None or e <= upto)]
-    if newer:
-        paths = [f"{store.path(delta_name(table))}/epoch={e:012d}" for e in newer]
-        parts.append(store.spark.read.parquet(*paths))
-    if not parts:
-        raise FileNotFoundError(f"no silver state for {table}")
-    if len(parts) == 1 and not newer:
-        return parts[0]
-    union = parts[0]
-    for d in parts[1:]:
-        union = union.unionByName(d, allowMissingColumns=True)
-    return latest_per_key(union, PRIMARY_KEYS[table])
-
-
-def compact_silver(store: Store, table: str) -> str:
-    """Fold the deltas into a new base version tagged with the last folded epoch."""
-    last = _folded_epoch(store.current(f"silver/{table}"))
-    last = max([last, *store.committed_epochs(delta_name(table))])
-    path, _ = store.write_snapshot(read_silver(store, table, last), f"silver/{table}",
-                                   observe_rows=False, tag=epoch_tag(last))
-    return path
-
-
-def vacuum_deltas(store: Store, table: str, min_age_s: float = 3600.0) -> list[int]:
-    """Delete delta epochs already folded into the current base version."""
-    folded = _folded_epoch(store.current(f"silver/{table}"))
-    return store.delete_epochs(delta_name(table), folded, min_age_s) if folded >= 0 else []
-
-
-def start_silver_stream(spark: SparkSession, store: Store, checkpoint: str,
-                        tables: list[str] | None = None, trigger: dict | None = None,
-                        max_files_per_trigger: int | None = None,
-                        mode: str = "merge_on_read"):
-    src = bronze_log_stream(spark, store, max_files_per_trigger=max_files_per_trigger)
-    if mode == "merge_on_read":
-        fn = silver_delta_writer(store, tables)
-    elif mode == "copy_on_write":
-        fn = silver_batch_merger(store, tables)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    w = (src.writeStream.foreachBatch(fn)
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"processingTime": "30 seconds"})))
-    return w.start()
+def _key() -> Column:
+    """The key of a change as text, by its table; null for an image that is no row of it."""
+    image = row_image()
+    return F.coalesce(*[F.when(F.col("cdc_table") == t, image_key(image, t)) for t in PRIMARY_KEYS])
+
+
+def newest_changes(bronze: DataFrame) -> DataFrame:
+    """The newest change of each table's keys, in the bronze columns."""
+    change = F.struct(*[c for c in BRONZE_COLUMNS if c not in ("cdc_table", "processed_at")])
+    order = F.struct("cdc_ts", "cdc_lsn", "kafka_offset")
+    return (bronze.withColumn("_key", _key()).where(F.col("_key").isNotNull())
+            .groupBy("cdc_table", "_key").agg(F.max_by(change, order).alias("_newest"))
+            .select("cdc_table", "_newest.*"))
+
+
+def state_writer(store: Store, stream: str, prefix: str = "silver/", buckets: int = BUCKETS):
+    """foreachBatch function: the batch's newest changes are written once, then merged table
+    by table; a retry repeats both with the same outcome."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.append(batch, "silver_changes", f"{stream}-{batch_id}", ["cdc_table"])
+        changes = store.spark.read.schema(batch.schema).parquet(store.path(f"silver_changes/batch={stream}-{batch_id}"))
+        for t in sorted(r[0] for r in changes.select("cdc_table").distinct().collect()):
+            rows = change_rows(changes.where(F.col("cdc_table") == t), t)
+            store.merge(rows, f"{prefix}{t}", PRIMARY_KEYS[t], buckets)
+
+    return write
 
 
+def start_state_stream(bronze: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None,
+                       prefix: str = "silver/", buckets: int = BUCKETS):
+    """Starts the stream over bronze rows (``decode`` of records, or the bronze log)."""
+    spark = store.spark
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]  # a restart goes on under its name
+    return (newest_changes(bronze).writeStream.outputMode("update")
+            .foreachBatch(state_writer(store, stream, prefix, buckets))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
