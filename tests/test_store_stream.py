@@ -147,7 +147,7 @@ def _run(spark, scratch, name, **kw):
     src = offsets.stream(spark, root, f"{scratch}/{name}-progress", **kw)
     q = src.writeStream.format("parquet").option("path", f"{scratch}/{name}-out").option(
         "checkpointLocation", f"{scratch}/{name}-ckpt").trigger(processingTime="0 seconds").start()
-    offsets.run_to_end(q, root, f"{scratch}/{name}-progress")
+    offsets.run_to_end(q, root, f"{scratch}/{name}-progress", kw.get("topics"))
     if q.exception() is not None:
         raise q.exception()
     sizes = [x["numInputRows"] for x in q.recentProgress if x["numInputRows"]]

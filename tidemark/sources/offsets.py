@@ -97,7 +97,7 @@ def run_to_end(query, root: str, progress: str, topics: list[str] | None = None)
         while True:
             query.processAllAvailable()
             noted = reader._noted() or {}
-            if all(noted.get(k, 0) >= v for k, v in ends.items()):
+            if all(noted.get(k, 0) >= v for k, v in ends.items()) or not query.isActive:
                 break
         # the last admitted batch has been planned; the next idle trigger comes after it
         query.processAllAvailable()
