@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch
 
 BLOCK = 65_536  # characters
-RESOLUTION = 1000  # slots a period of ORACLE, which rounds weights to this
 RANGE = 2048  # slots settled in a row, at least
 NEAR = 1e-12  # a quotient this near a whole number is that number
 ROWS_A_BUCKET = 2000
@@ -166,31 +165,24 @@ ORACLE = f"""
 with recursive d as (
   select doc_id, coalesce(source, '{NO_SOURCE}') as source_name, length(coalesce(text, '')) + 1 as size,
          md5(coalesce(doc_id::varchar, '')) as o, md5(coalesce(text, '')) as tie from documents),
-sizes as (select source_name, sum(size) as size from d group by 1),
-q as (select source_name, size, greatest(1, floor(sqrt(size::double) / sum(sqrt(size::double)) over ()
-      * {RESOLUTION} + 0.5))::bigint as quota from sizes),
-w as (select source_name, size, quota, sum(quota) over ()::bigint as period,
-      row_number() over (order by source_name) as k from q),
+sizes as (select source_name, sum(size)::bigint as size from d group by 1),
+w as (select source_name, (size - 1) // {BLOCK} + 1 as blocks, row_number() over (order by source_name) as k,
+        sum(sqrt(size::double)) over () / sqrt(size::double) as each from sizes),
 e(slot, pick, done) as (
   select -1::bigint, 0::bigint, list_transform(range(count(*)), lambda x: 0::bigint) from w
   union all
   select slot + 1, p, list_transform(range(len(done)), lambda i: done[i + 1] + (case when i + 1 = p then 1 else 0 end)::bigint)
   from (select e.slot, e.done, (select w.k from w
-          where (e.done[w.k] * w.period) // w.quota <= e.slot + 1
-          order by ((e.done[w.k] + 1) * w.period + w.quota - 1) // w.quota, w.k limit 1) as p
-        from e where e.slot + 1 < (select max(period) from w))),
-t as (select w.source_name, e.slot, row_number() over (partition by w.k order by e.slot) as number
-      from e join w on w.k = e.pick where e.slot >= 0),
+          where e.done[w.k] < w.blocks and floor(e.done[w.k] * w.each * (1 + {NEAR})) <= e.slot + 1
+          order by ceil((e.done[w.k] + 1) * w.each * (1 - {NEAR})), w.k limit 1) as p
+        from e where list_sum(e.done) < (select sum(blocks) from w))),
+t as (select w.source_name, w.each, e.slot, row_number() over (partition by w.k order by e.slot) - 1 as block
+      from e join w on w.k = e.pick),
 b as (select d.*, (coalesce(sum(size) over (partition by source_name order by o, doc_id nulls first, tie
-        rows between unbounded preceding and 1 preceding), 0))::bigint as start_at from d),
-c as (select b.doc_id, b.source_name, b.start_at, b.start_at // {BLOCK} as block, w.quota, w.period,
-      (select min(ceil(((w2.size - 1) // {BLOCK} + 1) * w2.period / w2.quota)) from w w2) as ends
-      from b join w using (source_name)),
-f as (select c.*, (c.block // c.quota) * c.period + t.slot as slot
-      from c join t on t.source_name = c.source_name and t.number = c.block % c.quota + 1)
-select doc_id, source_name, block::bigint as block, slot::bigint as slot,
-  row_number() over (partition by slot order by start_at)::bigint as place,
-  floor(block * period / quota)::bigint as release, ceil((block + 1) * period / quota)::bigint as deadline,
-  slot < ends as in_mix
-from f
+        rows between unbounded preceding and 1 preceding), 0))::bigint as start_at from d)
+select doc_id, source_name, block::bigint as block, slot,
+  row_number() over (partition by source_name, block order by start_at)::bigint as place,
+  floor(block * each * (1 + {NEAR}))::bigint as release, ceil((block + 1) * each * (1 - {NEAR}))::bigint as deadline,
+  slot < (select min(ceil(blocks * each * (1 - {NEAR}))) from w) as in_mix
+from (select *, start_at // {BLOCK} as block from b) join t using (source_name, block)
 """
