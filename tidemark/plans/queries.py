@@ -36,12 +36,14 @@ from tidemark.sources.feed import (FAULTS, malformed_records, snapshot_diff, sna
                                    snapshot_to_feed, to_records)
 from tidemark.sources.store import Store
 from tidemark.streaming import bronze_stream as BS
+from tidemark.streaming import lifecycle_stream as LS
 from tidemark.streaming import silver_stream as SS
 
 WALL_CLOCK = {"processed_at", "_silver_updated_at", "_deleted_at"}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ORACLE_BODIES: dict[str, str] = {}  # without the shared CTEs
 
 
 def output(df: DataFrame) -> DataFrame:
@@ -64,6 +66,7 @@ def register(name: str, oracle: str | None = None):
         QUERIES[name] = lambda spark, sf_dir: output(fn(Flow(spark, sf_dir)))
         if oracle is not None:
             ORACLE[name] = with_base(oracle)
+            ORACLE_BODIES[name] = oracle
         return fn
     return deco
 
@@ -877,3 +880,36 @@ def _stream_silver_incremental(p: Flow) -> DataFrame:
         jobs.run_bronze(store, p.records.where(late == k), partition_by=["cdc_table"])
         jobs.run_silver_incremental(store, f"{root}/checkpoint")
     return _stored_states(store)
+
+
+def _order_events(p: Flow) -> DataFrame:
+    """Lifecycle events of the orders log, landed before and after the cut, with a restart."""
+    root = _scratch(p)
+    cut = F.lit(_CUT).cast(T.TimestampType())
+    at = F.col("timestamp") - F.make_dt_interval(secs=F.lit(4))  # records arrive within four seconds
+    for part in (at < cut, at >= cut):
+        offsets.land(p.records_of("orders").where(part), f"{root}/landing")
+        src = offsets.stream(p.spark, f"{root}/landing", f"{root}/progress")
+        q = LS.order_events(B.decode(src)).writeStream.format("parquet").option("path", f"{root}/events").option(
+            "checkpointLocation", f"{root}/checkpoint").outputMode("append").trigger(processingTime="0 seconds").start()
+        offsets.run_to_end(q, f"{root}/landing", f"{root}/progress")
+    return p.spark.read.schema(LS.OUTPUT).parquet(f"{root}/events")
+
+
+@register("stream_draft_expiry", ORACLE_BODIES["expired_drafts"])
+def _stream_draft_expiry(p: Flow) -> DataFrame:
+    """Drafts that expired as the stream's event time passed, before a fixed time, and were not
+    withdrawn by a later change (Q6)."""
+    events = _order_events(p)
+    as_of = F.unix_millis(F.lit(_AS_OF).cast(T.TimestampType()))
+    expired = events.where((F.col("event") == "expired") & (F.col("at_ms") < as_of))
+    back = events.where("event = 'withdrawn'").select("order_id").distinct()
+    return expired.join(back, "order_id", "left_anti").select("order_id", "customer_id", "order_date")
+
+
+@register("stream_illegal_transitions", f"""
+    SELECT from_status, to_status, n_transitions FROM ({ORACLE_BODIES["status_transition_audit"]}) WHERE NOT is_legal""")
+def _stream_illegal_transitions(p: Flow) -> DataFrame:
+    """Illegal status changes, each reported once as it occurred (Q8)."""
+    return _order_events(p).where("event = 'illegal'").groupBy("from_status", "to_status").agg(
+        F.count("*").alias("n_transitions"))
