@@ -35,6 +35,7 @@ from tidemark.sources import offsets
 from tidemark.sources.feed import (FAULTS, malformed_records, snapshot_diff, snapshot_diff_digests,
                                    snapshot_to_feed, to_records)
 from tidemark.sources.store import Store
+from tidemark.streaming import audit_stream as AS
 from tidemark.streaming import bronze_stream as BS
 from tidemark.streaming import lifecycle_stream as LS
 from tidemark.streaming import silver_stream as SS
@@ -913,3 +914,23 @@ def _stream_illegal_transitions(p: Flow) -> DataFrame:
     """Illegal status changes, each reported once as it occurred (Q8)."""
     return _order_events(p).where("event = 'illegal'").groupBy("from_status", "to_status").agg(
         F.count("*").alias("n_transitions"))
+
+
+@register("stream_audit", """
+    SELECT g.*, n_late FROM gold_cdc_audit g JOIN (
+      SELECT table_name AS source_table, op, event_ts::DATE AS event_day, COUNT(*) FILTER (WHERE kafka_offset % 7 = 0) AS n_late
+      FROM all_changes GROUP BY ALL) l
+    ON g.source_table = l.source_table AND g.event_day = l.event_day
+       AND g.operation = CASE l.op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'READ' END""")
+def _stream_audit(p: Flow) -> DataFrame:
+    """The audit from a stream that publishes each day once; the records of the second landing
+    come after their days were closed and are counted as late (C10, G6)."""
+    root = _scratch(p)
+    late = F.col("offset") % 7 == 0
+    for part in (~late, late):
+        offsets.land(p.records.where(part), f"{root}/landing")
+        src = offsets.stream(p.spark, f"{root}/landing", f"{root}/progress")
+        q = AS.audit_events(B.decode(src)).writeStream.format("parquet").option("path", f"{root}/audit").option(
+            "checkpointLocation", f"{root}/checkpoint").outputMode("append").trigger(processingTime="0 seconds").start()
+        offsets.run_to_end(q, f"{root}/landing", f"{root}/progress")
+    return AS.audit(p.spark.read.schema(AS.OUTPUT).parquet(f"{root}/audit"))

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import sys
+import time
 import uuid
 
 from pyspark import cloudpickle
@@ -99,9 +100,12 @@ def run_to_end(query, root: str, progress: str, topics: list[str] | None = None)
             noted = reader._noted() or {}
             if all(noted.get(k, 0) >= v for k, v in ends.items()) or not query.isActive:
                 break
-        # the last admitted batch has been planned; the next idle trigger comes after it
-        query.processAllAvailable()
-        query.processAllAvailable()
+        # the last batch and, after it, those without data that only move timers on
+        quiet = 0
+        while quiet < 8 and query.isActive:
+            now = query.status["message"]
+            quiet = 0 if now.startswith(("Processing new data", "No new data but")) else quiet + ("Waiting" in now)
+            time.sleep(0.05)
     finally:
         query.stop()
 

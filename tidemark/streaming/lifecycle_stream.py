@@ -7,7 +7,7 @@ an expired order, it is reported as ``withdrawn``.  A status that the lifecycle
 after the one before is reported once, as ``illegal``.
 
 Event time drives it, so results do not depend on when the stream runs, as long as changes
-arrive within the watermark's ``delay`` (older ones are late and dropped by Spark).
+arrive within the watermark's ``delay`` (Spark drops rows at or before the watermark as late).
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def legal_pairs() -> set[tuple[str, str]]:
     return {(s, s) for s in known} | set(NEXT_STATUS.items()) | {(s, "cancelled") for s in CANCELLABLE_FROM}
 
 
-def order_events(bronze: DataFrame, delay: str = "0 seconds") -> DataFrame:
+def order_events(bronze: DataFrame, delay: str = "1 minute") -> DataFrame:
     """Lifecycle events of a stream of bronze rows."""
     bronze.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # the process that plans a stateful processor does not see the session's archives
