@@ -39,8 +39,8 @@ def test_cli_bronze_arguments():
     assert args.starting_offsets == "latest" and args.max_per_trigger == 100000
     assert args.partition_by.split(",") == ["cdc_table", "event_month"]
     assert cli._tables("all") == cli.TABLES
-    s = cli._parser().parse_args(["silver", "--root", "/r", "--incremental", "--compact"])
-    assert s.incremental and s.compact and s.table == "all"
+    s = cli._parser().parse_args(["silver", "--root", "/r", "--incremental", "--checkpoint", "/s"])
+    assert s.incremental and s.checkpoint == "/s" and s.table == "all"
 
 
 def test_gold_star_join_splits_a_hot_order(spark):
