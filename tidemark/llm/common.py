@@ -43,6 +43,10 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def together(self, tables: list[DataFrame]) -> DataFrame:
+        """Written tables of one schema as one scan, so plans do not grow with their number."""
+        return self.spark.read.schema(tables[0].schema).parquet(*(t._scratch_path for t in tables))
+
     def drop(self, *tables: DataFrame | None) -> None:
         """Deletes written tables that nothing will read again."""
         for df in tables:
@@ -330,6 +334,7 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
     open_ = shared.withColumn("label", F.col("id"))
     first = F.struct(rank(F.col("aux")).alias("rank"), "id")
     seen = label = None
+    stars: list[DataFrame] = []
     left = None
     while True:
         hubs = scratch.write(
@@ -340,7 +345,8 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
                 .select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct())
         star = scratch.write(star if seen is None else star.join(seen, ["a", "b"], "left_anti"), "star")
         found = scratch.write(verify(star), "star-links")
-        seen = star if seen is None else seen.unionByName(star)
+        stars.append(star)
+        seen = scratch.together(stars)
         earlier, label = label, components(scratch, found, label)
         scratch.drop(earlier, found)
         now = scratch.write(member.select("key", "id", "aux").join(label, "id", "left")

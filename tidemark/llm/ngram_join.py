@@ -220,15 +220,13 @@ def _verifier(scratch: Scratch, docs: DataFrame, classes: DataFrame):
         pairs = scratch.write(
             both(pairs, size, ["n", "h"]).mapInArrow(_possible, "a long, b long"), "possible")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        for known in tokens:
-            ids = ids.join(known.select("id"), "id", "left_anti")
+        if tokens:
+            ids = ids.join(scratch.together(tokens).select("id"), "id", "left_anti")
         want = scratch.write(classes.join(ids, "id", "left_semi").select("id", "doc_id"), "wanted")
         tokens.append(scratch.write(
             docs.join(want, "doc_id").select("id", "text").mapInArrow(_token_blobs, "id long, tokens binary"),
             "tokens"))
-        every = tokens[0]
-        for more in tokens[1:]:
-            every = every.unionByName(more)
+        every = scratch.together(tokens)
         return both(pairs, every, ["tokens"]).mapInArrow(_overlaps, "a long, b long").distinct()
     return verify
 
