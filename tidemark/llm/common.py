@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,26 @@ class Scratch:
             self.spark._jvm.System.gc()
 
 
+def set_aside(docs: DataFrame, used: list[str], added=()) -> tuple[DataFrame, list]:
+    """``docs`` with the ``used`` columns as they are and all others under names that no step
+    uses, and the columns that give all back in their order.  One that has the name of an
+    ``added`` column comes back as ``input_<name>``."""
+    taken = {c.lower() for c in [*docs.columns, *added]}
+    here, back = [], []
+    for k, c in enumerate(docs.columns):
+        if c in used:
+            here.append(F.col(c))
+            back.append(F.col(c))
+            continue
+        name = c
+        while name.lower() in {x.lower() for x in added} or (name != c and name.lower() in taken):
+            name = f"input_{name}"
+        quoted = c.replace("`", "``")
+        here.append(F.col(f"`{quoted}`").alias(f"_carried_{k}"))
+        back.append(F.col(f"_carried_{k}").alias(name))
+    return docs.select(*here), back
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches by bytes as well as rows: texts may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
@@ -278,15 +299,16 @@ def shared_keys(source: DataFrame, emit, shards: int) -> DataFrame:
             yield from flush()
 
     def gather(batches):
-        held = []
-        for batch in batches:
-            for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for _, rows in shard_groups(batches):
+            held = []
+            for kind, blob in rows:
                 key, id_, aux, more = _unpack(blob.as_buffer())
-                if kind:
+                if kind.as_py():
                     yield _rows(key, id_, aux)
                 else:
                     held.append((key.copy(), id_.copy(), aux.copy(), more.copy()))
-        if held:
+            if not held:
+                continue
             key, id_, aux, more = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order = np.lexsort((id_, key))
@@ -303,8 +325,7 @@ def shared_keys(source: DataFrame, emit, shards: int) -> DataFrame:
             for a in range(0, len(key), 100_000):
                 yield _rows(key[a:a + 100_000], id_[a:a + 100_000], aux[a:a + 100_000])
 
-    dealt = source.mapInArrow(out, "shard int, kind int, blob binary").repartition(
-        shards_to_tasks(source.sparkSession, shards), "shard")
+    dealt = source.mapInArrow(out, "shard int, kind int, blob binary").transform(by_shard, shards)
     return dealt.mapInArrow(gather, SHARED)
 
 
@@ -313,6 +334,21 @@ def _rows(key, id_, aux) -> pa.RecordBatch:
         [pa.array(x, pa.int64()) for x in (key, id_, aux)], ["key", "id", "aux"])
 
 
+def by_shard(rows: DataFrame, shards: int) -> DataFrame:
+    """``rows`` (shard, ...) dealt by shard and in its order, so a task that gets several
+    shards holds one of them at a time (``shard_groups``)."""
+    return rows.repartition(shards_to_tasks(rows.sparkSession, shards), "shard").sortWithinPartitions("shard")
+
+
+def shard_groups(batches):
+    """(shard, iterator of its rows' other columns) of batches in the order of their first
+    column."""
+    rows = (row for batch in batches for row in zip(
+        batch.column(0).to_pylist(), *batch.columns[1:], strict=True))
+    for shard, group in groupby(rows, key=lambda row: row[0]):
+        yield shard, (row[1:] for row in group)
+
+
 def shards_to_tasks(spark: SparkSession, shards: int) -> int:
     return max(1, min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 

@@ -8,11 +8,13 @@ codes meet in a table if their blocks differ in at most two bits; codes within 2
 bits always meet.  Pairs within ``HAMMING`` bits are reranked by the cosine of the
 original vectors in double precision.
 
-Edge cases: vectors that are null, zero, of another length than most, or hold null or
-non-finite components link with nothing; equal vectors are one class and link with each
-other; rows that repeat a vec_id are vectors of their own with the same number; a null
-vec_id keeps its row and links with nothing; an empty table gives an empty result;
-further columns (labels) are ignored.
+Vectors of each length that occurs have rotations and tables of their own (a pass a length).
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components link with
+nothing, and vectors of different lengths not with each other; equal vectors are one class
+and link with each other; rows that repeat a vec_id are vectors of their own with the same
+number; a null vec_id keeps its row and links with nothing; a cosine of exactly 0.9 links; an
+empty table gives an empty result; further columns (labels) are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, bounded_batches, components, mix, shards_to_tasks
+from tidemark.llm.common import (
+    Scratch, bounded_batches, by_shard, components, mix, shard_groups, shards_to_tasks,
+)
 
 COSINE = 0.9
 SAMPLE = 20_000  # vectors that the rotation is learned on, at most
@@ -36,17 +40,16 @@ KEYS_PER_SHARD = 300_000
 UNIT = 1024  # members of a cell that are compared at once
 
 
-def _vectors(batch: pa.RecordBatch, column: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that hold a usable vector, and these vectors in double precision."""
+def _vectors(batch: pa.RecordBatch, column: int):
+    """For each length: rows that hold a usable vector, and these vectors in double precision."""
     col = batch.column(column)
-    lengths = np.array([-1 if v is None else v for v in pc.list_value_length(col).to_pylist()])
-    rows = np.flatnonzero(lengths == dim)
-    if not len(rows) or not dim:
-        return rows[:0], np.zeros((0, dim))
-    flat = pc.list_flatten(col.take(pa.array(rows)))
-    v = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-    good = np.isfinite(v).all(axis=1) & (np.abs(v).max(axis=1) > 0)
-    return rows[good], v[good]
+    lengths = pc.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+    for dim in np.unique(lengths[lengths > 0]).tolist():
+        rows = np.flatnonzero(lengths == dim)
+        flat = pc.list_flatten(col.take(pa.array(rows)))
+        v = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+        good = np.isfinite(v).all(axis=1) & (np.abs(v).max(axis=1) > 0)
+        yield rows[good], v[good]
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -54,16 +57,15 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _classes(dim: int):
-    def run(batches):
-        for batch in batches:
-            rows, v = _vectors(batch, 1, dim)
+def _classes(batches):
+    for batch in batches:
+        for rows, v in _vectors(batch, 1):
             d = np.frombuffer(b"".join(hashlib.blake2b(x.tobytes(), digest_size=8).digest() for x in v + 0.0),
                               np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(d), pa.array([x.tobytes() for x in v], pa.binary())],
-                ["vec_id", "id", "v"])
-    return run
+                [batch.column(0).take(pa.array(rows)), pa.array(d), pa.array(np.full(len(rows), v.shape[1], np.int32)),
+                 pa.array([x.tobytes() for x in v], pa.binary())],
+                ["vec_id", "id", "dim", "v"])
 
 
 def learn_rotation(sample: np.ndarray, start: int = 0, bits: int = BITS, rounds: int = 50) -> np.ndarray:
@@ -126,14 +128,16 @@ def _cells(projection, shards: int, dim: int):
 def _units(batches):
     """The members of each cell in units of bounded size, each two of which are compared
     by a task of its own; small cells travel together."""
+    for _, rows in shard_groups(batches):
+        yield from _shard_units(rows)
+
+
+def _shard_units(rows):
     held = []
-    for batch in batches:
-        for row in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True):
-            held.append([np.frombuffer(x.as_buffer(), t).copy()
-                         for x, t in zip(row, (np.uint32, np.int64, np.uint64), strict=True)])
-            held[-1][2] = held[-1][2].reshape(-1, ROTATIONS)
-    if not held:
-        return
+    for row in rows:
+        held.append([np.frombuffer(x.as_buffer(), t).copy()
+                     for x, t in zip(row, (np.uint32, np.int64, np.uint64), strict=True)])
+        held[-1][2] = held[-1][2].reshape(-1, ROTATIONS)
     key, id_, code = (np.concatenate(x) for x in zip(*held, strict=True))
     held.clear()
     order = np.lexsort((id_, key))
@@ -245,7 +249,7 @@ def near_links(scratch: Scratch, classes: DataFrame, dim: int) -> DataFrame:
     tasks = shards_to_tasks(spark, shards)
     near = scratch.write(
         classes.select("id", "v").mapInArrow(_cells(projection, shards, dim), "shard int, key binary, id binary, code binary")
-        .repartition(tasks, "shard")
+        .transform(by_shard, shards)
         .mapInArrow(_units, "kind int, key binary, id_a binary, code_a binary, id_b binary, code_b binary")
         .repartition(2 * tasks).mapInArrow(_pairs, "a long, b long"), "near")
     x = classes.select(F.col("id").alias("a"), F.col("v").alias("x"))
@@ -260,13 +264,12 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     bounded_batches(spark)
     scratch = Scratch(spark, "embeddings")
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    most = (vectors.where("embedding is not null").groupBy(F.size("embedding").alias("d")).count()
-            .orderBy(F.desc("count"), "d").limit(1).collect())
-    dim = most[0]["d"] if most else 0
-    rows = scratch.write(vectors.where("vec_id is not null").mapInArrow(_classes(dim), "vec_id long, id long, v binary"), "rows")
+    rows = scratch.write(
+        vectors.where("vec_id is not null").mapInArrow(_classes, "vec_id long, id long, dim int, v binary"), "rows")
     classes = scratch.write(rows.groupBy("id").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"),
-                                                   F.max("v").alias("v")), "classes")
-    links = near_links(scratch, classes, dim)
+                                                   F.max("dim").alias("dim"), F.max("v").alias("v")), "classes")
+    dims = [r["dim"] for r in classes.groupBy("dim").count().where("count > 1").orderBy("dim").collect()]
+    links = scratch.together([near_links(scratch, classes.where(F.col("dim") == d), d) for d in dims or [1]])
     both = links.select("a", "b").union(links.select("b", "a")).toDF("id", "other")
     size = classes.select(F.col("id").alias("other"), "n")
     degree = scratch.write(both.join(size, "other").groupBy("id").agg(F.sum("n").alias("others")), "degrees")

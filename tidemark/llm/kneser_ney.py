@@ -15,8 +15,10 @@ An unseen context gives p(w).  The start of a text is a context of its own.
 
 Edge cases: null or empty text is the end token alone; a null doc_id counts as training
 and keeps its row; repeated rows are each counted and scored; an empty training set gives
-p = 1 / (V + 1) = 1; further columns are ignored.  The shared folder must be a path that
-workers can open (a mounted file system); another scheme raises ValueError.
+p = 1 / (V + 1) = 1; further columns are ignored, whatever their names; very long texts are
+read whole, a bounded run of rows at a time; ties of counts do not matter.  The shared folder
+must be a path that workers can open (a mounted file system); another scheme raises
+ValueError, as do more than ``MOST_WORDS`` distinct words (two numbers share a 64-bit key).
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Scratch, bounded_batches, mix, shards_to_tasks, slices, text_rows, utf8, words,
+    Scratch, bounded_batches, by_shard, mix, shard_groups, shards_to_tasks, slices, text_rows, utf8, words,
 )
 
 FOLDS, HELD_OUT = 5, 1
@@ -38,6 +40,7 @@ TOKENS_A_FLUSH = 2_000_000
 END = np.uint64(0x7C3A9E5D10F2B684)  # the end token's hash
 SPLIT = np.uint64(4)  # parts of a context, so that a frequent word's followers spread
 WORDS_A_SHARD, BIGRAMS_A_SHARD = 250_000, 600_000
+MOST_WORDS = (1 << 32) - 2  # the start of a text has a number too
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -140,6 +143,27 @@ def _bigram_shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mix((k >> np.uint64(32)) * SPLIT + (k % SPLIT)) % np.uint64(shards)).astype(np.int64)
 
 
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits if all fit, else in 64."""
+    return n.astype(np.uint32) if n.max(initial=0) < 1 << 32 else n.astype(np.int64)
+
+
+def _key(before: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Two word numbers of 32 bits each, unsigned, as one."""
+    return ((before.astype(np.uint64) << np.uint64(32)) | number.astype(np.uint64)).view(np.int64)
+
+
+def _two(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    k = key.view(np.uint64)
+    return (k >> np.uint64(32)).astype(np.int64), (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _sums(back: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of n by back (0 to its maximum), in whole numbers."""
+    order = np.argsort(back, kind="stable")
+    return np.add.reduceat(n[order].astype(np.int64), np.searchsorted(back[order], np.arange(back.max() + 1)))
+
+
 def _tokens(data, off):
     """Token hashes with the end of each row, and the rows' offsets."""
     h, _, _, w = words(data, off)
@@ -153,7 +177,7 @@ def _count_words(batches):
         key = np.concatenate([k for k, _ in held])
         n = np.concatenate([c for _, c in held])
         key, back = np.unique(key, return_inverse=True)
-        n = np.bincount(back, weights=n).astype(np.int64)
+        n = _sums(back, n)
         for a in range(0, len(key), 100_000):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[a:a + 100_000].view(np.int64)), pa.array(n[a:a + 100_000])], ["word", "n"])
@@ -183,7 +207,7 @@ def _store_words(folder: str, shards: int):
         of = _shard_of(word, shards)
         for s in np.unique(of):
             _save(folder, f"words-{s}", word[of == s])
-            _save(folder, f"counts-{s}", n[of == s].astype(np.uint32 if n.max() < 1 << 32 else np.int64))
+            _save(folder, f"counts-{s}", _narrow(n[of == s]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(s)], pa.int32()), pa.array([int((of == s).sum())], pa.int64())], ["shard", "n"])
     return run
@@ -214,20 +238,20 @@ def _count_bigrams(folder: str, bases: np.ndarray, shards: int):
             key = np.concatenate([k for k, _ in held])
             n = np.concatenate([c for _, c in held])
             key, back = np.unique(key, return_inverse=True)
-            n = np.bincount(back, weights=n).astype(np.int64)
+            n = _sums(back, n)
             shard = _bigram_shard(key, shards)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
+            for s in np.flatnonzero(np.diff(cut)).tolist():
                 mine = order[cut[s]:cut[s + 1]]
                 if len(mine):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([s], pa.int32()), pa.array([key[mine].tobytes()], pa.binary()),
-                         pa.array([n[mine].astype(np.uint32).tobytes()], pa.binary())], ["shard", "keys", "n"])
+                         pa.array([_narrow(n[mine]).tobytes()], pa.binary())], ["shard", "keys", "n"])
 
         for _, _, _, data, off in text_rows(batches):
             number, _, at = _numbered(model, data, off)
-            key, n = np.unique((_pairs(number, at, bases[-1]) << 32) | number, return_counts=True)
+            key, n = np.unique(_key(_pairs(number, at, bases[-1]), number), return_counts=True)
             held.append((key, n))
             size += len(key)
             if size >= TOKENS_A_FLUSH:
@@ -240,23 +264,21 @@ def _count_bigrams(folder: str, bases: np.ndarray, shards: int):
 
 def _store_bigrams(folder: str):
     def run(batches):
-        held: dict[int, list] = {}
-        for batch in batches:
-            for s, k, n in zip(*(batch.column(c) for c in range(3)), strict=True):
-                held.setdefault(s.as_py(), []).append(
-                    (np.frombuffer(k.as_buffer(), np.int64).copy(),
-                     np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64)))
-        for s in sorted(held):
-            parts = held.pop(s)
+        for s, rows in shard_groups(batches):
+            parts = []
+            for k, n in rows:
+                k = np.frombuffer(k.as_buffer(), np.int64).copy()
+                n = np.frombuffer(n.as_buffer(), np.uint8)
+                parts.append((k, n.view(np.uint32 if len(n) == 4 * len(k) else np.int64).astype(np.int64)))
             key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+            n = _sums(back, np.concatenate([c for _, c in parts]))
             _save(folder, f"once-{s}", key[n == 1])
             _save(folder, f"more-{s}", key[n > 1])
-            _save(folder, f"times-{s}", n[n > 1].astype(np.uint32))
-            left, back = np.unique(key >> 32, return_inverse=True)
-            sums = [np.bincount(back, weights=x).astype(np.int64) for x in (n, n == 1, n == 2, n > 2)]
-            yield _figure_rows(0, left, *sums)
-            right, times = np.unique(key & 0xFFFFFFFF, return_counts=True)
+            _save(folder, f"times-{s}", _narrow(n[n > 1]))
+            left, right = _two(key)
+            left, back = np.unique(left, return_inverse=True)
+            yield _figure_rows(0, left, *(_sums(back, x) for x in (n, n == 1, n == 2, n > 2)))
+            right, times = np.unique(right, return_counts=True)
             zero = np.zeros(len(right), np.int64)
             yield _figure_rows(1, right, times, zero, zero, zero)
             yield _figure_rows(2, np.arange(1, 5), *(np.array([int((n == c).sum()) for c in range(1, 5)])
@@ -326,7 +348,7 @@ def _score(folder, bases, shards, d2, freed, total, vocabulary):
                     c_total, mass = (x[back] for x in model.figures(ids)[:2])
                     p[seen] *= np.where(c_total > 0, mass, 1.0)
                     both = known & seen
-                    key, back = np.unique((before[both] << 32) | number[both], return_inverse=True)
+                    key, back = np.unique(_key(before[both], number[both]), return_inverse=True)
                     c = model.bigrams(key, shards)[back]
                     p[both] += _discounted(c, d2) / np.maximum(c_total[known[seen]], 1)
                 ends = at[:-1]
@@ -353,6 +375,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     vocab = scratch.write(train.mapInArrow(_count_words, "word long, n long")
                           .groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     size, total = vocab.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if size > MOST_WORDS:
+        raise ValueError(f"{size} distinct words, more than {MOST_WORDS}")
     parts = 1 << max(2, (size // WORDS_A_SHARD).bit_length())
     top = F.shiftrightunsigned("word", 64 - (parts.bit_length() - 1)).cast("int")
     stored = (vocab.withColumn("shard", top).repartition(shards_to_tasks(spark, parts), "shard")
@@ -365,7 +389,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     shards = max(16, int(total // BIGRAMS_A_SHARD))
     sums = scratch.write(
         train.mapInArrow(_count_bigrams(folder, bases, shards), "shard int, keys binary, n binary")
-        .repartition(shards_to_tasks(spark, shards), "shard")
+        .transform(by_shard, shards)
         .mapInArrow(_store_bigrams(folder), "kind int, id long, a long, b long, c long, d long")
         .groupBy("kind", "id").agg(*(F.sum(c).alias(c) for c in "abcd")), "figures")
     d2 = discounts({r["id"]: r["a"] for r in sums.where("kind = 2").collect()})

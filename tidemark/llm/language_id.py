@@ -4,21 +4,24 @@ A text is the set of n-grams (1 to 4 bytes, blended) of its normal form: lower c
 letters only, words framed by one space.  The kernel of two texts is the number of n-grams
 that both hold, over the geometric mean of their set sizes (presence, not counts).
 Nystroem landmarks span its feature space; one-versus-rest kernel ridge regression is
-fitted on them from a bounded sample of labelled rows (``TRAIN_A_LANGUAGE`` documents a
-language at most, whole texts), chosen by a hash of doc_id outside the held-out fold.
+fitted on them from a bounded sample of labelled rows (about ``TRAIN_A_LANGUAGE`` documents
+a language, twice that at most), chosen by a hash of doc_id and text outside the held-out
+fold.  Whole texts are turned into presence bits in tasks; only those (``CELLS`` / 8 bytes a
+document) reach the driver.
 Every text is scored whole: presence rows times the landmark matrix, times the weights.
 
 N-grams are hashed to ``CELLS`` cells.  The score is the softmax of the regression values.
 
-Edge cases: null text or one without letters is ``und`` with score 0; ties go to the
-language that sorts first; without labelled rows every text is ``und``; a null doc_id is
-training material for nothing but is predicted; repeated rows get equal predictions.
+Edge cases: null text or one without letters (marks, digits and signs are none) is ``und``
+with score 0; ties go to the language that sorts first; without labelled rows every text is
+``und``; a null doc_id is training material for nothing but is predicted; rows that repeat
+doc_id, text and lang count once in training and get equal predictions; very long texts are
+read whole, in bounded batches; an empty table gives an empty result; ``identify`` ignores
+further columns, ``keep_identified`` carries them along, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -63,24 +66,36 @@ def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Presence rows over the cells, scaled to unit length, and which texts have letters."""
     data, off = utf8(normal_forms(texts))
     rows = np.zeros((len(texts), CELLS), dtype=np.float32)
-    letters = np.zeros(len(texts), dtype=bool)
+    letters = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
     for k in range(len(texts)):
-        part = data[off[k]:off[k + 1]]
-        letters[k] = bool((part != 0x20).any())
         if letters[k]:
-            held = cells(part)
+            held = cells(data[off[k]:off[k + 1]])
             rows[k, held] = 1.0 / np.sqrt(len(held))
     return rows, letters
 
 
-def fit(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, landmark matrix, weights) from labelled texts."""
+def _features(batches):
+    """doc_id, lang, text -> doc_id, lang, presence bits of the texts with letters."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, BATCH):
+            part = batch.slice(a, BATCH)
+            rows, letters = presence(part.column(2))
+            pick = pa.array(np.flatnonzero(letters))
+            bits = np.packbits(rows[letters] > 0, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pick), part.column(1).take(pick), pa.array([x.tobytes() for x in bits], pa.binary())],
+                ["doc_id", "lang", "bits"])
+
+
+def fit(bits: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, landmark matrix, weights) from labelled presence bits."""
     names = sorted(set(langs))
     if not names:
         return [], np.zeros((CELLS, 0), np.float32), np.zeros((0, 0), np.float32)
-    rows = np.concatenate([presence(pa.array(texts[a:a + BATCH]))[0] for a in range(0, len(texts), BATCH)])
+    rows = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).astype(np.float32)
+    rows /= np.sqrt(rows.sum(axis=1, keepdims=True))
     target = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    pick = np.unique(np.linspace(0, len(texts) - 1, min(LANDMARKS, len(texts))).astype(int))
+    pick = np.unique(np.linspace(0, len(rows) - 1, min(LANDMARKS, len(rows))).astype(int))
     landmarks = rows[pick].T.copy()
     inner = (rows[pick] @ landmarks).astype(np.float64)
     value, vector = np.linalg.eigh(inner)
@@ -90,7 +105,7 @@ def fit(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray, np.n
     # languages weigh the same whatever their share of the sample
     share = np.array([1.0 / langs.count(x) for x in langs])
     share = share / share.mean()
-    gram = feature.T @ (feature * share[:, None]) + RIDGE * len(texts) * np.eye(feature.shape[1])
+    gram = feature.T @ (feature * share[:, None]) + RIDGE * len(rows) * np.eye(feature.shape[1])
     beta = np.linalg.solve(gram, feature.T @ (target * share[:, None]))
     return names, landmarks, (root @ beta).astype(np.float32)
 
@@ -125,18 +140,19 @@ def _fold():
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The model from a bounded sample of the labelled rows outside the held-out fold."""
     ready = docs.where((_fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    count = {r["lang"]: r["count"] for r in ready.groupBy("lang").count().collect()}
+    own = F.xxhash64("doc_id", "text", F.lit("language"))
+    count = {r["lang"]: r["n"] for r in ready.groupBy("lang").agg(F.approx_count_distinct(own).alias("n")).collect()}
     if not count:
         return fit([], [])
-    # by a hash of doc_id against each language's rate, so no group is gathered
+    # by a hash of the row against each language's rate, so no group is gathered and copies count once
     rate = F.create_map(*(x for k, n in count.items()
-                          for x in (F.lit(k), F.lit(min(1.0, TRAIN_A_LANGUAGE / n)))))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    rows = ready.where(place < rate[F.col("lang")]).select("doc_id", "text", "lang").limit(
-        2 * TRAIN_A_LANGUAGE * len(count)).collect()
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["text"]))
-    rows = [r for r in rows if re.search(r"[^\W\d_]", r["text"])]
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+                          for x in (F.lit(k), F.lit(min(1.0, TRAIN_A_LANGUAGE / max(n, 1))))))
+    place = F.pmod(own, F.lit(1 << 30)) / float(1 << 30)
+    rows = (ready.where(place < rate[F.col("lang")]).select("doc_id", "lang", "text")
+            .mapInArrow(_features, "doc_id long, lang string, bits binary").distinct()
+            .limit(2 * TRAIN_A_LANGUAGE * len(count)).collect())
+    rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["bits"]))
+    return fit([bytes(r["bits"]) for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -153,7 +169,7 @@ def keep_identified(docs: DataFrame, least_score: float) -> DataFrame:
     """The rows of ``docs`` whose language is told with ``least_score`` or more."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    model = spark.sparkContext.broadcast(train(docs))
+    model = spark.sparkContext.broadcast(train(docs.withColumn("doc_id", F.col("doc_id").cast("long"))))
     at = docs.columns.index("text")
 
     def run(batches):

@@ -17,9 +17,12 @@ mix is exact.  Default weights are the square roots of the sources' sizes (tempe
 A source of no weight has no part in the mix: its blocks follow after all others, without
 release and deadline.
 
-Edge cases: null source is a source of its own; null text has one character's weight, as
-an empty one; rows that repeat a doc_id are ordered by their text's hash; null doc_id rows
-come first; an empty table gives an empty result; further columns are carried along.
+Edge cases: null source is a source of its own, named "(none)" (a source whose name begins so
+gets a dot at its end); null text has one character's weight, as an empty one, and a very long
+one fills the slots of the blocks that it covers; rows that repeat a doc_id are ordered by
+their text's hash; null doc_id rows come in their hash's place; equal deadlines go by source
+name; an empty table gives an empty result; further columns are carried along, one with the
+name of an added column as ``input_<name>``.
 """
 
 from __future__ import annotations
@@ -27,13 +30,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, set_aside
 
 BLOCK = 65_536  # characters
 RANGE = 2048  # slots settled in a row, at least
 NEAR = 1e-12  # a quotient this near a whole number is that number
 ROWS_A_BUCKET = 2000
 NO_SOURCE = "(none)"
+ADDED = ["source_name", "block", "slot", "place", "release", "deadline", "in_mix"]
+
+
+def _source() -> Column:
+    s = F.col("source").cast("string")
+    return F.when(s.startswith(NO_SOURCE), F.concat(s, F.lit("."))).otherwise(F.coalesce(s, F.lit(NO_SOURCE)))
 
 
 def _order() -> Column:
@@ -105,10 +114,21 @@ def schedule(quota: DataFrame) -> DataFrame:
                        F.lit(-1).cast("long").alias("block"))
     gone = F.get(F.col("events"), 0)["release"] - (F.col("range") - 1) * span
     left = F.greatest(F.lit(0), F.coalesce("waiting", F.lit(0)) - gone).cast("int")
+    none = F.expr("cast(array() as array<struct<source:string,block:bigint,deadline:bigint,slot:bigint>>)")
     start = F.struct(
         F.array_repeat(someone, left).cast("array<struct<deadline:bigint,source:string,block:bigint>>").alias("queue"),
-        F.expr("cast(array() as array<struct<source:string,block:bigint,deadline:bigint,slot:bigint>>)").alias("out"))
-    out = F.aggregate(F.sequence(F.lit(0), F.size("events") - 1), start, step)["out"]
+        none.alias("out"))
+    # each step copies its output, so that is gathered for about sqrt(events) steps at a time
+    size = F.size("events")
+    run = F.ceil(F.sqrt(size)).cast("int")
+
+    def steps(state, k):
+        few = F.aggregate(F.sequence(k * run, F.least((k + 1) * run, size) - 1),
+                          F.struct(state["queue"].alias("queue"), none.alias("out")), step)
+        return F.get(F.transform(F.array(few), lambda x: F.struct(
+            x["queue"].alias("queue"), F.concat(state["out"], x["out"]).alias("out"))), 0)
+
+    out = F.aggregate(F.sequence(F.lit(0), F.floor((size - 1) / run).cast("int")), start, steps)["out"]
     rows = events.select("range", F.explode(out).alias("x")).select("range", "x.*")
     rows = rows.where(F.floor((F.col("deadline") - 1) / span) == F.col("range"))
     return rows.drop("range", "deadline").join(blocks, ["source", "block"]).select(
@@ -121,8 +141,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     (slot, place) orders the mixed corpus.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    columns = docs.columns
-    docs = docs.withColumn("_source", F.coalesce("source", F.lit(NO_SOURCE)))
+    docs, columns = set_aside(docs, ["doc_id", "text", "source"], ADDED)
+    docs = docs.withColumn("_source", _source())
     docs = docs.withColumn("_size", F.length(F.coalesce("text", F.lit(""))).cast("long") + 1)
     docs = docs.withColumn("_order", _order()).withColumn("_tie", F.md5(F.coalesce("text", F.lit(""))))
     # ranges of the hash, so a source that holds a third of the rows is many tasks
@@ -163,7 +183,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
 
 ORACLE = f"""
 with recursive d as (
-  select doc_id, coalesce(source, '{NO_SOURCE}') as source_name, length(coalesce(text, '')) + 1 as size,
+  select doc_id, case when starts_with(source, '{NO_SOURCE}') then source || '.' else coalesce(source, '{NO_SOURCE}') end
+           as source_name, length(coalesce(text, '')) + 1 as size,
          md5(coalesce(doc_id::varchar, '')) as o, md5(coalesce(text, '')) as tie from documents),
 sizes as (select source_name, sum(size)::bigint as size from d group by 1),
 w as (select source_name, (size - 1) // {BLOCK} + 1 as blocks, row_number() over (order by source_name) as k,

@@ -297,8 +297,10 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame
     scratch = Scratch(spark, "packing")
     pieces = scratch.write(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(_pieces(tokenizer, sequence), PIECES), "pieces")
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(_buckets(pieces)))
+        .mapInArrow(_pieces(tokenizer, sequence), PIECES)
+        .withColumn("deal", (F.rand(11) * (1 << 30)).cast("int")), "pieces")
+    # written with the pieces, so rows that are all equal are many buckets too
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "deal"), F.lit(_buckets(pieces)))
     pieces = pieces.withColumn("bucket", bucket)
     cells = scratch.write(pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")), "cells")
     histogram = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
