@@ -24,6 +24,7 @@ further columns of the input are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Scratch, bounded_batches, link_groups, mix, shared_keys, shingle_sets, text_rows,
+    Scratch, bounded_batches, link_groups, mix, shard_groups, shared_keys, shingle_sets, text_rows,
 )
 
 WORDS = 5
 PERCENT = 80
 CELLS = 1 << 17  # of each of the sketch's rows
 ROWS = 3
+PART = 1 << 13  # cells of the sketch that a task sends as one row
 LEAST_FREQUENT = 32
 MOST_FREQUENT = 1 << 22  # bound on the number of frequent tokens, whatever the input
 TOKENS_PER_SHARD = 150_000
@@ -51,13 +53,11 @@ def _allowed(n):
 def _sets(batches):
     for batch, i, j, data, off in text_rows(batches):
         sets = shingle_sets(data, off, WORDS)
-        two = _class_ids(sets)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(i, j - i),
-             pa.array(np.array([len(s) for s in sets], np.int64)),
-             pa.array(np.ascontiguousarray(two[:, 0])), pa.array(np.ascontiguousarray(two[:, 1])),
-             pa.array([histogram(s).tobytes() for s in sets], pa.binary())],
-            ["doc_id", "n_shingles", "id", "d2", "h"])
+             pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(_class_ids(sets)),
+             pa.array([histogram(s).tobytes() for s in sets], pa.binary()), batch.column(2).slice(i, j - i)],
+            ["doc_id", "n_shingles", "id", "h", "hash"])
 
 
 def _cells(tokens: np.ndarray) -> list[np.ndarray]:
@@ -73,16 +73,29 @@ def _sketch(batches):
         tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         for r, cell in enumerate(_cells(tokens)):
             count[r] += np.bincount(cell, minlength=CELLS)
-    cell = np.flatnonzero(count)
-    if len(cell):
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(count.ravel()[cell])], ["cell", "n"])
+    parts = count.reshape(-1, PART)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(parts))), pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())],
+        ["part", "counts"])
+
+
+def _heavy(least: float):
+    """Sums the arrays of each part of the sketch, one after the other, and yields its heavy cells."""
+    def heavy(batches):
+        for part, rows in shard_groups(batches):
+            total = np.zeros(PART, dtype=np.int64)
+            for (counts,) in rows:
+                total += np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(part * PART + np.flatnonzero(total > least))], ["cell"])
+    return heavy
 
 
 def frequent_cells(texts: DataFrame, total: int) -> np.ndarray:
     """Which cells hold a frequent token; the sketch's size does not depend on the input."""
     least = max(LEAST_FREQUENT, total // MOST_FREQUENT) + total / CELLS
-    hot = (texts.select("text").mapInArrow(_sketch, "cell long, n long")
-           .groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > least).toPandas())
+    hot = (texts.select("text").mapInArrow(_sketch, "part long, counts binary")
+           .repartition(ROWS * CELLS // PART, "part").sortWithinPartitions("part")
+           .mapInArrow(_heavy(least), "cell long").toPandas())
     out = np.zeros(ROWS * CELLS, dtype=bool)
     out[hot["cell"].to_numpy(dtype=np.int64)] = True
     return out.reshape(ROWS, CELLS)
@@ -122,9 +135,8 @@ def _level(n: int) -> int:
 
 
 def _class_ids(sets) -> np.ndarray:
-    """Two 64-bit halves of a digest of each set; the first names the class of equal sets."""
-    d = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-    return np.frombuffer(b"".join(d), dtype=np.int64).reshape(-1, 2)
+    """A 64-bit digest of each set names the class of equal sets."""
+    return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), np.int64)
 
 
 def _emit_keys(frequent):
@@ -133,7 +145,7 @@ def _emit_keys(frequent):
             sets = [s for s in shingle_sets(data, off, WORDS) if len(s)]
             if not sets:
                 continue
-            ids = _class_ids(sets)[:, 0]
+            ids = _class_ids(sets)
             sizes = [len(s) for s in sets]
             every = np.concatenate(sets)
             cells = _cells(every)
@@ -179,14 +191,12 @@ def _possible(batches):
 
 
 def _token_blobs(batches):
-    """Token sets of the wanted classes; another text of a repeated doc_id is left out."""
+    """Token sets of the wanted classes."""
     for batch, i, j, data, off in text_rows(batches):
         sets = shingle_sets(data, off, WORDS)
-        own = pa.array(np.flatnonzero(
-            _class_ids(sets)[:, 0] == batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())],
-            ["id", "tokens"]).take(own)
+            ["id", "tokens"])
 
 
 def _overlaps(batches):
@@ -203,6 +213,10 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
+def _text_hash():
+    return F.xxhash64("text")
+
+
 def _verifier(scratch: Scratch, docs: DataFrame, classes: DataFrame):
     """pairs (a, b) of classes -> those whose whole sets link.  Histograms, a hundredth of
     the size, rule out most pairs first; the sets of the rest are compared token by token,
@@ -222,10 +236,12 @@ def _verifier(scratch: Scratch, docs: DataFrame, classes: DataFrame):
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         if tokens:
             ids = ids.join(scratch.together(tokens).select("id"), "id", "left_anti")
-        want = scratch.write(classes.join(ids, "id", "left_semi").select("id", "doc_id"), "wanted")
-        tokens.append(scratch.write(
-            docs.join(want, "doc_id").select("id", "text").mapInArrow(_token_blobs, "id long, tokens binary"),
-            "tokens"))
+        want = scratch.write(classes.join(ids, "id", "left_semi").select("id", "doc_id", "hash", "copies"), "wanted")
+        of = docs.withColumn("hash", _text_hash()).join(want, ["doc_id", "hash"]).select("id", "text", "copies")
+        # one blob a class: rows that repeat doc_id and text are first reduced to one
+        one = of.where("copies = 1").select("id", "text").union(
+            of.where("copies > 1").groupBy("id").agg(F.min("text").alias("text")))
+        tokens.append(scratch.write(one.mapInArrow(_token_blobs, "id long, tokens binary"), "tokens"))
         every = scratch.together(tokens)
         return both(pairs, every, ["tokens"]).mapInArrow(_overlaps, "a long, b long").distinct()
     return verify
@@ -247,11 +263,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = scratch.write(
-        docs.mapInArrow(_sets, "doc_id long, n_shingles long, id long, d2 long, h binary"), "sets")
-    # the rows of one class have equal sets
+        docs.select("doc_id", "text", _text_hash().alias("hash"))
+        .mapInArrow(_sets, "doc_id long, n_shingles long, id long, h binary, hash long"), "sets")
+    # the rows of one class have equal sets; its text is found again by doc_id and hash
+    same = (sets.where("n_shingles > 0 and doc_id is not null").groupBy("id", "doc_id", "hash")
+            .agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"), F.max("h").alias("h")))
     classes = scratch.write(
-        sets.where("n_shingles > 0 and doc_id is not null").groupBy("id")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("h").alias("h")), "classes")
+        same.groupBy("id").agg(F.min(F.struct("doc_id", "hash", "copies")).alias("at"),
+                               F.max("n").alias("n"), F.max("h").alias("h"))
+        .select("id", "at.*", "n", "h"), "classes")
     total = int(sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0])
     known = docs.where("doc_id is not null").select("text")
     frequent = spark.sparkContext.broadcast(frequent_cells(known, total))
