@@ -12,7 +12,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
@@ -217,6 +217,7 @@ def text_rows(batches, text: str = "text"):
 # ----------------------------------------------------------------------- key groups
 
 SHARED = "key long, id long, aux long"
+MORE_HUBS = 4
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -361,22 +362,25 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
     columns that every true link fulfils on some shared key.  verify: pairs (a, b) of
     ids -> links (a, b).  rank(x): members of the lowest rank are hubs first.
 
-    Rounds of stars: each member is compared with its group's first member by (rank, id)
-    that has not been a hub there, unless links have joined the two already.  Once a group's
-    members are in one component it is done, so a group of many near copies takes a few
-    rounds and not all its pairs.  When the pairs left between components are few (or
-    the rounds no longer help), they are compared, so no link between components is lost.
+    Rounds of stars: each member is compared with its group's first members by (rank, id),
+    the hubs, unless links have joined the two already; hubs then leave their groups.  Once a
+    group's members are in one component it is done, so a group of many near copies takes few
+    rounds and not all its pairs.  A round has ``MORE_HUBS`` times the hubs of the one before,
+    and once comparing all pairs left between components takes no more than the next
+    round, they are compared: no link between components is lost, and the number of rounds is
+    at most the logarithm of the largest group.
     """
     open_ = shared.withColumn("label", F.col("id"))
-    first = F.struct(rank(F.col("aux")).alias("rank"), "id")
+    first = Window.partitionBy("key").orderBy(rank(F.col("aux")), "id")
     seen = label = None
     stars: list[DataFrame] = []
-    left = None
+    n_hubs = 1
     while True:
+        # the limit on row_number is taken within each task before the shuffle
         hubs = scratch.write(
-            open_.groupBy("key").agg(F.min_by(F.struct("id", "aux", "label"), first).alias("hub")), "hubs")
-        member = open_.join(hubs, "key").where(F.col("id") != F.col("hub.id"))
-        star = (member.where(F.col("label") != F.col("hub.label"))
+            open_.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n_hubs)
+            .select("key", F.struct("id", "aux", "label").alias("hub")), "hubs")
+        star = (open_.join(hubs, "key").where(F.col("label") != F.col("hub.label"))
                 .where(close(F.col("aux"), F.col("hub.aux")))
                 .select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct())
         star = scratch.write(star if seen is None else star.join(seen, ["a", "b"], "left_anti"), "star")
@@ -385,6 +389,7 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
         seen = scratch.together(stars)
         earlier, label = label, components(scratch, found, label)
         scratch.drop(earlier, found)
+        member = open_.join(hubs.select("key", F.col("hub.id").alias("id")), ["key", "id"], "left_anti")
         now = scratch.write(member.select("key", "id", "aux").join(label, "id", "left")
                             .select("key", "id", "aux", F.coalesce("label", "id").alias("label")), "labelled")
         # pairs of a key between components: (all pairs) - (pairs within a component)
@@ -398,9 +403,9 @@ def link_groups(scratch: Scratch, shared: DataFrame, close, verify, rank=lambda
                                 F.coalesce(F.sum("n"), F.lit(0))).first()
         before, open_ = open_, scratch.write(now.join(mixed.select("key"), "key", "left_semi"), "open")
         scratch.drop(hubs, now, mixed, shared, before)
-        if pairs <= 4 * rows or (left is not None and pairs > 0.9 * left):
+        n_hubs *= MORE_HUBS
+        if pairs <= n_hubs * rows:
             break
-        left = pairs
     x, y = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "aux", "label")))
             for s in "xy")
     pairs = (x.join(y, "key").where("id_x < id_y and label_x <> label_y")
