@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.columns import ratio
-from tidemark.streaming.silver_stream import ROCKSDB
+from tidemark.streaming.state_store import use_rocksdb
 
 SALTS = 16
 OUTPUT = ("source_table string, operation string, event_day date, late boolean, event_count long, "
@@ -63,7 +63,7 @@ class DayWindows(StatefulProcessor):
 
 def audit_events(bronze: DataFrame, lateness: str = "1 day", delay: str = "0 seconds") -> DataFrame:
     """Published windows and late counts of a stream of bronze rows (append mode)."""
-    bronze.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(bronze.sparkSession)
     # the process that plans a stateful processor does not see the session's archives
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     day = F.to_date("cdc_ts")

@@ -21,8 +21,7 @@ from pyspark.sql import types as T
 from tidemark.model import BRONZE_COLUMNS, PRIMARY_KEYS
 from tidemark.operators.silver import change_rows, image_key, row_image
 from tidemark.sources.store import BUCKETS, Store
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tidemark.streaming.state_store import use_rocksdb
 
 BRONZE_LOG_SCHEMA = T.StructType([
     T.StructField("cdc_ts_ms", T.LongType()), T.StructField("cdc_ts", T.TimestampType()),
@@ -77,8 +76,7 @@ def state_writer(store: Store, stream: str, prefix: str = "silver/", buckets: in
 def start_state_stream(bronze: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None,
                        prefix: str = "silver/", buckets: int = BUCKETS):
     """Starts the stream over bronze rows (``decode`` of records, or the bronze log)."""
-    spark = store.spark
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(store.spark)
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]  # a restart goes on under its name
     return (newest_changes(bronze).writeStream.outputMode("update")
             .foreachBatch(state_writer(store, stream, prefix, buckets))
