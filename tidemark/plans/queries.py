@@ -784,8 +784,9 @@ def _merge_touched_partitions(p: Flow) -> DataFrame:
     store = Store(p.spark, _scratch(p))
     for t in TABLES:
         rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
-        store.merge(S.latest_per_key(_before_cut(rows, True), keys), f"silver/{t}", keys, buckets=8)
-        store.merge(S.latest_per_key(_before_cut(rows, False), keys), f"silver/{t}", keys, buckets=8)
+        for before in (True, False):
+            changes = _before_cut(rows, before)
+            store.merge(S.latest_per_key(changes, keys), f"silver/{t}", keys, buckets=8, changes=changes)
     return _stored_states(store)
 
 

@@ -71,17 +71,29 @@ class Store:
         """One batch of a log, replacing what an earlier try of it wrote; returns the rows."""
         return self._write(df, f"{self.path(name)}/batch={batch}", partition_by)
 
-    def merge(self, updates: DataFrame, name: str, keys: list[str], buckets: int = BUCKETS) -> list[int]:
+    def merge(self, updates: DataFrame, name: str, keys: list[str], buckets: int = BUCKETS,
+              changes: DataFrame | None = None) -> list[int]:
         """Keyed merge of ``updates`` (one row a key) into a state table; an update older than
         the stored row is ignored (D16).  Only buckets with touched keys are read and
-        rewritten; returns them (at most ``buckets`` numbers)."""
+        rewritten; returns them (at most ``buckets`` numbers).
+
+        ``changes``: rows with the keys of ``updates``, each as often as it likes (what they were
+        reduced from), to find the touched buckets without that reduction.  A large bucket is
+        written by several tasks, so work is spread whatever the number of buckets."""
         from tidemark.operators.silver import merge_upsert
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         updates = updates.withColumn("bucket", bucket)
-        touched = sorted(r[0] for r in updates.select("bucket").distinct().collect())
-        if self.exists(name):
+        found = self.exists(name)
+        if found:
+            touched = self._buckets((updates if changes is None else changes).select(bucket.alias("bucket")))
             held = self.read(name).where(F.col("bucket").isin(touched))
             updates = merge_upsert(held, updates, keys, guarded=True)
-        updates.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        updates.hint("rebalance", F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .option("compression", "snappy").partitionBy("bucket").parquet(self.path(name))
+        if not found:  # all that is there has just been written
+            touched = self._buckets(self.read(name)) if self.exists(name) else []
         return touched
+
+    @staticmethod
+    def _buckets(rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select("bucket").distinct().collect())
