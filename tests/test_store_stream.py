@@ -216,3 +216,40 @@ def test_offset_source_refuses_a_foreign_progress_folder(spark, scratch, landed)
                 raise q.exception()
             time.sleep(0.05)
     q.stop()
+
+
+def _changes(spark, n, lsn):
+    return spark.range(n).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
+                                 F.lit(None).cast("timestamp").alias("_cdc_ts"), F.lit(lsn).cast("long").alias("_cdc_lsn"),
+                                 F.col("id").alias("_cdc_offset"))
+
+
+def test_merge_writes_a_large_bucket_by_several_tasks(spark, scratch):
+    st = Store(spark, scratch)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        assert st.merge(_changes(spark, 20_000, 1), "t", ["k"], buckets=1) == [0]
+        assert len(_files(st.path("t"))) > 1
+        some = _changes(spark, 20_001, 2).where("k % 2 = 0")
+        assert st.merge(some, "t", ["k"], buckets=1, changes=some.union(some)) == [0]
+        assert len(_files(st.path("t"))) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    got = st.read("t").groupBy("_cdc_lsn").agg(F.count("*"), F.count_distinct("k"), F.count("v"))
+    assert _rows(got) == [(1, 10_000, 10_000, 10_000), (2, 10_001, 10_001, 10_001)]
+    assert st.merge(_changes(spark, 0, 1), "none", ["k"]) == []
+
+
+def test_a_trigger_costs_the_same_however_many_came_before(spark, scratch, monkeypatch):
+    import pyarrow.parquet as pq
+    offsets.land(spark.createDataFrame([("t", 0, k, None, str(k)) for k in range(50)], offsets.SCHEMA), f"{scratch}/landing")
+    reader = offsets.OffsetReader({"path": f"{scratch}/landing", "progress": f"{scratch}/progress", "maxOffsetsPerTrigger": "1"})
+    read, seen = pq.read_table, []
+    monkeypatch.setattr(pq, "read_table", lambda *a, **k: seen.append(a) or read(*a, **k))
+    ends = [reader.latestOffset()["t/0"] for _ in range(52)]
+    assert ends == [*range(1, 51), 50, 50]
+    assert len(seen) == 1 and len(os.listdir(f"{scratch}/progress")) <= offsets.KEPT_NOTES + 1
+    offsets.land(spark.createDataFrame([("t", 0, 9, None, "x")], offsets.SCHEMA), f"{scratch}/landing")
+    assert reader.latestOffset() == {"t/0": 51}
+    again = offsets.OffsetReader({"path": f"{scratch}/landing", "progress": f"{scratch}/progress"})
+    assert again.latestOffset() == {"t/0": 51}

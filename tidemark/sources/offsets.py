@@ -36,6 +36,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 SCHEMA = "topic string, partition int, offset long, timestamp timestamp, value string"
 FORMAT = "landed_records"
+KEPT_NOTES = 10  # of the progress folder, so that listing it costs the same at every trigger
 _ROW = (1 << 33) - 1  # the part of monotonically_increasing_id() that counts rows of a task
 
 
@@ -149,20 +150,28 @@ class OffsetReader(DataSourceStreamReader):
         self.starting = low.get("startingoffsets", "earliest")
         self.limit = int(low["maxoffsetspertrigger"]) if "maxoffsetspertrigger" in low else None
         self.strict = low.get("failondataloss", "true") != "false"
+        self._read: tuple[list[str], dict[str, list[dict]]] = ([], {})  # index files and what they hold
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_read": ([], {})}  # tasks need no index
 
     def _index(self) -> dict[str, list[dict]]:
         """Chunks of each topic/partition by offset."""
         import pyarrow.parquet as pq
         from pyarrow import fs
         files, path = _files(f"{self.root}/index")
+        found = sorted(f.path for f in files.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+                       if f.path.endswith(".parquet"))
+        if found == self._read[0]:  # an index file never changes, a landing adds one
+            return self._read[1]
         out: dict[str, list[dict]] = {}
-        for f in files.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True)):
-            if f.path.endswith(".parquet"):
-                for row in pq.read_table(f.path, filesystem=files).to_pylist():
-                    if self.topics is None or row["topic"] in self.topics:
-                        out.setdefault(f"{row['topic']}/{row['partition']}", []).append(row)
+        for f in found:
+            for row in pq.read_table(f, filesystem=files).to_pylist():
+                if self.topics is None or row["topic"] in self.topics:
+                    out.setdefault(f"{row['topic']}/{row['partition']}", []).append(row)
         for rows in out.values():
             rows.sort(key=lambda r: r["start"])
+        self._read = (found, out)
         return out
 
     def _there(self, row: dict) -> bool:
@@ -191,6 +200,8 @@ class OffsetReader(DataSourceStreamReader):
         n = 1 + max((int(x.removesuffix(".json")) for x in held if x.endswith(".json")), default=-1)
         with files.open_output_stream(f"{path}/{n:012d}.json") as f:
             f.write(json.dumps(end).encode())
+        for x in sorted(x for x in held if x.endswith(".json"))[:-KEPT_NOTES]:  # only the last is read
+            files.delete_file(f"{path}/{x}")
 
     def initialOffset(self) -> dict:
         index = self._index()
