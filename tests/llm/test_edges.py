@@ -177,3 +177,22 @@ def test_equal_rows_are_packed_in_many_buckets(spark, monkeypatch):
     for (s, o, n), (t, p, _) in zip(places, places[1:]):
         assert (t == s and p == o + n) or (t != s and p == 0)
     assert len({r.sequence_id for r in rows}) == math.ceil(3000 / (64 // places[0][2]))
+
+
+def test_line_dedup_keys_go_in_parts_and_lines_are_dropped(spark, monkeypatch):
+    one = pa.RecordBatch.from_arrays([pa.array([5], pa.int64()), pa.array([77], pa.int64()), pa.array([bytes(range(128))])],
+                                     ["id", "simhash", "bands"])
+    keys = [k.tobytes() for p in range(line_dedup.KEY_PARTS) for k, _, _ in line_dedup._emit(p)([one])]
+    assert len(keys) == len(set(keys)) == 10 + line_dedup.BANDS
+    made = []
+
+    class Seen(common.Scratch):
+        def __init__(self, *a):
+            super().__init__(*a)
+            made.append(self)
+
+    monkeypatch.setattr(line_dedup, "Scratch", Seen)
+    docs = _clashing(spark, [])
+    assert line_dedup.kept_lines(docs).count() == 1  # digits read alike, so all lines are copies
+    left = spark._jvm.java.io.File(made[0].root.removeprefix("file:")).list()
+    assert not [x for x in left if x.endswith(("-lines", "-classes")) or "-shared-" in x]
