@@ -68,3 +68,17 @@ def test_audit_counts_every_event_once(spark, scratch):
     assert whole == {("orders", "INSERT", "1970-01-01"): (41, 1, 0), ("orders", "UPDATE", "1970-01-01"): (5, 5, 0)}
     batch = G.gold_cdc_audit(B.decode(records_df(spark, old + late))).collect()
     assert {(r["source_table"], r["operation"], str(r["event_day"])): r["event_count"] for r in batch} == {k: v[0] for k, v in whole.items()}
+
+
+def test_neighbouring_orders_share_a_state(spark, scratch):
+    pending = [_change("c", k, "pending", k % 4, k) for k in range(256, 512)]
+    offsets.land(records_df(spark, [*pending, _change("c", 700, "confirmed", 60, 999)]), f"{scratch}/landing")
+    src = offsets.stream(spark, f"{scratch}/landing", f"{scratch}/progress")
+    q = LS.order_events(B.decode(src)).writeStream.format("parquet").option("path", f"{scratch}/out").option(
+        "checkpointLocation", f"{scratch}/ckpt").outputMode("append").trigger(processingTime="0 seconds").start()
+    offsets.run_to_end(q, f"{scratch}/landing", f"{scratch}/progress")
+    updated = sum(s.numRowsUpdated for x in q.recentProgress for s in x.stateOperators)
+    assert 0 < updated < 64  # a state an order: 256 at least
+    got = spark.read.schema(LS.OUTPUT).parquet(f"{scratch}/out").collect()
+    assert sorted((r["order_id"], r["event"], r["at_ms"] // MINUTE - START) for r in got) == [
+        (k, "expired", k % 4 + 5) for k in range(256, 512)]

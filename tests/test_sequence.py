@@ -57,3 +57,17 @@ def test_lag_shuffles_its_input_once(spark):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan and "InPandas" not in plan
+
+
+def test_number_shuffles_the_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _hot(spark).withColumn("k", F.when(F.col("k") != 3, F.col("k"))).withColumn("wide", F.lit("x"))
+        got = number_by_key(df, "k", ["a", "b"], F.when(F.col("a") > 30, F.floor(F.col("a") / 37)))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows once for window and join; the counts of the buckets by bucket, by key and for the join
+    assert plan.count("Exchange hashpartitioning") == 4, plan
+    want = df.withColumn("row_number", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
+    assert _rows(got, "k", "a", "b", "row_number") == _rows(want, "k", "a", "b", "row_number")
