@@ -195,4 +195,4 @@ def test_line_dedup_keys_go_in_parts_and_lines_are_dropped(spark, monkeypatch):
     docs = _clashing(spark, [])
     assert line_dedup.kept_lines(docs).count() == 1  # digits read alike, so all lines are copies
     left = spark._jvm.java.io.File(made[0].root.removeprefix("file:")).list()
-    assert not [x for x in left if x.endswith(("-lines", "-classes")) or "-shared-" in x]
+    assert not [x for x in left if x.endswith(("-lines", "-classes", "-wanted", "-normal-forms")) or "-shared-" in x]
