@@ -70,6 +70,25 @@ def test_audit_counts_every_event_once(spark, scratch):
     assert {(r["source_table"], r["operation"], str(r["event_day"])): r["event_count"] for r in batch} == {k: v[0] for k, v in whole.items()}
 
 
+def test_a_task_sums_its_events_by_window(monkeypatch):
+    import pyarrow as pa
+    day, n = dt.date(1997, 1, 1), 6000
+
+    def batch(k, latency=5):
+        return pa.RecordBatch.from_pydict({
+            "source_table": ["orders"] * n, "operation": ["INSERT"] * n, "event_day": [day] * n,
+            "salt": pa.array([i % 16 for i in range(n)], pa.int32()), "closes_ms": [9] * n, "n": [1] * n,
+            "whole_ms": [0] * n, "exact_ms": pa.array([latency] * n, pa.int64()), "last_ms": [k * n + i for i in range(n)]})
+
+    for at_once in (1 << 18, 7000, 20):
+        monkeypatch.setattr(AS, "_AT_ONCE", at_once)
+        got = pa.Table.from_batches(list(AS.partial_sums(iter([batch(0), batch(1)]))))
+        assert got.num_rows == (32 if at_once == 20 else 16)
+        assert [sum(got[c].to_pylist()) for c in ("n", "whole_ms", "exact_ms")] == [2 * n, 0, 10 * n]
+        assert max(got["last_ms"].to_pylist()) == 2 * n - 1
+    assert set(pa.Table.from_batches(list(AS.partial_sums([batch(0, None)])))["exact_ms"].to_pylist()) == {None}
+
+
 def test_neighbouring_orders_share_a_state(spark, scratch):
     pending = [_change("c", k, "pending", k % 4, k) for k in range(256, 512)]
     offsets.land(records_df(spark, [*pending, _change("c", 700, "confirmed", 60, 999)]), f"{scratch}/landing")

@@ -5,7 +5,8 @@ allowed ``lateness``; an event that comes after that is published at once, marke
 each event is counted exactly once and none is dropped.  The watermark runs on arrival (the
 micro-batch's clock), which only grows: Spark drops no row as late, and a window closes by
 the clock, whatever times the events carry.  Windows are kept by (table, operation, day, salt),
-so that a day with a third of all events is spread over tasks; ``audit`` sums the parts.
+so that a day with a third of all events is spread over tasks; ``audit`` sums the parts.  Each
+task sums its own events first, so the processor gets rows by windows and tasks, not by events.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -40,8 +43,8 @@ class DayWindows(StatefulProcessor):
         n = whole = exact = 0
         last = closes = None
         for r in rows:  # one at a time, whatever their number
-            n, whole, exact, closes = n + 1, whole + r.whole_ms, exact + r.exact_ms, r.closes_ms
-            last = r.ts_ms if last is None or r.ts_ms > last else last
+            n, whole, exact, closes = n + r.n, whole + r.whole_ms, exact + r.exact_ms, r.closes_ms
+            last = r.last_ms if last is None or r.last_ms > last else last
         if closes <= timerValues.getCurrentWatermarkInMs():
             return iter((self._row(key, True, (n, whole, exact, last)),))
         held = self.sums.get()
@@ -61,6 +64,35 @@ class DayWindows(StatefulProcessor):
         pass
 
 
+_PARTS = "source_table string, operation string, event_day date, salt int, closes_ms long, n long, whole_ms long, exact_ms long, last_ms long"
+_WINDOW, _SUMS = [*_KEY, "closes_ms"], ["n", "whole_ms", "exact_ms", "last_ms"]
+_AT_ONCE = 1 << 18  # rows that a task holds between two sums
+
+
+def _summed(held: list[pa.Table]) -> pa.Table:
+    # a null is summed to null, not left out
+    strict = pc.ScalarAggregateOptions(skip_nulls=False)
+    out = pa.concat_tables(held).group_by(_WINDOW, use_threads=False).aggregate(
+        [(c, "max" if c == "last_ms" else "sum", strict) for c in _SUMS])
+    return out.select([*_WINDOW, *(f"{c}_{'max' if c == 'last_ms' else 'sum'}" for c in _SUMS)]).rename_columns([*_WINDOW, *_SUMS])
+
+
+def partial_sums(batches):
+    """A task's events summed by window; sums that have grown past ``_AT_ONCE`` windows are sent on."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        rows += batch.num_rows
+        if rows >= _AT_ONCE:
+            held = [_summed(held)]
+            rows = held[0].num_rows
+            if rows >= _AT_ONCE // 2:
+                yield from held[0].combine_chunks().to_batches(10_000)
+                held, rows = [], 0
+    if held:
+        yield from _summed(held).combine_chunks().to_batches(10_000)
+
+
 def audit_events(bronze: DataFrame, lateness: str = "1 day", delay: str = "0 seconds") -> DataFrame:
     """Published windows and late counts of a stream of bronze rows (append mode)."""
     use_rocksdb(bronze.sparkSession)
@@ -68,13 +100,14 @@ def audit_events(bronze: DataFrame, lateness: str = "1 day", delay: str = "0 sec
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     day = F.to_date("cdc_ts")
     closes = F.date_add(day, 1).cast("timestamp") + F.expr(f"INTERVAL {lateness}")
-    rows = bronze.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", delay).select(
+    rows = bronze.select(
         F.col("cdc_table").alias("source_table"), F.col("cdc_op").alias("operation"), day.alias("event_day"),
         F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(SALTS)).cast("int").alias("salt"),
-        "arrival", F.unix_millis(closes).alias("closes_ms"), F.col("cdc_ts_ms").alias("ts_ms"),
+        F.unix_millis(closes).alias("closes_ms"), F.lit(1).cast("long").alias("n"),
         (F.unix_seconds("kafka_ts") * 1000 - F.col("cdc_ts_ms")).alias("whole_ms"),
-        (F.unix_millis("kafka_ts") - F.col("cdc_ts_ms")).alias("exact_ms"))
-    return rows.groupBy(*_KEY).transformWithState(
+        (F.unix_millis("kafka_ts") - F.col("cdc_ts_ms")).alias("exact_ms"), F.col("cdc_ts_ms").alias("last_ms"))
+    parts = rows.mapInArrow(partial_sums, _PARTS).withColumn("arrival", F.current_timestamp()).withWatermark("arrival", delay)
+    return parts.groupBy(*_KEY).transformWithState(
         DayWindows(), outputStructType=OUTPUT, outputMode="append", timeMode="eventTime")
 
 
