@@ -56,6 +56,32 @@ def test_bitmaps_roll_up_exactly(spark):
         assert _rows(got, "g", "period", "n_distinct") == _rows(want, "g", "period", "n")
 
 
+def test_sets_of_spread_ids_take_no_whole_bitmap(spark):
+    # 3,000 ids in as many buckets, and a bucket that a day fills while others hold few of it
+    spread = spark.range(3000).selectExpr("id * 40000 + 1 AS x", "'a' AS g", "date_add('1997-11-20', cast(id % 50 AS int)) AS d")
+    full = spark.range(2000).selectExpr("id + 1 AS x", "cast(NULL AS string) AS g", "date '1997-12-01' AS d")
+    few = spark.range(40).selectExpr("id * 100 + 7 AS x", "cast(NULL AS string) AS g", "date '1997-12-03' AS d")
+    rows = spread.unionByName(full).unionByName(few).unionByName(few)
+    days = R.daily_bitmaps(rows, ["g"], "d", "x")
+    assert days.where("ids IS NOT NULL").count() == 1
+    assert sum(len(r["ids"] or b"") + 4 * len(r["few"] or ()) for r in days.collect()) < 4096 + 4 * 3100
+    for level in R.LEVELS:
+        period = F.col("d") if level == "day" else F.trunc("d", level)
+        want = rows.groupBy("g", period.alias("period")).agg(F.count_distinct("x").alias("n"))
+        assert _rows(R.distinct_counts(days, ["g"], level), "g", "period", "n_distinct") == _rows(want, "g", "period", "n")
+
+
+def test_what_a_query_reads_often_is_built_once(spark):
+    from tidemark.plans.queries import QUERIES
+    for name in ("cdc_merge_upsert", "cdc_guarded_merge", "cdc_delete_unseen_key", "dq_pk_summary", "gold_facts_incremental",
+                 "sql_table_functions"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan, name
+    for name in ("cdc_malformed_filtered", "snapshot_diff_apply", "cdc_replay_dedup", "dq_fk_orphans"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_none_0" not in plan, name  # the numbering of lines
+
+
 def test_variant_images_keep_extra_fields_and_bear_missing_ones(spark):
     after = {"customer_id": 1, "name": "A", "registration_date": 19700, "loyalty": {"tier": 3}, "tags": ["x"]}
     rows = [record(envelope("c", after=after, ts_ms=1, lsn=1, table="customers"), 1, table="customers"),
