@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import _CODE, _SPACE, Scratch, bounded_batches, mix, slices, utf8, words
+from tidemark.llm.common import _CODE, _SPACE, Scratch, bounded_batches, mix, shards_to_tasks, slices, utf8, words
 
 SEQUENCE = 4096
 END_TOKEN = 1
@@ -134,14 +134,22 @@ def _knapsack(size: np.ndarray, value: np.ndarray, capacity: int) -> np.ndarray:
     take = np.full(capacity + 1, -1)
     order = np.argsort(size)
     s, v = size[order], value[order]
-    for c in range(1, capacity + 1):
-        m = int(np.searchsorted(s, c, side="right"))
-        best[c] = best[c - 1]
+    step = max(1, int(s[0]))  # so many places follow from those before them alone
+    for c in range(1, capacity + 1, step):
+        d = np.arange(c, min(c + step, capacity + 1))
+        m = int(np.searchsorted(s, d[-1], side="right"))
+        before = best[c - 1]
         if m:
-            got = v[:m] + best[c - s[:m]]
-            k = int(got.argmax())
-            if got[k] > best[c]:
-                best[c], take[c] = got[k], order[k]
+            rest = d - s[:m, None]
+            got = np.where(rest >= 0, v[:m, None] + best[np.maximum(rest, 0)], -1.0)
+            k = got.argmax(axis=0)
+            most = got[k, np.arange(len(d))]
+            so_far = np.maximum.accumulate(np.append(before, most))
+            better = most > so_far[:-1]
+            best[d] = so_far[1:]
+            take[d[better]] = order[k[better]]
+        else:
+            best[d] = before
     counts, c = np.zeros(len(size), np.int64), capacity
     while c > 0:
         if take[c] < 0:
@@ -332,7 +340,9 @@ def pack_mixed(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, slots:
     pieces = pieces.withColumn("chunk", F.floor(F.col("slot") / slots))
     cells = scratch.write(pieces.groupBy("chunk", "length", "slot").agg(F.count("*").alias("n")), "cells")
     plan = scratch.write(
-        cells.groupBy("chunk", "length").agg(F.sum("n").alias("n")).groupBy("chunk")
+        cells.groupBy("chunk", "length").agg(F.sum("n").alias("n"))
+        # few rows but long work: tasks by number, which are not put together by their bytes
+        .repartition(shards_to_tasks(spark, _chunks(cells)), "chunk").groupBy("chunk")
         .applyInPandas(_chunk_plan(sequence), CHUNK_PLAN), "plan")
     before = Window.partitionBy("chunk", "length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
@@ -372,5 +382,9 @@ def _chunk_plan(sequence: int):
     return run
 
 
+def _chunks(cells: DataFrame) -> int:
+    return cells.select("chunk").distinct().count()
+
+
 def _buckets(pieces: DataFrame) -> int:
     return max(1, pieces.count() // 2000)
