@@ -256,6 +256,13 @@ def _may_link(x, y):
     return (100 + PERCENT) * left >= PERCENT * (m + n)
 
 
+def _near(x, y):
+    """``_may_link`` on arrays."""
+    m, n = (v & ((1 << 32) - 1) for v in (x, y))
+    left = np.minimum(*(k - ((v >> 32) & ((1 << 21) - 1)) for k, v in ((m, x), (n, y))))
+    return (100 + PERCENT) * left >= PERCENT * (m + n)
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     spark = docs.sparkSession
@@ -276,7 +283,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     known = docs.where("doc_id is not null").select("text")
     frequent = spark.sparkContext.broadcast(frequent_cells(known, total))
     shards = max(16, total // TOKENS_PER_SHARD)
-    shared = scratch.write(shared_keys(known, _emit_keys(frequent), shards), "shared")
+    shared = scratch.write(shared_keys(known, _emit_keys(frequent), shards, _near), "shared")
     label = link_groups(scratch, shared, _may_link, _verifier(scratch, docs, classes),
                         rank=lambda aux: F.shiftright(aux, 53))
     member = scratch.write(classes.join(label, "id", "left")
