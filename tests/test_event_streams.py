@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as B
@@ -101,3 +102,15 @@ def test_neighbouring_orders_share_a_state(spark, scratch):
     got = spark.read.schema(LS.OUTPUT).parquet(f"{scratch}/out").collect()
     assert sorted((r["order_id"], r["event"], r["at_ms"] // MINUTE - START) for r in got) == [
         (k, "expired", k % 4 + 5) for k in range(256, 512)]
+
+
+def test_partial_sums_go_on_from_earlier_sums(monkeypatch):
+    """Columns that Spark marks as never null meet the sums of the batches before."""
+    monkeypatch.setattr(AS, "_AT_ONCE", 4)
+    types = {"source_table": pa.string(), "operation": pa.string(), "event_day": pa.date32(), "salt": pa.int32()}
+    schema = pa.schema([pa.field(c, types.get(c, pa.int64()), nullable=c != "n") for c in [*AS._WINDOW, *AS._SUMS]])
+    row = {"source_table": "orders", "operation": "READ", "event_day": dt.date(1997, 1, 1), "salt": 1, "closes_ms": 9,
+           "n": 1, "whole_ms": 2, "exact_ms": 3}
+    batches = [pa.RecordBatch.from_pylist([row | {"last_ms": 3 * k + i} for i in range(3)], schema) for k in range(4)]
+    out = pa.Table.from_batches(AS.partial_sums(iter(batches)))
+    assert sum(out["n"].to_pylist()) == 12 and sum(out["exact_ms"].to_pylist()) == 36 and max(out["last_ms"].to_pylist()) == 11
