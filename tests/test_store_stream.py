@@ -253,3 +253,18 @@ def test_a_trigger_costs_the_same_however_many_came_before(spark, scratch, monke
     assert reader.latestOffset() == {"t/0": 51}
     again = offsets.OffsetReader({"path": f"{scratch}/landing", "progress": f"{scratch}/progress"})
     assert again.latestOffset() == {"t/0": 51}
+
+
+def test_a_task_opens_only_the_row_groups_of_its_offsets(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+    rows = spark.range(0, 30_000, 1, 1).selectExpr(
+        "'cdc.public.orders' topic", "0 partition", "id offset", "timestamp_seconds(id) timestamp", "repeat(sha2(string(id), 512), 5) value")
+    offsets.land(rows.coalesce(1), f"{scratch}/landing")
+    groups = [pq.ParquetFile(f).num_row_groups for f in glob.glob(f"{scratch}/landing/records/**/*.parquet", recursive=True)]
+    assert sum(groups) > len(groups)
+    reader = offsets.OffsetReader({"path": f"{scratch}/landing", "progress": f"{scratch}/progress"})
+    key = "cdc.public.orders/0"
+    got = [n for c in reader.partitions({key: 14_990}, {key: 15_010}) for b in reader.read(c) for n in b.column(2).to_pylist()]
+    assert sorted(got) == list(range(14_990, 15_010))

@@ -34,8 +34,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tidemark.sources.store import free
+
 SCHEMA = "topic string, partition int, offset long, timestamp timestamp, value string"
 FORMAT = "landed_records"
+# bytes of a row group in a chunk: rows lie in order, so a task opens those of its own offset range
+ROW_GROUP = 1 << 20
 KEPT_NOTES = 10  # of the progress folder, so that listing it costs the same at every trigger
 _ROW = (1 << 33) - 1  # the part of monotonically_increasing_id() that counts rows of a task
 
@@ -50,7 +54,9 @@ def land(records: DataFrame, root: str) -> None:
     rows = rows.select("topic", "partition", F.spark_partition_id().alias("chunk"),
                        F.monotonically_increasing_id().bitwiseAND(_ROW).alias("row"), "timestamp", "value")
     chunks = f"{root}/records/{run}"
-    rows.write.partitionBy("topic", "partition", "chunk").parquet(chunks)
+    rows.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP) \
+        .partitionBy("topic", "partition", "chunk").parquet(chunks)
+    free(spark)
     # the rows of a (topic, partition) in a task follow one another
     stored = spark.read.schema("row long, topic string, partition int, chunk int").parquet(chunks) \
         .groupBy("topic", "partition", "chunk").agg(F.min("row").alias("first_row"), F.count("*").alias("n"))

@@ -24,10 +24,17 @@ from pyspark.sql import functions as F
 BUCKETS = 64
 
 
+def free(spark: SparkSession) -> None:
+    """Shuffle files of finished steps go when the driver collects its garbage; one with room to
+    spare would leave those of many steps on disk."""
+    spark._jvm.System.gc()
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, codec: str = "snappy"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.codec = codec
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -57,7 +64,7 @@ class Store:
 
     def _write(self, df: DataFrame, path: str, partition_by: list[str] | None) -> int:
         df, seen = self._counted(df)
-        w = df.write.mode("overwrite").option("compression", "snappy")
+        w = df.write.mode("overwrite").option("compression", self.codec)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -89,7 +96,7 @@ class Store:
             held = self.read(name).where(F.col("bucket").isin(touched))
             updates = merge_upsert(held, updates, keys, guarded=True)
         updates.hint("rebalance", F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .option("compression", "snappy").partitionBy("bucket").parquet(self.path(name))
+            .option("compression", self.codec).partitionBy("bucket").parquet(self.path(name))
         if not found:  # all that is there has just been written
             touched = self._buckets(self.read(name)) if self.exists(name) else []
         return touched
