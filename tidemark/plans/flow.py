@@ -19,7 +19,7 @@ from tidemark.plans import gold as G
 from tidemark.plans import kpi as K
 from tidemark.plans.jobs import collect_errors
 from tidemark.sources.feed import retail_feeds, retail_records, to_records
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, free
 from tidemark.sources.tables import LazyFrames, Tables, retail_views
 
 
@@ -74,12 +74,15 @@ class Flow:
         return LazyFrames({n: lambda b=build: b(self.silver, lambda: self.bronze)
                            for n, build in G.GOLD_BUILDERS.items()})
 
-    def keep(self, layer: LazyFrames, names, root: str) -> None:
+    def keep(self, layer: LazyFrames, names, root: str) -> Store:
         """Stores frames of a layer, a few at a time, and puts what was stored in their place.
-        A plan that reads a frame several times would else build it as often from the input."""
-        store, frames = Store(self.spark, root), {n: layer[n] for n in names}
+        A plan that reads a frame several times would else build it as often from the input.
+        Returns the store, from which frames that nothing reads any more can be dropped."""
+        store, frames = Store(self.spark, root, "zstd"), {n: layer[n] for n in names}
         collect_errors(frames, lambda n: store.write(frames[n], n), parallel=3)
         layer.update({n: store.read(n) for n in names})
+        free(self.spark)
+        return store
 
     @cached_property
     def kpis(self) -> dict[str, DataFrame]:

@@ -34,7 +34,7 @@ from tidemark.session import checkpoint_dir
 from tidemark.sources import offsets
 from tidemark.sources.feed import (FAULTS, malformed_records, snapshot_diff, snapshot_diff_digests,
                                    snapshot_to_feed, to_records)
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, free
 from tidemark.sources.tables import LazyFrames
 from tidemark.streaming import audit_stream as AS
 from tidemark.streaming import bronze_stream as BS
@@ -803,10 +803,12 @@ def _merge_touched_partitions(p: Flow) -> DataFrame:
     only the key buckets that hold touched keys are read and rewritten (C3, J5)."""
     store = Store(p.spark, _scratch(p))
     for t in TABLES:
-        rows, keys = _change_rows(p, t), PRIMARY_KEYS[t]
+        kept, keys = p.keep(p.changes, [t], _scratch(p)), PRIMARY_KEYS[t]  # read for both merges and the touched keys
         for before in (True, False):
-            changes = _before_cut(rows, before)
+            changes = _before_cut(p.changes[t], before)
             store.merge(S.latest_per_key(changes, keys), f"silver/{t}", keys, buckets=8, changes=changes)
+        kept.drop(t)
+        free(p.spark)
     return _stored_states(store)
 
 
