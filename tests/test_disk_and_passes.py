@@ -39,3 +39,12 @@ def test_merges_decode_the_log_once(spark, monkeypatch):
     out = {r["key"]: (r["label"], r["_is_deleted"]) for r in Q._merge_touched_partitions(p).collect()}
     assert out == {"1": ("confirmed", False), "2": ("pending", True), "3": ("pending", False)}
     assert len(plans) == 2 and not any("from_json" in x for x in plans)
+
+
+def test_an_order_meets_its_customer_before_its_lines(spark):
+    def of(table):
+        return spark.createDataFrame([], Q.S.change_rows(B.decode(records_df(spark, [])), table).schema)
+    lines = _plan(gold_sales_facts(of("order_items"), of("orders"), of("products"), of("customers"))).split("\n")
+    depth = {k: next(re.search("Join", x).start() for x in lines if "Join" in x and re.search(rf"\({k}#", x))
+             for k in ("customer_id", "order_id", "product_id")}
+    assert depth["customer_id"] > depth["order_id"] > depth["product_id"]

@@ -69,9 +69,9 @@ def gold_sales_facts(items: DataFrame, orders: DataFrame, products: DataFrame,
         F.col("category").alias("product_category"), F.col("brand").alias("product_brand"))
     c = live_customer_dim(customers, {"name": "customer_name", "segment": "customer_segment",
                                       "city": "customer_city"})
-    j = (i.join(o, i.order_id == o._o_id, "inner")
-         .join(p, i.product_id == p._p_id, "left")
-         .join(c, o.customer_id == c._c_id, "left"))
+    # an order meets its customer once, not with each of its lines
+    o = o.join(c, o.customer_id == c._c_id, "left")
+    j = i.join(o, i.order_id == o._o_id, "inner").join(p, i.product_id == p._p_id, "left")
     return j.select(
         "order_id", "line_no", "product_id", "customer_id", "product_name",
         "product_category", "product_brand", "customer_name", "customer_segment",

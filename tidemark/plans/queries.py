@@ -483,8 +483,10 @@ def _sql_consumer(p: Flow) -> DataFrame:
     WHERE c.segment = 'BUILDING' AND o.status <> 'cancelled' GROUP BY year(o.order_date), channel""")
 def _sql_table_functions(p: Flow) -> DataFrame:
     """Parameterised reports as SQL table functions over the gold views."""
-    p.keep(p.silver, ["orders", "customers"], _scratch(p))  # in both products
+    states = p.keep(p.silver, ["orders", "customers"], _scratch(p))  # in both products
     p.keep(p.gold, ["sales_facts", "orders"], _scratch(p))
+    for t in ("orders", "customers"):
+        states.drop(t)
     K.publish_views(p.gold, p.kpis, ["sales_facts", "orders"])
     K.publish_functions(p.spark)
     return p.spark.sql("""
