@@ -48,3 +48,25 @@ def test_an_order_meets_its_customer_before_its_lines(spark):
     depth = {k: next(re.search("Join", x).start() for x in lines if "Join" in x and re.search(rf"\({k}#", x))
              for k in ("customer_id", "order_id", "product_id")}
     assert depth["customer_id"] > depth["order_id"] > depth["product_id"]
+
+
+def test_refreshed_facts_are_written_once_and_leave_nothing(spark, scratch):
+    def of(table, rows, names):
+        empty = spark.createDataFrame([], Q.S.change_rows(B.decode(records_df(spark, [])), table).schema)
+        return empty.unionByName(spark.createDataFrame(rows, names), allowMissingColumns=True)
+    lines = [(k, 1, 7, 2, False) for k in range(20)]
+    silver = {"order_items": of("order_items", lines, "order_id long, line_no long, product_id long, quantity int, _is_deleted boolean"),
+              "orders": of("orders", [(k, 1, "pending", False) for k in range(20)], "order_id long, customer_id long, status string, _is_deleted boolean"),
+              "products": of("products", [(7, "p", False)], "product_id long, name string, _is_deleted boolean"),
+              "customers": of("customers", [(1, "c", False)], "customer_id long, name string, _is_deleted boolean")}
+    store = Store(spark, scratch)
+    I.build_facts(store, "facts", silver, buckets=8)
+    bucket = {r["order_id"]: r["bucket"] for r in store.read("facts").select("order_id", "bucket").collect()}
+    gone = [k for k, b in bucket.items() if b == bucket[0]]  # a bucket that loses all its orders
+    orders = silver["orders"].withColumn("_is_deleted", Q.F.col("order_id").isin(gone))
+    none = spark.createDataFrame([], "customer_id long, product_id long, order_id long, line_no long")
+    changed = {"customers": none, "products": none, "order_items": none, "orders": spark.createDataFrame([(k,) for k in [*gone, 1]], "order_id long")}
+    touched = I.refresh_facts(store, "facts", silver | {"orders": orders}, changed, buckets=8)
+    assert touched == sorted({bucket[0], bucket[1]})
+    assert sorted(r["order_id"] for r in store.read("facts").collect()) == sorted(set(bucket) - set(gone))
+    assert os.listdir(scratch) == ["facts"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.gold import gold_sales_facts
-from tidemark.sources.store import BUCKETS, Store
+from tidemark.sources.store import BUCKETS, Store, free
 
 
 def affected_orders(silver: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
@@ -52,14 +52,9 @@ def refresh_facts(store: Store, name: str, silver: dict[str, DataFrame], changed
     held = store.read(name).where(F.col("bucket").isin(touched)).join(affected, "order_id", "left_anti")
     fresh = _facts(silver, affected.select("order_id")).withColumn("bucket", _bucket(buckets))
     rows = held.unionByName(fresh)
-    # a dynamic overwrite leaves partitions alone that get no rows: buckets that lost their
-    # last order are dropped by name
-    store.write(rows, f"{name}_fresh", ["bucket"])
-    rows = store.read(f"{name}_fresh")
-    filled = {r[0] for r in rows.select("bucket").distinct().collect()}
-    rows.hint("rebalance", F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .option("compression", "snappy").partitionBy("bucket").parquet(store.path(name))
-    for b in touched:
-        if b not in filled:
-            store.drop(f"{name}/bucket={b}")
+    store.write(rows.hint("rebalance", F.col("bucket")), f"{name}_fresh", ["bucket"])
+    store.drop(f"{name}_affected")
+    free(store.spark)
+    # written once and moved; a bucket that lost its last order is dropped
+    store.replace(name, f"{name}_fresh", [f"bucket={b}" for b in touched])
     return touched

@@ -823,16 +823,22 @@ def _gold_facts_incremental(p: Flow) -> DataFrame:
     customers, products, orders and lines that changed (G2, G3, S10)."""
     store = Store(p.spark, _scratch(p))
     tables = ["customers", "products", "orders", "order_items"]
-    old, changed = {}, {}
-    p.keep(p.changes, tables, _scratch(p))  # read as old state, new state and changed keys
-    p.silver.update({t: S.latest_per_key(p.changes[t], PRIMARY_KEYS[t]) for t in tables})
-    p.keep(p.silver, tables, _scratch(p))  # read for the orders reached and for their facts
-    for t in tables:
-        rows = p.changes[t]
-        old[t] = S.latest_per_key(_before_cut(rows, True), PRIMARY_KEYS[t])
-        changed[t] = _before_cut(rows, False).select(*PRIMARY_KEYS[t]).distinct()
+    log = p.keep(p.changes, tables, _scratch(p))  # read as old state, new state and changed keys
+    old = {t: S.latest_per_key(_before_cut(p.changes[t], True), PRIMARY_KEYS[t]) for t in tables}
     I.build_facts(store, "facts", old, buckets=8)
+    free(p.spark)
+    # read for the orders reached and for their facts, which show no place in the log
+    p.silver.update({t: S.latest_per_key(p.changes[t], PRIMARY_KEYS[t]).drop(*S.LINEAGE, "_deleted_at", "_silver_updated_at")
+                     for t in tables})
+    states = p.keep(p.silver, tables, _scratch(p))
+    changed = LazyFrames({t: lambda t=t: _before_cut(p.changes[t], False).select(*PRIMARY_KEYS[t]).distinct() for t in tables})
+    touched = p.keep(changed, tables, _scratch(p))
+    for t in tables:
+        log.drop(t)
     I.refresh_facts(store, "facts", p.silver, changed, buckets=8)
+    for t in tables:
+        states.drop(t)
+        touched.drop(t)
     return store.read("facts").drop("bucket")
 
 

@@ -56,6 +56,18 @@ class Store:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
+    def replace(self, name: str, by: str, partitions: list[str]) -> None:
+        """Puts the ``partitions`` of the table ``by`` in the place of those of ``name``; one that
+        ``by`` lacks is dropped.  What else ``by`` holds goes."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path(name)).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for p in partitions:
+            old, new = path(f"{self.path(name)}/{p}"), path(f"{self.path(by)}/{p}")
+            fs.delete(old, True)
+            if fs.exists(new) and not fs.rename(new, old):
+                raise OSError(f"could not move {new} to {old}")
+        self.drop(by)
+
     @staticmethod
     def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
         """Rows counted by the write itself, not by a second evaluation of the plan."""
