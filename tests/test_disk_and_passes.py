@@ -70,3 +70,16 @@ def test_refreshed_facts_are_written_once_and_leave_nothing(spark, scratch):
     assert touched == sorted({bucket[0], bucket[1]})
     assert sorted(r["order_id"] for r in store.read("facts").collect()) == sorted(set(bucket) - set(gone))
     assert os.listdir(scratch) == ["facts"]
+
+
+def test_the_state_holds_a_change_once_and_merged_changes_go(spark, scratch):
+    bronze, store = B.decode(records_df(spark, _orders())), Store(spark, scratch)
+    newest = SS.newest_changes(bronze)
+    assert set(newest.columns) == {"cdc_table", "cdc_op", "cdc_ts", "cdc_lsn", "kafka_offset", "before_json", "after_json"}
+    assert _plan(newest).count("kafka_topic") == _plan(bronze.select("cdc_table")).count("kafka_topic")
+    write = SS.state_writer(store, "s", buckets=2)
+    write(newest, 1)
+    write(SS.newest_changes(B.decode(records_df(spark, _orders()[:2]))), 2)  # older changes move nothing
+    out = {r["order_id"]: (r["status"], r["_is_deleted"], r["_cdc_offset"]) for r in store.read("silver/orders").collect()}
+    assert out == {1: ("confirmed", False, 3), 2: ("pending", True, 4), 3: ("pending", False, 5)}
+    assert not [x for x in os.listdir(f"{scratch}/silver_changes") if "=" in x]

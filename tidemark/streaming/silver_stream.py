@@ -1,7 +1,7 @@
 """Incremental silver: a stateful stream that keeps every key's newest change.
 
-The state of all tables is one streaming aggregate: ``max_by`` the change over its order (ts,
-lsn, offset), grouped by table and key, in update mode.  Each micro-batch hands on only keys
+The state of all tables is one streaming aggregate: the ``max`` of a struct that begins with a
+change's order (ts, lsn, offset) and ends with its row image, grouped by table and key, in update mode.  Each micro-batch hands on only keys
 whose newest change may have moved, whatever the order in which changes arrive, and a change
 seen again moves nothing.  State lives in the RocksDB state store under the checkpoint, so it
 is bounded by the executors' disks, not their memory, and a restart goes on from it.
@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import BRONZE_COLUMNS, PRIMARY_KEYS
+from tidemark.model import IMAGE_AFTER_OPS, PRIMARY_KEYS
 from tidemark.operators.silver import change_rows, image_key, row_image
-from tidemark.sources.store import BUCKETS, Store
+from tidemark.sources.store import BUCKETS, Store, free
 from tidemark.streaming.state_store import use_rocksdb
 
 BRONZE_LOG_SCHEMA = T.StructType([
@@ -51,24 +51,32 @@ def _key() -> Column:
 
 
 def newest_changes(bronze: DataFrame) -> DataFrame:
-    """The newest change of each table's keys, in the bronze columns."""
-    change = F.struct(*[c for c in BRONZE_COLUMNS if c not in ("cdc_table", "processed_at")])
-    order = F.struct("cdc_ts", "cdc_lsn", "kafka_offset")
+    """The newest change of each table's keys: its operation, place in the log and row image, in
+    bronze columns.  The state holds no more than that, once: the change is its own order."""
+    change = F.struct("cdc_ts", "cdc_lsn", "kafka_offset", "cdc_op", row_image().alias("image"))
+    after = F.col("cdc_op").isin(IMAGE_AFTER_OPS)
     return (bronze.withColumn("_key", _key()).where(F.col("_key").isNotNull())
-            .groupBy("cdc_table", "_key").agg(F.max_by(change, order).alias("_newest"))
-            .select("cdc_table", "_newest.*"))
+            .groupBy("cdc_table", "_key").agg(F.max(change).alias("_newest"))
+            .select("cdc_table", "_newest.*")
+            .select("cdc_table", "cdc_op", "cdc_ts", "cdc_lsn", "kafka_offset",
+                    F.when(after, F.lit(None)).otherwise(F.col("image")).alias("before_json"),
+                    F.when(after, F.col("image")).alias("after_json")))
 
 
 def state_writer(store: Store, stream: str, prefix: str = "silver/", buckets: int = BUCKETS):
-    """foreachBatch function: the batch's newest changes are written once, then merged table
-    by table; a retry repeats both with the same outcome."""
+    """foreachBatch function: the batch's newest changes are written once, merged table by table,
+    and go; a retry repeats all of it with the same outcome."""
+    scratch = Store(store.spark, store.root, "zstd")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.append(batch, "silver_changes", f"{stream}-{batch_id}", ["cdc_table"])
-        changes = store.spark.read.schema(batch.schema).parquet(store.path(f"silver_changes/batch={stream}-{batch_id}"))
+        name = f"silver_changes/batch={stream}-{batch_id}"
+        scratch.write(batch, name, ["cdc_table"])
+        changes = store.spark.read.schema(batch.schema).parquet(store.path(name))
         for t in sorted(r[0] for r in changes.select("cdc_table").distinct().collect()):
             rows = change_rows(changes.where(F.col("cdc_table") == t), t)
             store.merge(rows, f"{prefix}{t}", PRIMARY_KEYS[t], buckets)
+            free(store.spark)
+        scratch.drop(name)
 
     return write
 
