@@ -83,3 +83,15 @@ def test_the_state_holds_a_change_once_and_merged_changes_go(spark, scratch):
     out = {r["order_id"]: (r["status"], r["_is_deleted"], r["_cdc_offset"]) for r in store.read("silver/orders").collect()}
     assert out == {1: ("confirmed", False, 3), 2: ("pending", True, 4), 3: ("pending", False, 5)}
     assert not [x for x in os.listdir(f"{scratch}/silver_changes") if "=" in x]
+
+
+def test_a_batch_is_stored_compressed_not_cached(spark, scratch, monkeypatch):
+    def cached(self, *a):
+        raise AssertionError("rows of a batch are cached")
+    monkeypatch.setattr(type(spark.range(1)), "persist", cached)
+    store = Store(spark, scratch)
+    rows = [*_orders(), _orders()[0], record("{not json", 99)]
+    assert BS.write_bronze_batch(store, records_df(spark, rows), "b", ["cdc_table"]) == (5, 1)
+    assert BS.write_bronze_batch(store, records_df(spark, []), "none", ["cdc_table"], skip_empty=True) == (0, 0)
+    assert store.read("bronze").count() == 5 and os.listdir(f"{scratch}/bronze") == ["batch=b"]
+    assert not os.path.isdir(f"{scratch}/decoded") or not os.listdir(f"{scratch}/decoded")
