@@ -95,3 +95,14 @@ def test_a_batch_is_stored_compressed_not_cached(spark, scratch, monkeypatch):
     assert BS.write_bronze_batch(store, records_df(spark, []), "none", ["cdc_table"], skip_empty=True) == (0, 0)
     assert store.read("bronze").count() == 5 and os.listdir(f"{scratch}/bronze") == ["batch=b"]
     assert not os.path.isdir(f"{scratch}/decoded") or not os.listdir(f"{scratch}/decoded")
+
+
+def test_variants_are_walked_once_and_extras_made_where_there_are_any(spark):
+    from tidemark.operators import variant as V
+    rows = [record(envelope("c", after=order(1)), 1), record(envelope("c", after=order(2, more={"a": [1, "x"]}, n=1.5)), 2),
+            record(envelope("c", after=[1]), 3), record('{"payload": {"op": "c", "source": 5, "after": {"order_id": 4}}}', 4),
+            record('{"payload": {"op": "d", "ts_ms": "x", "source": {"table": "orders"}, "after": {}, "before": {"order_id": 5}}}', 5)]
+    events = V.decode(records_df(spark, rows))
+    out = {r["order_id"]: (r["_cdc_op"], r["_cdc_lsn"], r["extra"]) for r in V.rows(events, "orders").collect()}
+    assert out == {1: ("INSERT", 0, {}), 2: ("INSERT", 0, {"more": '{"a":[1,"x"]}', "n": "1.5"}), 5: ("DELETE", None, {})}
+    assert _plan(events).count("$.payload") == 1
